@@ -119,7 +119,7 @@ def build_matrix(
     return TermMatrix(weights.transform(counts), vocabulary, weights.numDocs, len(rows))
 
 
-def weight_of(term_id: int, vector: str = "tfidf") -> Column:
+def entry_of(term_id: int, vector: str = "tf") -> Column:
     """Entry of one term in a sparse vector column, 0 where it is absent."""
     packed = F.unwrap_udt(vector)
     at = F.array_position(packed["indices"], term_id).cast("int") - 1
@@ -132,18 +132,30 @@ def find_by_term(matrix: TermMatrix, term: str | int, n: int = 10) -> DataFrame:
     Documents without the term have weight 0 and come last. Each task keeps its best n rows; the
     matrix is not unpacked. An unknown term gives no rows.
     """
-    if isinstance(term, str):
-        row = matrix.vocabulary.where(F.col("term") == term).select("term_id").first()
-        term_id = row["term_id"] if row else None
-    else:
-        term_id = term if 0 <= term < matrix.n_terms else None
-    scored = matrix.vectors.select(
-        "doc_id", "title",
-        (weight_of(term_id) if term_id is not None else F.lit(0.0)).alias("weight"),
+    column = "term" if isinstance(term, str) else "term_id"
+    known = matrix.vocabulary.where(F.col(column) == term).select("term_id", "idf").first()
+    weight = entry_of(known["term_id"]) * known["idf"] if known else F.lit(0.0)
+    scored = matrix.vectors.select("doc_id", "title", weight.alias("weight"))
+    return scored.orderBy(F.desc("weight"), "doc_id").limit(n if known else 0)
+
+
+def top_terms_per_document(matrix: TermMatrix, n: int = 10) -> DataFrame:
+    """The ``n`` most used terms of every document: ``(doc_id, rank, term, tf)``.
+
+    Each row is sorted where it is; ties rank by term id.
+    """
+    packed = F.unwrap_udt("tf")
+    pairs = F.zip_with(
+        packed["values"], packed["indices"],
+        lambda tf, i: F.struct((-tf).alias("key"), i.alias("term_id")),
+    )
+    best = matrix.vectors.select(
+        "doc_id", F.posexplode(F.slice(F.sort_array(pairs), 1, n)).alias("at", "e")
     )
-    if term_id is None:
-        return scored.limit(0)
-    return scored.orderBy(F.desc("weight"), "doc_id").limit(n)
+    names = F.broadcast(matrix.vocabulary.select("term_id", "term"))
+    return best.select(
+        "doc_id", (F.col("at") + 1).alias("rank"), "e.term_id", (-F.col("e.key")).alias("tf")
+    ).join(names, "term_id").select("doc_id", "rank", "term", "tf")
 
 
 def graph_edges(matrix: TermMatrix) -> DataFrame:

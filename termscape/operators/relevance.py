@@ -4,7 +4,7 @@ A score is a dot product of a query vector with every factor row. Query vectors
 (their number times k, checked), so they travel to the tasks; factor rows never move. A task turns a
 batch of rows into scores with one matrix product and keeps its best rows per query, so what is
 shuffled is k rows per query and task however large the table or the skew. A query set beyond the
-size limit is answered in parts, each with its own pass over the factors.
+size limit is fetched and answered in parts, each with its own pass over the factors.
 """
 
 from __future__ import annotations
@@ -14,12 +14,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termscape.functions import text as tx
 from termscape.operators.svd import ConceptModel, titled
 from termscape.operators.topk import top_per_group
+from termscape.session import frozen
 
 #: Query vector entries sent to the tasks in one part (32 MB of doubles).
 MAX_QUERY_ENTRIES = 1 << 22
@@ -72,72 +73,86 @@ def _scored(
     )
 
 
+def _query_parts(queries: DataFrame, dims: int) -> Iterator[tuple[list, np.ndarray]]:
+    """Keys and vectors of ``queries(query, vector)`` in parts of about ``MAX_QUERY_ENTRIES``."""
+    parts = max(1, -(-queries.count() * dims // MAX_QUERY_ENTRIES))
+    for part in range(parts):
+        mine = F.pmod(F.xxhash64("query"), F.lit(parts)) == part
+        rows = queries.where(mine).orderBy("query").toArrow().combine_chunks()
+        vectors = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        yield rows["query"].to_pylist(), vectors.reshape(-1, dims)
+
+
 def top_scores(
     factors: DataFrame,
     id_col: str,
     vector_col: str,
-    queries: Sequence[tuple[object, Sequence[float]]],
-    key_type: str,
+    queries: DataFrame,
     k: int = 10,
     cosine: bool = False,
 ) -> DataFrame:
-    """Best ``k`` factor rows per query: ``(query, rank, id, score)``.
+    """Best ``k`` factor rows for each of ``queries(query, vector)``: ``(query, rank, id, score)``.
 
-    ``queries`` are (key, vector) pairs. With ``cosine`` both sides are divided by their length and
-    zero rows take no part. Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
+    With ``cosine`` both sides are divided by their length and zero rows take no part. Scores are
+    rounded to ``SCORE_DIGITS``; equal scores rank by id.
     """
     spark = factors.sparkSession
-    vectors = np.array([v for _, v in queries], dtype=float)
-    keys = [key for key, _ in queries]
-    if cosine and len(keys):
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        keys = [key for key, norm in zip(keys, norms) if norm > 0]
-        vectors = vectors[norms > 0] / norms[norms > 0, None]
-    if not keys:
-        return spark.createDataFrame([], f"query {key_type}, rank int, id bigint, score double")
-    per_part = max(1, MAX_QUERY_ENTRIES // vectors.shape[1])
+    key_type = queries.schema["query"].dataType.simpleString()
+    first = factors.select(F.size(vector_col)).first()
     answers = []
-    for at in range(0, len(keys), per_part):
-        scored = _scored(factors, id_col, vector_col, vectors[at:at + per_part], k, cosine)
-        names = spark.createDataFrame(
-            list(enumerate(keys[at:at + per_part])), f"query_no int, query {key_type}"
-        )
+    for keys, vectors in _query_parts(queries, first[0]) if first else ():
+        if cosine:
+            norms = np.sqrt((vectors * vectors).sum(axis=1))
+            keys = [key for key, norm in zip(keys, norms) if norm > 0]
+            vectors = vectors[norms > 0] / norms[norms > 0, None]
+        if not keys:
+            continue
+        scored = _scored(factors, id_col, vector_col, vectors, k, cosine)
+        names = spark.createDataFrame(list(enumerate(keys)), f"query_no int, query {key_type}")
         answers.append(
             top_per_group(scored, ["query_no"], [F.desc("score"), F.col("id")], k)
             .join(F.broadcast(names), "query_no")
             .select("query", "rank", "id", "score")
         )
+    if not answers:
+        return spark.createDataFrame([], f"query {key_type}, rank int, id bigint, score double")
     return reduce(DataFrame.unionAll, answers)
 
 
-def _with_titles(
-    answers: DataFrame, model: ConceptModel, key: str, n_rows: int
+def unit_queries(spark: SparkSession, size: int, n: int | None = None) -> DataFrame:
+    """The first ``n`` of ``size`` unit vectors as queries: each asks for one entry of a row."""
+    units = np.eye(size)[:n]
+    return spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(units)], "query int, vector array<double>"
+    )
+
+
+def _documents(
+    model: ConceptModel, queries: DataFrame, key: str, k: int, cosine: bool = False
 ) -> DataFrame:
-    """Replace ids by titles with one join for all hits."""
+    """Best documents per query, ids resolved to titles with one join for all hits."""
+    answers = top_scores(model.doc_factors, "doc_id", "us", queries, k, cosine)
     hits = answers.select(F.col("query").alias(key), "rank", F.col("id").alias("doc_id"), "score")
-    return titled(hits, model.titles, n_rows).select(key, "rank", "doc_id", "title", "score")
+    found = titled(hits, model.titles, queries.count() * k)
+    return found.select(key, "rank", "doc_id", "title", "score")
 
 
 def concept_documents(model: ConceptModel, n_concepts: int | None = None, n: int = 10) -> DataFrame:
-    """Heaviest documents of the leading concepts by U: ``(concept, rank, doc_id, title, weight)``.
-
-    A concept is asked like any query, by its unit vector, so all concepts share one pass.
-    """
-    sigmas = model.sigmas
-    unit = np.eye(len(sigmas))[:n_concepts]
-    answers = top_scores(model.doc_factors, "doc_id", "us", list(enumerate(unit)), "int", n)
-    hits = _with_titles(answers, model, "concept", len(unit) * n)
+    """Heaviest documents of the leading concepts by U: ``(concept, rank, doc_id, title, weight)``."""
+    size = model.concepts.count()
+    asked = unit_queries(model.concepts.sparkSession, size, n_concepts)
+    hits = _documents(model, asked, "concept", n)
     return hits.join(F.broadcast(model.concepts), "concept").select(
         "concept", "rank", "doc_id", "title", (F.col("score") / F.col("sigma")).alias("weight")
     )
 
 
-def _term_vectors(model: ConceptModel, column: str, terms: Sequence[str] | None):
-    """(term, vector) of the given terms, or of the whole vocabulary; unknown terms are left out."""
-    chosen = model.term_factors.select("term_id", "term", column)
+def _term_queries(model: ConceptModel, column: str, terms: Sequence[str] | None) -> DataFrame:
+    """Factor rows of the given terms, or of the whole vocabulary; unknown terms are left out."""
+    chosen = model.term_factors
     if terms is not None:
         chosen = chosen.where(F.col("term").isin(list(terms)))
-    return [(r["term"], r[column]) for r in chosen.orderBy("term_id").collect()]
+    return chosen.select(F.col("term").alias("query"), F.col(column).alias("vector"))
 
 
 def docs_for_terms(
@@ -148,9 +163,8 @@ def docs_for_terms(
     The score is the row of U diag(s) times the row of V. Without ``terms`` the whole vocabulary is
     asked.
     """
-    queries = _term_vectors(model, "v", terms)
-    answers = top_scores(model.doc_factors, "doc_id", "us", queries, "string", k)
-    return _with_titles(answers, model, "term", len(queries) * k)
+    queries = _term_queries(model, "v", terms)
+    return _documents(model, queries, "term", k)
 
 
 def terms_for_terms(
@@ -158,12 +172,11 @@ def terms_for_terms(
 ) -> DataFrame:
     """Terms by cosine of their rows of V diag(s), the term itself included:
     ``(term, rank, related, score)``."""
-    answers = top_scores(
-        model.term_factors, "term_id", "vs", _term_vectors(model, "vs", terms), "string", k,
-        cosine=True,
+    queries = _term_queries(model, "vs", terms)
+    answers = top_scores(model.term_factors, "term_id", "vs", queries, k, cosine=True)
+    names = model.term_factors.select(
+        F.col("term_id").cast("bigint").alias("id"), F.col("term").alias("related")
     )
-    names = model.term_factors.select(F.col("term_id").cast("bigint").alias("id"),
-                                      F.col("term").alias("related"))
     return answers.join(names, "id").select(
         F.col("query").alias("term"), "rank", "related", "score"
     )
@@ -181,17 +194,16 @@ def docs_for_docs(
     Query documents are named by id or by title. A document without any vocabulary term has no
     direction: it neither asks nor answers.
     """
+    if doc_ids is None and titles is None:
+        raise ValueError("name the query documents by id or by title")
     chosen = model.doc_factors
     if doc_ids is not None:
         chosen = chosen.where(F.col("doc_id").isin(list(doc_ids)))
     if titles is not None:
-        named = model.titles.where(F.col("title").isin(list(titles)))
-        chosen = chosen.join(F.broadcast(named), "doc_id")
-    if doc_ids is None and titles is None:
-        raise ValueError("name the query documents by id or by title")
-    queries = [(r["doc_id"], r["us"]) for r in chosen.orderBy("doc_id").collect()]
-    answers = top_scores(model.doc_factors, "doc_id", "us", queries, "bigint", k, cosine=True)
-    return _with_titles(answers, model, "query_id", len(queries) * k)
+        named = model.titles.where(F.col("title").isin(list(titles))).select("doc_id")
+        chosen = chosen.join(named, "doc_id", "left_semi")
+    queries = chosen.select(F.col("doc_id").alias("query"), F.col("us").alias("vector"))
+    return _documents(model, queries, "query_id", k, cosine=True)
 
 
 def query_terms(queries: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -219,28 +231,16 @@ def docs_for_queries(
     """Documents by relevance to ``weighed(query_id, term_id, weight)``:
     ``(query_id, rank, doc_id, title, score)``.
 
-    Query vectors are V'q, summed in Spark. They reach the driver in parts of bounded size.
+    Query vectors are V'q, summed in Spark.
     """
-    key_type = weighed.schema["query_id"].dataType.simpleString()
     factors = model.term_factors.select("term_id", F.posexplode("v").alias("concept", "v"))
     projected = (
         weighed.join(factors, "term_id")
         .groupBy("query_id", "concept")
         .agg(F.sum(F.col("weight") * F.col("v")).alias("x"))
-        .groupBy("query_id")
+        .groupBy(F.col("query_id").alias("query"))
         .agg(F.sort_array(F.collect_list(F.struct("concept", "x"))).alias("row"))
-        .select("query_id", F.transform("row", lambda e: e["x"]).alias("vector"))
-    )
-    n_queries = weighed.select("query_id").distinct().count()
-    per_part = max(1, MAX_QUERY_ENTRIES // max(1, model.concepts.count()))
-    parts = -(-n_queries // per_part)
-    answers = []
-    for part in range(max(1, parts)):
-        mine = projected if parts <= 1 else projected.where(
-            F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part
-        )
-        queries = [(r["query_id"], r["vector"]) for r in mine.orderBy("query_id").collect()]
-        answers.append(top_scores(model.doc_factors, "doc_id", "us", queries, key_type, k))
-    return _with_titles(
-        reduce(DataFrame.unionAll, answers), model, "query_id", n_queries * k
+        .select("query", F.transform("row", lambda e: e["x"]).alias("vector"))
     )
+    queries = frozen(projected, "queries")
+    return _documents(model, queries, "query_id", k)

@@ -15,7 +15,6 @@ from termscape.functions import text as tx
 from termscape.functions.stopwords import ENGLISH_DEFAULT
 from termscape.operators.filters import with_min_terms
 from termscape.operators.terms import computed
-from termscape.operators.topk import top_per_group
 
 
 def token_count(tokens: Column) -> Column:
@@ -173,8 +172,3 @@ def vocabulary_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return sides.where(F.col("low") == F.col("high")).select(
         "term", F.when(F.col("low") == 1, "left").otherwise("right").alias("only_in")
     )
-
-
-def top_terms_per_document(entries: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most used terms of every document of ``entries(doc_id, term, tf)``."""
-    return top_per_group(entries, ["doc_id"], [F.desc("tf"), F.col("term")], n)

@@ -170,8 +170,8 @@ def top_documents_for_concept(model: ConceptModel, concept: int, n: int = 10) ->
         .orderBy("rank")
 
 
-def titled(answers: DataFrame, titles: DataFrame, n_rows: int) -> DataFrame:
-    """Add the title of every ``doc_id`` with one join; at most ``n_rows`` answers are broadcast."""
-    if n_rows <= MAX_BROADCAST_ANSWERS:
+def titled(answers: DataFrame, titles: DataFrame, bound: int) -> DataFrame:
+    """Add the title of every ``doc_id`` with one join; at most ``bound`` answers, broadcast if few."""
+    if bound <= MAX_BROADCAST_ANSWERS:
         answers = F.broadcast(answers)
     return titles.join(answers, "doc_id")

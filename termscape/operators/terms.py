@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from termscape.functions import text as tx
 from termscape.functions.stopwords import ENGLISH_DEFAULT
+from termscape.session import at_most, frozen
 
 
-def computed(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+def computed(df: DataFrame, keep: Sequence[str | Column], **columns: Column) -> DataFrame:
     """``keep`` plus costly columns that are evaluated exactly once per row.
 
     The optimizer would move a later filter on such a column below it, in front of the scan's other
@@ -34,25 +35,34 @@ def document_terms(
     return computed(docs, ["doc_id", "title"], terms=terms)
 
 
+#: Lemma tables up to this many rows (some 50 MB) are broadcast.
+MAX_BROADCAST_LEMMAS = 1_000_000
+
+
 def lemma_counts(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Lemma of every word with its count: ``(doc_id, lemma, n)``.
 
     ``lemmas(form, lemma)`` is looked up by the lower-cased form; of several lemmas for one form the
-    smallest is used, and a form without one stands for itself. Words are counted per document
-    before the join, so the join never sees a repeated word of one document twice.
+    smallest is used, and a form without one stands for itself. A table of checked size is broadcast,
+    so words are looked up where they are; a larger one is joined by form after the words of each
+    document have been counted, so that a frequent word moves once per document.
     """
-    forms = (
+    words = (
         computed(docs, ["doc_id"], words=tx.words(F.col("content")))
         .select("doc_id", F.explode("words").alias("word"))
-        .groupBy("doc_id", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("form", F.lower("word"))
+        .withColumn("n", F.lit(1).cast("bigint"))
+    )
+    table = frozen(
+        lemmas.groupBy(F.lower("form").alias("form")).agg(F.min("lemma").alias("lemma")), "lemmas"
     )
-    table = lemmas.groupBy(F.lower("form").alias("form")).agg(F.min("lemma").alias("lemma"))
+    if at_most(table, MAX_BROADCAST_LEMMAS):
+        table = F.broadcast(table)
+    else:
+        words = words.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
     return (
-        forms.join(table, "form", "left")
-        .withColumn("lemma", F.coalesce("lemma", "word"))
-        .groupBy("doc_id", "lemma")
+        words.withColumn("form", F.lower("word"))
+        .join(table, "form", "left")
+        .groupBy("doc_id", F.coalesce("lemma", "word").alias("lemma"))
         .agg(F.sum("n").alias("n"))
     )
 

@@ -7,16 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termscape.operators.svd import ranked_words
+from termscape.operators.relevance import SCORE_DIGITS, top_scores, unit_queries
+from termscape.operators.svd import ranked_words, titled
 from termscape.operators.topics import TopicModel
 from termscape.operators.topk import top_per_group
 
-#: Weights are compared after rounding to this many digits; equal ones rank by id.
-DIGITS = 6
-
 
 def _falling(weight: str | Column) -> Column:
-    return F.desc(F.round(weight, DIGITS))
+    """Weights that agree to ``SCORE_DIGITS`` digits are ties, which rank by id."""
+    return F.desc(F.round(weight, SCORE_DIGITS))
 
 
 def topic_totals(model: TopicModel) -> DataFrame:
@@ -88,7 +87,7 @@ def _ranked_shares(weights: Column, n: int) -> Column:
     """Best ``n`` (topic, weight) of one document's weights, sorted inside its row."""
     pairs = F.transform(
         weights,
-        lambda w, i: F.struct((-F.round(w, DIGITS)).alias("key"), i.alias("topic"), w.alias("weight")),
+        lambda w, i: F.struct((-F.round(w, SCORE_DIGITS)).alias("key"), i.alias("topic"), w.alias("weight")),
     )
     return F.slice(F.sort_array(pairs), 1, n)
 
@@ -123,11 +122,14 @@ def top_documents_for_topic(model: TopicModel, topic: int, n: int = 10) -> DataF
 
 
 def top_documents_per_topic(model: TopicModel, n: int = 10) -> DataFrame:
-    """``(topic, rank, doc_id, title, weight)`` for every topic, in one job."""
-    best = top_per_group(
-        document_topics(model), ["topic"], [_falling("weight"), F.col("doc_id")], n
+    """``(topic, rank, doc_id, title, weight)`` for every topic, in one pass."""
+    topics = unit_queries(model.doc_topics.sparkSession, model.n_topics)
+    hits = top_scores(model.doc_topics, "doc_id", "weights", topics, n).select(
+        F.col("query").alias("topic"), "rank", F.col("id").alias("doc_id"),
+        F.col("score").alias("weight"),
     )
-    return best.select("topic", "rank", "doc_id", "title", "weight")
+    found = titled(hits, model.doc_topics.select("doc_id", "title"), model.n_topics * n)
+    return found.select("topic", "rank", "doc_id", "title", "weight")
 
 
 def top_topics_for_terms(model: TopicModel, terms: Sequence[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termscape.operators.matrix import TermMatrix
-from termscape.session import frozen, shared_folder
+from termscape.session import frozen, scratch_path, shared_folder
 
 #: Term-topic tables up to this many entries (256 MB of doubles) are broadcast.
 MAX_BROADCAST_ENTRIES = 1 << 25
@@ -145,19 +145,25 @@ def fit_em(
     _check_priors("em", alpha, topic_concentration)
     eta = topic_concentration
     topics = range(n_topics)
+    spark = matrix.vectors.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = (
         matrix.entries()
         .select("doc_id", "term_id", F.col(features).alias("weight"))
-        .repartition("doc_id")
+        .repartition(partitions, "doc_id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     small = matrix.n_terms * n_topics <= MAX_BROADCAST_ENTRIES
 
-    def per_term(rows: DataFrame) -> DataFrame:
-        return frozen(_sums(rows, "term_id", n_topics, "t"), "em-terms")
+    # A step reads one slot and writes the other, so only two states take up space.
+    slots = [scratch_path(spark, f"em-{slot}") for slot in ("even", "odd")]
 
-    def per_document(rows: DataFrame) -> DataFrame:
-        return frozen(_sums(rows, "doc_id", n_topics, "d"), "em-documents")
+    def summed(rows: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+        path = slots[step % 2]
+        return (
+            frozen(_sums(rows, "term_id", n_topics, "t"), "em", f"{path}/terms"),
+            frozen(_sums(rows, "doc_id", n_topics, "d"), "em", f"{path}/documents"),
+        )
 
     try:
         start = F.pmod(31 * F.col("doc_id") + 17 * F.col("term_id"), F.lit(n_topics))
@@ -165,8 +171,8 @@ def fit_em(
             "doc_id", "term_id",
             *(F.when(start == j, F.col("weight")).otherwise(0.0).alias(f"g{j}") for j in topics),
         )
-        by_term, by_document = per_term(rows), per_document(rows)
-        for _ in range(steps):
+        by_term, by_document = summed(rows, 0)
+        for step in range(1, steps + 1):
             totals = by_term.agg(*(F.sum(f"t{j}") for j in topics)).first()
             terms = F.broadcast(by_term) if small else by_term
             shares = [
@@ -182,7 +188,7 @@ def fit_em(
             rows = unscaled.select(
                 "doc_id", "term_id", *((F.col(f"u{j}") * scale).alias(f"g{j}") for j in topics)
             )
-            by_term, by_document = per_term(rows), per_document(rows)
+            by_term, by_document = summed(rows, step)
     finally:
         entries.unpersist()
 

@@ -22,8 +22,9 @@ def top_per_group(
     """
     if k > PUSHED_LIMIT:
         salt = "_salt"
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         others = [c for c in df.columns if c not in group]
-        salted = df.withColumn(salt, F.pmod(F.xxhash64(*others), F.lit(256)))
+        salted = df.withColumn(salt, F.pmod(F.xxhash64(*others), F.lit(salts)))
         first = Window.partitionBy(*group, salt).orderBy(*order)
         df = (
             salted.withColumn(rank, F.row_number().over(first))

@@ -363,7 +363,7 @@ def oracle_sql() -> dict[str, str]:
         "book_matrix": _with(*matrix(CLEAN_CASE, 20000, 1, 1), select="""SELECT doc_id, term_id, term,
             tf, round(tfidf, 6) AS tfidf FROM a"""),
         "doc_top_terms": _with(*matrix(), select="""SELECT doc_id, (row_number() OVER (PARTITION BY
-            doc_id ORDER BY tf DESC, term))::INTEGER AS rank, term, tf FROM a QUALIFY rank <= 5"""),
+            doc_id ORDER BY tf DESC, term_id))::INTEGER AS rank, term, tf FROM a QUALIFY rank <= 5"""),
         "tf_vs_tfidf": _with(*matrix(), select="""SELECT title, term, tf, round(tfidf, 6) AS tfidf
             FROM a JOIN usable USING (doc_id)"""),
         "graph_edges": _with(*matrix(), select="""SELECT 'd' || doc_id AS src, 't' || term_id AS dst,

@@ -6,7 +6,6 @@ from ``benchmark`` and unseen documents from ``conversations``. Every query runs
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +18,7 @@ from termscape.operators import filters, matrix, relevance, stats, svd, topic_qu
 from termscape.operators.terms import (
     computed, document_lemmas, document_terms, lemma_counts, terms_with,
 )
-from termscape.session import shared_folder, spread
+from termscape.session import scratch_path, spread
 from termscape.sources import dump
 from termscape.sources.tables import corpus
 from termscape.streaming import scoring
@@ -50,10 +49,6 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages", "page_id")
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/termscape/{label}-{uuid.uuid4().hex}"
-
-
 def terms(spark: SparkSession, folder: str) -> DataFrame:
     return document_terms(docs(spark, folder))
 
@@ -267,7 +262,7 @@ def xml_pages(spark, folder):
 @query
 def xml_scan(spark, folder):
     """XML in files: the pages are written as a dump and read back as page records."""
-    path = _scratch(spark, "dump")
+    path = scratch_path(spark, "dump")
     page_xml(pages(spark, folder)).write.text(path)
     return page_digest(dump.parse_pages(dump.read_page_xml(spark, path)))
 
@@ -435,9 +430,7 @@ def book_matrix(spark, folder):
 
 @query
 def doc_top_terms(spark, folder):
-    entries = full_matrix(spark, folder).named_entries()
-    best = stats.top_terms_per_document(entries, 5)
-    return best.select("doc_id", "rank", "term", "tf")
+    return matrix.top_terms_per_document(full_matrix(spark, folder), 5)
 
 
 @query
@@ -714,10 +707,10 @@ def stream_score(spark, folder):
         small_matrix(spark, folder), ml_topics(spark, folder).fitted
     )
     shares = scoring.topic_shares(unseen(_stream(spark, folder, "conversations")), stages)
-    path = _scratch(spark, "scores")
+    path = scratch_path(spark, "scores")
     run = (
         shares.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", _scratch(spark, "scores-progress"))
+        .option("checkpointLocation", scratch_path(spark, "scores-progress"))
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
@@ -729,11 +722,11 @@ def stream_score(spark, folder):
 def stream_term_counts(spark, folder):
     """``term_freq`` on a stream."""
     counts = scoring.running_term_counts(corpus(_stream(spark, folder, "documents")))
-    path = _scratch(spark, "term-counts")
+    path = scratch_path(spark, "term-counts")
     run = (
         counts.writeStream.outputMode("complete")
         .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
-        .option("checkpointLocation", _scratch(spark, "term-counts-progress"))
+        .option("checkpointLocation", scratch_path(spark, "term-counts-progress"))
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()

@@ -24,18 +24,28 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def frozen(df: DataFrame, label: str) -> DataFrame:
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/termscape/{label}-{uuid.uuid4().hex}"
+
+
+def frozen(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the table.
 
     Cuts the lineage, keeps columns prunable, gives the optimizer real sizes, and survives the loss
-    of any executor.
+    of any executor. A given ``path`` is overwritten, so that a loop can reuse its space.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/termscape/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = path or scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; counts no further."""
+    return df.limit(rows + 1).count() <= rows
+
+
 #: Inputs with more file splits than this are never re-partitioned by ``spread``.
 SMALL_SPLITS = 64
 

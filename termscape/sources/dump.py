@@ -64,8 +64,7 @@ def read_dump(spark: SparkSession, path: str, match: str = "prefix") -> DataFram
 
 def html_documents(pages: DataFrame) -> DataFrame:
     """``pages(page_id, html)`` to documents: title element and visible text."""
-    return pages.select(
-        F.col("page_id").alias("doc_id"),
-        markup.html_title(F.col("html")).alias("title"),
-        markup.html_text(F.col("html")).alias("content"),
+    return computed(
+        pages, [F.col("page_id").alias("doc_id")],
+        title=markup.html_title(F.col("html")), content=markup.html_text(F.col("html")),
     )
