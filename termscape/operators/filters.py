@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termscape.session import at_most
+
 # Title patterns.
 UNWANTED_TITLE = r"(^(List)|(Category))|([0-9]+)"
 LISTING_TITLES = ("List", "Category", "Template")
@@ -79,9 +81,19 @@ def find_by_title(
     return docs.where(hit).select("doc_id", "title").orderBy("doc_id").limit(n)
 
 
+#: Id lists up to this many rows are broadcast to the titles.
+MAX_BROADCAST_IDS = 1_000_000
+
+
 def titles_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Title of every id in ``ids(doc_id)``; an unknown id gets an empty title."""
+    """Title of every id in ``ids(doc_id)``; an unknown id gets an empty title.
+
+    A short list is broadcast to find its titles first, so the documents are not shuffled for it.
+    """
     titles = docs.select("doc_id", "title")
+    ids = ids.select("doc_id").distinct()
+    if at_most(ids, MAX_BROADCAST_IDS):
+        titles = titles.join(F.broadcast(ids), "doc_id")
     return ids.join(titles, "doc_id", "left").select(
         "doc_id", F.coalesce("title", F.lit("")).alias("title")
     )

@@ -37,25 +37,30 @@ class TermMatrix:
     def titles(self) -> DataFrame:
         return self.vectors.select("doc_id", "title")
 
-    def entries(self) -> DataFrame:
-        """Non-zero entries ``(doc_id, term_id, tf, tfidf)``, unpacked inside the map task."""
+    def entries(self, *keys: str) -> DataFrame:
+        """Non-zero entries ``(doc_id, term_id, tf, tfidf)``, unpacked inside the map task.
+
+        ``keys`` names the row columns to keep instead of ``doc_id``.
+        """
+        keys = keys or ("doc_id",)
         row = self.vectors.select(
-            "doc_id", F.unwrap_udt("tf").alias("tf"), F.unwrap_udt("tfidf").alias("tfidf")
+            *keys, F.unwrap_udt("tf").alias("tf"), F.unwrap_udt("tfidf").alias("tfidf")
         )
         packed = F.arrays_zip(
             F.col("tf.indices").alias("term_id"),
             F.col("tf.values").alias("tf"),
             F.col("tfidf.values").alias("tfidf"),
         )
-        return row.select("doc_id", F.explode(packed).alias("e")).select(
-            "doc_id", "e.term_id", "e.tf", "e.tfidf"
+        return row.select(*keys, F.explode(packed).alias("e")).select(
+            *keys, "e.term_id", "e.tf", "e.tfidf"
         )
 
-    def named_entries(self) -> DataFrame:
+    def named_entries(self, *keys: str) -> DataFrame:
         """``entries`` with the term text; the bounded vocabulary is the broadcast side."""
+        keys = keys or ("doc_id",)
         names = F.broadcast(self.vocabulary.select("term_id", "term"))
-        return self.entries().join(names, "term_id").select(
-            "doc_id", "term_id", "term", "tf", "tfidf"
+        return self.entries(*keys).join(names, "term_id").select(
+            *keys, "term_id", "term", "tf", "tfidf"
         )
 
 

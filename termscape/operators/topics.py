@@ -151,6 +151,7 @@ def fit_em(
         matrix.entries()
         .select("doc_id", "term_id", F.col(features).alias("weight"))
         .repartition(partitions, "doc_id")
+        .sortWithinPartitions("doc_id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     small = matrix.n_terms * n_topics <= MAX_BROADCAST_ENTRIES
@@ -184,9 +185,11 @@ def fit_em(
             unscaled = joined.select(
                 "doc_id", "term_id", "weight", *(s.alias(f"u{j}") for j, s in enumerate(shares))
             )
-            scale = F.col("weight") / sum((F.col(f"u{j}") for j in topics), F.lit(0.0))
-            rows = unscaled.select(
-                "doc_id", "term_id", *((F.col(f"u{j}") * scale).alias(f"g{j}") for j in topics)
+            total = sum((F.col(f"u{j}") for j in topics), F.lit(0.0))
+            scaled = unscaled.withColumn("scale", F.col("weight") / total)
+            rows = scaled.select(
+                "doc_id", "term_id",
+                *((F.col(f"u{j}") * F.col("scale")).alias(f"g{j}") for j in topics),
             )
             by_term, by_document = summed(rows, step)
     finally:

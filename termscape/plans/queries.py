@@ -45,6 +45,11 @@ def docs(spark: SparkSession, folder: str) -> DataFrame:
     return corpus(table(spark, folder, "documents", "doc_id"))
 
 
+def titles(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and titles alone; the text is not read."""
+    return corpus(spark.read.parquet(f"{folder}/documents.parquet")).select("doc_id", "title")
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages", "page_id")
 
@@ -287,22 +292,22 @@ def min_terms(spark, folder):
 
 @query
 def sample_hash(spark, folder):
-    return filters.hash_sample(docs(spark, folder), "doc_id", 0.25).select("doc_id", "title")
+    return filters.hash_sample(titles(spark, folder), "doc_id", 0.25)
 
 
 @query
 def sample_random(spark, folder):
-    return filters.random_sample(docs(spark, folder), 0.25, seed=7).select("doc_id", "title")
+    return filters.random_sample(titles(spark, folder), 0.25, seed=7)
 
 
 @query
 def doc_cap(spark, folder):
-    return filters.first_documents(docs(spark, folder), 100).select("doc_id", "title")
+    return filters.first_documents(titles(spark, folder), 100)
 
 
 @query
 def docs_by_title(spark, folder):
-    return filters.find_by_title(docs(spark, folder), "SRC1-")
+    return filters.find_by_title(titles(spark, folder), "SRC1-")
 
 
 @query
@@ -313,15 +318,15 @@ def docs_by_body(spark, folder):
 
 @query
 def doc_title(spark, folder):
-    conversations = table(spark, folder, "conversations", "conv_id")
-    ids = conversations.select((F.col("conv_id") * 7).alias("doc_id")).distinct()
-    return filters.titles_of(docs(spark, folder), ids)
+    conversations = spark.read.parquet(f"{folder}/conversations.parquet")
+    ids = conversations.select((F.col("conv_id") * 7).alias("doc_id"))
+    return filters.titles_of(titles(spark, folder), ids)
 
 
 @query
 def row_ids(spark, folder):
     """Unique ids for rows without a key: as many ids as documents."""
-    numbered = matrix.with_row_ids(docs(spark, folder).select("title"))
+    numbered = matrix.with_row_ids(titles(spark, folder).select("title"))
     return numbered.agg(
         F.count(F.lit(1)).alias("documents"), F.count_distinct("id").alias("ids")
     )
@@ -378,7 +383,7 @@ def tf_df_join(spark, folder):
 
 @query
 def column_summary(spark, folder):
-    documents = table(spark, folder, "documents", "doc_id").select("lang", "source", "n_chars")
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
     summary = stats.column_summary(documents, "lang", "source", "n_chars")
     return summary.withColumn("n_chars", F.round(F.col("n_chars").cast("double"), 4))
 
@@ -435,9 +440,8 @@ def doc_top_terms(spark, folder):
 
 @query
 def tf_vs_tfidf(spark, folder):
-    built = full_matrix(spark, folder)
-    entries = built.named_entries().join(built.titles, "doc_id")
-    return rounded(entries.select("title", "term", "tf", "tfidf"), 6, "tfidf")
+    entries = full_matrix(spark, folder).named_entries("title")
+    return rounded(entries.drop("term_id"), 6, "tfidf")
 
 
 @query
