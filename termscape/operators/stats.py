@@ -43,47 +43,36 @@ def distinct_totals(
             F.approx_count_distinct("term", error).alias("unique_tokens"),
             (F.sum(F.when(first, F.col("n"))) / F.sum(F.when(first, 1))).alias("unique_per_doc"),
         )
-    return _stage_totals(docs.select(F.array(F.lit("all")).alias("s"), F.array(tokens).alias("t"))) \
-        .select("unique_tokens", "unique_per_doc")
+    staged = docs.select(F.array(F.coalesce(tokens, F.array())).alias("stages"))
+    return _totals(_stage_counts(staged), "stage").select("unique_tokens", "unique_per_doc")
 
 
-def _stage_totals(staged: DataFrame) -> DataFrame:
-    """Totals per stage of ``staged(s array<string>, t array<array<string>>)``, one row per document.
+def _stage_counts(staged: DataFrame) -> DataFrame:
+    """Uses and documents of every token at every stage: ``(stage, token, uses, docs)``.
 
-    Every document adds, for each stage, its tokens, its distinct tokens and one marker row (a null
-    token) that counts the document itself. All five numbers come from one count per (stage, token).
+    ``staged(stages array<array<string>>)`` has one row per document with its tokens at each stage,
+    which are numbered from 0. A document gives its tokens, its distinct tokens, and one null that
+    counts the document itself, so that a single count per (stage, token) serves all totals.
     """
-    def rows(pair: Column) -> Column:
-        stage, tokens = pair["s"], F.coalesce(pair["t"], F.array().cast("array<string>"))
-
-        def entry(token: Column, uses: int, docs: int) -> Column:
-            return F.struct(
-                stage.alias("stage"), token.alias("token"),
-                F.lit(uses).cast("bigint").alias("uses"), F.lit(docs).cast("bigint").alias("docs"),
-            )
-
-        marker = F.array(entry(F.lit(None).cast("string"), 0, 1))
-        return F.concat(
-            F.transform(tokens, lambda x: entry(x, 1, 0)),
-            F.transform(F.array_distinct(tokens), lambda x: entry(x, 0, 1)),
-            marker,
-        )
-
-    entries = staged.select(
-        F.explode(F.flatten(F.transform(F.arrays_zip("s", "t"), rows))).alias("e")
-    ).select("e.*")
-    counted = entries.groupBy("stage", "token").agg(
-        F.sum("uses").alias("uses"), F.sum("docs").alias("docs")
+    none = F.array(F.lit(None).cast("string"))
+    kinds = staged.select(F.posexplode("stages").alias("stage", "tokens")).select(
+        "stage", F.posexplode(F.array("tokens", F.array_distinct("tokens"), none)).alias("kind", "list")
+    )
+    tokens = kinds.select("stage", "kind", F.explode("list").alias("token"))
+    return tokens.groupBy("stage", "token").agg(
+        F.count_if(F.col("kind") == 0).alias("uses"), F.count_if(F.col("kind") > 0).alias("docs")
     )
-    is_token = F.col("token").isNotNull()
-    documents = F.sum(F.when(~is_token, F.col("docs")))
-    tokens = F.sum("uses")
-    return counted.groupBy("stage").agg(
-        tokens.alias("tokens"),
+
+
+def _totals(counts: DataFrame, stage: str) -> DataFrame:
+    """Totals per stage of ``counts(stage, token, uses, docs)``."""
+    documents = F.sum(F.when(F.col("token").isNull(), F.col("docs")))
+    distinct = F.sum(F.when(F.col("token").isNotNull(), F.col("docs")).otherwise(0))
+    return counts.groupBy(stage).agg(
+        F.sum("uses").alias("tokens"),
         F.count("token").alias("unique_tokens"),
-        (tokens / documents).alias("tokens_per_doc"),
-        (F.coalesce(F.sum(F.when(is_token, F.col("docs"))), F.lit(0)) / documents)
-        .alias("unique_per_doc"),
+        (F.sum("uses") / documents).alias("tokens_per_doc"),
+        (distinct / documents).alias("unique_per_doc"),
     )
 
 
@@ -95,22 +84,29 @@ def preprocessing_funnel(
     """Tokens and distinct tokens, in total and per document, after each preprocessing stage.
 
     Stages: whitespace tokens, the same without stop words, normalized words without stop words,
-    and those of only letters and more than two characters, lower-cased.
+    and those of only letters and more than two characters, lower-cased. The second stage keeps or
+    drops whole tokens of the first, so it is read off the first one's counts.
     """
     content = F.col("content")
     lemmatize = tx.without_stop_words(tx.normalized(tx.words(content), normalizer), stop_words)
     staged = computed(
         docs, [], tokenize=tx.whitespace_tokens(content), lemmatize=lemmatize
     ).select(
-        F.array(*map(F.lit, ("1 tokenize", "2 stop words", "3 lemmatize", "4 filter"))).alias("s"),
-        F.array(
-            F.col("tokenize"),
-            tx.without_stop_words(F.col("tokenize"), stop_words),
-            F.col("lemmatize"),
-            tx.lower_all(tx.with_term_shape(F.col("lemmatize"))),
-        ).alias("t"),
+        F.array("tokenize", "lemmatize", tx.lower_all(tx.with_term_shape(F.col("lemmatize"))))
+        .alias("stages")
+    )
+    lowered = sorted({w.lower() for w in stop_words})
+    kept = F.col("token").isNull() | ~F.lower("token").isin(lowered)
+    names = (
+        F.when(F.col("stage") == 1, F.array(F.lit("3 lemmatize")))
+        .when(F.col("stage") == 2, F.array(F.lit("4 filter")))
+        .when(kept, F.array(F.lit("1 tokenize"), F.lit("2 stop words")))
+        .otherwise(F.array(F.lit("1 tokenize")))
+    )
+    counts = _stage_counts(staged).withColumn("names", names)
+    return _totals(
+        counts.select(F.explode("names").alias("stage"), "token", "uses", "docs"), "stage"
     )
-    return _stage_totals(staged)
 
 
 def longest_document(docs: DataFrame, tokens: str = "terms") -> DataFrame:
@@ -141,20 +137,11 @@ def document_frequency(docs: DataFrame, tokens: str = "terms") -> DataFrame:
 
 def term_profile(docs: DataFrame, tokens: str = "terms") -> DataFrame:
     """``(term, tf, df)`` in one pass and one shuffle, instead of joining the two counts."""
-    def entry(term: Column, tf: int, df: int) -> Column:
-        return F.struct(
-            term.alias("term"), F.lit(tf).cast("bigint").alias("tf"),
-            F.lit(df).cast("bigint").alias("df"),
-        )
-
-    entries = F.concat(
-        F.transform(tokens, lambda x: entry(x, 1, 0)),
-        F.transform(F.array_distinct(tokens), lambda x: entry(x, 0, 1)),
+    kinds = docs.select(
+        F.posexplode(F.array(tokens, F.array_distinct(tokens))).alias("kind", "list")
     )
-    return (
-        docs.select(F.explode(entries).alias("e"))
-        .groupBy(F.col("e.term").alias("term"))
-        .agg(F.sum("e.tf").alias("tf"), F.sum("e.df").alias("df"))
+    return kinds.select("kind", F.explode("list").alias("term")).groupBy("term").agg(
+        F.count_if(F.col("kind") == 0).alias("tf"), F.count_if(F.col("kind") == 1).alias("df")
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.common import callMLlibFunc
@@ -103,16 +104,11 @@ def fit_concepts(matrix: TermMatrix, k: int = 100) -> ConceptModel:
         "doc-factors",
     )
     concepts = spark.createDataFrame(
-        [(i, float(s)) for i, s in enumerate(sigma)], "concept int, sigma double"
-    )
-    vectors = spark.createDataFrame(
-        [(i, row.tolist(), (row * sigma).tolist()) for i, row in enumerate(v)],
-        "term_id int, v array<double>, vs array<double>",
-    )
-    names = matrix.vocabulary.select("term_id", "term")
-    term_factors = frozen(
-        vectors.join(names, "term_id").select("term_id", "term", "v", "vs"), "term-factors"
+        [(i, float(value)) for i, value in enumerate(sigma)], "concept int, sigma double"
     )
+    names = matrix.vocabulary.select("term_id", "term").orderBy("term_id").toArrow()
+    vectors = names.append_column("v", pa.array(list(v))).append_column("vs", pa.array(list(v * sigma)))
+    term_factors = frozen(spark.createDataFrame(vectors), "term-factors")
     return ConceptModel(concepts, term_factors, doc_factors, matrix.titles)
 
 
