@@ -158,4 +158,4 @@ def wiki_text(markup: Column) -> Column:
     text = F.regexp_replace(text, r"(?s)<[a-zA-Z/!][^>]*>", " ")
     text = unescaped(text)
     text = F.regexp_replace(text, r"[ \t\f\r]+", " ")
-    return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"))
+    return F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ class TermMatrix:
     """A document-term matrix.
 
     ``vectors(doc_id, title, tf, tfidf)`` holds one sparse row per document, also for documents
-    without any vocabulary term. ``vocabulary(term_id, term, tf, df, matrix_df, idf)`` has at most
+    without any vocabulary term. ``n_documents`` is the number of documents the weights are based
+    on. ``vocabulary(term_id, term, tf, df, matrix_df, idf)`` has at most
     ``MAX_VOCABULARY`` rows: ``tf`` and ``df`` count the corpus, ``matrix_df`` the documents with a
     non-zero entry, which is what ``idf`` is based on.
     """
@@ -124,6 +127,25 @@ def build_matrix(
     return TermMatrix(weights.transform(counts), vocabulary, weights.numDocs, len(rows))
 
 
+def feature_stages(matrix: TermMatrix, min_tf: int = 2) -> list[Transformer]:
+    """Spark ML stages from ``terms`` to ``tf`` and ``tfidf`` with the matrix's vocabulary and
+    weights. ``min_tf`` is the count threshold the matrix was built with."""
+    rows = matrix.vocabulary.orderBy("term_id").select("term", "idf").collect()
+    counter = CountVectorizerModel.from_vocabulary(
+        [r["term"] for r in rows], inputCol="terms", outputCol="tf", minTF=float(min_tf)
+    )
+    weights = ElementwiseProduct(
+        scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="tf", outputCol="tfidf"
+    )
+    return [counter, weights]
+
+
+def with_new_documents(matrix: TermMatrix, terms: DataFrame, min_tf: int = 2) -> TermMatrix:
+    """The same vocabulary and weights on other documents ``(doc_id, title, terms)``."""
+    vectors = PipelineModel(stages=feature_stages(matrix, min_tf)).transform(terms)
+    return replace(matrix, vectors=vectors.select("doc_id", "title", "tf", "tfidf"))
+
+
 def entry_of(term_id: int, vector: str = "tf") -> Column:
     """Entry of one term in a sparse vector column, 0 where it is absent."""
     packed = F.unwrap_udt(vector)

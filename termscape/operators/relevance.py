@@ -22,8 +22,10 @@ from termscape.operators.svd import ConceptModel, titled
 from termscape.operators.topk import top_per_group
 from termscape.session import frozen
 
-#: Query vector entries sent to the tasks in one part (32 MB of doubles).
+#: Query vector entries (32 MB of doubles) and queries sent to the tasks in one part. A task holds
+#: one score per query for each row of a batch.
 MAX_QUERY_ENTRIES = 1 << 22
+MAX_QUERIES = 1024
 
 SCORE_DIGITS = 6
 
@@ -74,8 +76,9 @@ def _scored(
 
 
 def _query_parts(queries: DataFrame, dims: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Keys and vectors of ``queries(query, vector)`` in parts of about ``MAX_QUERY_ENTRIES``."""
-    parts = max(1, -(-queries.count() * dims // MAX_QUERY_ENTRIES))
+    """Keys and vectors of ``queries(query, vector)`` in parts of bounded size."""
+    per_part = max(1, min(MAX_QUERIES, MAX_QUERY_ENTRIES // dims))
+    parts = max(1, -(-queries.count() // per_part))
     for part in range(parts):
         mine = F.pmod(F.xxhash64("query"), F.lit(parts)) == part
         rows = queries.where(mine).orderBy("query").toArrow().combine_chunks()

@@ -62,20 +62,18 @@ def topic_table(model: TopicModel, n: int = 5) -> DataFrame:
     return ranked.groupBy("topic").agg(*columns).orderBy("topic")
 
 
-def topic_terms_json(model: TopicModel, n: int = 10, topics: int = -1) -> DataFrame:
-    """Words of the topics as one JSON array per topic: ``(topic, json)``, with entries
-    ``{"term", "probability", "topicId"}``. ``topics`` > 0 limits the number of topics."""
+def topic_terms_json(
+    model: TopicModel, n: int = 10, topics: int = -1, digits: int = 6
+) -> DataFrame:
+    """Words of the topics as one JSON array ``(json)`` of ``{"term", "probability", "topicId"}``,
+    ordered by topic and rank. ``topics`` > 0 limits the number of topics."""
     ranked = words_per_topic(model, n, topics if topics > 0 else None)
     entry = F.struct(
-        "rank",
-        F.struct(
-            "term", F.col("weight").alias("probability"), F.col("topic").alias("topicId")
-        ).alias("entry"),
-    )
-    ordered = F.sort_array(F.collect_list(entry))
-    return ranked.groupBy("topic").agg(
-        F.to_json(F.transform(ordered, lambda e: e["entry"])).alias("json")
+        "term", F.round("weight", digits).alias("probability"), F.col("topic").alias("topicId")
     )
+    # One row per topic and word: a few thousand short entries at most.
+    ordered = F.sort_array(F.collect_list(F.struct("topic", "rank", entry.alias("entry"))))
+    return ranked.agg(F.to_json(F.transform(ordered, lambda e: e["entry"])).alias("json"))
 
 
 def document_topics(model: TopicModel) -> DataFrame:

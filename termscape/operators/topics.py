@@ -122,6 +122,73 @@ def _sums(rows: DataFrame, key: str, n_topics: int, prefix: str) -> DataFrame:
     )
 
 
+def _entries(matrix: TermMatrix, features: str) -> DataFrame:
+    """Entries (doc_id, term_id, weight), kept partitioned and sorted by document."""
+    partitions = int(matrix.vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        matrix.entries()
+        .select("doc_id", "term_id", F.col(features).alias("weight"))
+        .repartition(partitions, "doc_id")
+        .sortWithinPartitions("doc_id")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+
+def _start(entries: DataFrame, n_topics: int) -> DataFrame:
+    """Every entry wholly in topic (31 doc_id + 17 term_id) mod k."""
+    topic = F.pmod(31 * F.col("doc_id") + 17 * F.col("term_id"), F.lit(n_topics))
+    return entries.select(
+        "doc_id", "term_id",
+        *(F.when(topic == j, F.col("weight")).otherwise(0.0).alias(f"g{j}")
+          for j in range(n_topics)),
+    )
+
+
+def _expected(
+    entries: DataFrame, by_document: DataFrame, by_term: DataFrame, n_terms: int, n_topics: int,
+    alpha: float, eta: float,
+) -> DataFrame:
+    """Weight of every entry split over the topics in proportion to
+
+        (term count + eta - 1) (document count + alpha - 1) / (topic count + n (eta - 1)).
+
+    Topic totals are k numbers. The term table is bounded by the vocabulary and broadcast if small.
+    """
+    topics = range(n_topics)
+    totals = by_term.agg(*(F.sum(f"t{j}") for j in topics)).first()
+    terms = F.broadcast(by_term) if n_terms * n_topics <= MAX_BROADCAST_ENTRIES else by_term
+    shares = [
+        (F.col(f"t{j}") + (eta - 1)) * (F.col(f"d{j}") + (alpha - 1))
+        / (totals[j] + n_terms * (eta - 1))
+        for j in topics
+    ]
+    joined = entries.join(by_document, "doc_id").join(terms, "term_id")
+    unscaled = joined.select(
+        "doc_id", "term_id", "weight", *(share.alias(f"u{j}") for j, share in enumerate(shares))
+    )
+    total = sum((F.col(f"u{j}") for j in topics), F.lit(0.0))
+    return unscaled.withColumn("scale", F.col("weight") / total).select(
+        "doc_id", "term_id", *((F.col(f"u{j}") * F.col("scale")).alias(f"g{j}") for j in topics)
+    )
+
+
+def _document_shares(by_document: DataFrame, titles: DataFrame, n_topics: int) -> DataFrame:
+    columns = [F.col(c) for c in _topic_columns(n_topics, "d")]
+    total = sum(columns, F.lit(0.0))
+    shares = F.array(*(c / total for c in columns))
+    return titles.join(by_document.where(total > 0), "doc_id").select(
+        "doc_id", "title", shares.alias("weights")
+    )
+
+
+def _em_priors(
+    n_topics: int, doc_concentration: float | None, topic_concentration: float
+) -> tuple[float, float]:
+    alpha = 50.0 / n_topics + 1.0 if doc_concentration is None else doc_concentration
+    _check_priors("em", alpha, topic_concentration)
+    return alpha, topic_concentration
+
+
 def fit_em(
     matrix: TermMatrix,
     n_topics: int = 100,
@@ -132,30 +199,12 @@ def fit_em(
 ) -> TopicModel:
     """LDA by expectation maximization on the entries (document, term, weight) of the matrix.
 
-    Every entry starts wholly in topic (31 doc_id + 17 term_id) mod k. One step gives the topics of
-    an entry shares in proportion to
-
-        (term count + eta - 1) (document count + alpha - 1) / (topic count + n (eta - 1))
-
-    and sums weight times share by term and by document. Entries stay partitioned by document, so
-    per step only one row per document and per term moves; the sums are written down, which keeps
-    plans short and survives lost executors.
+    One step splits every entry over the topics (``_expected``) and sums the parts by term and by
+    document. Entries stay partitioned by document, so per step only one row per document and per
+    term moves; the sums are written down, which keeps plans short and survives lost executors.
     """
-    alpha = 50.0 / n_topics + 1.0 if doc_concentration is None else doc_concentration
-    _check_priors("em", alpha, topic_concentration)
-    eta = topic_concentration
-    topics = range(n_topics)
+    alpha, eta = _em_priors(n_topics, doc_concentration, topic_concentration)
     spark = matrix.vectors.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = (
-        matrix.entries()
-        .select("doc_id", "term_id", F.col(features).alias("weight"))
-        .repartition(partitions, "doc_id")
-        .sortWithinPartitions("doc_id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    small = matrix.n_terms * n_topics <= MAX_BROADCAST_ENTRIES
-
     # A step reads one slot and writes the other, so only two states take up space.
     slots = [scratch_path(spark, f"em-{slot}") for slot in ("even", "odd")]
 
@@ -166,31 +215,11 @@ def fit_em(
             frozen(_sums(rows, "doc_id", n_topics, "d"), "em", f"{path}/documents"),
         )
 
+    entries = _entries(matrix, features)
     try:
-        start = F.pmod(31 * F.col("doc_id") + 17 * F.col("term_id"), F.lit(n_topics))
-        rows = entries.select(
-            "doc_id", "term_id",
-            *(F.when(start == j, F.col("weight")).otherwise(0.0).alias(f"g{j}") for j in topics),
-        )
-        by_term, by_document = summed(rows, 0)
+        by_term, by_document = summed(_start(entries, n_topics), 0)
         for step in range(1, steps + 1):
-            totals = by_term.agg(*(F.sum(f"t{j}") for j in topics)).first()
-            terms = F.broadcast(by_term) if small else by_term
-            shares = [
-                (F.col(f"t{j}") + (eta - 1)) * (F.col(f"d{j}") + (alpha - 1))
-                / (totals[j] + matrix.n_terms * (eta - 1))
-                for j in topics
-            ]
-            joined = entries.join(by_document, "doc_id").join(terms, "term_id")
-            unscaled = joined.select(
-                "doc_id", "term_id", "weight", *(s.alias(f"u{j}") for j, s in enumerate(shares))
-            )
-            total = sum((F.col(f"u{j}") for j in topics), F.lit(0.0))
-            scaled = unscaled.withColumn("scale", F.col("weight") / total)
-            rows = scaled.select(
-                "doc_id", "term_id",
-                *((F.col(f"u{j}") * F.col("scale")).alias(f"g{j}") for j in topics),
-            )
+            rows = _expected(entries, by_document, by_term, matrix.n_terms, n_topics, alpha, eta)
             by_term, by_document = summed(rows, step)
     finally:
         entries.unpersist()
@@ -198,9 +227,40 @@ def fit_em(
     counts = F.array(*_topic_columns(n_topics, "t"))
     names = matrix.vocabulary.select("term_id", "term")
     topic_terms = names.join(by_term, "term_id").select("term_id", "term", counts.alias("counts"))
-    total = sum((F.col(c) for c in _topic_columns(n_topics, "d")), F.lit(0.0))
-    shares = F.array(*(F.col(c) / total for c in _topic_columns(n_topics, "d")))
-    doc_topics = matrix.titles.join(by_document.where(total > 0), "doc_id").select(
-        "doc_id", "title", shares.alias("weights")
+    return TopicModel(
+        n_topics, topic_terms, _document_shares(by_document, matrix.titles, n_topics)
     )
-    return TopicModel(n_topics, topic_terms, doc_topics)
+
+
+def score_em(
+    model: TopicModel,
+    matrix: TermMatrix,
+    steps: int = 20,
+    doc_concentration: float | None = None,
+    topic_concentration: float = 1.1,
+    features: str = "tfidf",
+) -> DataFrame:
+    """Topic shares ``(doc_id, title, weights)`` of other documents with the words of the topics held
+    fixed: the steps of ``fit_em`` on the documents alone.
+
+    ``matrix`` has the model's vocabulary (see ``with_new_documents``). Documents without any of its
+    terms have no shares.
+    """
+    n_topics = model.n_topics
+    alpha, eta = _em_priors(n_topics, doc_concentration, topic_concentration)
+    slots = [scratch_path(matrix.vectors.sparkSession, f"em-{slot}") for slot in ("even", "odd")]
+    by_term = model.topic_terms.select(
+        "term_id", *(F.get("counts", F.lit(j)).alias(f"t{j}") for j in range(n_topics))
+    )
+    entries = _entries(matrix, features)
+    try:
+        rows = _start(entries, n_topics)
+        for step in range(steps + 1):
+            if step:
+                rows = _expected(
+                    entries, by_document, by_term, matrix.n_terms, n_topics, alpha, eta
+                )
+            by_document = frozen(_sums(rows, "doc_id", n_topics, "d"), "em", slots[step % 2])
+    finally:
+        entries.unpersist()
+    return _document_shares(by_document, matrix.titles, n_topics)

@@ -151,32 +151,54 @@ def matrix(
 SMALL = matrix(size=SMALL_VOCABULARY)
 
 
-def _leading() -> tuple[str, ...]:
-    """v0: leading right singular vector, by squaring A'A; sigma0: its singular value."""
+def _leading(k: int = 1) -> tuple[str, ...]:
+    """v0..: right singular vectors, by squaring A'A and taking each one found out of it; sigma0..:
+    their singular values. The largest entry of each vector is positive."""
     steps = [
-        "g AS MATERIALIZED (SELECT x.term_id AS i, y.term_id AS j, sum(x.tfidf * y.tfidf) AS g "
+        "pairs AS (SELECT x.term_id AS i, y.term_id AS j, sum(x.tfidf * y.tfidf) AS g "
         "FROM a x JOIN a y USING (doc_id) GROUP BY ALL)",
-        "p0 AS MATERIALIZED (SELECT i, j, g / (SELECT max(g) FROM g) AS g FROM g)",
+        "g0 AS MATERIALIZED (SELECT x.term_id AS i, y.term_id AS j, coalesce(g, 0) AS g "
+        "FROM vocab x CROSS JOIN vocab y LEFT JOIN pairs ON i = x.term_id AND j = y.term_id)",
     ]
-    for step in range(1, SQUARINGS + 1):
-        steps.append(
-            f"q{step} AS MATERIALIZED (SELECT x.i, y.j, sum(x.g * y.g) AS g "
-            f"FROM p{step - 1} x JOIN p{step - 1} y ON x.j = y.i GROUP BY ALL)"
-        )
-        steps.append(
-            f"p{step} AS MATERIALIZED (SELECT i, j, g / (SELECT max(g) FROM q{step}) AS g FROM q{step})"
-        )
-    last = f"p{SQUARINGS}"
+    for c in range(k):
+        steps.append(f"p{c}_0 AS MATERIALIZED (SELECT i, j, g / (SELECT max(g) FROM g{c}) AS g FROM g{c})")
+        for n in range(1, SQUARINGS + 1):
+            last, this = f"p{c}_{n - 1}", f"{c}_{n}"
+            steps.append(
+                f"q{this} AS MATERIALIZED (SELECT x.i, y.j, sum(x.g * y.g) AS g "
+                f"FROM {last} x JOIN {last} y ON x.j = y.i GROUP BY ALL)"
+            )
+            steps.append(
+                f"p{this} AS MATERIALIZED (SELECT i, j, g / (SELECT max(g) FROM q{this}) AS g "
+                f"FROM q{this})"
+            )
+        last = f"p{c}_{SQUARINGS}"
+        steps += [
+            f"peak{c} AS (SELECT i FROM {last} WHERE i = j ORDER BY g DESC, i LIMIT 1)",
+            f"w{c} AS MATERIALIZED (SELECT i AS term_id, g / sqrt(sum(g * g) OVER ()) AS v "
+            f"FROM {last} WHERE j = (SELECT i FROM peak{c}))",
+            f"v{c} AS MATERIALIZED (SELECT term_id, v * (SELECT CASE WHEN arg_max(v, abs(v)) < 0 "
+            f"THEN -1 ELSE 1 END FROM w{c}) AS v FROM w{c})",
+            f"sigma{c} AS MATERIALIZED (SELECT sqrt(sum(x.v * g.g * y.v)) AS s FROM g{c} g "
+            f"JOIN v{c} x ON x.term_id = g.i JOIN v{c} y ON y.term_id = g.j)",
+            f"g{c + 1} AS MATERIALIZED (SELECT i, j, g - x.v * y.v * s * s AS g FROM g{c} "
+            f"JOIN v{c} x ON x.term_id = i JOIN v{c} y ON y.term_id = j CROSS JOIN sigma{c})",
+        ]
+    each = " UNION ALL ".join(f"SELECT {c} AS concept, term_id, v FROM v{c}" for c in range(k))
+    sigmas = " UNION ALL ".join(f"SELECT {c} AS concept, s FROM sigma{c}" for c in range(k))
     steps += [
-        f"peak AS (SELECT i FROM {last} WHERE i = j ORDER BY g DESC, i LIMIT 1)",
-        f"v0 AS MATERIALIZED (SELECT i AS term_id, g / sqrt(sum(g * g) OVER ()) AS v "
-        f"FROM {last} WHERE j = (SELECT i FROM peak))",
-        "sigma0 AS MATERIALIZED (SELECT sqrt(sum(x.v * g.g * y.v)) AS s FROM g "
-        "JOIN v0 x ON x.term_id = g.i JOIN v0 y ON y.term_id = g.j)",
+        f"sigmas AS MATERIALIZED (SELECT concept::INTEGER AS concept, s FROM ({sigmas}))",
+        f"v AS MATERIALIZED (SELECT concept::INTEGER AS concept, term_id, coalesce(v, 0) AS v FROM "
+        f"(SELECT * FROM sigmas CROSS JOIN vocab) LEFT JOIN ({each}) USING (concept, term_id))",
+        "us AS MATERIALIZED (SELECT concept, u.doc_id, coalesce(sum(tfidf * v), 0) AS us "
+        "FROM usable u CROSS JOIN sigmas LEFT JOIN a ON a.doc_id = u.doc_id "
+        "LEFT JOIN v USING (concept, term_id) GROUP BY ALL)",
     ]
     return tuple(steps)
 
 
+CONCEPT_RANK = ("ranked AS (SELECT concept, term, v, (row_number() OVER (PARTITION BY concept "
+                "ORDER BY round(v, 9) DESC, term_id))::INTEGER AS rank FROM v JOIN vocab USING (term_id))")
 TITLES = "titles AS (SELECT doc_id, title FROM usable)"
 
 
@@ -247,6 +269,38 @@ def _em() -> tuple[str, ...]:
 
 
 EM = SMALL + _em()
+
+
+def _fold_in() -> tuple[str, ...]:
+    """The EM steps on the documents of ``conversations`` alone, words of the topics held fixed."""
+    alpha, eta = 50.0 / EM_TOPICS + 1.0, 1.1
+    steps = [
+        "seen AS MATERIALIZED (SELECT conv_id * 1000 + turn AS doc_id, conv_id || '-' || turn AS title, "
+        + CLEAN.replace("content", "text") + " AS t FROM conversations)",
+        "na AS MATERIALIZED (SELECT doc_id, term_id, count(*) * any_value(idf) AS w FROM "
+        "(SELECT doc_id, unnest(t) AS term FROM seen) JOIN weights USING (term) "
+        "GROUP BY doc_id, term_id HAVING count(*) >= 2)",
+        "ng0 AS MATERIALIZED (SELECT doc_id, term_id, topic, CASE WHEN "
+        f"(31 * doc_id + 17 * term_id) % {EM_TOPICS} = topic THEN w ELSE 0.0 END AS g "
+        "FROM na CROSS JOIN topics)",
+        "nd0 AS MATERIALIZED (SELECT doc_id, topic, sum(g) AS c FROM ng0 GROUP BY ALL)",
+    ]
+    for step in range(EM_STEPS):
+        steps += [
+            f"nu{step} AS MATERIALIZED (SELECT na.doc_id, na.term_id, t.topic, w, "
+            f"(t.c + {eta - 1}) * (d.c + {alpha - 1}) "
+            f"/ (n.c + (SELECT count(*) FROM vocab) * {eta - 1}) AS u FROM na "
+            f"JOIN t{EM_STEPS} t ON t.term_id = na.term_id "
+            f"JOIN nd{step} d ON d.doc_id = na.doc_id AND d.topic = t.topic "
+            f"JOIN n{EM_STEPS} n ON n.topic = t.topic)",
+            f"ng{step + 1} AS MATERIALIZED (SELECT doc_id, term_id, topic, "
+            f"w * u / sum(u) OVER (PARTITION BY doc_id, term_id) AS g FROM nu{step})",
+            f"nd{step + 1} AS MATERIALIZED (SELECT doc_id, topic, sum(g) AS c FROM ng{step + 1} "
+            "GROUP BY ALL)",
+        ]
+    return tuple(steps)
+
+
 DOC_RANK = ("ranked AS (SELECT *, (row_number() OVER (PARTITION BY doc_id "
             "ORDER BY round(weight, 6) DESC, topic))::INTEGER AS rank FROM dt)")
 TOPIC_RANK = ("ranked AS (SELECT *, (row_number() OVER (PARTITION BY topic "
@@ -302,6 +356,12 @@ def oracle_sql() -> dict[str, str]:
         "html_to_text": PAGE_DIGEST,
         "xml_pages": PAGE_DIGEST,
         "xml_scan": PAGE_DIGEST,
+        "wiki_to_text": _with(
+            DOCS, tokens(_nested("content", WORDS)),
+            "read AS (SELECT doc_id, title, title || e'\\nHistory' || CASE WHEN len(t) > 0 "
+            "THEN e'\\n' || array_to_string(t, ' ') ELSE '' END AS content FROM tokens)",
+            select="""SELECT doc_id, title, length(content)::BIGINT AS n_chars,
+            md5(content) AS digest FROM read"""),
         "title_filter": _with(READ_PAGES, select="""SELECT page_id, title FROM read WHERE NOT
             regexp_matches(title, '(^(List)|(Category))|([0-9]+)') AND length(title) > 1"""),
         "page_filter": _with(READ_PAGES, select=r"""SELECT page_id, title FROM read WHERE
@@ -329,6 +389,8 @@ def oracle_sql() -> dict[str, str]:
         "distinct_totals": _with(*TERM_ROWS, select="""SELECT
             (SELECT count(DISTINCT term) FROM terms) AS unique_tokens,
             round(avg(len(list_distinct(t))), 6) AS unique_per_doc FROM tokens"""),
+        "distinct_totals_sketch": _with(DOCS, tokens(CLEAN), select="""SELECT true AS close,
+            round(avg(len(list_distinct(t))), 6) AS unique_per_doc FROM tokens"""),
         "longest_document": _with(DOCS, tokens(CLEAN), select=
             "SELECT max(len(t))::BIGINT AS max_tokens FROM tokens"),
         "usable_documents": _with(DOCS, tokens(CLEAN), select=
@@ -371,19 +433,50 @@ def oracle_sql() -> dict[str, str]:
         "graph_nodes": _with(*matrix(), select="""SELECT 'd' || doc_id AS id, title AS label FROM usable
             UNION ALL SELECT 't' || term_id, term FROM vocab"""),
         "svd_sigma0": _with(*SMALL, *_leading(), select="""SELECT round(s, 3) AS sigma0,
-            (SELECT round(sum(tfidf * tfidf), 3) FROM a) AS energy FROM sigma0"""),
+            (SELECT round(sum(tfidf * tfidf), 3) FROM a) AS energy FROM sigmas"""),
         "svd_concept0_terms": _with(*SMALL, *_leading(), select="""SELECT term_id, term,
-            round(v * (SELECT CASE WHEN arg_max(v, abs(v)) < 0 THEN -1 ELSE 1 END FROM v0), 6) AS weight
-            FROM v0 JOIN vocab USING (term_id) ORDER BY round(v *
-            (SELECT CASE WHEN arg_max(v, abs(v)) < 0 THEN -1 ELSE 1 END FROM v0), 9) DESC, term_id
-            LIMIT 10"""),
-        "svd_concept0_docs": _with(
-            *SMALL, *_leading(),
-            "us AS (SELECT doc_id, round(sum(tfidf * v) * (SELECT CASE WHEN arg_max(v, abs(v)) < 0 "
-            "THEN -1 ELSE 1 END FROM v0), 6) AS us FROM a JOIN v0 USING (term_id) GROUP BY doc_id)",
-            select="""SELECT (row_number() OVER (ORDER BY coalesce(us, 0) DESC, doc_id))::INTEGER AS rank,
-                doc_id, title, round(coalesce(us, 0) / s, 6) AS weight
-                FROM usable LEFT JOIN us USING (doc_id) CROSS JOIN sigma0 QUALIFY rank <= 10"""),
+            round(v, 6) AS weight FROM v JOIN vocab USING (term_id)
+            ORDER BY round(v, 9) DESC, term_id LIMIT 10"""),
+        "svd_concept0_docs": _with(*SMALL, *_leading(), select="""SELECT
+            (row_number() OVER (ORDER BY round(us, 6) DESC, doc_id))::INTEGER AS rank,
+            doc_id, title, round(round(us, 6) / s, 6) AS weight
+            FROM us JOIN usable USING (doc_id) JOIN sigmas USING (concept) QUALIFY rank <= 10"""),
+        "svd3_sigmas": _with(*SMALL, *_leading(3), select=
+            "SELECT concept, round(s, 4) AS sigma FROM sigmas"),
+        "svd3_concept_terms": _with(*SMALL, *_leading(3), CONCEPT_RANK, select="""SELECT concept, rank,
+            term, round(v, 6) AS weight FROM ranked WHERE rank <= 10"""),
+        "svd3_concept_words": _with(*SMALL, *_leading(3), CONCEPT_RANK, select="""SELECT concept,
+            string_agg(term, ', ' ORDER BY rank) AS words FROM ranked WHERE rank <= 5
+            GROUP BY concept"""),
+        "svd3_concept_docs": _with(*SMALL, *_leading(3), _best(
+            "SELECT concept, doc_id, round(us, 6) AS score FROM us", "concept"), TITLES,
+            select="""SELECT concept, rank, doc_id, title, round(score / s, 6) AS weight
+            FROM best JOIN titles USING (doc_id) JOIN sigmas USING (concept)"""),
+        "svd3_docs_for_term": _with(*SMALL, *_leading(3), _best(
+            "SELECT term, doc_id, round(sum(us * v), 6) AS score FROM v JOIN vocab USING (term_id) "
+            "JOIN us USING (concept) GROUP BY term, doc_id", "term"), TITLES,
+            select="SELECT term, rank, doc_id, title, score FROM best JOIN titles USING (doc_id)"),
+        "svd3_docs_for_doc": _with(*SMALL, *_leading(3), LONGEST,
+            "unit AS MATERIALIZED (SELECT doc_id, concept, us / sqrt(sum(us * us) OVER "
+            "(PARTITION BY doc_id)) AS x FROM us WHERE doc_id IN (SELECT doc_id FROM a))", _best(
+            "SELECT query_id, y.doc_id, round(sum(x.x * y.x), 6) AS score FROM longest "
+            "JOIN unit x ON x.doc_id = query_id JOIN unit y ON y.concept = x.concept "
+            "GROUP BY query_id, y.doc_id", "query_id"), TITLES,
+            select="SELECT query_id, rank, doc_id, title, score FROM best JOIN titles USING (doc_id)"),
+        "svd3_terms_for_term": _with(*SMALL, *_leading(3),
+            "unit AS MATERIALIZED (SELECT term_id, concept, v * s / sqrt(sum(v * s * v * s) OVER "
+            "(PARTITION BY term_id)) AS x FROM v JOIN sigmas USING (concept) "
+            "WHERE term_id IN (SELECT term_id FROM a))", _best(
+            "SELECT x.term_id AS asked, y.term_id, round(sum(x.x * y.x), 6) AS score FROM unit x "
+            "JOIN unit y USING (concept) GROUP BY ALL", "asked", "term_id"),
+            select="""SELECT q.term, rank, r.term AS related, score FROM best
+            JOIN vocab q ON q.term_id = asked JOIN vocab r ON r.term_id = best.term_id"""),
+        "svd3_docs_for_query": _with(*SMALL, *_leading(3), ASKED,
+            "q AS MATERIALIZED (SELECT query_id, concept, sum(idf * v) AS x FROM asked "
+            "JOIN weights USING (term) JOIN v USING (term_id) GROUP BY ALL)", _best(
+            "SELECT query_id, doc_id, round(sum(x * us), 6) AS score FROM q JOIN us USING (concept) "
+            "GROUP BY ALL", "query_id"), TITLES,
+            select="SELECT query_id, rank, doc_id, title, score FROM best JOIN titles USING (doc_id)"),
         "term_norms": _with(*SMALL, select="""SELECT term_id, v.term,
             round(coalesce(sqrt(sum(tfidf * tfidf)), 0), 5) AS norm
             FROM vocab v LEFT JOIN a USING (term_id) GROUP BY term_id, v.term"""),
@@ -443,6 +536,12 @@ def oracle_sql() -> dict[str, str]:
         "doc_topics_labelled": _with(*EM, DOC_RANK, _labels(3), select="""SELECT topic, doc_id, title,
             rank, round(weight, 6) AS weight, label FROM ranked JOIN labels_ USING (topic)
             WHERE rank <= 1"""),
+        "topic_json": _with(*EM, select="""SELECT '[' || string_agg('{"term":"' || term ||
+            '","probability":' || round(weight, 6)::VARCHAR || ',"topicId":' || topic || '}',
+            ',' ORDER BY topic, rank) || ']' AS json FROM words WHERE rank <= 10"""),
+        "fold_in_em": _with(*EM, *_fold_in(), select="""SELECT doc_id, title, topic,
+            round(c / sum(c) OVER (PARTITION BY doc_id), 6) AS weight
+            FROM nd""" + str(EM_STEPS) + " JOIN seen USING (doc_id)"),
         "topic_table": _with(*EM, select="SELECT topic, " + ", ".join(
             f"max(CASE WHEN rank = {i} THEN term END) AS w{i}" for i in range(1, 6)
         ) + " FROM words GROUP BY topic"),

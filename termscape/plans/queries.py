@@ -236,19 +236,27 @@ def page_filter(spark, folder):
     ).select("page_id", "title")
 
 
-def page_xml(source: DataFrame) -> DataFrame:
-    """The pages as dump records, their visible text as the page text."""
+def page_records(key: str, title: Column, text: Column) -> Column:
+    """Dump records of pages."""
     def escaped(text: Column) -> Column:
         for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
             text = F.replace(text, F.lit(char), F.lit(name))
         return text
 
-    return source.select(F.concat(
-        F.lit("<page>\n  <title>"), escaped(markup.html_title(F.col("html"))),
-        F.lit("</title>\n  <ns>0</ns>\n  <id>"), F.col("page_id").cast("string"),
+    return F.concat(
+        F.lit("<page>\n  <title>"), escaped(title),
+        F.lit("</title>\n  <ns>0</ns>\n  <id>"), F.col(key).cast("string"),
         F.lit("</id>\n  <revision>\n    <id>1</id>\n    <text xml:space=\"preserve\" bytes=\"1\">"),
-        escaped(markup.html_text(F.col("html"))), F.lit("</text>\n  </revision>\n</page>"),
-    ).alias("page_xml"))
+        escaped(text), F.lit("</text>\n  </revision>\n</page>"),
+    ).alias("page_xml")
+
+
+def page_xml(source: DataFrame) -> DataFrame:
+    """The web pages as dump records, their visible text as the page text."""
+    html = F.col("html")
+    return source.select(
+        page_records("page_id", markup.html_title(html), markup.html_text(html))
+    )
 
 
 def page_digest(parsed: DataFrame) -> DataFrame:
@@ -272,12 +280,38 @@ def xml_scan(spark, folder):
     return page_digest(dump.parse_pages(dump.read_page_xml(spark, path)))
 
 
+def wiki_markup(words: Column) -> Column:
+    """An article that shows the words one by one, each in some markup, after a box, a table and a
+    heading."""
+    forms = (
+        ("", ""), ("'''", "'''"), ("[[Some page|", "]]"), ("[[", "]]"), ("<!-- a {{b}} -->", ""),
+        ("", "<ref name=\"r\">see {{cite|{{x}}}}</ref>"), ("[https://example.org/a ", "]"),
+        ("''", "''"), ("{{note|[[x]]}} ", ""), ("[[File:a.png|thumb|[[b|c]] d]] ", ""),
+    )
+
+    def marked(word: Column, i: Column) -> Column:
+        variant = F.pmod(i, F.lit(len(forms)))
+        shown = F.concat(F.lit(forms[0][0]), word, F.lit(forms[0][1]))
+        for at, (before, after) in enumerate(forms[1:], 1):
+            wrapped = F.concat(F.lit(before), word, F.lit(after))
+            shown = F.when(variant == at, wrapped).otherwise(shown)
+        return shown
+
+    box = "{{Infobox|a={{b|{{c}}}}|d=1}}\n{| class=x\n| cell || {| inner |}\n|}\n== History ==\n"
+    return F.concat(F.lit(box), F.array_join(F.transform(words, marked), " "))
+
+
 @query
 def wiki_to_text(spark, folder):
-    """Articles of a dump in plain text, wiki markup removed."""
-    articles = dump.article_documents(dump.parse_pages(page_xml(pages(spark, folder))))
-    return articles.select(
-        "doc_id", "title", F.length("content").cast("bigint").alias("n_chars")
+    """Articles of a dump in plain text. The markup shows the words of the documents, so the text
+    must be those words."""
+    found = computed(docs(spark, folder), ["doc_id", "title"], words=tx.words(F.col("content")))
+    pages = page_records("doc_id", F.col("title"), wiki_markup(F.col("words")))
+    articles = dump.article_documents(dump.parse_pages(found.select(pages)))
+    read = computed(articles, ["doc_id", "title"], content=F.col("content"))
+    return read.select(
+        "doc_id", "title", F.length("content").cast("bigint").alias("n_chars"),
+        F.md5("content").alias("digest"),
     )
 
 
@@ -353,7 +387,12 @@ def distinct_totals(spark, folder):
 
 @query
 def distinct_totals_sketch(spark, folder):
-    return stats.distinct_totals(terms(spark, folder), approximate=True)
+    """The sketched distinct count lies within 10 percent of the exact one."""
+    found = terms(spark, folder)
+    exact = stats.distinct_totals(found).first()["unique_tokens"]
+    sketch = stats.distinct_totals(found, approximate=True)
+    close = F.abs(F.col("unique_tokens") / F.lit(exact) - 1) < 0.1
+    return sketch.select(close.alias("close"), F.round("unique_per_doc", 6).alias("unique_per_doc"))
 
 
 @query
@@ -559,6 +598,55 @@ def docs_for_query(spark, folder):
     return relevance.docs_for_queries(full_rank_concepts(spark, folder), weighed)
 
 
+def three_concepts(spark, folder) -> svd.ConceptModel:
+    return _once(
+        spark, folder, "three", lambda: svd.fit_concepts(small_matrix(spark, folder), 3)
+    )
+
+
+@query
+def svd3_sigmas(spark, folder):
+    return rounded(three_concepts(spark, folder).concepts, 4, "sigma")
+
+
+@query
+def svd3_concept_terms(spark, folder):
+    return rounded(svd.concept_terms(three_concepts(spark, folder)), 6, "weight")
+
+
+@query
+def svd3_concept_words(spark, folder):
+    return svd.concept_words(three_concepts(spark, folder), 5)
+
+
+@query
+def svd3_concept_docs(spark, folder):
+    return rounded(relevance.concept_documents(three_concepts(spark, folder)), 6, "weight")
+
+
+@query
+def svd3_docs_for_term(spark, folder):
+    return relevance.docs_for_terms(three_concepts(spark, folder))
+
+
+@query
+def svd3_docs_for_doc(spark, folder):
+    asked = [r["doc_id"] for r in longest_by_source(spark, folder).collect()]
+    return relevance.docs_for_docs(three_concepts(spark, folder), doc_ids=asked)
+
+
+@query
+def svd3_terms_for_term(spark, folder):
+    return relevance.terms_for_terms(three_concepts(spark, folder))
+
+
+@query
+def svd3_docs_for_query(spark, folder):
+    vocabulary = small_matrix(spark, folder).vocabulary
+    weighed, _ = relevance.query_terms(benchmark_queries(spark, folder), vocabulary)
+    return relevance.docs_for_queries(three_concepts(spark, folder), weighed)
+
+
 @query
 def svd_concepts_k(spark, folder):
     """Words of the leading concepts of a truncated model."""
@@ -686,6 +774,16 @@ def unseen(conversations: DataFrame) -> DataFrame:
     )
 
 
+@query
+def fold_in_em(spark, folder):
+    """Topics of documents that were not in the training corpus, by the EM steps."""
+    seen = document_terms(unseen(table(spark, folder, "conversations", "conv_id")))
+    vectors = matrix.with_new_documents(small_matrix(spark, folder), seen)
+    shares = topics.score_em(em_topics(spark, folder), vectors, EM_STEPS)
+    long = shares.select("doc_id", "title", F.posexplode("weights").alias("topic", "weight"))
+    return rounded(long, 6, "weight")
+
+
 @query
 def fold_in(spark, folder):
     """Topics of documents that were not in the training corpus."""

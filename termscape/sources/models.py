@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import DistributedLDAModel, LDAModel, LocalLDAModel
 from pyspark.sql import DataFrame, SparkSession
 
-from termscape.operators.matrix import TermMatrix
+from termscape.operators.matrix import TermMatrix, graph_edges, graph_nodes
 from termscape.operators.svd import ConceptModel
 from termscape.operators.topics import TopicModel
 
@@ -33,6 +33,11 @@ def load_matrix(spark: SparkSession, path: str) -> TermMatrix:
     )
 
 
+def save_graph(matrix: TermMatrix, path: str) -> None:
+    """The document-term graph as tables of nodes and edges."""
+    _write(path, nodes=graph_nodes(matrix), edges=graph_edges(matrix))
+
+
 def save_concepts(model: ConceptModel, path: str) -> None:
     _write(
         path, concepts=model.concepts, term_factors=model.term_factors,

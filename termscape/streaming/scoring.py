@@ -4,29 +4,17 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDAModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termscape.operators.matrix import TermMatrix
+from termscape.operators.matrix import TermMatrix, feature_stages
 from termscape.operators.terms import document_terms
 
 
 def scoring_stages(matrix: TermMatrix, fitted: LDAModel, min_tf: int = 2) -> PipelineModel:
-    """Features and topics of new documents, with the vocabulary and weights of the training corpus.
-
-    ``min_tf`` is the count threshold the matrix was built with.
-    """
-    rows = matrix.vocabulary.orderBy("term_id").select("term", "idf").collect()
-    counter = CountVectorizerModel.from_vocabulary(
-        [r["term"] for r in rows], inputCol="terms", outputCol="tf", minTF=float(min_tf)
-    )
-    weights = ElementwiseProduct(
-        scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="tf", outputCol="tfidf"
-    )
-    return PipelineModel(stages=[counter, weights, fitted])
+    """Features and topics of new documents, with the vocabulary and weights of the training corpus."""
+    return PipelineModel(stages=[*feature_stages(matrix, min_tf), fitted])
 
 
 def topic_shares(docs: DataFrame, stages: PipelineModel) -> DataFrame:

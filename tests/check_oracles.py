@@ -50,7 +50,8 @@ def sql_rows(connection, sql):
 
 def types_match(df, connection, sql) -> list[str]:
     """Columns whose types differ, by the names both engines use."""
-    names = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    names = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN"}
     described = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
     return [f"{c}: {t} / {described.get(c)}" for c, t in df.dtypes if names.get(t) != described.get(c)]
 

@@ -188,12 +188,31 @@ def test_labels_and_exports(em_model, tmp_path):
     assert {r["topic"]: f"{r['w1']}, {r['w2']}, {r['w3']}" for r in table.collect()} == words
     table.write.csv(str(tmp_path / "topics"))
 
-    entries = [e for r in topic_queries.topic_terms_json(em_model, 3, topics=2).collect()
-               for e in json.loads(r["json"])]
-    assert {e["topicId"] for e in entries} == {0, 1} and len(entries) == 6
+    entries = json.loads(topic_queries.topic_terms_json(em_model, 3, topics=2).first()["json"])
+    assert [e["topicId"] for e in entries] == [0, 0, 0, 1, 1, 1]
     weights = {(r["topic"], r["term"]): r["weight"]
                for r in topic_queries.words_per_topic(em_model, 3).collect()}
-    assert all(weights[e["topicId"], e["term"]] == pytest.approx(e["probability"]) for e in entries)
+    assert all(weights[e["topicId"], e["term"]] == pytest.approx(e["probability"], abs=1e-6) for e in entries)
+
+
+def test_fold_in_by_em_holds_the_topics(spark, built, em_model):
+    new = spark.createDataFrame(
+        [(7, "n7", ["river", "river", "boat", "boat", "boat", "chip"]), (8, "n8", ["unknown"] * 3)],
+        "doc_id bigint, title string, terms array<string>",
+    )
+    vectors = matrix.with_new_documents(built, new)
+    found = {r["doc_id"]: r["weights"] for r in topics.score_em(em_model, vectors, 4).collect()}
+    assert list(found) == [7]
+    rows = {r["term"]: r for r in built.vocabulary.collect()}
+    by_term = np.array([r["counts"] for r in em_model.topic_terms.orderBy("term_id").collect()])
+    weights = {rows["river"]["term_id"]: 2 * rows["river"]["idf"],
+               rows["boat"]["term_id"]: 3 * rows["boat"]["idf"]}
+    g = {t: np.eye(3)[(31 * 7 + 17 * t) % 3] * w for t, w in weights.items()}
+    for _ in range(4):
+        mine = sum(g.values())
+        u = {t: (by_term[t] + 0.1) * (mine + 50 / 3) / (by_term.sum(axis=0) + 8 * 0.1) for t in g}
+        g = {t: weights[t] * u[t] / u[t].sum() for t in g}
+    assert found[7] == pytest.approx(sum(g.values()) / sum(weights.values()))
 
 
 def test_new_documents_in_batch_and_stream(spark, docs, built, tmp_path):
