@@ -35,8 +35,10 @@ def document_terms(
     return computed(docs, ["doc_id", "title"], terms=terms)
 
 
-#: Lemma tables up to this many rows (some 50 MB) are broadcast.
+#: Lemma tables up to this many rows (some 50 MB) are broadcast, and so are the lemmas of this many
+#: of the most frequent forms.
 MAX_BROADCAST_LEMMAS = 1_000_000
+FREQUENT_FORMS = 10_000
 
 
 def lemma_counts(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
@@ -44,29 +46,48 @@ def lemma_counts(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
 
     ``lemmas(form, lemma)`` is looked up by the lower-cased form; of several lemmas for one form the
     smallest is used, and a form without one stands for itself. A table of checked size is broadcast,
-    so words are looked up where they are; a larger one is joined by form after the words of each
-    document have been counted, so that a frequent word moves once per document.
+    so words are looked up where they are; for a larger one see ``_joined_lemmas``.
     """
     words = (
         computed(docs, ["doc_id"], words=tx.words(F.col("content")))
         .select("doc_id", F.explode("words").alias("word"))
-        .withColumn("n", F.lit(1).cast("bigint"))
+        .select("doc_id", "word", F.lower("word").alias("form"), F.lit(1).cast("bigint").alias("n"))
     )
     table = frozen(
         lemmas.groupBy(F.lower("form").alias("form")).agg(F.min("lemma").alias("lemma")), "lemmas"
     )
     if at_most(table, MAX_BROADCAST_LEMMAS):
-        table = F.broadcast(table)
+        found = words.join(F.broadcast(table), "form", "left")
     else:
-        words = words.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
-    return (
-        words.withColumn("form", F.lower("word"))
-        .join(table, "form", "left")
-        .groupBy("doc_id", F.coalesce("lemma", "word").alias("lemma"))
-        .agg(F.sum("n").alias("n"))
+        found = _joined_lemmas(words, table)
+    return found.groupBy("doc_id", F.coalesce("lemma", "word").alias("lemma")).agg(
+        F.sum("n").alias("n")
     )
 
 
+def _joined_lemmas(words: DataFrame, table: DataFrame) -> DataFrame:
+    """``words`` with the lemmas of a table too large to broadcast.
+
+    Words are counted per document first, so one moves once per document. The most frequent forms,
+    each of which may be in every document, are looked up in a broadcast excerpt of the table; only
+    the rest is shuffled by form.
+    """
+    counted = frozen(
+        words.groupBy("doc_id", "word", "form").agg(F.sum("n").alias("n")), "word-counts"
+    )
+    frequent = (
+        counted.groupBy("form").agg(F.count(F.lit(1)).alias("docs"))
+        .orderBy(F.desc("docs"), "form").limit(FREQUENT_FORMS).select("form")
+    )
+    excerpt = frozen(
+        table.join(F.broadcast(frequent), "form", "right").withColumn("frequent", F.lit(True)),
+        "frequent-lemmas",
+    )
+    marked = counted.join(F.broadcast(excerpt), "form", "left")
+    rare = marked.where(F.col("frequent").isNull()).drop("lemma").join(table, "form", "left")
+    return marked.where("frequent").unionByName(rare)
+
+
 def document_lemmas(
     docs: DataFrame,
     lemmas: DataFrame,

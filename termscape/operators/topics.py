@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from termscape.operators.matrix import TermMatrix
 from termscape.session import frozen, scratch_path, shared_folder
 
-#: Term-topic tables up to this many entries (256 MB of doubles) are broadcast.
+#: Entries of the term-topic table (256 MB of doubles) that are broadcast at most.
 MAX_BROADCAST_ENTRIES = 1 << 25
 
 
@@ -152,17 +152,25 @@ def _expected(
 
         (term count + eta - 1) (document count + alpha - 1) / (topic count + n (eta - 1)).
 
-    Topic totals are k numbers. The term table is bounded by the vocabulary and broadcast if small.
+    Topic totals are k numbers. As many terms as may be broadcast are; term ids rank by frequency, so
+    what is left to shuffle by term are the rare ones, and no term weighs on one task.
     """
     topics = range(n_topics)
     totals = by_term.agg(*(F.sum(f"t{j}") for j in topics)).first()
-    terms = F.broadcast(by_term) if n_terms * n_topics <= MAX_BROADCAST_ENTRIES else by_term
     shares = [
         (F.col(f"t{j}") + (eta - 1)) * (F.col(f"d{j}") + (alpha - 1))
         / (totals[j] + n_terms * (eta - 1))
         for j in topics
     ]
-    joined = entries.join(by_document, "doc_id").join(terms, "term_id")
+    joined = entries.join(by_document, "doc_id")
+    frequent = MAX_BROADCAST_ENTRIES // n_topics
+    if n_terms <= frequent:
+        joined = joined.join(F.broadcast(by_term), "term_id")
+    else:
+        common = F.col("term_id") < frequent
+        joined = joined.where(common).join(F.broadcast(by_term.where(common)), "term_id").unionByName(
+            joined.where(~common).join(by_term.where(~common), "term_id")
+        )
     unscaled = joined.select(
         "doc_id", "term_id", "weight", *(share.alias(f"u{j}") for j, share in enumerate(shares))
     )

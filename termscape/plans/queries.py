@@ -37,8 +37,8 @@ def query(function: Query) -> Query:
     return function
 
 
-def table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"), key)
+def table(spark: SparkSession, folder: str, name: str, *key: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"), *key)
 
 
 def docs(spark: SparkSession, folder: str) -> DataFrame:
@@ -777,7 +777,7 @@ def unseen(conversations: DataFrame) -> DataFrame:
 @query
 def fold_in_em(spark, folder):
     """Topics of documents that were not in the training corpus, by the EM steps."""
-    seen = document_terms(unseen(table(spark, folder, "conversations", "conv_id")))
+    seen = document_terms(unseen(table(spark, folder, "conversations", "conv_id", "turn")))
     vectors = matrix.with_new_documents(small_matrix(spark, folder), seen)
     shares = topics.score_em(em_topics(spark, folder), vectors, EM_STEPS)
     long = shares.select("doc_id", "title", F.posexplode("weights").alias("topic", "weight"))
@@ -790,7 +790,7 @@ def fold_in(spark, folder):
     stages = scoring.scoring_stages(
         small_matrix(spark, folder), ml_topics(spark, folder).fitted
     )
-    shares = scoring.topic_shares(unseen(table(spark, folder, "conversations", "conv_id")), stages)
+    shares = scoring.topic_shares(unseen(table(spark, folder, "conversations", "conv_id", "turn")), stages)
     return shares.select("doc_id", "title", F.posexplode("weights").alias("topic", "weight"))
 
 

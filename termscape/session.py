@@ -50,7 +50,7 @@ def at_most(df: DataFrame, rows: int) -> bool:
 SMALL_SPLITS = 64
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *key: str) -> DataFrame:
     """Give a small scanned input enough partitions to use every core.
 
     Only an input of at most ``SMALL_SPLITS`` splits that leaves cores idle is shuffled.
@@ -58,4 +58,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= min(cores, SMALL_SPLITS):
         return df
-    return df.repartition(cores, key)
+    return df.repartition(cores, *key)

@@ -22,9 +22,10 @@ def counted(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_lemma_counts_by_broadcast_and_by_shuffle(docs, lemmas, monkeypatch, limit):
+@pytest.mark.parametrize("limit, frequent", [(1000, 0), (0, 0), (0, 3), (0, 1000)])
+def test_lemma_counts_by_broadcast_and_by_shuffle(docs, lemmas, monkeypatch, limit, frequent):
     monkeypatch.setattr(terms, "MAX_BROADCAST_LEMMAS", limit)
+    monkeypatch.setattr(terms, "FREQUENT_FORMS", frequent)
     assert counted(terms.lemma_counts(docs, lemmas)) == sorted([
         (1, "mouse", 2), (1, "eat", 1), (1, "THE", 1), (1, "cheese", 1), (1, "run", 1),
         (2, "run", 1), (2, "Foot", 1), (2, "42", 1),
