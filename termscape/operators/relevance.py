@@ -27,7 +27,10 @@ from termscape.session import frozen
 MAX_QUERY_ENTRIES = 1 << 22
 MAX_QUERIES = 1024
 
+#: Scores are rounded to this many digits. A factor row shorter than the last digit is zero but for
+#: the error of the factorization, and has no direction.
 SCORE_DIGITS = 6
+SHORTEST_ROW = 10.0**-SCORE_DIGITS
 
 
 def _scored(
@@ -59,7 +62,8 @@ def _scored(
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
             if cosine:
                 norms = np.sqrt((x * x).sum(axis=1))
-                ids, x = ids[norms > 0], x[norms > 0] / norms[norms > 0, None]
+                long = norms > SHORTEST_ROW
+                ids, x = ids[long], x[long] / norms[long, None]
             # Adding 0 turns a negative zero into zero.
             scores = np.round(x @ transposed, SCORE_DIGITS) + 0.0
             best = [merged(*best[q], ids, scores[:, q]) for q in range(n_queries)]
@@ -96,8 +100,8 @@ def top_scores(
 ) -> DataFrame:
     """Best ``k`` factor rows for each of ``queries(query, vector)``: ``(query, rank, id, score)``.
 
-    With ``cosine`` both sides are divided by their length and zero rows take no part. Scores are
-    rounded to ``SCORE_DIGITS``; equal scores rank by id.
+    With ``cosine`` both sides are divided by their length and rows without a direction take no part.
+    Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
     """
     spark = factors.sparkSession
     key_type = queries.schema["query"].dataType.simpleString()
@@ -106,8 +110,9 @@ def top_scores(
     for keys, vectors in _query_parts(queries, first[0]) if first else ():
         if cosine:
             norms = np.sqrt((vectors * vectors).sum(axis=1))
-            keys = [key for key, norm in zip(keys, norms) if norm > 0]
-            vectors = vectors[norms > 0] / norms[norms > 0, None]
+            long = norms > SHORTEST_ROW
+            keys = [key for key, kept in zip(keys, long) if kept]
+            vectors = vectors[long] / norms[long, None]
         if not keys:
             continue
         scored = _scored(factors, id_col, vector_col, vectors, k, cosine)

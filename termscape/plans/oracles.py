@@ -458,7 +458,8 @@ def oracle_sql() -> dict[str, str]:
             select="SELECT term, rank, doc_id, title, score FROM best JOIN titles USING (doc_id)"),
         "svd3_docs_for_doc": _with(*SMALL, *_leading(3), LONGEST,
             "unit AS MATERIALIZED (SELECT doc_id, concept, us / sqrt(sum(us * us) OVER "
-            "(PARTITION BY doc_id)) AS x FROM us WHERE doc_id IN (SELECT doc_id FROM a))", _best(
+            "(PARTITION BY doc_id)) AS x FROM us QUALIFY sqrt(sum(us * us) OVER "
+            "(PARTITION BY doc_id)) > 1e-6)", _best(
             "SELECT query_id, y.doc_id, round(sum(x.x * y.x), 6) AS score FROM longest "
             "JOIN unit x ON x.doc_id = query_id JOIN unit y ON y.concept = x.concept "
             "GROUP BY query_id, y.doc_id", "query_id"), TITLES,
@@ -466,7 +467,7 @@ def oracle_sql() -> dict[str, str]:
         "svd3_terms_for_term": _with(*SMALL, *_leading(3),
             "unit AS MATERIALIZED (SELECT term_id, concept, v * s / sqrt(sum(v * s * v * s) OVER "
             "(PARTITION BY term_id)) AS x FROM v JOIN sigmas USING (concept) "
-            "WHERE term_id IN (SELECT term_id FROM a))", _best(
+            "QUALIFY sqrt(sum(v * s * v * s) OVER (PARTITION BY term_id)) > 1e-6)", _best(
             "SELECT x.term_id AS asked, y.term_id, round(sum(x.x * y.x), 6) AS score FROM unit x "
             "JOIN unit y USING (concept) GROUP BY ALL", "asked", "term_id"),
             select="""SELECT q.term, rank, r.term AS related, score FROM best

@@ -23,6 +23,8 @@ def test_query(spark, tables, name):
     df = entry.queries()[name](spark, FOLDER)
     columns, rows = spark_rows(df)
     assert rows
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name in ORACLES:
         assert (columns, rows) == sql_rows(tables, ORACLES[name])
         assert not types_match(df, tables, ORACLES[name])
