@@ -75,14 +75,14 @@ def _joined_lemmas(words: DataFrame, table: DataFrame) -> DataFrame:
     counted = frozen(
         words.groupBy("doc_id", "word", "form").agg(F.sum("n").alias("n")), "word-counts"
     )
-    frequent = (
+    frequent = frozen(
         counted.groupBy("form").agg(F.count(F.lit(1)).alias("docs"))
-        .orderBy(F.desc("docs"), "form").limit(FREQUENT_FORMS).select("form")
-    )
-    excerpt = frozen(
-        table.join(F.broadcast(frequent), "form", "right").withColumn("frequent", F.lit(True)),
-        "frequent-lemmas",
+        .orderBy(F.desc("docs"), "form").limit(FREQUENT_FORMS)
+        .select("form", F.lit(True).alias("frequent")),
+        "frequent-forms",
     )
+    known = table.join(F.broadcast(frequent.select("form")), "form")
+    excerpt = frequent.join(F.broadcast(known), "form", "left")
     marked = counted.join(F.broadcast(excerpt), "form", "left")
     rare = marked.where(F.col("frequent").isNull()).drop("lemma").join(table, "form", "left")
     return marked.where("frequent").unionByName(rare)

@@ -25,8 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/termscape/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, below the application's own folder there."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/termscape/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def frozen(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
