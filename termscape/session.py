@@ -42,6 +42,43 @@ def frozen(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``frozen`` wrote, through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Intermediate tables of one computation, deleted when it is done.
+
+    Inside the ``with`` block ``table`` freezes intermediates; what the block returns must not read
+    them any more, so freeze it with ``frozen``, or hand the object to whoever reads the result.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        return frozen(df, label, path)
+
+    def drop_last(self, keep: int = 0) -> None:
+        """Delete all tables but the ``keep`` latest."""
+        cut = len(self.paths) - keep
+        for path in self.paths[:cut]:
+            discard(self.spark, path)
+        self.paths = self.paths[cut:]
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop_last()
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; counts no further."""
     return df.limit(rows + 1).count() <= rows
