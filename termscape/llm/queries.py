@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscape.llm import chat, quality_rules, url_filters
+from termscape.llm import chat, embedding_index, ngram_join, quality_rules, url_filters
 from termscape.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +17,18 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
 
 
+def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_index.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -31,6 +39,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_url_filters": op2_url_filters,
+    "op4_ngram_join": op4_ngram_join,
     "op7_compression_bands": op7_compression_bands,
+    "op9_pivot_index": op9_pivot_index,
     "op10_chat_formatting": op10_chat_formatting,
 }
