@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscape.llm import chat, embedding_index, ngram_join, quality_rules, url_filters
+from termscape.llm import chat, embedding_index, ngram_join, quality_rules, suffix_dedup, url_filters
 from termscape.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
 
@@ -40,6 +44,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_url_filters": op2_url_filters,
     "op4_ngram_join": op4_ngram_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_compression_bands": op7_compression_bands,
     "op9_pivot_index": op9_pivot_index,
     "op10_chat_formatting": op10_chat_formatting,
