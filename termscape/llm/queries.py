@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscape.llm import chat, embedding_index, ngram_join, quality_rules, suffix_dedup, url_filters
+from termscape.llm import bpe, chat, embedding_index, ngram_join, quality_rules, suffix_dedup, url_filters
 from termscape.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
 
 
+def op8_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encoding_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_index.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
@@ -46,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_compression_bands": op7_compression_bands,
+    "op8_chunked_bpe": op8_chunked_bpe,
     "op9_pivot_index": op9_pivot_index,
     "op10_chat_formatting": op10_chat_formatting,
 }

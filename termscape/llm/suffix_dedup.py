@@ -32,13 +32,13 @@ rows, are separate documents that hold copies of each other's windows; other col
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from termscape.llm import shards
+from termscape.llm.rolling import ByteHashes, mixed, sliding
 
 LENGTH = 200
 GRAM = 128
@@ -47,29 +47,6 @@ REACH = LENGTH - GRAM
 #: Anchors to expect in a shard, for the number of counters: two per window of ``REACH + 2`` grams.
 ANCHORS_PER_SHARD = 2 * shards.SHARD_BYTES // (REACH + 2)
 
-_FACTOR = 0x9E3779B97F4A7C15 | 1
-_U64 = (1 << 64) - 1
-
-
-@lru_cache(maxsize=1)
-def _byte_values() -> np.ndarray:
-    return np.random.RandomState(7).randint(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-
-
-@lru_cache(maxsize=2)
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the factor and of its inverse modulo 2**64."""
-    up = np.full(count, np.uint64(_FACTOR))
-    down = np.full(count, np.uint64(pow(_FACTOR, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
-
 
 class Buffer:
     """The bytes of a shard's documents, one after the other, and hashes of its strings."""
@@ -77,32 +54,20 @@ class Buffer:
     def __init__(self, texts: list[str]):
         raw = [t.encode() for t in texts]
         self.data = b"".join(raw)
-        self.bytes = np.frombuffer(self.data, np.uint8)
+        self.hashes = ByteHashes(self.data)
+        self.bytes = self.hashes.bytes
         sizes = np.array([len(r) for r in raw], np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        count = len(self.data) + 1
-        rounded = 1 << count.bit_length()  # so that the tables of powers are shared between shards
-        up, self._down = _powers(rounded)
-        self._sums = np.zeros(count, np.uint64)
-        np.cumsum(_byte_values()[self.bytes] * up[: count - 1], out=self._sums[1:])
-
-    def hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hash of bytes ``first`` to ``last`` (not included) for arrays of places."""
-        return _mixed((self._sums[last] - self._sums[first]) * self._down[first])
-
-    def gram_hashes(self) -> np.ndarray:
-        count = max(0, len(self.data) - GRAM + 1)
-        return _mixed((self._sums[GRAM : GRAM + count] - self._sums[:count]) * self._down[:count])
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of the smallest grams of all windows, and their hashes."""
-        grams = self.gram_hashes()
+        grams = self.hashes.grams(GRAM)
         n_windows = len(self.data) - LENGTH + 1
         if n_windows <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         low = (grams >> np.uint64(32)).astype(np.uint32)
-        least = _sliding(low, REACH + 1, np.minimum)[:n_windows]
+        least = sliding(low, REACH + 1, np.minimum)[:n_windows]
         # a window that would cross into the next document does not count
         inside = np.zeros(n_windows, bool)
         for start, end in zip(self.starts, self.ends, strict=True):
@@ -110,7 +75,7 @@ class Buffer:
         padded = np.zeros(len(low) + REACH, np.int64)
         padded[REACH : REACH + n_windows] = np.where(inside, least.astype(np.int64) + 1, 0)
         # place p is an anchor if some window that starts in p - REACH .. p has its hash as the smallest
-        most = _sliding(padded, REACH + 1, np.maximum)[: len(low)]
+        most = sliding(padded, REACH + 1, np.maximum)[: len(low)]
         places = np.flatnonzero(most == low.astype(np.int64) + 1)
         return places, grams[places]
 
@@ -120,18 +85,8 @@ class Buffer:
         return np.maximum(places - REACH, self.starts[owner]), np.minimum(places + LENGTH, self.ends[owner])
 
     def entry_keys(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        before = self.hashes(first, places) * np.uint64(31) + (places - first).astype(np.uint64)
-        return _mixed(before ^ self.hashes(places, last) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def _sliding(values: np.ndarray, width: int, combine: np.ufunc) -> np.ndarray:
-    """``combine`` over each run of ``width`` values, by doubling the run."""
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        values = combine(values[: len(values) - step], values[step:])
-        have += step
-    return values
+        before = self.hashes.of(first, places) * np.uint64(31) + (places - first).astype(np.uint64)
+        return mixed(before ^ self.hashes.of(places, last) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def _shard_hashes(table: pa.Table) -> np.ndarray:
@@ -222,7 +177,7 @@ def _runs(bits: int, merger_bits: int):
             keys = buffer.entry_keys(places, first, last)
             keys, index, times = np.unique(keys, return_index=True, return_counts=True)
             places, first, last = places[index], first[index], last[index]
-            merger = (buffer.hashes(places, places + GRAM) >> np.uint64(64 - merger_bits)).astype(np.int64)
+            merger = (buffer.hashes.of(places, places + GRAM) >> np.uint64(64 - merger_bits)).astype(np.int64)
             shard = docs.column("shard")[0].as_py()
             for m in np.unique(merger):
                 chosen = np.flatnonzero(merger == m)
