@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 
 from termscape.llm import shards
 from termscape.llm.common import bounded_batches
-from termscape.llm.rolling import ByteHashes
+from termscape.llm.rolling import blocks, gram_hashes
 
 #: Bytes that the rolling hash looks at, mean and limits of a chunk's size.
 ROLL = 32
@@ -74,6 +74,7 @@ class Codec:
         self._sizes = np.zeros(max(self.strings) + 1, np.int64)
         for i, s in self.strings.items():
             self._sizes[i] = len(s)
+        self.id_type = "<u4"
         self._decimal = [str(i) for i in range(len(self._sizes))]
 
     def encode(self, raw: bytes) -> np.ndarray:
@@ -97,10 +98,16 @@ def codec(path: str) -> Codec:
 
 def chunk_ends(raws: list[bytes]) -> list[list[int]]:
     """Ends of each text's chunks. A cut depends on the bytes before it and on the cut before."""
-    hashes = ByteHashes(b"".join(raws))
-    grams = hashes.grams(ROLL)
-    wanted = np.flatnonzero(grams < np.uint64((1 << 64) // (MEAN_CHUNK - MIN_CHUNK))) + ROLL
-    at_letter = np.append((hashes.bytes & 0xC0) != 0x80, True)
+    found: list[list[int]] = []
+    for first, last in blocks(np.cumsum([len(r) for r in raws], dtype=np.int64)):
+        found.extend(_block_ends(raws[first:last]))
+    return found
+
+
+def _block_ends(raws: list[bytes]) -> list[list[int]]:
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    wanted = np.flatnonzero(gram_hashes(data, ROLL) < np.uint64((1 << 64) // (MEAN_CHUNK - MIN_CHUNK))) + ROLL
+    at_letter = np.append((data & 0xC0) != 0x80, True)
     wanted = wanted[at_letter[wanted]]
     found, start = [], 0
     for raw in raws:
@@ -177,7 +184,7 @@ def _encode_once(path: str):
             found = []
             for key, chunk in zip(batch.column("chunk_key").to_pylist(), batch.column("chunk").to_pylist(), strict=True):
                 if key != last_key:
-                    last_key, ids = key, own.encode(chunk).astype("<u4").tobytes()
+                    last_key, ids = key, own.encode(chunk).astype(own.id_type).tobytes()
                 found.append(ids)
             yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("chunk_key"), pa.array(found, pa.binary())], names=["shard", "chunk_key", "ids"])
 
@@ -288,7 +295,7 @@ def _finish(path: str, columns: Callable[[Codec, str, np.ndarray], tuple], names
     def run(docs: pa.Table, encoded: pa.Table) -> pa.Table:
         own = codec(path)
         docs = shards.in_order(docs)
-        known = {k: np.frombuffer(b, "<u4") for k, b in zip(encoded.column("chunk_key").to_pylist(), encoded.column("ids").to_pylist(), strict=True)}
+        known = {k: np.frombuffer(b, own.id_type).astype(np.uint32) for k, b in zip(encoded.column("chunk_key").to_pylist(), encoded.column("ids").to_pylist(), strict=True)}
         raws = [t.encode() for t in docs.column("text").to_pylist()]
         rows = []
         for raw, cuts in zip(raws, chunk_ends(raws), strict=True):

@@ -1,53 +1,48 @@
-"""Hashes of all substrings of a byte string by prefix sums, and sliding minima."""
+"""Hashes of all substrings of one length, and sliding minima, over blocks of whole documents."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
 _FACTOR = 0x9E3779B97F4A7C15
 
+#: Documents are put together up to so many bytes; small enough for the processor's cache.
+BLOCK_BYTES = 1 << 17
+
 
 @lru_cache(maxsize=1)
 def _byte_values() -> np.ndarray:
     return np.random.RandomState(7).randint(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
-@lru_cache(maxsize=2)
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the factor and of its inverse modulo 2**64."""
-    up = np.full(count, np.uint64(_FACTOR))
-    down = np.full(count, np.uint64(pow(_FACTOR, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
     return h ^ (h >> np.uint64(33))
 
 
-class ByteHashes:
-    """Polynomial hashes modulo 2**64 of the substrings of ``data``, mixed."""
-
-    def __init__(self, data: bytes):
-        self.bytes = np.frombuffer(data, np.uint8)
-        count = len(data) + 1
-        # rounded, so that the tables of powers are shared between buffers
-        up, self._down = _powers(1 << count.bit_length())
-        self._sums = np.zeros(count, np.uint64)
-        np.cumsum(_byte_values()[self.bytes] * up[: count - 1], out=self._sums[1:])
-
-    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hash of bytes ``first`` to ``last`` (not included) for arrays of places."""
-        return mixed((self._sums[last] - self._sums[first]) * self._down[first])
-
-    def grams(self, size: int) -> np.ndarray:
-        """Hash of the ``size`` bytes from each place on."""
-        count = max(0, len(self.bytes) - size + 1)
-        return mixed((self._sums[size : size + count] - self._sums[:count]) * self._down[:count])
+def blocks(ends: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of documents, ``first`` to ``last`` (not included), of about ``size`` bytes or one document."""
+    first = 0
+    while first < len(ends):
+        start = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, start + size, side="right")))
+        yield first, last
+        first = last
+
+
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes (a power of two) from each place on, by doubling the length."""
+    if len(data) < size:
+        return np.zeros(0, np.uint64)
+    found, have, factor = _byte_values()[data], 1, _FACTOR
+    while have < size:
+        found = found[:-have] * np.uint64(factor) + found[have:]
+        have, factor = 2 * have, factor * factor & 0xFFFFFFFFFFFFFFFF
+    return mixed(found)
 
 
 def sliding(values: np.ndarray, width: int, combine: np.ufunc) -> np.ndarray:

@@ -35,10 +35,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from termscape.llm import shards
-from termscape.llm.rolling import ByteHashes, mixed, sliding
+from termscape.llm.rolling import blocks, gram_hashes, mixed, sliding
 
 LENGTH = 200
 GRAM = 128
@@ -49,35 +50,37 @@ ANCHORS_PER_SHARD = 2 * shards.SHARD_BYTES // (REACH + 2)
 
 
 class Buffer:
-    """The bytes of a shard's documents, one after the other, and hashes of its strings."""
+    """The bytes of a shard's documents, one after the other."""
 
     def __init__(self, texts: list[str]):
         raw = [t.encode() for t in texts]
         self.data = b"".join(raw)
-        self.hashes = ByteHashes(self.data)
-        self.bytes = self.hashes.bytes
+        self.bytes = np.frombuffer(self.data, np.uint8)
         sizes = np.array([len(r) for r in raw], np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of the smallest grams of all windows, and their hashes."""
-        grams = self.hashes.grams(GRAM)
-        n_windows = len(self.data) - LENGTH + 1
-        if n_windows <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        low = (grams >> np.uint64(32)).astype(np.uint32)
-        least = sliding(low, REACH + 1, np.minimum)[:n_windows]
-        # a window that would cross into the next document does not count
-        inside = np.zeros(n_windows, bool)
-        for start, end in zip(self.starts, self.ends, strict=True):
-            inside[start : max(start, end - LENGTH + 1)] = True
-        padded = np.zeros(len(low) + REACH, np.int64)
-        padded[REACH : REACH + n_windows] = np.where(inside, least.astype(np.int64) + 1, 0)
-        # place p is an anchor if some window that starts in p - REACH .. p has its hash as the smallest
-        most = sliding(padded, REACH + 1, np.maximum)[: len(low)]
-        places = np.flatnonzero(most == low.astype(np.int64) + 1)
-        return places, grams[places]
+        places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for first, last in blocks(self.ends):
+            start, end = self.starts[first], self.ends[last - 1]
+            if end - start < LENGTH:
+                continue
+            grams = gram_hashes(self.bytes[start:end], GRAM)
+            low = (grams >> np.uint64(33)).astype(np.int32)
+            least = sliding(low, REACH + 1, np.minimum)
+            # a window that would cross into the next document does not count
+            inside = np.zeros(len(least), bool)
+            for s, e in zip(self.starts[first:last] - start, self.ends[first:last] - start, strict=True):
+                inside[s : max(s, e - LENGTH + 1)] = True
+            padded = np.full(len(low) + REACH, -1, np.int32)
+            padded[REACH : REACH + len(least)] = np.where(inside, least, -1)
+            # a place is an anchor if some window that starts up to REACH before has its hash as the smallest
+            own = np.flatnonzero(sliding(padded, REACH + 1, np.maximum) == low)
+            places.append(own + start)
+            hashes.append(mixed(grams[own]))  # anew, as the smallest of many crowd at the lower end
+        return np.concatenate(places), np.concatenate(hashes)
 
     def bounds(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First byte before each anchor and end of its suffix, both within the anchor's document."""
@@ -85,8 +88,10 @@ class Buffer:
         return np.maximum(places - REACH, self.starts[owner]), np.minimum(places + LENGTH, self.ends[owner])
 
     def entry_keys(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        before = self.hashes.of(first, places) * np.uint64(31) + (places - first).astype(np.uint64)
-        return mixed(before ^ self.hashes.of(places, last) * np.uint64(0xD6E8FEB86659FD93))
+        """Hash of each anchor's suffix and of the bytes before it, told apart by the place between."""
+        digest, data = xxhash.xxh3_64_intdigest, self.data
+        spans = zip((places - first).tolist(), first.tolist(), last.tolist(), strict=True)
+        return np.array([digest(data[f:e], seed=before) for before, f, e in spans], np.uint64)
 
 
 def _shard_hashes(table: pa.Table) -> np.ndarray:
@@ -172,12 +177,13 @@ def _runs(bits: int, merger_bits: int):
         buffer = Buffer(docs.column("text").to_pylist())
         places, grams = buffer.anchors()
         if answers.num_rows and len(places):
-            places = places[shards.counts_of(grams, bits, answers) > 1]
+            company = shards.counts_of(grams, bits, answers) > 1
+            places, grams = places[company], grams[company]
             first, last = buffer.bounds(places)
             keys = buffer.entry_keys(places, first, last)
             keys, index, times = np.unique(keys, return_index=True, return_counts=True)
-            places, first, last = places[index], first[index], last[index]
-            merger = (buffer.hashes.of(places, places + GRAM) >> np.uint64(64 - merger_bits)).astype(np.int64)
+            places, grams, first, last = places[index], grams[index], first[index], last[index]
+            merger = (grams >> np.uint64(64 - merger_bits)).astype(np.int64)
             shard = docs.column("shard")[0].as_py()
             for m in np.unique(merger):
                 chosen = np.flatnonzero(merger == m)
@@ -215,7 +221,7 @@ def repeated_windows(sizes: np.ndarray, shared: np.ndarray, before: np.ndarray,
     rank = np.zeros(len(sizes), np.int64)
     for d in range(REACH + 1):
         if d:
-            _, rank = np.unique(rank * 256 + before[:, d - 1], return_inverse=True)
+            _, rank = np.unique(rank * 256 + before[:, d - 1].astype(np.int64), return_inverse=True)
         group = np.cumsum(shared < LENGTH - d)
         whole = np.flatnonzero((sizes >= LENGTH - d) & (before_sizes >= d))
         if not len(whole):
@@ -239,7 +245,7 @@ def _merge(table: pa.Table) -> pa.Table:
     offset = np.cumsum([0] + [len(s) for s in sizes])
     merged = offset[from_run] + at  # place in the concatenated runs of each entry of the merged order
     before_sizes = np.concatenate([np.frombuffer(b, np.uint8) for b in columns["before_sizes"]]).astype(np.int64)
-    left = np.zeros((len(merged), REACH), np.int64)
+    left = np.zeros((len(merged), REACH), np.uint8)
     filled = np.arange(REACH) < before_sizes[:, None]
     left[filled] = np.frombuffer(b"".join(columns["before"]), np.uint8)
     times = np.concatenate([np.frombuffer(b, "<u4") for b in columns["times"]])
@@ -272,11 +278,11 @@ def covered(buffer: Buffer, answers: pa.Table) -> np.ndarray:
         at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
         hit = keys[at] == own
         places, at = places[hit], at[hit]
-        for i in range(0, len(places), 1 << 16):  # bounds the matrix of windows
-            windows = np.unpackbits(masks[at[i : i + (1 << 16)]], axis=1, count=REACH + 1)
+        for i in range(0, len(places), 1 << 14):  # bounds the matrix of windows
+            windows = np.unpackbits(masks[at[i : i + (1 << 14)]], axis=1, count=REACH + 1)
             anchor, d = np.nonzero(windows)
             flags[places[i + anchor] - d] = 1
-    begun = np.cumsum(flags[:-1])
+    begun = np.cumsum(flags[:-1], dtype=np.int32)
     ended = np.zeros_like(begun)
     ended[LENGTH:] = begun[:-LENGTH] if len(begun) > LENGTH else 0
     return begun > ended
