@@ -2,6 +2,57 @@
 
 from __future__ import annotations
 
+_OP1 = r"""
+WITH RECURSIVE counted AS MATERIALIZED (
+  SELECT doc_id, source,
+    md5(concat_ws(chr(31), coalesce('v' || CAST(doc_id AS VARCHAR), 'n'), coalesce('v' || text, 'n'))) AS row_key,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS n_tokens
+  FROM documents),
+totals AS MATERIALIZED (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM counted GROUP BY source),
+whole AS MATERIALIZED (
+  SELECT sum(tokens) AS total, max(tokens) AS most, min(tokens) FILTER (tokens > 0) AS least, count(*) FILTER (tokens > 0) AS n,
+    list(tokens / (SELECT CAST(sum(tokens) AS DOUBLE) FROM totals)) FILTER (tokens > 0) AS p
+  FROM totals),
+-- the largest exponent that has the entropy, the smallest that keeps the repetitions, each by 40 halvings
+halved AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS elo, 1.0::DOUBLE AS ehi, 0.0::DOUBLE AS rlo, 1.0::DOUBLE AS rhi
+  UNION ALL
+  SELECT step + 1, CASE WHEN short THEN elo ELSE emid END, CASE WHEN short THEN emid ELSE ehi END,
+    CASE WHEN fits THEN rlo ELSE rmid END, CASE WHEN fits THEN rmid ELSE rhi END
+  FROM (
+    SELECT *, (elo + ehi) / 2 AS emid, (rlo + rhi) / 2 AS rmid,
+      ln(list_sum(list_transform(p, lambda x: pow(x, (elo + ehi) / 2))))
+        - (elo + ehi) / 2 * list_sum(list_transform(p, lambda x: pow(x, (elo + ehi) / 2) * ln(x)))
+        / list_sum(list_transform(p, lambda x: pow(x, (elo + ehi) / 2))) < 0.98 * ln(n) AS short,
+      pow(CAST(most AS DOUBLE) / least, 1 - (rlo + rhi) / 2) <= 2.0 AS fits
+    FROM halved, whole WHERE step < 40)),
+chosen AS MATERIALIZED (
+  SELECT greatest(elo, CASE WHEN CAST(most AS DOUBLE) / least <= 2.0 THEN 0.0 ELSE rhi END) AS a FROM halved, whole WHERE step = 40),
+raised AS MATERIALIZED (
+  SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(tokens / CAST(total AS DOUBLE), a) ELSE 0.0 END AS r FROM totals, whole, chosen),
+budget AS MATERIALIZED (
+  SELECT sum(r) AS z, any_value(most) / (pow(any_value(most) / CAST(any_value(total) AS DOUBLE), any_value(a)) / sum(r)) AS b
+  FROM raised, whole, chosen),
+weighed AS MATERIALIZED (
+  SELECT source, tokens, greatest(CAST(round(r / z * b) AS BIGINT), tokens) AS quota FROM raised, budget),
+epochs AS (SELECT *, greatest(CAST(ceil(quota / CAST(greatest(tokens, 1) AS DOUBLE)) AS INTEGER), 1) AS epochs FROM weighed),
+drawn AS (
+  SELECT c.*, e.tokens, e.quota, CAST(unnest(range(e.epochs)) AS INTEGER) AS epoch
+  FROM counted c JOIN epochs e ON c.source IS NOT DISTINCT FROM e.source),
+placed AS (
+  SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (
+      PARTITION BY source, epoch ORDER BY md5(concat_ws(':', '17', epoch, row_key)), doc_id, n_tokens
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM drawn),
+blocked AS (
+  SELECT *, CAST(least(floor(CAST(start AS DOUBLE) / CAST(greatest(quota, 1) AS DOUBLE) * n_blocks), n_blocks - 1) AS BIGINT) AS block
+  FROM placed, (SELECT greatest(1.0, ceil(round(b) / 262144)) AS n_blocks FROM budget)
+  WHERE start < quota OR (n_tokens = 0 AND epoch = 0))
+SELECT doc_id, source, n_tokens, epoch, block, CAST(row_number() OVER (
+    PARTITION BY block ORDER BY md5(concat_ws(':', '17', block, epoch, row_key)), doc_id, n_tokens) AS INTEGER) AS position
+FROM blocked
+"""
+
 _OP2 = r"""
 WITH parsed AS (
   SELECT page_id, url,
@@ -48,6 +99,7 @@ FROM turns GROUP BY conv_id
 """
 
 ORACLES: dict[str, str] = {
+    "op1_temperature_mixing": _OP1,
     "op2_url_filters": _OP2,
     "op10_chat_formatting": _OP10,
 }

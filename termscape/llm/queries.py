@@ -7,16 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscape.llm import bpe, chat, embedding_index, ngram_join, quality_rules, suffix_dedup, url_filters
+from termscape.llm import (
+    bpe,
+    chat,
+    embedding_index,
+    mixing,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    url_filters,
+)
 from termscape.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op3_ordinal_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    grades = quality_classifier.grades_of(read_table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, quality_classifier.fit(docs, grades))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -48,7 +68,9 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_temperature_mixing": op1_temperature_mixing,
     "op2_url_filters": op2_url_filters,
+    "op3_ordinal_classifier": op3_ordinal_classifier,
     "op4_ngram_join": op4_ngram_join,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_compression_bands": op7_compression_bands,
