@@ -84,6 +84,66 @@ SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN pattern_rule END A
 FROM decided
 """
 
+_OP6 = r"""
+WITH templates(number, license, text) AS (VALUES
+    (0, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+    (1, 'BSD-2-Clause', 'Licensed under the BSD 2-Clause License.'),
+    (2, 'BSD-3-Clause', 'Licensed under the BSD 3-Clause License.'),
+    (3, 'CC-BY-4.0', 'Licensed under CC BY 4.0.'),
+    (4, 'CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+    (5, 'CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
+    (6, 'CC0-1.0', 'Dedicated to the public domain under CC0 1.0 Universal.'),
+    (7, 'GPL-2.0', 'This work is licensed under the GNU General Public License, version 2.'),
+    (8, 'GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+    (9, 'LGPL-3.0', 'This work is licensed under the GNU Lesser General Public License, version 3.'),
+    (10, 'MIT', 'Released under the MIT License.'),
+    (11, 'MIT', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.'),
+    (12, 'MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.'),
+    (13, 'proprietary', 'All rights reserved.')),
+files AS (
+  SELECT row_number() OVER () AS file, doc_id, concat_ws('/', source, lang, doc_id || '.txt') AS path, coalesce(text, '') AS text,
+    regexp_replace(concat_ws('/', source, lang, doc_id || '.txt'), '/[^/]*$', '') AS dir FROM documents),
+size AS (SELECT count(*) AS n FROM files),
+words AS (SELECT number, license, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')) AS token FROM templates),
+units AS (
+  SELECT file, false AS is_whole, unnest(string_split(text, chr(10))) AS unit FROM files
+  UNION SELECT file, true, text FROM files),
+held AS MATERIALIZED (
+  SELECT unit, token, count(*) AS times FROM (
+    SELECT unit, unnest(regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')) AS token
+    FROM (SELECT DISTINCT unit FROM units)) GROUP BY ALL),
+df AS (SELECT token, count(DISTINCT file) AS df FROM units u JOIN held h ON u.is_whole AND u.unit = h.unit WHERE token IN (SELECT token FROM words) GROUP BY token),
+idf AS MATERIALIZED (
+  SELECT token, ln((1 + n) / CAST(1 + coalesce(df, 0) AS DOUBLE)) + 1 AS idf FROM (SELECT DISTINCT token FROM words) LEFT JOIN df USING (token), size),
+shares AS (
+  SELECT number, license, token, times * idf / sqrt(sum(times * idf * times * idf) OVER (PARTITION BY number)) AS share
+  FROM (SELECT number, license, token, count(*) AS times FROM words GROUP BY ALL) JOIN idf USING (token)),
+weighed AS (SELECT unit, token, times * coalesce(idf, ln(1 + n) + 1) AS weight FROM held LEFT JOIN idf USING (token), size),
+norms AS (SELECT unit, sqrt(sum(weight * weight)) AS norm FROM weighed GROUP BY unit),
+scores AS (
+  SELECT unit, license, round(sum(weight * share) / any_value(norm), 6) AS score
+  FROM weighed JOIN shares USING (token) JOIN norms USING (unit) GROUP BY unit, number, license),
+best AS (SELECT unit, license, score FROM scores WHERE score >= 0.8 QUALIFY row_number() OVER (PARTITION BY unit ORDER BY score DESC, license) = 1),
+own AS (
+  SELECT file, license AS own_license, score AS own_score FROM units JOIN best USING (unit) WHERE NOT is_whole
+  QUALIFY row_number() OVER (PARTITION BY file ORDER BY score DESC, license) = 1),
+whole AS (SELECT file, license AS whole_license, score AS whole_score FROM units JOIN best USING (unit) WHERE is_whole),
+placed AS (
+  SELECT doc_id, path, dir, coalesce(own_license, whole_license) AS own_license, coalesce(own_score, whole_score) AS own_score, whole_license, whole_score
+  FROM files LEFT JOIN own USING (file) LEFT JOIN whole USING (file)),
+granted AS (
+  SELECT dir AS above, whole_license FROM placed WHERE whole_license IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY whole_score DESC, path, whole_license) = 1),
+nearest AS (
+  SELECT dir, above, whole_license FROM (SELECT DISTINCT dir FROM placed) JOIN granted ON above = '' OR dir = above OR starts_with(dir, above || '/')
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(above) DESC) = 1)
+SELECT doc_id, path, own_license, own_score,
+  CASE WHEN own_license IS NULL THEN n.whole_license END AS inherited_license,
+  CASE WHEN own_license IS NULL THEN above END AS inherited_from,
+  coalesce(own_license, n.whole_license) AS license
+FROM placed p LEFT JOIN nearest n USING (dir)
+"""
+
 _OP10 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -101,5 +161,6 @@ FROM turns GROUP BY conv_id
 ORACLES: dict[str, str] = {
     "op1_temperature_mixing": _OP1,
     "op2_url_filters": _OP2,
+    "op6_license_scan": _OP6,
     "op10_chat_formatting": _OP10,
 }

@@ -11,6 +11,7 @@ from termscape.llm import (
     bpe,
     chat,
     embedding_index,
+    license_scan,
     mixing,
     ngram_join,
     quality_classifier,
@@ -45,6 +46,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op3_ordinal_classifier": op3_ordinal_classifier,
     "op4_ngram_join": op4_ngram_join,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_license_scan": op6_license_scan,
     "op7_compression_bands": op7_compression_bands,
     "op8_chunked_bpe": op8_chunked_bpe,
     "op9_pivot_index": op9_pivot_index,
