@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,16 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps removed now.
+
+    Spark removes them once the driver's garbage collector finds the step unused, which on a quiet
+    driver can be half an hour later. Worth a call after a step that exchanged much.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Intermediate tables of one computation, deleted when it is done.
 
