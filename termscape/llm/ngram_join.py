@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from termscape.llm import shards
 from termscape.llm.common import bounded_batches, salted_join
 from termscape.llm.components import components
-from termscape.session import Scratch, frozen
+from termscape.session import Scratch, frozen, release_shuffles
 
 SHINGLE = 5
 #: 100 * intersection >= 80 * union, kept in whole numbers throughout.
@@ -95,7 +95,7 @@ def _shard_hashes(table: pa.Table) -> np.ndarray:
     return shingle_sets(table.column("text").to_pylist())[1]
 
 
-SIGNED_SCHEMA = "doc_id bigint, n_shingles bigint, set_key binary, prefix array<bigint>, places array<int>, members binary"
+SIGNED_SCHEMA = "doc_id bigint, row_key bigint, n_shingles bigint, set_key binary, prefix array<bigint>, places array<int>, members binary"
 
 
 def _sign(bits: int):
@@ -131,6 +131,7 @@ def _sign(bits: int):
         return pa.table(
             {
                 "doc_id": docs.column("doc_id").cast(pa.int64()),
+                "row_key": docs.column("row_key"),
                 "n_shingles": pa.array(sizes, pa.int64()),
                 "set_key": pa.array(keys, pa.binary()),
                 "prefix": pa.array(prefixes, pa.list_(pa.int64())),
@@ -219,16 +220,39 @@ def class_links(signed: DataFrame, scratch: Scratch) -> DataFrame:
     return first_links.union(_verified(second, signed))
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable by links) for each row."""
+def _components_of_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, row_key, n_shingles, component (a key of the group; null without shingles), component_id of each row."""
     with Scratch(docs.sparkSession) as scratch:
         signed = scratch.table(sign_documents(docs, id_column, text_column), "ngram-signed")
+        release_shuffles(docs.sparkSession)  # the texts and hashes just exchanged
         member = components(class_links(signed, scratch))
         classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
         classes = classes.join(member, classes["set_key"] == member["vertex"], "left")
         classes = classes.select("set_key", "least", F.coalesce("component", "set_key").alias("component"))
         smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-        answer = classes.join(smallest, "component").select("set_key", "component_id")
-        rows = salted_join(signed.select("doc_id", "n_shingles", "set_key"), answer, "set_key", F.col("doc_id"))
+        answer = classes.join(smallest, "component").select("set_key", "component", "component_id")
+        rows = salted_join(signed.select("doc_id", "row_key", "n_shingles", "set_key"), answer, "set_key", F.col("row_key"))
         own = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        return frozen(rows.select(F.col("doc_id").alias(id_column), "n_shingles", own.alias("component_id")), "ngram-components")
+        return frozen(rows.select("doc_id", "row_key", "n_shingles", "component", own.alias("component_id")), "ngram-components")
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id reachable by links) for each row."""
+    found = _components_of_rows(docs, id_column, text_column)
+    return found.select(F.col("doc_id").alias(id_column), "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest id.
+
+    Rows without shingles all stay; of rows equal in id and text one stays.
+    """
+    found = _components_of_rows(docs, id_column, text_column)
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    chosen = found.where("component is not null").groupBy("component").agg(F.min(first).alias("x"))
+    blank = found.where("component is null").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_row")).distinct()
+    keep = chosen.select(F.col("x.doc_id").alias("_id"), F.col("x.row_key").alias("_row")).union(blank)
+    own = F.xxhash64(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))
+    keyed = docs.withColumn("_own", own)
+    kept = keyed.join(keep, (keyed["_own"] == keep["_row"]) & keyed[id_column].eqNullSafe(keep["_id"]), "left_semi")
+    return kept.dropDuplicates(["_own", id_column]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -31,13 +31,21 @@ COUNTER_HASHES = 2 << 20
 Hasher = Callable[[pa.Table], np.ndarray]
 
 
-def dealt(docs: DataFrame, id_column: str, text_column: str, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
-    """``(shard, doc_id, text)`` and the number of shards. Equal rows share a shard."""
-    plain = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+def dealt(
+    docs: DataFrame, id_column: str, text_column: str, carried: list[str] | None = None, shard_bytes: int = SHARD_BYTES
+) -> tuple[DataFrame, int]:
+    """``(shard, doc_id, text, row_key)`` and the number of shards. Equal rows share a shard.
+
+    ``row_key`` is a hash of id and text. ``carried`` columns come along in a struct of that name.
+    """
+    plain = docs.select(
+        F.col(id_column).alias("doc_id"),
+        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in carried]).alias("carried")] if carried else []),
+    ).withColumn("row_key", F.xxhash64("doc_id", "text"))
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
-    return plain.select(shard.alias("shard"), "doc_id", "text"), shards
+    return plain.withColumn("shard", F.pmod(F.col("row_key"), F.lit(shards)).cast("int")), shards
 
 
 def in_order(table: pa.Table) -> pa.Table:

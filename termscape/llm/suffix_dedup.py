@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from termscape.llm import shards
 from termscape.llm.rolling import blocks, gram_hashes, mixed, sliding
@@ -289,42 +290,70 @@ def covered(buffer: Buffer, answers: pa.Table) -> np.ndarray:
 
 
 REMOVED_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-KEPT_SCHEMA = REMOVED_SCHEMA + ", kept binary"
 
 
-def _remove(with_bytes: bool):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        docs = shards.in_order(docs)
-        buffer = Buffer(docs.column("text").to_pylist())
-        cover = covered(buffer, answers)
-        rows = []
-        for start, end in zip(buffer.starts, buffer.ends, strict=True):
-            own = cover[start:end]
-            removed = int(own.sum())
-            kept = buffer.data[start:end] if not removed else buffer.bytes[start:end][~own].tobytes()
-            spans = int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()) if removed else 0
-            rows.append((int(end - start), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
-        n_bytes, n_removed, n_spans, digests, kept = zip(*rows, strict=True) if rows else ([], [], [], [], [])
-        out = {
-            "doc_id": docs.column("doc_id").cast(pa.int64()) if rows else pa.array([], pa.int64()),
-            "n_bytes": pa.array(n_bytes, pa.int64()),
-            "n_removed": pa.array(n_removed, pa.int64()),
-            "n_spans": pa.array(n_spans, pa.int64()),
-            "kept_sha256": pa.array(digests, pa.string()),
+def _remains(docs: pa.Table, answers: pa.Table):
+    """The shard's rows in order; per row its bytes, what is left of them, and the number of removed runs."""
+    docs = shards.in_order(docs)
+    buffer = Buffer(docs.column("text").to_pylist())
+    cover = covered(buffer, answers)
+    rows = []
+    for start, end in zip(buffer.starts, buffer.ends, strict=True):
+        own = cover[start:end]
+        if own.any():
+            rows.append((int(end - start), buffer.bytes[start:end][~own].tobytes(), int(own[0]) + int((own[1:] & ~own[:-1]).sum())))
+        else:
+            rows.append((int(end - start), buffer.data[start:end], 0))
+    return docs, rows
+
+
+def _digests(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    docs, rows = _remains(docs, answers)
+    return pa.table(
+        {
+            "doc_id": docs.column("doc_id").cast(pa.int64()),
+            "n_bytes": pa.array([n for n, _, _ in rows], pa.int64()),
+            "n_removed": pa.array([n - len(kept) for n, kept, _ in rows], pa.int64()),
+            "n_spans": pa.array([spans for _, _, spans in rows], pa.int64()),
+            "kept_sha256": pa.array([hashlib.sha256(kept).hexdigest() for _, kept, _ in rows], pa.string()),
         }
-        return pa.table(out | {"kept": pa.array(kept, pa.binary())} if with_bytes else out)
+    )
 
-    return run
+
+def _texts(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    docs, rows = _remains(docs, answers)
+    texts = pa.array([kept.decode("utf-8", "ignore") for _, kept, _ in rows], pa.string())
+    cut = pa.array([len(kept) < n for n, kept, _ in rows], pa.bool_())
+    return pa.table({"carried": docs.column("carried"), "kept_text": texts, "was_cut": cut})
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_bytes: bool = False) -> DataFrame:
-    """One row per document: bytes, bytes and spans removed, digest of what is left, and that itself if asked for."""
-    shard_docs, n_shards = shards.dealt(docs, id_column, text_column)
+def _remove(docs: DataFrame, id_column: str, text_column: str, carried: list[str] | None, function, schema: str) -> DataFrame:
+    shard_docs, n_shards = shards.dealt(docs, id_column, text_column, carried)
     bits = shards.counter_bits(n_shards, ANCHORS_PER_SHARD)
     merger_bits = max(4, n_shards.bit_length())
     answers = shards.shared_counts(shard_docs, _shard_hashes, bits)
     by_shard = shard_docs.groupBy("shard")
     runs = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_runs(bits, merger_bits), RUN_SCHEMA)
     masks = runs.groupBy("merger").applyInArrow(_merge, MASK_SCHEMA)
-    found = by_shard.cogroup(masks.groupBy("shard")).applyInArrow(_remove(with_bytes), KEPT_SCHEMA if with_bytes else REMOVED_SCHEMA)
-    return found.withColumnRenamed("doc_id", id_column)
+    return by_shard.cogroup(masks.groupBy("shard")).applyInArrow(function, schema)
+
+
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: id, bytes, bytes and runs removed, digest of the bytes that are left."""
+    return _remove(docs, id_column, text_column, None, _digests, REMOVED_SCHEMA).withColumnRenamed("doc_id", id_column)
+
+
+def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the repeats cut out of their texts.
+
+    Characters of which a cut took some bytes go as a whole. Rows of which nothing but white space
+    is left by a cut are dropped; a null text stays null.
+    """
+    struct = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried")).schema["carried"].dataType.simpleString()
+    found = _remove(docs, id_column, text_column, docs.columns, _texts, f"carried {struct}, kept_text string, was_cut boolean")
+    found = found.where(~F.col("was_cut") | F.col("kept_text").rlike(r"\S"))
+    own = [
+        F.when(F.col("was_cut"), F.col("kept_text")).otherwise(F.col("carried")[c]).alias(c) if c == text_column else F.col("carried")[c].alias(c)
+        for c in docs.columns
+    ]
+    return found.select(*own)
