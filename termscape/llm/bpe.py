@@ -322,11 +322,15 @@ def _with_known_chunks(docs: DataFrame, path: str, id_column: str, text_column:
     return found.withColumnRenamed("doc_id", id_column)
 
 
+def _with_ids(own: Codec, raw: bytes, ids: np.ndarray) -> tuple:
+    return len(ids), ids.astype(np.int32), own.decode(ids).encode() == raw
+
+
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The id column and ``ids``, the token ids of each text."""
-    return _with_known_chunks(
-        docs, path, id_column, text_column, lambda own, raw, ids: (ids.astype(np.int32),), ["ids"], [pa.list_(pa.int32())], "doc_id bigint, ids array<int>"
-    )
+    """The id column, the number of ids, the ids, and whether decoding them gives the text back."""
+    names, types = ["n_tokens", "ids", "round_trip"], [pa.int64(), pa.list_(pa.int32()), pa.bool_()]
+    schema = "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean"
+    return _with_known_chunks(docs, path, id_column, text_column, _with_ids, names, types, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_column: str = "ids", text_column: str = "text") -> DataFrame:
