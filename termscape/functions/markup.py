@@ -2,36 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references and the text they stand for. ``&amp;`` is last so that
-# one pass never decodes twice.
-ENTITIES: tuple[tuple[str, str], ...] = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&euro;", "€"),
-    ("&sect;", "§"),
-    ("&deg;", "°"),
-    ("&times;", "×"),
-    ("&minus;", "−"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-)
+#: Named character references with the text they stand for, as HTML defines them. A non-breaking
+#: space becomes a plain one. The few that make up most of a text come first, as maps are searched.
+COMMON = ("amp", "lt", "gt", "quot", "nbsp")
+ENTITIES: dict[str, str] = {n: html5[f"{n};"] for n in COMMON} | {
+    name.removesuffix(";"): value for name, value in html5.items() if name.endswith(";")
+} | {"nbsp": " "}
+
+REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 
 SPACE = r"[ \t\n\r\f]+"
 
@@ -41,30 +26,35 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _numeric_references(text: Column, pattern: str, base: int) -> Column:
-    """Replace every distinct numeric reference that ``pattern`` finds by its character."""
-
-    def decode(done: Column, ref: Column) -> Column:
-        code = F.conv(F.regexp_extract(ref, "([0-9a-fA-F]+);", 1), base, 10).cast("bigint")
-        # Values outside the Unicode range are left as they are.
-        legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(legal, F.replace(done, ref, char)).otherwise(done)
-
-    def decode_all(bound: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(bound, F.lit(pattern), F.lit(0)))
-        return F.when(bound.contains("&#"), F.aggregate(found, bound, decode)).otherwise(bound)
-
-    return _let(text, decode_all)
+def _decoded(reference: Column) -> Column:
+    """The text of one reference; unknown names and numbers outside Unicode stay as they are."""
+    hexadecimal = reference.rlike("^&#[xX]")
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9a-fA-F]*);", 1)
+    base = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits)
+    code = F.when(F.length(digits).between(1, 7), base.cast("bigint"))
+    legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+    name = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    numeric = reference.startswith("&#")
+    return F.coalesce(
+        F.when(numeric & legal, char), F.when(~numeric, F.try_element_at(names, name)), reference
+    )
 
 
 def unescaped(text: Column) -> Column:
-    """Decode named and numeric character references."""
-    text = _numeric_references(text, "&#[0-9]{1,7};", 10)
-    text = _numeric_references(text, "&#[xX][0-9a-fA-F]{1,6};", 16)
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    """Decode named and numeric character references, each once, in one pass over the text."""
+
+    def joined(bound: Column) -> Column:
+        references = F.regexp_extract_all(bound, F.lit(REFERENCE), F.lit(0))
+        between = F.split(bound, REFERENCE, -1)
+        pieces = F.zip_with(
+            between, F.transform(references, _decoded),
+            lambda piece, char: F.concat(piece, F.coalesce(char, F.lit(""))),
+        )
+        return F.when(bound.contains("&"), F.array_join(pieces, "")).otherwise(bound)
+
+    return _let(text, joined)
 
 
 def squeezed(text: Column) -> Column:
@@ -94,17 +84,24 @@ OPEN, CLOSE = "\x01", "\x02"
 
 
 def _nesting_depth(marked: Column) -> Column:
-    """How deep the marked pairs nest, from one pass over the markers."""
+    """How deep matched pairs nest at most.
+
+    Counted from both ends: markers that never close raise the count from the left only, stray
+    closing ones that from the right only.
+    """
     markers = F.regexp_extract_all(marked, F.lit(f"[{OPEN}{CLOSE}]"), F.lit(0))
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("deepest"))
 
-    def step(state: Column, marker: Column) -> Column:
-        now = F.when(marker == OPEN, state["now"] + 1).otherwise(
-            F.greatest(state["now"] - 1, F.lit(0))
-        )
-        return F.struct(now.alias("now"), F.greatest(state["deepest"], now).alias("deepest"))
+    def deepest(found: Column, opening: str) -> Column:
+        def step(state: Column, marker: Column) -> Column:
+            now = F.when(marker == opening, state["now"] + 1).otherwise(
+                F.greatest(state["now"] - 1, F.lit(0))
+            )
+            return F.struct(now.alias("now"), F.greatest(state["deepest"], now).alias("deepest"))
+
+        return F.aggregate(found, start, step, lambda state: state["deepest"])
 
-    return F.aggregate(markers, start, step, lambda state: state["deepest"])
+    return _let(markers, lambda m: F.least(deepest(m, OPEN), deepest(F.reverse(m), CLOSE)))
 
 
 def _innermost_first(
@@ -115,7 +112,7 @@ def _innermost_first(
     resolved = _let(
         marked,
         lambda m: F.aggregate(
-            F.sequence(F.lit(0), _nesting_depth(m)), m, lambda done, _: rewrite(done)
+            F.array_repeat(F.lit(0), _nesting_depth(m)), m, lambda done, _: rewrite(done)
         ),
     )
     return F.replace(F.replace(resolved, F.lit(OPEN), F.lit(opening)), F.lit(CLOSE), F.lit(closing))
@@ -143,7 +140,8 @@ def wiki_text(markup: Column) -> Column:
     their label; quotes, list markers and tags go; character references are decoded.
     """
     text = F.regexp_replace(markup, r"(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?is)<ref[^>/]*/>", " ")
+    # self-closing references first; a slash in their name must not make them opening tags
+    text = F.regexp_replace(text, r"(?is)<ref\b[^>]*/>", " ")
     for tag in ("ref", "math", "gallery", "source", "syntaxhighlight"):
         text = F.regexp_replace(text, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", " ")
     text = _innermost_first(text, "{{", "}}", _dropped)

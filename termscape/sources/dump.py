@@ -30,14 +30,21 @@ def read_page_xml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_pages(raw: DataFrame, column: str = "page_xml") -> DataFrame:
-    """XML strings to ``(doc_id, title, ns, redirect, markup)``; null and broken records are dropped."""
+    """XML strings to ``(doc_id, title, ns, redirect, markup)``.
+
+    Null and broken records, and pages without a title or an id, are dropped. ``redirect`` is the
+    target's title, empty for a redirect that names none, null for pages that are no redirects.
+    """
     page = F.from_xml(F.col(column), PAGE_SCHEMA, {"rowTag": "page"})
-    parsed = computed(raw.where(F.col(column).isNotNull()), [], page=page)
-    return parsed.where(F.col("page.title").isNotNull()).select(
+    # text is escaped in a record, so a tag is an element
+    marked = F.col(column).rlike(r"<redirect[\s/>]")
+    parsed = computed(raw.where(F.col(column).isNotNull()), [], page=page, marked=marked)
+    named = F.col("page.title").isNotNull() & F.col("page.id").isNotNull()
+    return parsed.where(named).select(
         F.col("page.id").alias("doc_id"),
         F.col("page.title").alias("title"),
         F.coalesce("page.ns", F.lit(0)).alias("ns"),
-        F.col("page.redirect._title").alias("redirect"),
+        F.coalesce("page.redirect._title", F.when(F.col("marked"), F.lit(""))).alias("redirect"),
         F.coalesce("page.revision.text._VALUE", F.lit("")).alias("markup"),
     )
 

@@ -1,5 +1,7 @@
 """Markup removal on small pages."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,13 @@ def apply(spark, function, *texts):
     ("* one\n* two\n# three", "one\ntwo\nthree"),
     ("before\n{| class=\"t\"\n|-\n| cell {| inner |} \n|}\nafter", "before\nafter"),
     ("5 &lt; 6 &amp;amp; &#65;&#x42;", "5 < 6 &amp; AB"),
+    ("A fact.<ref name=\"a/b\" /> Kept sentence. Second.<ref>x</ref> End.",
+     "A fact. Kept sentence. Second. End."),
+    ("url <ref name=http://x.org/y/>kept<ref name=\"c/d\">gone</ref> end", "url kept end"),
+    ("<references/> caf&eacute; &uuml;ber &alpha;&beta; &nosuch; &AMP; &#38;lt;b&#38;gt; &amp;lt;",
+     "café über αβ &nosuch; & &lt;b&gt; &lt;"),
+    ("&#x0000041;&#00000000066; a&nbsp;b AT&T; x & y", "AB a b AT&T; x & y"),
+    ("}} stray {{a}} {{b", "}} stray {{b"),
     ("unbalanced {{ stays [[ here", "unbalanced {{ stays [[ here"),
     ("a <b>c</b> d", "a c d"),
 ])
@@ -45,6 +54,14 @@ def test_a_long_page_does_not_overflow(spark):
     assert plain.split() == ["b", "word"] * 20000
 
 
+def test_unclosed_markers_take_no_passes(spark):
+    pages = ["{{" * 100_000 + "a", "[[" * 100_000 + "{{b}}", "}}" * 50_000 + "{{c}}" * 1000]
+    start = time.time()
+    first, second, third = apply(spark, markup.wiki_text, *pages)
+    assert time.time() - start < 20
+    assert first == pages[0] and second == "[[" * 100_000 and third == "}}" * 50_000
+
+
 def test_html(spark):
     page = (
         "<!DOCTYPE html><html><head><title>A &amp; B</title><style>p{}</style></head><body>"
