@@ -27,10 +27,8 @@ from termscape.session import frozen
 MAX_QUERY_ENTRIES = 1 << 22
 MAX_QUERIES = 1024
 
-#: Scores are rounded to this many digits. A factor row shorter than the last digit is zero but for
-#: the error of the factorization, and has no direction.
+#: Scores are rounded to this many digits.
 SCORE_DIGITS = 6
-SHORTEST_ROW = 10.0**-SCORE_DIGITS
 
 
 def _scored(
@@ -62,7 +60,7 @@ def _scored(
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
             if cosine:
                 norms = np.sqrt((x * x).sum(axis=1))
-                long = norms > SHORTEST_ROW
+                long = norms > 0  # rows that are but error are zero in the model
                 ids, x = ids[long], x[long] / norms[long, None]
             # Adding 0 turns a negative zero into zero.
             scores = np.round(x @ transposed, SCORE_DIGITS) + 0.0
@@ -110,7 +108,7 @@ def top_scores(
     for keys, vectors in _query_parts(queries, first[0]) if first else ():
         if cosine:
             norms = np.sqrt((vectors * vectors).sum(axis=1))
-            long = norms > SHORTEST_ROW
+            long = norms > 0
             keys = [key for key, kept in zip(keys, long) if kept]
             vectors = vectors[long] / norms[long, None]
         if not keys:

@@ -13,11 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termscape.operators.matrix import TermMatrix
@@ -30,8 +31,12 @@ MAX_FACTOR_ENTRIES = 1 << 27
 #: Vocabularies up to this size are factorized through A'A (128 MB of doubles on the driver).
 MAX_GRAM_TERMS = 4096
 
-#: Singular values below this fraction of the largest are dropped, as MLlib does.
-RELATIVE_CUT = 1e-9
+#: Singular values that the solver puts below this fraction of the largest are not looked at.
+RELATIVE_CUT = 1e-12
+
+#: Rows of V diag(s) shorter than this fraction of their matrix column, and rows of U diag(s) shorter
+#: than this fraction of the longest, are zero but for the error of the factorization.
+COLUMN_CUT, ROW_CUT = 1e-9, 1e-11
 
 #: Most answer rows (a few numbers each) that are broadcast to look up their titles.
 MAX_BROADCAST_ANSWERS = 1 << 19
@@ -43,7 +48,8 @@ class ConceptModel:
 
     ``concepts(concept, sigma)`` by falling sigma; ``term_factors(term_id, term, v, vs)`` with the
     rows of V and of V diag(s); ``doc_factors(doc_id, us)`` with the rows of U diag(s). The largest
-    entry of every column of V is positive.
+    entry of every column of V is positive. Sigma is the length of the column of A V. A row that
+    is zero but for the error of the factorization is zero.
     """
 
     concepts: DataFrame
@@ -63,24 +69,27 @@ def _oriented(v: np.ndarray) -> np.ndarray:
     return v * np.where(peak < 0, -1.0, 1.0)
 
 
-def _from_gram(a: IndexedRowMatrix, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sigma and V from the n x n matrix A'A: one pass over the documents."""
-    values, vectors = np.linalg.eigh(a.computeGramianMatrix().toArray())
-    sigma = np.sqrt(np.maximum(values[::-1][:k], 0.0))
-    kept = sigma > RELATIVE_CUT * sigma[0]
-    return sigma[kept], vectors[:, ::-1][:, :k][:, kept]
+def _from_gram(a: IndexedRowMatrix, k: int) -> np.ndarray:
+    """Leading directions V from the n x n matrix A'A: one pass over the documents."""
+    _, vectors = np.linalg.eigh(a.computeGramianMatrix().toArray())
+    return vectors[:, ::-1][:, :k]
 
 
-def _from_passes(rows: DataFrame, n_terms: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sigma and V from MLlib's iterative solver: many passes, O(n k) memory on the driver."""
+def _from_passes(rows: DataFrame, n_terms: int, k: int) -> np.ndarray:
+    """Leading directions V from MLlib's iterative solver: many passes, O(n k) memory on the driver."""
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         svd = IndexedRowMatrix(rows, numCols=n_terms).computeSVD(k, rCond=RELATIVE_CUT)
-        return svd.s.toArray(), svd.V.toArray()
+        return svd.V.toArray()
     finally:
         rows.unpersist()
 
 
+def _length(values: Column) -> Column:
+    """Euclidean length of an array column."""
+    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
+
+
 def fit_concepts(matrix: TermMatrix, k: int = 100) -> ConceptModel:
     """Factorize the TF-IDF matrix into at most ``k`` concepts."""
     if not 0 < k <= matrix.n_terms:
@@ -90,24 +99,39 @@ def fit_concepts(matrix: TermMatrix, k: int = 100) -> ConceptModel:
     spark = matrix.vectors.sparkSession
     rows = MLUtils.convertVectorColumnsFromML(matrix.vectors.select("doc_id", "tfidf"), "tfidf")
     if matrix.n_terms <= MAX_GRAM_TERMS:
-        sigma, v = _from_gram(IndexedRowMatrix(rows, numCols=matrix.n_terms), k)
+        v = _from_gram(IndexedRowMatrix(rows, numCols=matrix.n_terms), k)
     else:
-        sigma, v = _from_passes(rows, matrix.n_terms, k)
+        v = _from_passes(rows, matrix.n_terms, k)
     v = _oriented(v)
     # U diag(s) is A V, one map-only pass that does not need U.
     product = IndexedRowMatrix(rows, numCols=matrix.n_terms).multiply(
         DenseMatrix(v.shape[0], v.shape[1], v.ravel(order="F"))
     )
     us = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
+    us = MLUtils.convertVectorColumnsToML(us, "vector")
+    us = frozen(us.select(F.col("index").alias("doc_id"), F.col("vector")), "doc-products")
+    # Sigma from the columns of A V: the roots of A'A's eigenvalues are noise below the root of the
+    # machine precision. What is left there is beyond the rank of A.
+    array = vector_to_array("vector")
+    totals = us.agg(Summarizer.normL2(F.col("vector")).alias("columns"), F.max(_length(array)).alias("row")).first()
+    sigma = totals["columns"].toArray() if totals["row"] is not None else np.zeros(v.shape[1])
+    order = np.argsort(-sigma, kind="stable")
+    order = order[sigma[order] > matrix.n_terms * np.finfo(float).eps * sigma.max(initial=0.0)]
+    sigma, v = sigma[order], v[:, order]
+    row = F.transform(F.array(*[F.lit(int(i)) for i in order]), lambda i: F.get(F.col("us"), i))
+    cleared = F.when(_length(row) <= ROW_CUT * (totals["row"] or 0.0), F.transform(row, lambda x: F.lit(0.0)))
     doc_factors = frozen(
-        us.select(F.col("index").alias("doc_id"), vector_to_array("vector").alias("us")),
-        "doc-factors",
+        us.select("doc_id", array.alias("us")).select("doc_id", F.coalesce(cleared, row).alias("us")), "doc-factors"
     )
+    # lengths of the matrix columns, one number per term
+    columns = matrix.vectors.select(Summarizer.normL2(F.col("tfidf"))).first()[0].toArray()
+    scaled = v * sigma
+    scaled[np.sqrt((scaled * scaled).sum(axis=1)) <= COLUMN_CUT * columns] = 0.0
     concepts = spark.createDataFrame(
         [(i, float(value)) for i, value in enumerate(sigma)], "concept int, sigma double"
     )
     names = matrix.vocabulary.select("term_id", "term").orderBy("term_id").toArrow()
-    vectors = names.append_column("v", pa.array(list(v))).append_column("vs", pa.array(list(v * sigma)))
+    vectors = names.append_column("v", pa.array(list(v))).append_column("vs", pa.array(list(scaled)))
     term_factors = frozen(spark.createDataFrame(vectors), "term-factors")
     return ConceptModel(concepts, term_factors, doc_factors, matrix.titles)
 

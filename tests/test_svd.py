@@ -1,7 +1,11 @@
 """Concept models and relevance questions against numpy."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from test_matrix import dense
 
 from termscape.operators import matrix, relevance, svd
@@ -181,3 +185,29 @@ def test_saving(spark, model, tmp_path):
     assert sorted(relevance.docs_for_terms(back, ["w01"]).collect()) == sorted(
         relevance.docs_for_terms(model, ["w01"]).collect()
     )
+
+
+@pytest.mark.parametrize("scale", [1e-8, 1e8])
+def test_ranks_do_not_depend_on_the_scale(built, model, scale):
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense([scale] * built.n_terms), inputCol="plain", outputCol="tfidf")
+    vectors = scaled.transform(built.vectors.withColumnRenamed("tfidf", "plain")).drop("plain")
+    other = svd.fit_concepts(replace(built, vectors=vectors), 5)
+    assert other.sigmas == pytest.approx([s * scale for s in model.sigmas])
+    ids = [0, 7, 100, 200]
+
+    def ranks(m):
+        return relevance.docs_for_docs(m, doc_ids=ids).select("query_id", "rank", "doc_id").collect()
+
+    assert sorted(ranks(other)) == sorted(ranks(model))
+    related = [sorted(relevance.terms_for_terms(m).select("term", "rank", "related").collect()) for m in (other, model)]
+    assert related[0] == related[1]
+
+
+def test_no_concepts_beyond_the_rank(spark):
+    docs = [(i, f"t{i}", ["aa", "aa", "bb", "bb"] if i % 2 else ["cc", "cc", "dd", "dd"]) for i in range(9)]
+    docs.append((20, "other", ["ee", "ee", "ff", "ff"]))
+    built = matrix.build_matrix(spark.createDataFrame(docs, "doc_id bigint, title string, terms array<string>"), min_df=1)
+    model = svd.fit_concepts(built, built.n_terms)
+    assert len(model.sigmas) == 3
+    us = np.array([r["us"] for r in model.doc_factors.collect()])
+    assert np.sqrt((us * us).sum(0)) == pytest.approx(model.sigmas)
