@@ -28,13 +28,15 @@ class TermMatrix:
     without any vocabulary term. ``n_documents`` is the number of documents the weights are based
     on. ``vocabulary(term_id, term, tf, df, matrix_df, idf)`` has at most
     ``MAX_VOCABULARY`` rows: ``tf`` and ``df`` count the corpus, ``matrix_df`` the documents with a
-    non-zero entry, which is what ``idf`` is based on.
+    non-zero entry, which is what ``idf`` is based on. ``min_tf`` is the count threshold of the
+    entries, which other documents must be held to as well.
     """
 
     vectors: DataFrame
     vocabulary: DataFrame
     n_documents: int
     n_terms: int
+    min_tf: int = 2
 
     @property
     def titles(self) -> DataFrame:
@@ -124,15 +126,15 @@ def build_matrix(
         ],
         VOCABULARY_SCHEMA,
     )
-    return TermMatrix(weights.transform(counts), vocabulary, weights.numDocs, len(rows))
+    return TermMatrix(weights.transform(counts), vocabulary, weights.numDocs, len(rows), min_tf)
 
 
-def feature_stages(matrix: TermMatrix, min_tf: int = 2) -> list[Transformer]:
-    """Spark ML stages from ``terms`` to ``tf`` and ``tfidf`` with the matrix's vocabulary and
-    weights. ``min_tf`` is the count threshold the matrix was built with."""
+def feature_stages(matrix: TermMatrix) -> list[Transformer]:
+    """Spark ML stages from ``terms`` to ``tf`` and ``tfidf`` with the matrix's vocabulary, weights
+    and count threshold."""
     rows = matrix.vocabulary.orderBy("term_id").select("term", "idf").collect()
     counter = CountVectorizerModel.from_vocabulary(
-        [r["term"] for r in rows], inputCol="terms", outputCol="tf", minTF=float(min_tf)
+        [r["term"] for r in rows], inputCol="terms", outputCol="tf", minTF=float(matrix.min_tf)
     )
     weights = ElementwiseProduct(
         scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="tf", outputCol="tfidf"
@@ -140,9 +142,9 @@ def feature_stages(matrix: TermMatrix, min_tf: int = 2) -> list[Transformer]:
     return [counter, weights]
 
 
-def with_new_documents(matrix: TermMatrix, terms: DataFrame, min_tf: int = 2) -> TermMatrix:
+def with_new_documents(matrix: TermMatrix, terms: DataFrame) -> TermMatrix:
     """The same vocabulary and weights on other documents ``(doc_id, title, terms)``."""
-    vectors = PipelineModel(stages=feature_stages(matrix, min_tf)).transform(terms)
+    vectors = PipelineModel(stages=feature_stages(matrix)).transform(terms)
     return replace(matrix, vectors=vectors.select("doc_id", "title", "tf", "tfidf"))
 
 

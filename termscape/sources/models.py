@@ -17,7 +17,7 @@ def _write(path: str, **tables: DataFrame) -> None:
 
 def save_matrix(matrix: TermMatrix, path: str) -> None:
     size = matrix.vectors.sparkSession.createDataFrame(
-        [(matrix.n_documents, matrix.n_terms)], "n_documents bigint, n_terms int"
+        [(matrix.n_documents, matrix.n_terms, matrix.min_tf)], "n_documents bigint, n_terms int, min_tf int"
     )
     _write(path, vectors=matrix.vectors, vocabulary=matrix.vocabulary, size=size)
 
@@ -30,6 +30,7 @@ def load_matrix(spark: SparkSession, path: str) -> TermMatrix:
         spark.read.parquet(f"{path}/vocabulary"),
         size["n_documents"],
         size["n_terms"],
+        size["min_tf"],
     )
 
 

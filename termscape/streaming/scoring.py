@@ -12,9 +12,9 @@ from termscape.operators.matrix import TermMatrix, feature_stages
 from termscape.operators.terms import document_terms
 
 
-def scoring_stages(matrix: TermMatrix, fitted: LDAModel, min_tf: int = 2) -> PipelineModel:
+def scoring_stages(matrix: TermMatrix, fitted: LDAModel) -> PipelineModel:
     """Features and topics of new documents, with the vocabulary and weights of the training corpus."""
-    return PipelineModel(stages=[*feature_stages(matrix, min_tf), fitted])
+    return PipelineModel(stages=[*feature_stages(matrix), fitted])
 
 
 def topic_shares(docs: DataFrame, stages: PipelineModel) -> DataFrame:
