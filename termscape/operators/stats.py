@@ -44,7 +44,12 @@ def distinct_totals(
             (F.sum(F.when(first, F.col("n"))) / F.sum(F.when(first, 1))).alias("unique_per_doc"),
         )
     staged = docs.select(F.array(F.coalesce(tokens, F.array())).alias("stages"))
-    return _totals(_stage_counts(staged), "stage").select("unique_tokens", "unique_per_doc")
+    totals = _totals(_stage_counts(staged), "stage")
+    # one row at most; an aggregate gives one for an empty corpus too
+    return totals.agg(
+        F.coalesce(F.first("unique_tokens"), F.lit(0).cast("bigint")).alias("unique_tokens"),
+        F.first("unique_per_doc").alias("unique_per_doc"),
+    )
 
 
 def _stage_counts(staged: DataFrame) -> DataFrame:

@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Without that setting it is the folder given to ``setCheckpointDir``. Only a local session
+    without either gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
+        # in local mode driver and executors are one process; local-cluster is a cluster
+        if context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="termscape-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,15 +49,43 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("doc_id", "title", "content")
 
 
+DOCUMENT_SCHEMA = "doc_id bigint, title string, content string"
+
+#: Line ends are written as two characters, so that a line is a record and files can be split.
+LINE_ENDS = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _one_line(text: Column) -> Column:
+    for char, written in LINE_ENDS:
+        text = F.replace(text, F.lit(char), F.lit(written))
+    return text
+
+
+def _lines_again(text: Column) -> Column:
+    # pairs of backslashes are set aside while the others are read
+    def ends(piece: Column) -> Column:
+        for char, written in LINE_ENDS[1:]:
+            piece = F.replace(piece, F.lit(written), F.lit(char))
+        return piece
+
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), ends), "\\")
+
+
 def write_documents_csv(docs: DataFrame, path: str) -> None:
-    """CSV with a header; quotes are doubled and text may span lines."""
-    docs.write.mode("errorifexists").csv(path, header=True, quote='"', escape='"')
+    """CSV with a header, one document a line; quotes are doubled, null and empty told apart."""
+    texts = {c: _one_line(F.col(c)) for c in ("title", "content")}
+    docs.select("doc_id", "title", "content").withColumns(texts).write.mode("errorifexists").csv(
+        path, header=True, quote='"', escape='"', quoteAll=True, nullValue="\\N", emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def read_documents_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(
-        path, header=True, inferSchema=True, multiLine=True, quote='"', escape='"'
+    """What ``write_documents_csv`` wrote, in one pass, many tasks to a file."""
+    read = spark.read.schema(DOCUMENT_SCHEMA).csv(
+        path, header=True, quote='"', escape='"', nullValue="\\N", emptyValue=""
     )
+    return read.withColumns({c: _lines_again(F.col(c)) for c in ("title", "content")})
 
 
 def corpus(documents: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from termscape import session
 
 
-def fake(master, folder=None):
+def fake(master, folder=None, set_before=None):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: folder),
-        sparkContext=SimpleNamespace(master=master),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: set_before),
     )
 
 
@@ -19,9 +19,11 @@ def test_the_named_folder_is_used():
     assert session.shared_folder(fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
 
 
-def test_a_cluster_needs_a_named_folder():
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,512]"])
+def test_a_cluster_needs_a_named_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(fake("spark://host:7077"))
+        session.shared_folder(fake(master))
+    assert session.shared_folder(fake(master, set_before="hdfs:///c/")) == "hdfs:///c"
 
 
 def test_frozen_tables_can_reuse_a_path(spark):
@@ -60,3 +62,16 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "TakeOrderedAndProject" in plan
     by_id = read.where("doc_id = 3")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(doc_id,3)" in by_id
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    with session.Scratch(spark) as scratch:
+        first, second = (scratch.table(spark.range(n), "scratch") for n in (3, 4))
+        places = [p.removeprefix("file:") for p in scratch.paths]
+        assert (first.count(), second.count()) == (3, 4)
+        scratch.drop_last(keep=1)
+        assert [os.path.exists(p) for p in places] == [False, True]
+    assert not os.path.exists(places[1])
+    session.release_shuffles(spark)

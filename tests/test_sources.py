@@ -118,6 +118,13 @@ def test_documents_in_csv(spark, docs, tmp_path):
     assert rows(back) == rows(full)
 
 
+def test_odd_texts_in_csv(spark, tmp_path):
+    texts = [None, "", "a\nb\r\n", "back\\slash \\n \\\\n", "\\N", '"quoted", "x"', "\n", ",", "é\tx "]
+    odd = spark.createDataFrame([(i, "t", t) for i, t in enumerate(texts)], tables.DOCUMENT_SCHEMA)
+    tables.write_documents_csv(odd, str(tmp_path / "odd"))
+    assert rows(tables.read_documents_csv(spark, str(tmp_path / "odd"))) == rows(odd)
+
+
 def test_vocabulary_in_text(spark, tmp_path):
     vocabulary = spark.createDataFrame([(0, "der"), (1, "tab\there")], "term_id int, term string")
     tables.write_vocabulary_text(vocabulary, str(tmp_path / "v"))
@@ -176,3 +183,17 @@ def test_hash_sample_does_not_depend_on_type(spark):
     assert ids(filters.hash_sample(as_int, "doc_id", 0.5)) == ids(
         filters.hash_sample(as_long, "doc_id", 0.5)
     )
+
+
+def test_pages_that_name_no_target_or_id(spark):
+    page = "<page><title>{t}</title><ns>0</ns>{head}<revision><id>9</id><text>x {body}</text></revision></page>"
+    raw = [
+        page.format(t="a", head="<id>1</id><redirect/>", body=""),
+        page.format(t="b", head='<id>2</id><redirect title="z" />', body=""),
+        page.format(t="c", head="", body=""),
+        page.format(t="d", head="<id>4</id>", body="&lt;redirect/&gt;"),
+        "<page><broken", None,
+    ]
+    parsed = dump.parse_pages(spark.createDataFrame([(r,) for r in raw], "page_xml string"))
+    assert [(r["doc_id"], r["redirect"]) for r in parsed.orderBy("doc_id").collect()] == [(1, ""), (2, "z"), (4, None)]
+    assert [r["doc_id"] for r in dump.article_documents(parsed).collect()] == [4]
