@@ -18,8 +18,8 @@ from termscape.operators import filters, matrix, relevance, stats, svd, topic_qu
 from termscape.operators.terms import (
     computed, document_lemmas, document_terms, lemma_counts, terms_with,
 )
-from termscape.session import scratch_path, spread
-from termscape.sources import dump
+from termscape.session import discard, frozen, scratch_path, spread
+from termscape.sources import dump, models, tables
 from termscape.sources.tables import corpus
 from termscape.streaming import scoring
 
@@ -228,17 +228,35 @@ def title_filter(spark, folder):
 
 @query
 def page_filter(spark, folder):
+    """Articles among dump records of all kinds: the id of a page says which kind its record is."""
+    def kind(n: int, k: int) -> Column:
+        return F.pmod(F.col("page_id"), F.lit(n)) == k
+
     read = computed(
         pages(spark, folder), ["page_id"],
-        title=markup.html_title(F.col("html")), markup=markup.html_text(F.col("html")),
+        plain=markup.html_title(F.col("html")), visible=markup.html_text(F.col("html")),
     )
-    no_redirect = F.lit(None).cast("string")
-    return read.where(
-        filters.is_article(F.col("title"), F.lit(0), no_redirect, F.col("markup"))
-    ).select("page_id", "title")
-
-
-def page_records(key: str, title: Column, text: Column) -> Column:
+    title = F.when(kind(13, 3), F.concat("plain", F.lit(" (disambiguation)"))).when(
+        kind(17, 4), F.concat(F.lit("List of "), "plain")
+    ).otherwise(F.concat(F.lit("About "), "plain"))
+    text = (
+        F.when(kind(19, 5), F.concat(F.lit("#REDIRECT [[x]] "), "visible"))
+        .when(kind(23, 6), F.concat(F.lit("{{Disambig}} "), "visible"))
+        .when(kind(29, 7), F.lit(" "))
+        .otherwise(F.col("visible"))
+    )
+    head = F.when(kind(11, 2), F.lit('<redirect title="x" />')).when(kind(7, 6), F.lit("<redirect/>"))
+    record = page_records("page_id", title, text, F.when(kind(5, 1), 1).otherwise(0), F.coalesce(head, F.lit("")))
+    nameless = F.regexp_replace(record, "<id>[0-9]+</id>\\s*<revision>", "<revision>")
+    broken = F.when(kind(31, 8), F.lit(None)).when(kind(37, 9), F.substring(record, F.lit(1), F.length(record) - 20))
+    records = read.select(F.when(kind(31, 8) | kind(37, 9), broken).when(kind(41, 10), nameless).otherwise(record).alias("page_xml"))
+    kept = dump.article_documents(dump.parse_pages(records), title_line=False)
+    return kept.select(F.col("doc_id").alias("page_id"), "title")
+
+
+def page_records(
+    key: str, title: Column, text: Column, namespace: Column | None = None, head: Column | None = None
+) -> Column:
     """Dump records of pages."""
     def escaped(text: Column) -> Column:
         for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
@@ -247,7 +265,8 @@ def page_records(key: str, title: Column, text: Column) -> Column:
 
     return F.concat(
         F.lit("<page>\n  <title>"), escaped(title),
-        F.lit("</title>\n  <ns>0</ns>\n  <id>"), F.col(key).cast("string"),
+        F.lit("</title>\n  <ns>"), (F.lit("0") if namespace is None else namespace.cast("string")),
+        F.lit("</ns>\n  "), (F.lit("") if head is None else head), F.lit("<id>"), F.col(key).cast("string"),
         F.lit("</id>\n  <revision>\n    <id>1</id>\n    <text xml:space=\"preserve\" bytes=\"1\">"),
         escaped(text), F.lit("</text>\n  </revision>\n</page>"),
     ).alias("page_xml")
@@ -289,10 +308,15 @@ def wiki_markup(words: Column) -> Column:
         ("", ""), ("'''", "'''"), ("[[Some page|", "]]"), ("[[", "]]"), ("<!-- a {{b}} -->", ""),
         ("", "<ref name=\"r\">see {{cite|{{x}}}}</ref>"), ("[https://example.org/a ", "]"),
         ("''", "''"), ("{{note|[[x]]}} ", ""), ("[[File:a.png|thumb|[[b|c]] d]] ", ""),
+        ("", "<ref name=\"a/b\" />"), ("<ref name=http://x.org/y/>", ""),
     )
+    # accented letters as the references that stand for them
+    references = {"é": "&eacute;", "ü": "&#252;", "ñ": "&#x0000F1;"}
 
     def marked(word: Column, i: Column) -> Column:
         variant = F.pmod(i, F.lit(len(forms)))
+        for char, reference in references.items():
+            word = F.replace(word, F.lit(char), F.lit(reference))
         shown = F.concat(F.lit(forms[0][0]), word, F.lit(forms[0][1]))
         for at, (before, after) in enumerate(forms[1:], 1):
             wrapped = F.concat(F.lit(before), word, F.lit(after))
@@ -326,6 +350,137 @@ def min_terms(spark, folder):
     return usable.select("doc_id", "title", F.size("terms").cast("bigint").alias("n_terms"))
 
 
+# Written and read again
+
+
+def reread(spark, write, read, label):
+    """Write below a new folder, read back, and keep a copy, so that the folder can go."""
+    path = scratch_path(spark, label)
+    write(path)
+    kept = frozen(read(path), label)
+    discard(spark, path)
+    return kept
+
+
+def document_digest(found: DataFrame) -> DataFrame:
+    return found.select(
+        "doc_id", "title", F.length("content").cast("bigint").alias("n_chars"), F.md5("content").alias("digest")
+    )
+
+
+@query
+def saved_documents(spark, folder):
+    source = docs(spark, folder)
+    return reread(
+        spark, lambda path: tables.write_documents(source, path),
+        lambda path: document_digest(tables.read_documents(spark, path)), "saved-documents",
+    )
+
+
+@query
+def saved_documents_csv(spark, folder):
+    source = docs(spark, folder)
+    return reread(
+        spark, lambda path: tables.write_documents_csv(source, path),
+        lambda path: document_digest(tables.read_documents_csv(spark, path)), "saved-csv",
+    )
+
+
+@query
+def saved_doc_ids(spark, folder):
+    source = titles(spark, folder)
+    return reread(
+        spark, lambda path: tables.write_doc_ids_json(source, path),
+        lambda path: tables.read_doc_ids_json(spark, path), "saved-ids",
+    )
+
+
+@query
+def saved_matrix(spark, folder):
+    """Below the folder that the session's settings name."""
+    built = full_matrix(spark, folder)
+
+    def read(path):
+        return rounded(models.load_matrix(spark, tables.Locations(path).matrix).named_entries(), 6, "tfidf")
+
+    return reread(
+        spark, lambda path: models.save_matrix(built, tables.Locations(path).matrix), read, "saved-matrix"
+    )
+
+
+@query
+def saved_vocabulary(spark, folder):
+    vocabulary = full_matrix(spark, folder).vocabulary
+    return reread(
+        spark, lambda path: tables.write_vocabulary_text(vocabulary, path),
+        lambda path: tables.read_vocabulary_text(spark, path), "saved-vocabulary",
+    )
+
+
+@query
+def saved_graph(spark, folder):
+    built = full_matrix(spark, folder)
+    return reread(
+        spark, lambda path: models.save_graph(built, path),
+        lambda path: rounded(spark.read.parquet(f"{path}/edges"), 6, "weight"), "saved-graph",
+    )
+
+
+@query
+def saved_stop_words(spark, folder):
+    """Terms cleaned with a stop-word list that was read from a file: the corpus' 50 commonest tokens."""
+    found = stats.term_frequency(terms(spark, folder)).orderBy(F.desc("tf"), "term").limit(50)
+    path = scratch_path(spark, "stop-words")
+    found.select("term").write.text(path)
+    words = tables.read_stop_words(spark, path)
+    discard(spark, path)
+    cleaned = document_terms(docs(spark, folder), words)
+    return stats.term_frequency(cleaned)
+
+
+@query
+def saved_concepts(spark, folder):
+    model = full_rank_concepts(spark, folder)
+
+    def read(path):
+        back = models.load_concepts(spark, path)
+        return rounded(relevance.docs_for_terms(back), 6, "score")
+
+    return reread(spark, lambda path: models.save_concepts(model, path), read, "saved-concepts")
+
+
+@query
+def saved_topics(spark, folder):
+    model = em_topics(spark, folder)
+
+    def read(path):
+        back = models.load_topics(spark, path)
+        return rounded(topic_queries.document_topics(back), 6, "weight")
+
+    return reread(spark, lambda path: models.save_topics(model, path), read, "saved-topics")
+
+
+@query
+def fold_in_of_training(spark, folder):
+    """The corpus' own documents, folded in, give the entries that the matrix has, whatever its threshold."""
+    found = terms(spark, folder)
+    loose = matrix.build_matrix(found, min_tf=1)
+    again = matrix.with_new_documents(loose, filters.with_min_terms(found))
+    return again.entries().groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("tfidf"), 5).alias("total")
+    )
+
+
+@query
+def concept_rank(spark, folder):
+    """As many concepts as the matrix has independent columns, each column of U of length 1."""
+    model = full_rank_concepts(spark, folder)
+    sums = model.doc_factors.select(F.posexplode("us").alias("concept", "x")).groupBy("concept").agg(F.sum(F.col("x") * F.col("x")).alias("square"))
+    joined = sums.join(model.concepts, "concept")
+    unit = F.abs(F.sqrt("square") / F.col("sigma") - 1) < 1e-6
+    return joined.agg(F.bool_and(unit).alias("unit"), F.round(F.sum(F.col("sigma") * F.col("sigma")), 2).alias("energy"))
+
+
 @query
 def sample_hash(spark, folder):
     return filters.hash_sample(titles(spark, folder), "doc_id", 0.25)
@@ -771,7 +926,7 @@ def lda_quality(spark, folder):
 def unseen(conversations: DataFrame) -> DataFrame:
     title = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     return conversations.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), title.alias("title"),
+        (F.col("conv_id") * (1 << 32) + F.col("turn")).alias("doc_id"), title.alias("title"),
         F.col("text").alias("content"),
     )
 
@@ -824,14 +979,18 @@ def stream_score(spark, folder):
 
 @query
 def stream_term_counts(spark, folder):
-    """``term_freq`` on a stream."""
+    """``term_freq`` on a stream: each batch writes the terms it changed, the latest count of a term holds.
+
+    A batch that is run again overwrites its own folder.
+    """
     counts = scoring.running_term_counts(corpus(_stream(spark, folder, "documents")))
     path = scratch_path(spark, "term-counts")
     run = (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+        counts.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}"))
         .option("checkpointLocation", scratch_path(spark, "term-counts-progress"))
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    return spark.read.schema(counts.schema).parquet(path)
+    written = spark.read.schema("term string, tf bigint, batch bigint").parquet(path)
+    return written.groupBy("term").agg(F.max_by("tf", "batch").alias("tf"))
