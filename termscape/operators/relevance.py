@@ -1,16 +1,16 @@
 """Relevance questions on a concept model, for one query or a set of queries.
 
-A score is a dot product of a query vector with every factor row. Query vectors are few and small
-(their number times k, checked), so they travel to the tasks; factor rows never move. A task turns a
-batch of rows into scores with one matrix product and keeps its best rows per query, so what is
-shuffled is k rows per query and task however large the table or the skew. A query set beyond the
-size limit is fetched and answered in parts, each with its own pass over the factors.
+A score is a dot product of a query vector with every factor row. A query set of bounded size (checked)
+travels to the tasks, and factor rows never move: a task turns a batch of rows into scores with one
+matrix product and keeps its best rows per query, so what is shuffled is k rows per query and task
+however large the table or the skew. A larger set is met in parts of the factor table: the rows of a part
+come first, the queries stream past them in batches. Either way it is one pass over the factors, and
+no query vector beyond the bounded set reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +20,16 @@ from pyspark.sql import functions as F
 from termscape.functions import text as tx
 from termscape.operators.svd import ConceptModel, titled
 from termscape.operators.topk import top_per_group
-from termscape.session import frozen
+from termscape.session import at_most, frozen
 
-#: Query vector entries (32 MB of doubles) and queries sent to the tasks in one part. A task holds
-#: one score per query for each row of a batch.
+#: Query vector entries (32 MB of doubles) and queries that are sent to the tasks. A task holds one
+#: score per query for each row of a batch.
 MAX_QUERY_ENTRIES = 1 << 22
 MAX_QUERIES = 1024
 
+#: Factor entries of a part that larger query sets are met with (32 MB of doubles).
+PART_ENTRIES = 1 << 22
+
 #: Scores are rounded to this many digits.
 SCORE_DIGITS = 6
 
@@ -77,15 +80,74 @@ def _scored(
     )
 
 
-def _query_parts(queries: DataFrame, dims: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Keys and vectors of ``queries(query, vector)`` in parts of bounded size."""
-    per_part = max(1, min(MAX_QUERIES, MAX_QUERY_ENTRIES // dims))
-    parts = max(1, -(-queries.count() // per_part))
-    for part in range(parts):
-        mine = F.pmod(F.xxhash64("query"), F.lit(parts)) == part
-        rows = queries.where(mine).orderBy("query").toArrow().combine_chunks()
-        vectors = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        yield rows["query"].to_pylist(), vectors.reshape(-1, dims)
+def _met(
+    factors: DataFrame, id_col: str, vector_col: str, queries: DataFrame, k: int, cosine: bool, parts: int
+) -> DataFrame:
+    """Best ``k`` rows per part of the factors and query: ``(query, id, score)``, for any number of queries."""
+    key_type = queries.schema["query"].dataType.simpleString()
+    rows = factors.select(
+        F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("asks"),
+        F.col(id_col).cast("bigint").alias("id"), F.lit(None).cast(key_type).alias("query"),
+        F.col(vector_col).alias("vector"),
+    )
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("asks"),
+        F.lit(None).cast("bigint").alias("id"), "query", "vector",
+    )
+
+    def unit(x):
+        norms = np.sqrt((x * x).sum(axis=1))
+        return norms > 0, x / np.where(norms > 0, norms, 1.0)[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, table = None, [], None
+        for batch in batches:
+            numbers = batch.column("part").to_numpy(zero_copy_only=False)
+            kinds = batch.column("asks").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(kinds) != 0)) + 1
+            for first, last in zip([0, *turns], [*turns, len(numbers)]):
+                if first == last:
+                    continue
+                piece = batch.slice(first, last - first)
+                vectors = piece.column("vector")
+                x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(piece), -1)
+                if numbers[first] != part:
+                    part, held, table = numbers[first], [], None
+                if not kinds[first]:
+                    held.append((piece.column("id").to_numpy(zero_copy_only=False), x))
+                    continue
+                if not held:
+                    continue
+                if table is None:
+                    ids, own = np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held])
+                    if cosine:
+                        long, own = unit(own)
+                        ids, own = ids[long], own[long]
+                    order = np.argsort(ids, kind="stable")  # equal scores rank by id
+                    ids, table = ids[order], own[order]
+                keys = piece.column("query")
+                if cosine:
+                    long, x = unit(x)
+                    keys, x = keys.filter(pa.array(long)), x[long]
+                n = min(k, len(ids))
+                if not n or not len(keys):
+                    continue
+                scores = np.round(x @ table.T, SCORE_DIGITS) + 0.0
+                # all rows at least as good as the n-th: ties beyond n are settled by the caller's rank
+                least = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
+                q, r = np.nonzero(scores >= least[:, None])
+                better = scores[q, r] > least[q]
+                spare = n - np.bincount(q, weights=better, minlength=len(keys)).astype(int)
+                ties = np.cumsum(~better) - 1
+                start = np.concatenate([[0], np.cumsum(np.bincount(q, weights=~better, minlength=len(keys)).astype(int))])
+                keep = better | (ties - start[q] < spare[q])
+                q, r = q[keep], r[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(q)), pa.array(ids[r]), pa.array(scores[q, r])], names=["query", "id", "score"]
+                )
+
+    met = rows.unionByName(asked).repartition("part").sortWithinPartitions("part", "asks")
+    return met.mapInArrow(run, f"query {key_type}, id bigint, score double")
 
 
 def top_scores(
@@ -99,30 +161,36 @@ def top_scores(
     """Best ``k`` factor rows for each of ``queries(query, vector)``: ``(query, rank, id, score)``.
 
     With ``cosine`` both sides are divided by their length and rows without a direction take no part.
-    Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id.
+    Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id. Queries are distinct.
     """
     spark = factors.sparkSession
     key_type = queries.schema["query"].dataType.simpleString()
     first = factors.select(F.size(vector_col)).first()
-    answers = []
-    for keys, vectors in _query_parts(queries, first[0]) if first else ():
-        if cosine:
-            norms = np.sqrt((vectors * vectors).sum(axis=1))
-            long = norms > 0
-            keys = [key for key, kept in zip(keys, long) if kept]
-            vectors = vectors[long] / norms[long, None]
-        if not keys:
-            continue
-        scored = _scored(factors, id_col, vector_col, vectors, k, cosine)
-        names = spark.createDataFrame(list(enumerate(keys)), f"query_no int, query {key_type}")
-        answers.append(
-            top_per_group(scored, ["query_no"], [F.desc("score"), F.col("id")], k)
-            .join(F.broadcast(names), "query_no")
-            .select("query", "rank", "id", "score")
-        )
-    if not answers:
+    if not first or not first[0]:
         return spark.createDataFrame([], f"query {key_type}, rank int, id bigint, score double")
-    return reduce(DataFrame.unionAll, answers)
+    order = [F.desc("score"), F.col("id")]
+    dims = first[0]
+    if not at_most(queries, max(1, min(MAX_QUERIES, MAX_QUERY_ENTRIES // dims))):
+        parts = max(1, -(-factors.count() * dims // PART_ENTRIES))
+        met = _met(factors, id_col, vector_col, queries, k, cosine, parts)
+        return top_per_group(met, ["query"], order, k).select("query", "rank", "id", "score")
+    rows = queries.orderBy("query").toArrow().combine_chunks()
+    keys = rows["query"].to_pylist()
+    vectors = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    if cosine:
+        norms = np.sqrt((vectors * vectors).sum(axis=1))
+        long = norms > 0
+        keys = [key for key, kept in zip(keys, long) if kept]
+        vectors = vectors[long] / norms[long, None]
+    if not keys:
+        return spark.createDataFrame([], f"query {key_type}, rank int, id bigint, score double")
+    scored = _scored(factors, id_col, vector_col, vectors, k, cosine)
+    names = spark.createDataFrame(list(enumerate(keys)), f"query_no int, query {key_type}")
+    return (
+        top_per_group(scored, ["query_no"], order, k)
+        .join(F.broadcast(names), "query_no")
+        .select("query", "rank", "id", "score")
+    )
 
 
 def unit_queries(spark: SparkSession, size: int, n: int | None = None) -> DataFrame:
@@ -190,22 +258,28 @@ def terms_for_terms(
 
 def docs_for_docs(
     model: ConceptModel,
-    doc_ids: Sequence[int] | None = None,
-    titles: Sequence[str] | None = None,
+    doc_ids: Sequence[int] | DataFrame | None = None,
+    titles: Sequence[str] | DataFrame | None = None,
     k: int = 10,
 ) -> DataFrame:
     """Documents by cosine of their rows of U diag(s), the document itself included:
     ``(query_id, rank, doc_id, title, score)``.
 
-    Query documents are named by id or by title. A document without any vocabulary term has no
+    Query documents are named by id or by title, as a list or, for any number of them, as a table with
+    a column ``doc_id`` or ``title``. A document without any vocabulary term has no
     direction: it neither asks nor answers.
     """
     if doc_ids is None and titles is None:
         raise ValueError("name the query documents by id or by title")
     chosen = model.doc_factors
-    if doc_ids is not None:
+    if isinstance(doc_ids, DataFrame):
+        chosen = chosen.join(doc_ids.select("doc_id"), "doc_id", "left_semi")
+    elif doc_ids is not None:
         chosen = chosen.where(F.col("doc_id").isin(list(doc_ids)))
-    if titles is not None:
+    if isinstance(titles, DataFrame):
+        named = model.titles.join(titles.select("title"), "title", "left_semi").select("doc_id")
+        chosen = chosen.join(named, "doc_id", "left_semi")
+    elif titles is not None:
         named = model.titles.where(F.col("title").isin(list(titles))).select("doc_id")
         chosen = chosen.join(named, "doc_id", "left_semi")
     queries = chosen.select(F.col("doc_id").alias("query"), F.col("us").alias("vector"))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 from test_matrix import dense
 
 from termscape.operators import matrix, relevance, svd
@@ -115,9 +116,10 @@ def test_concept_reports(model, truncated, a):
     assert svd.top_terms_for_concept(model, 99).count() == 0
 
 
-@pytest.mark.parametrize("limit", [1 << 22, 12])
-def test_docs_for_terms(model, truncated, a, monkeypatch, limit):
-    monkeypatch.setattr(relevance, "MAX_QUERY_ENTRIES", limit)  # 12: a few queries per part
+@pytest.mark.parametrize("limit, part", [(1 << 22, 1 << 22), (12, 1 << 22), (12, 40)])
+def test_docs_for_terms(model, truncated, a, monkeypatch, limit, part):
+    monkeypatch.setattr(relevance, "MAX_QUERY_ENTRIES", limit)  # 12: queries are met with parts
+    monkeypatch.setattr(relevance, "PART_ENTRIES", part)
     _, v, us = truncated
     names = {r["term"]: r["term_id"] for r in model.term_factors.collect()}
     found = relevance.docs_for_terms(model, k=7)
@@ -211,3 +213,18 @@ def test_no_concepts_beyond_the_rank(spark):
     assert len(model.sigmas) == 3
     us = np.array([r["us"] for r in model.doc_factors.collect()])
     assert np.sqrt((us * us).sum(0)) == pytest.approx(model.sigmas)
+
+
+def test_many_queries_take_one_branch(spark, model, monkeypatch):
+    every = model.titles.select("doc_id")
+    small = relevance.docs_for_docs(model, doc_ids=every, k=9).collect()
+    monkeypatch.setattr(relevance, "MAX_QUERIES", 5)
+    monkeypatch.setattr(relevance, "PART_ENTRIES", 60)
+    met = relevance.docs_for_docs(model, doc_ids=every, k=9)
+    assert sorted(met.collect()) == sorted(small)
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    many = spark.range(100_000).select((F.col("id") % 90).alias("doc_id"))
+    assert relevance.docs_for_docs(model, doc_ids=many, k=2).count() == 2 * relevance.docs_for_docs(model, doc_ids=every, k=1).where("query_id < 90").count()
+    named = relevance.docs_for_docs(model, titles=model.titles.where("doc_id = 7"), k=3).collect()
+    assert {r["query_id"] for r in named} == {7}
