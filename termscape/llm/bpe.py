@@ -74,7 +74,7 @@ class Codec:
         self._sizes = np.zeros(max(self.strings) + 1, np.int64)
         for i, s in self.strings.items():
             self._sizes[i] = len(s)
-        self.id_type = "<u4"
+        self.id_type = "<u2" if max(self.strings) < 1 << 16 else "<u4"
         self._decimal = [str(i) for i in range(len(self._sizes))]
 
     def encode(self, raw: bytes) -> np.ndarray:
