@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termscape.operators.matrix import TermMatrix
@@ -20,6 +23,9 @@ from termscape.session import frozen, scratch_path, shared_folder
 #: Entries of the term-topic table (256 MB of doubles) that are broadcast at most.
 MAX_BROADCAST_ENTRIES = 1 << 25
 
+#: Entries of the term-topic matrix (1 GB of doubles) that Spark's model may hand to the driver.
+MAX_MODEL_ENTRIES = 1 << 27
+
 
 @dataclass(frozen=True)
 class TopicModel:
@@ -84,10 +90,12 @@ def fit_lda(
 def topic_model(fitted: LDAModel, matrix: TermMatrix) -> TopicModel:
     """Tables of a fitted or loaded Spark ML model."""
     spark = matrix.vectors.sparkSession
+    if fitted.vocabSize() * fitted.getK() > MAX_MODEL_ENTRIES:
+        raise ValueError(f"{fitted.vocabSize()} terms x {fitted.getK()} topics do not fit on the driver")
     weights = fitted.topicsMatrix().toArray()
-    counts = spark.createDataFrame(
-        [(i, row.tolist()) for i, row in enumerate(weights)], "term_id int, counts array<double>"
-    )
+    counts = spark.createDataFrame(pa.table({
+        "term_id": pa.array(np.arange(len(weights), dtype=np.int32)), "counts": pa.array(list(weights)),
+    }))
     names = matrix.vocabulary.select("term_id", "term")
     return TopicModel(
         weights.shape[1],
@@ -111,15 +119,18 @@ def model_quality(fitted: LDAModel, matrix: TermMatrix) -> DataFrame:
     return spark.createDataFrame([row], "log_likelihood double, log_perplexity double")
 
 
-def _topic_columns(n_topics: int, prefix: str) -> list[str]:
-    return [f"{prefix}{j}" for j in range(n_topics)]
+def _summed(column: str) -> Column:
+    """Sum of an array column, place by place, aggregated in part before the shuffle."""
+    return vector_to_array(Summarizer.sum(array_to_vector(column)))
 
 
-def _sums(rows: DataFrame, key: str, n_topics: int, prefix: str) -> DataFrame:
-    """Sum the per-entry topic counts ``g0..`` by key as ``<prefix>0..``."""
-    return rows.groupBy(key).agg(
-        *(F.sum(f"g{j}").alias(name) for j, name in enumerate(_topic_columns(n_topics, prefix)))
-    )
+def _sums(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Sum the topic counts ``g`` of entries by key."""
+    return rows.groupBy(key).agg(_summed("g").alias(name))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
 
 def _entries(matrix: TermMatrix, features: str) -> DataFrame:
@@ -137,10 +148,10 @@ def _entries(matrix: TermMatrix, features: str) -> DataFrame:
 def _start(entries: DataFrame, n_topics: int) -> DataFrame:
     """Every entry wholly in topic (31 doc_id + 17 term_id) mod k."""
     topic = F.pmod(31 * F.col("doc_id") + 17 * F.col("term_id"), F.lit(n_topics))
+    numbers = F.sequence(F.lit(0), F.lit(n_topics - 1))
     return entries.select(
         "doc_id", "term_id",
-        *(F.when(topic == j, F.col("weight")).otherwise(0.0).alias(f"g{j}")
-          for j in range(n_topics)),
+        F.transform(numbers, lambda j: F.when(topic == j, F.col("weight")).otherwise(0.0)).alias("g"),
     )
 
 
@@ -155,13 +166,9 @@ def _expected(
     Topic totals are k numbers. As many terms as may be broadcast are; term ids rank by frequency, so
     what is left to shuffle by term are the rare ones, and no term weighs on one task.
     """
-    topics = range(n_topics)
-    totals = by_term.agg(*(F.sum(f"t{j}") for j in topics)).first()
-    shares = [
-        (F.col(f"t{j}") + (eta - 1)) * (F.col(f"d{j}") + (alpha - 1))
-        / (totals[j] + n_terms * (eta - 1))
-        for j in topics
-    ]
+    totals = by_term.agg(_summed("t")).first()[0]
+    below = F.array(*(F.lit(x + n_terms * (eta - 1)) for x in totals))
+    above = F.zip_with("t", "d", lambda t, d: (t + (eta - 1)) * (d + (alpha - 1)))
     joined = entries.join(by_document, "doc_id")
     frequent = MAX_BROADCAST_ENTRIES // n_topics
     if n_terms <= frequent:
@@ -171,22 +178,18 @@ def _expected(
         joined = joined.where(common).join(F.broadcast(by_term.where(common)), "term_id").unionByName(
             joined.where(~common).join(by_term.where(~common), "term_id")
         )
-    unscaled = joined.select(
-        "doc_id", "term_id", "weight", *(share.alias(f"u{j}") for j, share in enumerate(shares))
-    )
-    total = sum((F.col(f"u{j}") for j in topics), F.lit(0.0))
-    return unscaled.withColumn("scale", F.col("weight") / total).select(
-        "doc_id", "term_id", *((F.col(f"u{j}") * F.col("scale")).alias(f"g{j}") for j in topics)
+    share = F.zip_with(above, below, lambda x, y: x / y)
+    unscaled = joined.select("doc_id", "term_id", "weight", share.alias("u"))
+    scaled = unscaled.withColumn("scale", F.col("weight") / _total(F.col("u")))
+    return scaled.select(
+        "doc_id", "term_id", F.transform("u", lambda x: x * F.col("scale")).alias("g")
     )
 
 
-def _document_shares(by_document: DataFrame, titles: DataFrame, n_topics: int) -> DataFrame:
-    columns = [F.col(c) for c in _topic_columns(n_topics, "d")]
-    total = sum(columns, F.lit(0.0))
-    shares = F.array(*(c / total for c in columns))
-    return titles.join(by_document.where(total > 0), "doc_id").select(
-        "doc_id", "title", shares.alias("weights")
-    )
+def _document_shares(by_document: DataFrame, titles: DataFrame) -> DataFrame:
+    known = by_document.withColumn("total", _total(F.col("d"))).where("total > 0")
+    shares = F.transform("d", lambda x: x / F.col("total"))
+    return titles.join(known, "doc_id").select("doc_id", "title", shares.alias("weights"))
 
 
 def _em_priors(
@@ -219,8 +222,8 @@ def fit_em(
     def summed(rows: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
         path = slots[step % 2]
         return (
-            frozen(_sums(rows, "term_id", n_topics, "t"), "em", f"{path}/terms"),
-            frozen(_sums(rows, "doc_id", n_topics, "d"), "em", f"{path}/documents"),
+            frozen(_sums(rows, "term_id", "t"), "em", f"{path}/terms"),
+            frozen(_sums(rows, "doc_id", "d"), "em", f"{path}/documents"),
         )
 
     entries = _entries(matrix, features)
@@ -232,12 +235,9 @@ def fit_em(
     finally:
         entries.unpersist()
 
-    counts = F.array(*_topic_columns(n_topics, "t"))
     names = matrix.vocabulary.select("term_id", "term")
-    topic_terms = names.join(by_term, "term_id").select("term_id", "term", counts.alias("counts"))
-    return TopicModel(
-        n_topics, topic_terms, _document_shares(by_document, matrix.titles, n_topics)
-    )
+    topic_terms = names.join(by_term, "term_id").select("term_id", "term", F.col("t").alias("counts"))
+    return TopicModel(n_topics, topic_terms, _document_shares(by_document, matrix.titles))
 
 
 def score_em(
@@ -257,9 +257,7 @@ def score_em(
     n_topics = model.n_topics
     alpha, eta = _em_priors(n_topics, doc_concentration, topic_concentration)
     slots = [scratch_path(matrix.vectors.sparkSession, f"em-{slot}") for slot in ("even", "odd")]
-    by_term = model.topic_terms.select(
-        "term_id", *(F.get("counts", F.lit(j)).alias(f"t{j}") for j in range(n_topics))
-    )
+    by_term = model.topic_terms.select("term_id", F.col("counts").alias("t"))
     entries = _entries(matrix, features)
     try:
         rows = _start(entries, n_topics)
@@ -268,7 +266,7 @@ def score_em(
                 rows = _expected(
                     entries, by_document, by_term, matrix.n_terms, n_topics, alpha, eta
                 )
-            by_document = frozen(_sums(rows, "doc_id", n_topics, "d"), "em", slots[step % 2])
+            by_document = frozen(_sums(rows, "doc_id", "d"), "em", slots[step % 2])
     finally:
         entries.unpersist()
-    return _document_shares(by_document, matrix.titles, n_topics)
+    return _document_shares(by_document, matrix.titles)
