@@ -570,6 +570,16 @@ def oracle_sql() -> dict[str, str]:
         "topic_json": _with(*EM, select="""SELECT '[' || string_agg('{"term":"' || term ||
             '","probability":' || round(weight, 6)::VARCHAR || ',"topicId":' || topic || '}',
             ',' ORDER BY topic, rank) || ']' AS json FROM words WHERE rank <= 10"""),
+        "lda_ml_em_totals": _with(*SMALL, select="""SELECT count(DISTINCT doc_id) AS documents,
+            true AS shares_add_up, round(sum(tfidf), 2) AS weight FROM a"""),
+        "lda_ml_online_totals": _with(*SMALL, select="""SELECT CAST(topic AS INTEGER) AS topic,
+            (SELECT count(*) FROM vocab) AS terms, true AS adds_up FROM range(5) r(topic)"""),
+        "lda_quality_totals": _with(*SMALL, select=
+            "SELECT round(sum(tfidf), 2) AS weight, true AS positive FROM a"),
+        "stream_score_equals_batch":
+            "SELECT count(*) * 5 AS rows, CAST(0 AS BIGINT) AS differing FROM conversations",
+        "svd_k_factors": "SELECT CAST(20 AS BIGINT) AS concepts, true AS orthonormal, true AS lengths",
+        "sample_random_bounds": "SELECT true AS about_a_quarter, true AS distinct",
         "fold_in_em": _with(*EM, *_fold_in(), select="""SELECT doc_id, title, topic,
             round(c / sum(c) OVER (PARTITION BY doc_id), 6) AS weight
             FROM nd""" + str(EM_STEPS) + " JOIN seen USING (doc_id)"),

@@ -923,6 +923,78 @@ def lda_quality(spark, folder):
     return topics.model_quality(ml_topics(spark, folder).fitted, small_matrix(spark, folder))
 
 
+@query
+def lda_ml_em_totals(spark, folder):
+    """Spark's EM model spreads the weight of the whole matrix over the topics, and each document's shares add up."""
+    model = ml_topics(spark, folder)
+
+    def total(column: str) -> Column:
+        return F.aggregate(column, F.lit(0.0), lambda t, x: t + x)
+
+    weight = model.topic_terms.agg(F.round(F.sum(total("counts")), 2).alias("weight"))
+    shares = model.doc_topics.select(total("weights").alias("s"))
+    whole = F.abs(F.col("s") - 1) < 1e-9
+    found = shares.agg(
+        F.count_if(whole).alias("documents"), F.bool_and(whole | (F.col("s") == 0)).alias("shares_add_up")
+    )
+    return found.select("*", F.lit(weight.first()["weight"]).alias("weight"))
+
+
+@query
+def lda_ml_online_totals(spark, folder):
+    """The words of each topic of the online model make up the whole of it."""
+    small = small_matrix(spark, folder)
+    model = topics.fit_lda(small, n_topics=5, max_iter=10, optimizer="online")
+    every = topic_queries.words_per_topic(model, n=small.n_terms)
+    sums = every.groupBy("topic").agg(F.sum("weight").alias("s"), F.count(F.lit(1)).alias("terms"))
+    return sums.select("topic", "terms", (F.abs(F.col("s") - 1) < 1e-9).alias("adds_up"))
+
+
+@query
+def lda_quality_totals(spark, folder):
+    """Likelihood over perplexity is the weight of the corpus."""
+    quality = topics.model_quality(ml_topics(spark, folder).fitted, small_matrix(spark, folder))
+    weight = F.round(-F.col("log_likelihood") / F.col("log_perplexity"), 2)
+    return quality.select(weight.alias("weight"), (F.col("log_perplexity") > 0).alias("positive"))
+
+
+@query
+def stream_score_equals_batch(spark, folder):
+    stream = stream_score(spark, folder).withColumnRenamed("weight", "streamed")
+    both = fold_in(spark, folder).join(stream, ["doc_id", "title", "topic"], "full")
+    same = F.coalesce(F.abs(F.col("weight") - F.col("streamed")) < 1e-12, F.lit(False))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differing"))
+
+
+@query
+def svd_k_factors(spark, folder):
+    """The truncated model's V has orthonormal columns, and its sigmas are the lengths of A V."""
+    model = truncated_concepts(spark, folder)
+    entry = model.term_factors.select("v", F.posexplode("v").alias("i", "x"))
+    products = entry.select("i", F.posexplode(F.transform("v", lambda y: y * F.col("x"))).alias("j", "p"))
+    gram = products.groupBy("i", "j").agg(F.sum("p").alias("p"))
+    off = F.abs(F.col("p") - (F.col("i") == F.col("j")).cast("double"))
+    lengths = model.doc_factors.select(F.posexplode("us").alias("concept", "x")).groupBy("concept").agg(
+        F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length")
+    ).join(model.concepts, "concept").agg(F.max(F.abs(F.col("length") / F.col("sigma") - 1)).alias("off"))
+    return gram.agg(
+        F.count_if(F.col("i") == F.col("j")).alias("concepts"), (F.max(off) < 1e-8).alias("orthonormal")
+    ).withColumn("lengths", F.lit(lengths.first()["off"] < 1e-8))
+
+
+@query
+def sample_random_bounds(spark, folder):
+    """A quarter of the documents, give or take, none twice, none from elsewhere."""
+    whole = titles(spark, folder)
+    sample = filters.random_sample(whole, 0.25, seed=7)
+    share = F.count(F.lit(1)) / F.lit(whole.count())
+    found = sample.join(whole, ["doc_id", "title"], "left_semi")
+    return found.agg(
+        share.between(0.15, 0.35).alias("about_a_quarter"),
+        (F.count(F.lit(1)) == F.count_distinct("doc_id")).alias("distinct"),
+    )
+
+
 def unseen(conversations: DataFrame) -> DataFrame:
     title = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     return conversations.select(
