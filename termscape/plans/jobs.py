@@ -12,13 +12,14 @@ Locations come from ``spark.termscape.base`` and ``spark.termscape.dump``.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from termscape.functions.stopwords import ENGLISH_174
+from termscape.functions import text as tx
+from termscape.functions.stopwords import ENGLISH_174, ENGLISH_DEFAULT
 from termscape.operators import filters, matrix, relevance, svd, topics
-from termscape.operators.terms import document_terms
+from termscape.operators.terms import document_lemmas, document_terms
 from termscape.sources import dump, models, tables
 
 
@@ -28,15 +29,34 @@ def documents_job(spark: SparkSession, at: tables.Locations, n_docs: int = -1) -
     tables.write_documents(filters.first_documents(docs, n_docs), at.documents)
 
 
+def read_lemmas(spark: SparkSession, path: str) -> DataFrame:
+    """``form<TAB>lemma`` lines."""
+    return spark.read.csv(path, sep="\t", schema="form string, lemma string", quote="")
+
+
+def _terms(
+    docs: DataFrame, lemmas: DataFrame | None, normalizer: Callable[[Column], Column] | None,
+    stop_words: Sequence[str] = ENGLISH_DEFAULT, case_sensitive: bool = False,
+) -> DataFrame:
+    """Clean terms, by lemma if there is a table of them or a rule for them."""
+    if lemmas is not None:
+        return document_lemmas(docs, lemmas, stop_words)
+    return document_terms(docs, stop_words, case_sensitive, normalizer=normalizer)
+
+
 def matrix_job(
     spark: SparkSession, at: tables.Locations, size: int = 2000, fraction: float = -1,
-    n_docs: int = -1, seed: int | None = None,
+    n_docs: int = -1, seed: int | None = None, lemmas: DataFrame | None = None,
+    normalizer: Callable[[Column], Column] | None = None,
 ) -> matrix.TermMatrix:
-    """Documents to the matrix. ``n_docs`` limits the documents only together with a sample."""
+    """Documents to the matrix. ``n_docs`` limits the documents only together with a sample.
+
+    Words become lemmas by the table ``lemmas(form, lemma)`` or by the expression ``normalizer``.
+    """
     docs = filters.filter_titles(tables.read_documents(spark, at.documents))
     if 0 < fraction < 1:
         docs = filters.first_documents(filters.random_sample(docs, fraction, seed), n_docs)
-    built = matrix.build_matrix(document_terms(docs), size)
+    built = matrix.build_matrix(_terms(docs, lemmas, normalizer), size)
     models.save_matrix(built, at.matrix)
     return built
 
@@ -64,10 +84,11 @@ def lda_job(
 def lsa_reports(
     docs: DataFrame, k: int = 100, size: int = 20000, terms: Sequence[str] = (),
     titles: Sequence[str] = (), question: Sequence[str] = (), n: int = 10,
+    lemmas: DataFrame | None = None, normalizer: Callable[[Column], Column] | None = None,
 ) -> dict[str, DataFrame]:
     """Text to answers in one go: the matrix with 174 case-sensitive stop words and no minimum
     counts, its SVD, the leading concepts, and the four kinds of questions."""
-    found = document_terms(docs, ENGLISH_174, case_sensitive=True)
+    found = _terms(docs, lemmas, normalizer, ENGLISH_174, case_sensitive=True)
     built = matrix.build_matrix(found, size, min_df=1, min_tf=1)
     model = svd.fit_concepts(built, min(k, built.n_terms))
     reports = {
@@ -100,6 +121,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     job.add_argument("--fraction", type=float, default=-1)
     job.add_argument("--docs", type=int, default=-1)
     job.add_argument("--seed", type=int)
+    job.add_argument("--lemmas", help="file of form<TAB>lemma lines")
+    job.add_argument("--suffixes", action="store_true", help="strip suffixes by rule")
     job = jobs.add_parser("svd")
     job.add_argument("--concepts", type=int, default=100)
     job = jobs.add_parser("lda")
@@ -114,14 +137,20 @@ def main(arguments: Sequence[str] | None = None) -> None:
     job.add_argument("--term", nargs="*", default=[])
     job.add_argument("--title", nargs="*", default=[])
     job.add_argument("--query", default="")
+    job.add_argument("--lemmas", help="file of form<TAB>lemma lines")
+    job.add_argument("--suffixes", action="store_true", help="strip suffixes by rule")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"termscape {given.job}").getOrCreate()
     at = tables.Locations.of(spark)
+    lemmas = read_lemmas(spark, given.lemmas) if getattr(given, "lemmas", None) else None
+    normalizer = tx.strip_suffix if getattr(given, "suffixes", False) else None
     if given.job == "documents":
         documents_job(spark, at, given.docs)
     elif given.job == "matrix":
-        matrix_job(spark, at, given.terms, given.fraction, given.docs, given.seed)
+        matrix_job(
+            spark, at, given.terms, given.fraction, given.docs, given.seed, lemmas, normalizer
+        )
     elif given.job == "svd":
         svd_job(spark, at, given.concepts)
     elif given.job == "lda":
@@ -131,7 +160,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     else:
         docs = dump.read_dump(spark, at.dump)
         reports = lsa_reports(
-            docs, given.concepts, given.terms, given.term, given.title, given.query.split()
+            docs, given.concepts, given.terms, given.term, given.title, given.query.split(),
+            lemmas=lemmas, normalizer=normalizer,
         )
         for name, report in reports.items():
             print(name)

@@ -157,6 +157,20 @@ def matrix(
     )
 
 
+def lemma_matrix(stop_words, size: int, min_df: int, min_tf: int) -> tuple[str, ...]:
+    """The matrix of lemmas that are terms."""
+    words = _list(sorted({w.lower() for w in stop_words}))
+    return (
+        *LEMMAS,
+        "clean AS (SELECT doc_id, lower(lemma) AS term FROM lemmatized WHERE length(lemma) > 2 "
+        rf"AND regexp_full_match(lemma, '\p{{L}}+') AND lower(lemma) NOT IN {words})",
+        "listed AS (SELECT doc_id, any_value(title) AS title, "
+        "coalesce(list(term) FILTER (term IS NOT NULL), []) AS t "
+        "FROM docs LEFT JOIN clean USING (doc_id) GROUP BY doc_id)",
+        *(cte.replace("FROM tokens", "FROM listed") for cte in matrix(size=size, min_df=min_df, min_tf=min_tf)[2:]),
+    )
+
+
 SMALL = matrix(size=SMALL_VOCABULARY)
 
 
@@ -456,6 +470,10 @@ def oracle_sql() -> dict[str, str]:
             round(tfidf, 6) AS tfidf FROM a"""),
         "book_matrix": _with(*matrix(CLEAN_CASE, 20000, 1, 1), select="""SELECT doc_id, term_id, term,
             tf, round(tfidf, 6) AS tfidf FROM a"""),
+        "tfidf_matrix_lemmas": _with(*lemma_matrix(ENGLISH_DEFAULT, 2000, 2, 2), select="""SELECT doc_id,
+            term_id, term, tf, round(tfidf, 6) AS tfidf FROM a"""),
+        "book_matrix_lemmas": _with(*lemma_matrix(ENGLISH_174, 20000, 1, 1), select="""SELECT doc_id,
+            term_id, term, tf, round(tfidf, 6) AS tfidf FROM a"""),
         "doc_top_terms": _with(*matrix(), select="""SELECT doc_id, (row_number() OVER (PARTITION BY
             doc_id ORDER BY tf DESC, term_id))::INTEGER AS rank, term, tf FROM a QUALIFY rank <= 5"""),
         "tf_vs_tfidf": _with(*matrix(), select="""SELECT title, term, tf, round(tfidf, 6) AS tfidf

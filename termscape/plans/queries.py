@@ -621,6 +621,23 @@ def tfidf_matrix(spark, folder):
     return rounded(built.named_entries(), 6, "tfidf")
 
 
+@query
+def tfidf_matrix_lemmas(spark, folder):
+    """The whole path with words brought to their lemmas first."""
+    source = docs(spark, folder)
+    built = matrix.build_matrix(document_lemmas(source, corpus_lemmas(source)))
+    return rounded(built.named_entries(), 6, "tfidf")
+
+
+@query
+def book_matrix_lemmas(spark, folder):
+    """The second path with words brought to their lemmas first."""
+    source = docs(spark, folder)
+    found = document_lemmas(source, corpus_lemmas(source), ENGLISH_174)
+    built = matrix.build_matrix(found, size=20000, min_df=1, min_tf=1)
+    return rounded(built.named_entries(), 6, "tfidf")
+
+
 @query
 def book_matrix(spark, folder):
     """The second path: 174 case-sensitive stop words, no minimum counts, a larger vocabulary."""

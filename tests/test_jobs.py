@@ -46,3 +46,20 @@ def test_reports(spark):
     assert all(int(r["title"][1:]) % 2 == 1 for r in reports["documents for question"].collect())
     assert [r["term"] for r in reports["unknown terms"].collect()] == ["tarantula"]
     assert reports["concept documents"].where("concept = 0").count() == 4
+
+
+def test_lemmas_in_jobs(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "a b", "rivers river streams"), (2, "c d", "river stream stream"), (3, "e f", "rivers streams lake lake")],
+        "doc_id bigint, title string, content string",
+    )
+    (tmp_path / "lemmas.tsv").write_text("rivers\triver\nstreams\tstream\n")
+    lemmas = jobs.read_lemmas(spark, str(tmp_path / "lemmas.tsv"))
+    at = tables.Locations(str(tmp_path / "base"))
+    tables.write_documents(docs, at.documents)
+    built = jobs.matrix_job(spark, at, 8, lemmas=lemmas)
+    assert {r["term"] for r in built.vocabulary.collect()} == {"river", "stream"}
+    reports = jobs.lsa_reports(docs, 2, terms=["river", "rivers"], n=3, lemmas=lemmas)
+    assert {r["term"] for r in reports["terms for terms"].collect()} == {"river"}
+    loaded = models.load_matrix(spark, at.matrix)
+    assert (loaded.min_tf, loaded.n_terms) == (2, 2)
