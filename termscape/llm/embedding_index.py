@@ -9,8 +9,10 @@ Equal vectors are collapsed first and count with their multiplicity. A list long
 into blocks by hash and each pair of blocks is a group of its own, so no task holds a list, however dense
 its region. A group returns degrees and a spanning forest of its links, not the links.
 
-The pivots are a bounded sample (``n_pivots`` rows, fixed by a hash of their values), the only thing
-that the driver holds. Every vector is indexed.
+The pivots are chosen from a bounded sample (``SAMPLED * n_pivots`` rows, fixed by a hash of their
+values), the only thing that the driver holds. They lie apart: no two have a cosine of
+``APART`` or more. Else a dense cluster would hold many of them, and its members, each near to others of
+these, would share none. Every vector is indexed.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a non-finite number, or whose
 length differs from the pivots' have no links; their component is themselves. Rows with equal or null ids
@@ -33,6 +35,8 @@ from termscape.llm.components import components
 from termscape.session import Scratch, frozen
 
 N_PIVOTS = 1024
+SAMPLED = 4
+APART = 0.6
 LENGTH = 8
 MIN_SHARED = 2
 MIN_COSINE = 0.9
@@ -60,11 +64,11 @@ def _usable(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(places, np.int64), units
 
 
-def choose_pivots(vectors: DataFrame, id_column: str, vector_column: str, n_pivots: int) -> np.ndarray:
-    """A sample of ``n_pivots`` distinct vectors of the commonest length, the same whatever the partitioning."""
+def choose_pivots(vectors: DataFrame, vector_column: str, n_pivots: int) -> np.ndarray:
+    """At most ``n_pivots`` vectors of the commonest length that lie apart, the same whatever the partitioning."""
     whole = vectors.select(F.col(vector_column).cast("array<double>").alias("vector"))
     whole = whole.where("vector is not null and size(vector) > 0").withColumn("place", F.xxhash64("vector"))
-    places = whole.select("place").distinct().orderBy("place").limit(2 * n_pivots)
+    places = whole.select("place").distinct().orderBy("place").limit(SAMPLED * n_pivots)
     last = places.agg(F.max("place")).first()[0]
     if last is None:
         return np.zeros((0, 0))
@@ -77,7 +81,11 @@ def choose_pivots(vectors: DataFrame, id_column: str, vector_column: str, n_pivo
     if not units:
         return np.zeros((0, 0))
     size = max(lengths, key=lambda n: (lengths[n], n))
-    return np.stack([u for u in units if len(u) == size][:n_pivots])
+    chosen = np.zeros((0, size))
+    for unit in units:
+        if len(unit) == size and len(chosen) < n_pivots and (chosen @ unit < APART).all():
+            chosen = np.vstack([chosen, unit])
+    return chosen
 
 
 INDEX_SCHEMA = "vec_id bigint, key binary, vector binary, pivots array<int>"
@@ -186,7 +194,8 @@ def near_duplicates(
 ) -> DataFrame:
     """vec_id, n_links (other rows linked directly), component_id, kept (the smallest id of its component)."""
     spark = vectors.sparkSession
-    pivots = choose_pivots(vectors, id_column, vector_column, n_pivots)
+    pivots = choose_pivots(vectors, vector_column, n_pivots)
+    min_shared = min(min_shared, LENGTH, max(1, len(pivots)))
     with Scratch(spark) as scratch:
         index = scratch.table(describe(vectors, pivots, id_column, vector_column), "pivot-index")
         classes = index.where("key is not null").groupBy("key").agg(

@@ -161,6 +161,21 @@ def test_pivot_index_recall_and_precision(spark):
         assert found[i]["component_id"] <= i and found[i]["kept"] == (found[i]["component_id"] == i)
 
 
+def test_pivot_index_in_a_dense_cluster(spark):
+    """Most vectors lie in one cluster, which must not hold most of the pivots."""
+    rng = np.random.RandomState(6)
+    centre = rng.normal(size=64)
+    rows = [(centre + rng.normal(size=64) * 0.3).tolist() for _ in range(400)] + rng.normal(size=(200, 64)).tolist()
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id bigint, embedding array<double>")
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    found = embedding_index.near_duplicates(df, block=100).agg({"n_links": "sum"}).first()[0]
+    assert near.sum() > 10_000 and 0.9 * near.sum() <= found <= near.sum()
+    only = spark.createDataFrame(list(enumerate(rows[:400])), "vec_id bigint, embedding array<double>")
+    assert embedding_index.near_duplicates(only).agg({"n_links": "sum"}).first()[0] == near[:400, :400].sum()
+
+
 def test_pivot_index_of_nothing(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert embedding_index.near_duplicates(spark.createDataFrame([], schema)).count() == 0
