@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -274,13 +275,20 @@ def stitch(raw: bytes, pieces: list[np.ndarray], own: Codec) -> np.ndarray:
     return np.concatenate([t.ids for t in done]) if done else np.zeros(0, np.uint32)
 
 
+#: A place where the pre-tokenizer ends a piece whatever stands around.
+_SAFE = re.compile(rb"[\x21-\x7e][ \n]")
+
+
 def encode_text(raw: bytes, cuts: list[int], known: dict[bytes, np.ndarray], own: Codec) -> np.ndarray:
-    """Ids of a text whose chunks may have known ids."""
+    """Ids of a text whose chunks may have known ids.
+
+    A chunk without a safe place could not bound a window, so it is encoded with what stands around it.
+    """
     pieces: list[np.ndarray] = []
     start = begun = 0  # ``begun``: start of the stretch without known chunks
     for cut in cuts:
         ids = known.get(xxhash.xxh3_128_digest(raw[start:cut])) if known else None
-        if ids is not None:
+        if ids is not None and _SAFE.search(raw, start, cut):
             if begun < start:
                 pieces.append(own.encode(raw[begun:start]))
             pieces.append(ids)
