@@ -4,9 +4,9 @@ One vector of hashed-text weights is shared by all grades; ordered thresholds cu
 ``P(grade <= k) = logistic(threshold_k - score)``. A document gets its expected grade and the probability of
 the best grade, by which it is selected.
 
-Features: lower-cased words without punctuation around them, their first three and four letters, word
-shapes (``Aa``, ``AA!``, ``a&``), and one that counts words equal to the one before, all hashed to
-``2 ** HASH_BITS`` weights; values are logarithms of 1 + the count, scaled to the length ``LENGTH``.
+Features: lower-cased words without punctuation around them, their first four letters, word shapes
+(``Aa``, ``AA!``, ``a&``), and the level of repetition, all hashed to ``2 ** HASH_BITS`` weights; values are
+logarithms of 1 + the count, scaled to length 1. Words are parted at white space.
 
 The model is fitted on at most ``MAX_TRAINING`` labelled rows, those whose ids hash lowest; only their
 features reach the driver. Scoring reads each document once, without a shuffle.
@@ -19,6 +19,7 @@ with several labels counts once with its lowest grade); without usable labels of
 
 from __future__ import annotations
 
+import math
 import re
 import string
 from collections import Counter
@@ -31,12 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termscape.llm.common import WORD_RE, bounded_batches
+from termscape.llm.common import bounded_batches
 
 HASH_BITS = 18
-#: Features of a word: itself, its first three and four letters, its shape.
-KINDS = 4
-LENGTH = 1.0
 MAX_TRAINING = 8192
 #: A bucket gets a weight if so many training documents have it.
 MIN_DOCS = 5
@@ -52,47 +50,58 @@ _MAX_CACHE = 200_000
 
 def shape(word: str) -> str:
     """Kinds of characters of a word, runs as one: A upper, a lower, 0 digit, others as they are."""
+    if word.isalpha():
+        if word.islower():
+            return "a"
+        if word[0].isupper() and word[1:].islower():
+            return "Aa"
     kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:32])
     return _RUN.sub(r"\1", kinds)[:8]
 
 
+class _Buckets(dict):
+    """Bucket of a value, remembered; ``kind`` keeps kinds of values apart."""
+
+    def __init__(self, kind: int):
+        super().__init__()
+        self._kind = kind
+
+    def __missing__(self, value: str) -> int:
+        found = xxhash.xxh64_intdigest(value.encode(), seed=self._kind) >> (64 - HASH_BITS)
+        if len(self) < _MAX_CACHE:
+            self[value] = found
+        return found
+
+
 class Hasher(dict):
-    """Row of each known word in a table of buckets; forgets all when the table is full."""
+    """The three buckets of a word, packed into one number and remembered up to a bound."""
 
     def __init__(self) -> None:
         super().__init__()
-        self._table = np.zeros((_MAX_CACHE, KINDS), np.int32)
-        self._same = self._bucket("same as before", KINDS + 1)
-
-    @staticmethod
-    def _bucket(value: str, kind: int) -> int:
-        return xxhash.xxh64_intdigest(value.encode(), seed=kind) >> (64 - HASH_BITS)
+        self._word, self._start, self._shape, self._repeat = (_Buckets(kind) for kind in range(1, 5))
 
     def __missing__(self, word: str) -> int:
         core = word.lower().strip(string.punctuation)
-        values = (core, core[:3], core[:4], shape(word))
-        row = len(self)
-        self._table[row] = [self._bucket(v, kind) for kind, v in enumerate(values, 1)]
-        self[word] = row
-        return row
+        kinds = self._word.__missing__(core), self._start[core[:4]], self._shape[shape(word)]
+        found = kinds[0] << 2 * HASH_BITS | kinds[1] << HASH_BITS | kinds[2]
+        if len(self) >= _MAX_CACHE:
+            self.clear()
+        self[word] = found
+        return found
 
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Buckets and values of a text."""
-        words = WORD_RE.findall(text or "")
-        if not words:
+        counts = Counter((text or "").split())
+        if not counts:
             return np.zeros(0, np.int32), np.zeros(0, np.float32)
-        counts = Counter(words)
-        if len(self) + len(counts) > len(self._table):
-            self.clear()
-            if len(counts) > len(self._table):
-                self._table = np.zeros((len(counts), KINDS), np.int32)
-        rows = np.fromiter(map(self.__getitem__, counts), np.int64, len(counts))
         times = np.fromiter(counts.values(), np.int64, len(counts))
-        same = sum(map(str.__eq__, words, words[1:]))
-        places = np.append(self._table[rows].T.ravel(), self._same)
+        packed = np.fromiter(map(self.__getitem__, counts), np.int64, len(counts))
+        mask = (1 << HASH_BITS) - 1
+        level = self._repeat[str(int(2 * math.log2(times.sum() / len(times))))]
+        places = np.concatenate([packed >> 2 * HASH_BITS, packed >> HASH_BITS & mask, packed & mask, [level]])
         buckets, inverse = np.unique(places, return_inverse=True)
-        held = np.log1p(np.bincount(inverse, weights=np.append(np.tile(times, KINDS), same)))
-        return buckets.astype(np.int32), (LENGTH * held / np.linalg.norm(held)).astype(np.float32)
+        held = np.log1p(np.bincount(inverse, weights=np.concatenate([times, times, times, [times.sum()]])))
+        return buckets.astype(np.int32), (held / np.linalg.norm(held)).astype(np.float32)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -109,12 +118,14 @@ class OrdinalModel:
         return _logistic(np.asarray(scores)[:, None] - self.thresholds[None, :])
 
 
-def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, steps: int = STEPS) -> OrdinalModel:
-    """Maximum likelihood by Adam over the whole sample in each step; thresholds stay ordered by construction."""
-    n_grades = int(grades.max()) + 1
-    index = np.concatenate([r[0] for r in rows])
-    value = np.concatenate([r[1] for r in rows]).astype(np.float64)
-    owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+def fit_ordinal(index: np.ndarray, value: np.ndarray, sizes: np.ndarray, grades: np.ndarray, steps: int = STEPS) -> OrdinalModel:
+    """Maximum likelihood by Adam over the whole sample in each step; thresholds stay ordered by construction.
+
+    ``index`` and ``value`` hold the features of all rows, ``sizes`` of them for each.
+    """
+    n_grades, n_rows = int(grades.max()) + 1, len(sizes)
+    value = value.astype(np.float64)
+    owner = np.repeat(np.arange(n_rows, dtype=np.int32), sizes)
     used, column, seen = np.unique(index, return_inverse=True, return_counts=True)
     known = (seen >= MIN_DOCS)[column]  # what one document alone has would only be learnt by heart
     value, owner, column = value[known], owner[known], column[known]
@@ -127,16 +138,16 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, s
     state = [np.zeros(len(weights)), np.zeros(len(weights)), np.zeros(len(base)), np.zeros(len(base))]
     for step in range(1, steps + 1):
         thresholds = np.concatenate([base[:1], base[0] + np.cumsum(np.exp(base[1:]))])
-        score = np.bincount(owner, weights=value * weights[column], minlength=len(rows))
-        below = np.concatenate([np.zeros((len(rows), 1)), _logistic(thresholds[None, :] - score[:, None]), np.ones((len(rows), 1))], axis=1)
-        each = np.arange(len(rows))
+        score = np.bincount(owner, weights=value * weights[column], minlength=n_rows)
+        below = np.concatenate([np.zeros((n_rows, 1)), _logistic(thresholds[None, :] - score[:, None]), np.ones((n_rows, 1))], axis=1)
+        each = np.arange(n_rows)
         high, low = below[each, grades + 1], below[each, grades]
         p = np.maximum(high - low, 1e-12)
         d_high, d_low = high * (1 - high) / p, low * (1 - low) / p
-        d_score = (d_high - d_low) / len(rows)  # of the negative log likelihood
+        d_score = (d_high - d_low) / n_rows  # of the negative log likelihood
         d_cut = np.zeros(len(thresholds))
-        np.add.at(d_cut, grades[grades < n_grades - 1], -d_high[grades < n_grades - 1] / len(rows))
-        np.add.at(d_cut, grades[grades > 0] - 1, d_low[grades > 0] / len(rows))
+        np.add.at(d_cut, grades[grades < n_grades - 1], -d_high[grades < n_grades - 1] / n_rows)
+        np.add.at(d_cut, grades[grades > 0] - 1, d_low[grades > 0] / n_rows)
         d_base = np.array([d_cut.sum(), *[d_cut[k:].sum() * np.exp(base[k]) for k in range(1, len(base))]])
         d_weights = np.bincount(column, weights=value * d_score[owner], minlength=len(weights)) + PENALTY * weights
         for i, (parameter, slope) in enumerate(((weights, d_weights), (base, d_base))):
@@ -175,8 +186,9 @@ def fit(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_TRAINING) -> Ord
     labels = np.array(found.column("grade").to_pylist(), np.int64)
     if len(set(labels.tolist())) < 2:
         raise ValueError("labels of at least two grades are needed")
-    pairs = zip(found.column("buckets").to_pylist(), found.column("values").to_pylist(), strict=True)
-    return fit_ordinal([(np.array(b, np.int64), np.array(v, np.float64)) for b, v in pairs], labels)
+    buckets, values = (found.column(c).combine_chunks() for c in ("buckets", "values"))
+    sizes = buckets.value_lengths().to_numpy(zero_copy_only=False)
+    return fit_ordinal(buckets.flatten().to_numpy(), values.flatten().to_numpy(), sizes, labels)
 
 
 def score(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN_TAIL) -> DataFrame:
