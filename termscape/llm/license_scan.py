@@ -10,7 +10,9 @@ above it that has a licence file.
 Everything is DataFrame functions. Most lines share nothing with a template and are gone early: per template, the
 fewest tokens are found without which the cosine cannot be reached (the squared weights of
 the others add up to less than the cosine's square), and only files and lines that have one of those are
-split. Equal units are scored once, so a statement in a third of all files is one row. Templates are a
+split. Of these, units with too many tokens outside the templates for the cosine go in the same pass. What
+is left is a narrow table, and so are the files' names; the texts are read three times and never shuffled.
+Equal units are scored once, so a statement in a third of all files is one row. Templates are a
 parameter of the job; what the driver collects is one count for each of their tokens.
 
 Defined cases: null and empty texts have no licence of their own; a null path inherits nothing and licenses
@@ -21,6 +23,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
@@ -28,12 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termscape.llm.common import ascii_lower, salted_join
+from termscape.session import Scratch, frozen
 
 TOKEN = "[a-z0-9]+"
 MIN_COSINE = 0.8
 LICENSE_NAMES = r"(?i)^(license|licence|copying|unlicense)([.-].*)?$"
 #: Vocabulary of all templates together; more is refused, as it is broadcast.
-MAX_VOCABULARY = 100_000
+MAX_VOCABULARY = 10_000
 
 #: Customary statements of common licences.
 TEMPLATES = (
@@ -83,6 +87,30 @@ def template_weights(counts: dict[str, int], n_files: int, templates: tuple) ->
     return rows, idf, other, anchors
 
 
+def _may_reach(unit: Column, idf: dict[str, float], other: float) -> Column:
+    """Whether the unit's tokens inside the templates weigh enough against those outside.
+
+    The cosine is at most the share of the length that lies inside; outside, a token weighs ``other`` or more.
+    """
+    values = F.from_json(F.lit(json.dumps(idf)), "map<string,double>")
+
+    def reaches(tokens: Column) -> Column:
+        start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("square"))
+
+        def add(state: Column, token: Column) -> Column:
+            times = F.size(F.filter(tokens, lambda t: t == token))
+            weight = times * F.element_at(values, token)
+            return F.struct((state["n"] + times).alias("n"), (state["square"] + weight * weight).alias("square"))
+
+        inside = F.aggregate(F.array_intersect(tokens, F.map_keys(values)), start, add)
+        least = MIN_COSINE * MIN_COSINE - 1e-9
+        return F.get(
+            F.transform(F.array(inside), lambda s: s["square"] >= least * (s["square"] + (F.size(tokens) - s["n"]) * other * other)), F.lit(0)
+        )
+
+    return F.get(F.transform(F.array(tokens_of(unit)), reaches), F.lit(0))
+
+
 def _scores(units: DataFrame, index: DataFrame, idf: DataFrame, other: float) -> DataFrame:
     """Distinct ``unit`` texts to their best licence and score, where it is at least the smallest cosine."""
     distinct = units.select("unit").distinct()
@@ -104,6 +132,12 @@ def scan(
     templates: tuple = TEMPLATES,
 ) -> DataFrame:
     """Per file: own licence and score, inherited licence and the directory it comes from, licence (own or inherited)."""
+    with Scratch(files.sparkSession) as scratch:
+        found = _scan(files, id_column, path_column, text_column, templates, scratch)
+        return frozen(found, "licences")
+
+
+def _scan(files: DataFrame, id_column: str, path_column: str, text_column: str, templates: tuple, scratch: Scratch) -> DataFrame:
     spark = files.sparkSession
     vocabulary = sorted({t for _, text in templates for t in re.findall(TOKEN, _lower(text))})
     if len(vocabulary) > MAX_VOCABULARY:
@@ -121,19 +155,22 @@ def scan(
     idf = spark.createDataFrame(list(idf_values.items()), "token string, idf double")
 
     anchor = rf"(?i)(?<![a-z0-9])(?:{'|'.join(sorted(anchors))})(?![a-z0-9])"
-    stated = plain.where(F.col("text").rlike(anchor)).dropDuplicates(["file"])
-    lines = stated.select("file", F.explode(F.split("text", "\n")).alias("unit")).where(F.col("unit").rlike(anchor)).distinct()
-    whole = stated.select("file", F.col("text").alias("unit"))
-    scores = _scores(lines.select("unit").union(whole.select("unit")), index, idf, other)
+    unit = F.explode(F.array_append(F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("unit"), F.lit(False).alias("is_whole"))), F.struct(F.col("text").alias("unit"), F.lit(True).alias("is_whole"))))
+    units = plain.where(F.col("text").rlike(anchor)).select("file", unit.alias("u")).select("file", "u.unit", "u.is_whole")
+    units = units.where(F.col("unit").rlike(anchor)).where(_may_reach(F.col("unit"), idf_values, other)).distinct()
+    units = scratch.table(units, "licence-units")
+    directory = F.when(F.instr("path", "/") > 0, F.regexp_extract("path", r"(?s)^(.*)/[^/]*$", 1)).otherwise(F.when(F.col("path").isNotNull(), F.lit("")))
+    names = scratch.table(plain.select("doc_id", "path", "file", directory.alias("dir")), "licence-files")
+    lines, whole = units.where("not is_whole").drop("is_whole"), units.where("is_whole").drop("is_whole")
+    scores = scratch.table(_scores(units, index, idf, other), "licence-scores")
     unit_key = F.xxhash64("file")
     scored_lines = salted_join(lines, scores, "unit", unit_key).where("score is not null")
     scored_whole = salted_join(whole, scores, "unit", unit_key).select("file", F.col("score").alias("whole_score"), F.col("license").alias("whole_license"))
     best_first = F.struct(-F.col("score"), "license")
     own = scored_lines.groupBy("file").agg(F.min_by("license", best_first).alias("own_license"), F.max("score").alias("own_score"))
-    own = own.join(scored_whole, "file", "full")
+    own = own.join(scored_whole.where("whole_score is not null"), "file", "full")
 
-    directory = F.when(F.instr("path", "/") > 0, F.regexp_extract("path", r"(?s)^(.*)/[^/]*$", 1)).otherwise(F.when(F.col("path").isNotNull(), F.lit("")))
-    placed = plain.select("doc_id", "path", "file", directory.alias("dir")).join(own, "file", "left")
+    placed = scratch.table(names.join(own, "file", "left"), "licence-owners")
     named = F.regexp_extract(F.coalesce("path", F.lit("")), r"(?s)([^/]*)$", 1).rlike(LICENSE_NAMES)
     grants = F.coalesce("whole_license", F.when(named, F.col("own_license")))
     granted = placed.where(F.col("dir").isNotNull()).withColumn("grants", grants).where("grants is not null")
