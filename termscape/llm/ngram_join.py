@@ -252,7 +252,9 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     chosen = found.where("component is not null").groupBy("component").agg(F.min(first).alias("x"))
     blank = found.where("component is null").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_row")).distinct()
     keep = chosen.select(F.col("x.doc_id").alias("_id"), F.col("x.row_key").alias("_row")).union(blank)
+    # the texts are dealt once, by the row's hash, which serves the join and the equal rows alike
+    keep = keep.groupBy("_row").agg(F.collect_set(F.struct("_id")).alias("_ids"))
     own = F.xxhash64(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))
-    keyed = docs.withColumn("_own", own)
-    kept = keyed.join(keep, (keyed["_own"] == keep["_row"]) & keyed[id_column].eqNullSafe(keep["_id"]), "left_semi")
+    kept = docs.withColumn("_own", own).join(keep, F.col("_own") == F.col("_row"))
+    kept = kept.where(F.exists("_ids", lambda x: x["_id"].eqNullSafe(F.col(id_column))))
     return kept.dropDuplicates(["_own", id_column]).select(*[F.col(f"`{c}`") for c in docs.columns])
