@@ -40,7 +40,7 @@ MAX_TRAINING = 8192
 MIN_DOCS = 5
 #: A document is kept if its probability of the best grade is at least this.
 MIN_TAIL = 0.5
-STEPS = 300
+STEPS = 600
 RATE = 0.02
 PENALTY = 1e-3
 
