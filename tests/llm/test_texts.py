@@ -155,6 +155,37 @@ def test_license_inheritance(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_license_headers_inline_statements_and_texts(spark):
+    """None of these is a line of a template."""
+    mit = license_scan._MIT.replace(". ", ".\n")
+    bsd = [text for name, kind, text in license_scan.NOTICES if name == "BSD-3-Clause" and kind == license_scan.TEXT][0]
+    gpl = "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version {} of the License, or\n * (at your option) any later version.\n */\nint main() {{}}"
+    files = {
+        "a/1.c": ("Copyright (c) 2015 Example Corp. All rights reserved.", "proprietary"),
+        "a/2.c": ("// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+        "a/3.c": ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+        "a/4.c": ("# Licensed under the Apache\n# License, Version 2.0 (the \"License\");\n# you may not use this file", "Apache-2.0"),
+        "a/5.c": (gpl.format(3) + " filler" * 3000, "GPL-3.0"),
+        "a/6.c": (gpl.format(2), "GPL-2.0"),
+        "a/7.c": ("The tool by Jo, first shown in May, is released under the MIT License, see the site for more.", "MIT"),
+        "a/8.c": ("Copyright (c) 2020, Jo\nAll rights reserved.\n\n" + bsd[:900] + " code" * 3000, "BSD-3-Clause"),
+        "a/9.c": ("This work is under a Creative Commons Attribution-ShareAlike 4.0 International license.", "CC-BY-SA-4.0"),
+        "b/COPYRIGHT": ("MIT License\n\nCopyright (c) 2020 Jo Doe\n\n" + mit, "MIT"),
+        "c/terms": ("Copyright (c) 2020, Jo\nAll rights reserved.\n\n" + bsd, "BSD-3-Clause"),
+        "d/text": ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n" + " prose" * 5000, "GPL-3.0"),
+        "e/MIT.c": ("MIT License", "MIT"),
+        "f/1.c": ("The version of the license that the public works with is general, as any later software is.", None),
+        "f/3.c": ("Er kam. Mit. MIT!! Ohne.\nMit\nmit", None),
+        "f/2.c": ("SPDX-License-Identifier: LicenseRef-Own", None),
+    }
+    inherit = {"b/x/1.c": "MIT", "c/1.c": "BSD-3-Clause", "d/y/z/1.c": "GPL-3.0", "e/1.c": None, "a/plain.c": None}
+    rows = [(i, path, text) for i, (path, (text, _)) in enumerate(files.items())] + [(100, path, "code") for path in inherit]
+    rows += [(200, "z/other", f"prose {i}") for i in range(50)]
+    found = {r["path"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, path string, text string")).collect()}
+    assert {path: found[path]["own_license"] for path in files} == {path: name for path, (_, name) in files.items()}
+    assert {path: found[path]["inherited_license"] for path in inherit} == inherit
+
+
 def test_license_anchors_lose_nothing():
     rows, idf, other, anchors = license_scan.template_weights({"license": 50, "the": 900}, 1000, license_scan.TEMPLATES)
     for number in {r[1] for r in rows}:
