@@ -15,6 +15,9 @@ Steps, each over all documents:
    family of m variants costs about m meetings, not m * m, and no link between components is lost.
 4. A pair is verified once: the suffix filter compares how many shingles each has in ranges of the order
    of hashes, whose smaller numbers bound the intersection; then the full sets are intersected.
+5. All links lie within components, so ``linked_duplicates`` then counts them there: a component's classes
+   are dealt by hash into blocks of about ``BLOCK``, and every pair of blocks intersects all its sets at once. A class
+   is copied once per block of its component; only counts leave a task, weighted by the rows of the classes.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a text of fewer than five
 words is one shingle of all of them; null, empty and blank texts have no shingle and no partner. Rows with
@@ -41,6 +44,8 @@ from termscape.session import Scratch, frozen, release_shuffles
 SHINGLE = 5
 #: 100 * intersection >= 80 * union, kept in whole numbers throughout.
 PERCENT = 80
+#: Classes in a block, pairs of which are compared at once; shingles that are compared in one product.
+BLOCK, COLUMNS = 256, 4096
 #: Ranges of the suffix filter, between which the sorted hashes are cut.
 PIVOTS = (np.arange(1, 64, dtype=np.uint64) << np.uint64(58)).astype(np.uint64)
 #: Shingles in a shard of text, for the number of counters.
@@ -220,20 +225,76 @@ def class_links(signed: DataFrame, scratch: Scratch) -> DataFrame:
     return first_links.union(_verified(second, signed))
 
 
-def _components_of_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """doc_id, row_key, n_shingles, component (a key of the group; null without shingles), component_id of each row."""
+def block_links(sets: list[np.ndarray], block: np.ndarray, i: int, j: int) -> np.ndarray:
+    """Which sets are similar, between block ``i`` and block ``j``, as pairs of places in ``sets``; each pair once."""
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, int(column[-1]) + 1, COLUMNS):
+        at = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[at], column[at] - start] = 1
+        both += (held[left] @ held[right].T).astype(np.int64)
+    linked = 100 * both >= PERCENT * (sizes[left][:, None] + sizes[right][None, :] - both)
+    if i == j:
+        linked = np.triu(linked, 1)
+    a, b = np.nonzero(linked)
+    return np.stack([left[a], right[b]], 1)
+
+
+def _count_links(key: tuple, rows: pa.Table) -> pa.Table:
+    """Rows of documents that each class of a pair of blocks is linked to within it."""
+    _, i, j = (k.as_py() for k in key)
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("members").to_pylist()]
+    pairs = block_links(sets, rows.column("block").to_numpy(), i, j)
+    n_rows = rows.column("n_rows").to_numpy()
+    found = np.zeros(len(sets), np.int64)
+    np.add.at(found, pairs[:, 0], n_rows[pairs[:, 1]])
+    np.add.at(found, pairs[:, 1], n_rows[pairs[:, 0]])
+    return pa.table({"set_key": rows.column("set_key").cast(pa.binary()), "links": pa.array(found, pa.int64())}).filter(pa.array(found > 0))
+
+
+def _class_link_counts(signed: DataFrame, member: DataFrame, block: int) -> DataFrame:
+    """``(set_key, links)``: rows of the other classes that a class is similar to. Classes without any are absent."""
+    sets = signed.where("members is not null").groupBy("set_key").agg(F.first("members").alias("members"), F.count(F.lit(1)).alias("n_rows"))
+    sizes = member.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
+    placed = salted_join(member, sizes, "component", F.xxhash64("vertex"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("n_blocks")).cast("int"))
+    placed = sets.join(placed, sets["set_key"] == placed["vertex"])
+    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
+    met = placed.select("set_key", "members", "n_rows", "block", "component", other.alias("other"))
+    met = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    counted = met.groupBy("component", "i", "j").applyInArrow(_count_links, "set_key binary, links bigint")
+    return counted.groupBy("set_key").agg(F.sum("links").alias("links"))
+
+
+def _components_of_rows(docs: DataFrame, id_column: str, text_column: str, block: int | None = None) -> DataFrame:
+    """doc_id, row_key, n_shingles, component (a key of the group; null without shingles), component_id of each row.
+
+    With ``block`` also n_links, counted in blocks of so many classes.
+    """
     with Scratch(docs.sparkSession) as scratch:
         signed = scratch.table(sign_documents(docs, id_column, text_column), "ngram-signed")
         release_shuffles(docs.sparkSession)  # the texts and hashes just exchanged
         member = components(class_links(signed, scratch))
-        classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
+        classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_rows"))
         classes = classes.join(member, classes["set_key"] == member["vertex"], "left")
-        classes = classes.select("set_key", "least", F.coalesce("component", "set_key").alias("component"))
+        classes = classes.select("set_key", "least", "n_rows", F.coalesce("component", "set_key").alias("component"))
         smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-        answer = classes.join(smallest, "component").select("set_key", "component", "component_id")
-        rows = salted_join(signed.select("doc_id", "row_key", "n_shingles", "set_key"), answer, "set_key", F.col("row_key"))
+        answer = classes.join(smallest, "component").select("set_key", "component", "component_id", "n_rows")
+        counted = []
+        if block:
+            links = scratch.table(_class_link_counts(signed, member, block), "ngram-link-counts")
+            answer = answer.join(links, "set_key", "left")
+            answer = answer.withColumn("class_links", F.col("n_rows") - 1 + F.coalesce("links", F.lit(0))).drop("links")
+            counted = [F.coalesce("class_links", F.lit(0)).cast("bigint").alias("n_links")]
+        rows = salted_join(signed.select("doc_id", "row_key", "n_shingles", "set_key"), answer.drop("n_rows"), "set_key", F.col("row_key"))
         own = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        return frozen(rows.select("doc_id", "row_key", "n_shingles", "component", own.alias("component_id")), "ngram-components")
+        return frozen(rows.select("doc_id", "row_key", "n_shingles", "component", own.alias("component_id"), *counted), "ngram-components")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -242,6 +303,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return found.select(F.col("doc_id").alias(id_column), "n_shingles", "component_id")
 
 
+def linked_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block: int = BLOCK) -> DataFrame:
+    """``near_duplicates`` with n_links, the number of other rows that are similar to a row, equal ones among them."""
+    found = _components_of_rows(docs, id_column, text_column, block)
+    return found.select(F.col("doc_id").alias(id_column), "n_shingles", "component_id", "n_links")
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with the smallest id.
 

@@ -39,7 +39,7 @@ def op3_ordinal_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return ngram_join.linked_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

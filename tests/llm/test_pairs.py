@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import near_duplicates, repeats
+from brute import near_duplicates, repeats, shingles
 
 from termscape.llm import components, embedding_index, ngram_join, suffix_dedup
 
@@ -43,6 +43,16 @@ def test_ngram_join_equals_all_pairs(spark, families):
     assert sorted(map(tuple, found.collect()), key=repr) == near_duplicates(families)
 
 
+@pytest.mark.parametrize("block", [2, 256])
+def test_ngram_join_counts_every_link(spark, families, block):
+    sets = [shingles(t) for _, t in families]
+    links = [sum(bool(a) and i != j and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    expected = sorted(((d, len(x), n) for (d, _), x, n in zip(families, sets, links, strict=True)), key=repr)
+    found = ngram_join.linked_duplicates(frame(spark, families), block=block)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in found.collect()), key=repr) == expected
+    assert sorted(map(tuple, found.drop("n_links").collect()), key=repr) == near_duplicates(families)
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.near_duplicates(frame(spark, [])).count() == 0
     assert ngram_join.keep_one(frame(spark, [])).count() == 0
