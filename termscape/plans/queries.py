@@ -25,9 +25,12 @@ from termscape.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Vocabulary of the full-rank concept model and of the EM topic model.
+#: Vocabulary of the full-rank concept model, of the EM topic model and of the checks of Spark's models by SQL.
 SMALL_VOCABULARY = 200
 EM_TOPICS, EM_STEPS = 4, 3
+#: Topics and iterations of Spark's models, and of the small ones that SQL checks.
+LDA_TOPICS, LDA_STEPS = 20, 20
+SMALL_TOPICS, SMALL_STEPS = 5, 10
 
 QUERIES: dict[str, Query] = {}
 
@@ -102,7 +105,14 @@ def em_topics(spark, folder) -> topics.TopicModel:
 def ml_topics(spark, folder) -> topics.TopicModel:
     return _once(
         spark, folder, "lda",
-        lambda: topics.fit_lda(small_matrix(spark, folder), n_topics=5, max_iter=10),
+        lambda: topics.fit_lda(full_matrix(spark, folder), LDA_TOPICS, LDA_STEPS),
+    )
+
+
+def small_ml_topics(spark, folder) -> topics.TopicModel:
+    return _once(
+        spark, folder, "small lda",
+        lambda: topics.fit_lda(small_matrix(spark, folder), SMALL_TOPICS, SMALL_STEPS),
     )
 
 
@@ -929,21 +939,19 @@ def lda_ml_em_doc_topics(spark, folder):
 
 @query
 def lda_ml_online(spark, folder):
-    model = topics.fit_lda(
-        small_matrix(spark, folder), n_topics=5, max_iter=10, optimizer="online"
-    )
+    model = topics.fit_lda(full_matrix(spark, folder), LDA_TOPICS, LDA_STEPS, optimizer="online")
     return topic_queries.words_per_topic(model)
 
 
 @query
 def lda_quality(spark, folder):
-    return topics.model_quality(ml_topics(spark, folder).fitted, small_matrix(spark, folder))
+    return topics.model_quality(ml_topics(spark, folder).fitted, full_matrix(spark, folder))
 
 
 @query
 def lda_ml_em_totals(spark, folder):
     """Spark's EM model spreads the weight of the whole matrix over the topics, and each document's shares add up."""
-    model = ml_topics(spark, folder)
+    model = small_ml_topics(spark, folder)
 
     def total(column: str) -> Column:
         return F.aggregate(column, F.lit(0.0), lambda t, x: t + x)
@@ -961,7 +969,7 @@ def lda_ml_em_totals(spark, folder):
 def lda_ml_online_totals(spark, folder):
     """The words of each topic of the online model make up the whole of it."""
     small = small_matrix(spark, folder)
-    model = topics.fit_lda(small, n_topics=5, max_iter=10, optimizer="online")
+    model = topics.fit_lda(small, SMALL_TOPICS, SMALL_STEPS, optimizer="online")
     every = topic_queries.words_per_topic(model, n=small.n_terms)
     sums = every.groupBy("topic").agg(F.sum("weight").alias("s"), F.count(F.lit(1)).alias("terms"))
     return sums.select("topic", "terms", (F.abs(F.col("s") - 1) < 1e-9).alias("adds_up"))
@@ -970,15 +978,16 @@ def lda_ml_online_totals(spark, folder):
 @query
 def lda_quality_totals(spark, folder):
     """Likelihood over perplexity is the weight of the corpus."""
-    quality = topics.model_quality(ml_topics(spark, folder).fitted, small_matrix(spark, folder))
+    quality = topics.model_quality(small_ml_topics(spark, folder).fitted, small_matrix(spark, folder))
     weight = F.round(-F.col("log_likelihood") / F.col("log_perplexity"), 2)
     return quality.select(weight.alias("weight"), (F.col("log_perplexity") > 0).alias("positive"))
 
 
 @query
 def stream_score_equals_batch(spark, folder):
-    stream = stream_score(spark, folder).withColumnRenamed("weight", "streamed")
-    both = fold_in(spark, folder).join(stream, ["doc_id", "title", "topic"], "full")
+    stages = scoring.scoring_stages(small_matrix(spark, folder), small_ml_topics(spark, folder).fitted)
+    stream = _stream_scores(spark, folder, stages).withColumnRenamed("weight", "streamed")
+    both = _folded_in(spark, folder, stages).join(stream, ["doc_id", "title", "topic"], "full")
     same = F.coalesce(F.abs(F.col("weight") - F.col("streamed")) < 1e-12, F.lit(False))
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("differing"))
 
@@ -1033,9 +1042,10 @@ def fold_in_em(spark, folder):
 @query
 def fold_in(spark, folder):
     """Topics of documents that were not in the training corpus."""
-    stages = scoring.scoring_stages(
-        small_matrix(spark, folder), ml_topics(spark, folder).fitted
-    )
+    return _folded_in(spark, folder, scoring.scoring_stages(full_matrix(spark, folder), ml_topics(spark, folder).fitted))
+
+
+def _folded_in(spark, folder, stages) -> DataFrame:
     shares = scoring.topic_shares(unseen(table(spark, folder, "conversations", "conv_id", "turn")), stages)
     return shares.select("doc_id", "title", F.posexplode("weights").alias("topic", "weight"))
 
@@ -1051,9 +1061,10 @@ def _stream(spark, folder, name: str) -> DataFrame:
 @query
 def stream_score(spark, folder):
     """``fold_in`` on a stream."""
-    stages = scoring.scoring_stages(
-        small_matrix(spark, folder), ml_topics(spark, folder).fitted
-    )
+    return _stream_scores(spark, folder, scoring.scoring_stages(full_matrix(spark, folder), ml_topics(spark, folder).fitted))
+
+
+def _stream_scores(spark, folder, stages) -> DataFrame:
     shares = scoring.topic_shares(unseen(_stream(spark, folder, "conversations")), stages)
     path = scratch_path(spark, "scores")
     run = (
