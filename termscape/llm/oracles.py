@@ -158,9 +158,85 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+read AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(words) < 100,
+     100 * len(list_distinct(words)) < 80 * len(words),
+     100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 10 * length(body),
+     regexp_matches(body, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false)] AS fails
+  FROM read LEFT JOIN marks USING (doc_id)),
+counted AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+letters(l, i) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS seq
+  FROM letters a JOIN letters b ON b.i <> a.i JOIN letters c ON c.i NOT IN (a.i, b.i)
+    JOIN letters d ON d.i NOT IN (a.i, b.i, c.i) JOIN letters e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+-- every order run over every kind of document: the step at which it goes, 0 if never
+run AS (
+  SELECT part, filter_order, fails, n, good, toxic, coalesce(list_position(list_transform(seq, lambda f: fails[f]), true), 0) AS gone
+  FROM counted, orders),
+steps AS (SELECT filter_order, seq, unnest(range(1, 6)) AS step FROM orders),
+reported AS (
+  SELECT part, filter_order, step, seq[step] AS f, sum(n) FILTER (gone = 0 OR gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+    sum(n) FILTER (fails[seq[step]] AND gone <> step) AS redundant,
+    sum(n) FILTER (fails[seq[step]] AND len(list_filter(fails, lambda x: x)) = 1) AS unique_fails,
+    sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+  FROM run JOIN steps USING (filter_order) GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM reported
+"""
+
+_OP13 = r"""
+WITH RECURSIVE crc_steps AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named, run, sum(n) AS n FROM (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL)
+  WHERE length(run) >= 5 GROUP BY ALL),
+summed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(named)), lambda k: CAST('0x' || substr(hex(encode(named)), CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc_steps),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM summed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shortened AS MATERIALIZED (
+  SELECT word, length(word) AS size, spot, substr(word, 1, spot) || substr(word, spot + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS spot FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS near FROM shortened a JOIN shortened b ON a.rest = b.rest AND a.spot = b.spot AND a.size = b.size AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM shortened s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word FROM shortened s JOIN words w ON s.rest = w.word),
+best AS (
+  SELECT r.word, count(*) AS n_near, arg_min(near, (-w.n, near)) AS form, max(w.n) AS form_n
+  FROM near r JOIN words w ON r.near = w.word GROUP BY r.word),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain(word, root, step) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, arg_max(root, step) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+FROM formed JOIN chain USING (word) GROUP BY word, form
+"""
+
 ORACLES: dict[str, str] = {
     "op1_temperature_mixing": _OP1,
     "op2_url_filters": _OP2,
     "op6_license_scan": _OP6,
     "op10_chat_formatting": _OP10,
+    "op12_filter_audit": _OP12,
+    "op13_spelling_variants": _OP13,
 }

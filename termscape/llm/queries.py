@@ -11,15 +11,19 @@ from termscape.llm import (
     bpe,
     chat,
     embedding_index,
+    filter_audit,
     license_scan,
     mixing,
     ngram_join,
     quality_classifier,
     quality_rules,
+    spelling,
     suffix_dedup,
+    token_frames,
     url_filters,
 )
 from termscape.llm.common import read_table
+from termscape.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +78,22 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_turns(turns))
 
 
+def op11_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "token-frames")
+    token_frames.write_tokens(read_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_frames.read_checksums(spark, folder)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("filter")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_url_filters": op2_url_filters,
@@ -85,4 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_chunked_bpe": op8_chunked_bpe,
     "op9_pivot_index": op9_pivot_index,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_token_frames": op11_token_frames,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
