@@ -93,6 +93,16 @@ def strip_suffix(word: Column) -> Column:
     return result.otherwise(word)
 
 
+def suffix_rules_sql(word: str = "word") -> str:
+    """``strip_suffix`` as SQL text on ``word``, a form in which it can be stored."""
+    cases = " ".join(
+        f"WHEN endswith(lower({word}), '{suffix}') AND length({word}) >= {shortest} "
+        f"THEN concat(substring({word}, 1, length({word}) - {len(suffix)}), '{replacement}')"
+        for suffix, replacement, shortest in SUFFIX_RULES
+    )
+    return f"CASE {cases} ELSE {word} END"
+
+
 def normalized(tokens: Column, normalizer: Callable[[Column], Column] | None) -> Column:
     """Apply a word-to-word column function to every token."""
     return tokens if normalizer is None else F.transform(tokens, normalizer)
@@ -118,6 +128,14 @@ def clean_terms(
     return F.filter(terms, lambda w: ~w.isin(lowered)) if lowered else terms
 
 
+def terms_of(
+    words: Column, stop_words: Sequence[str] = ENGLISH_DEFAULT, case_sensitive: bool = False, min_length: int = 3
+) -> Column:
+    """Words in normal form to terms: shape filter, stop words, lower case."""
+    found = with_term_shape(words, min_length)
+    return lower_all(without_stop_words(found, stop_words, case_sensitive))
+
+
 def joined(items: Column, separator: str = ", ") -> Column:
     """Array of strings as one string."""
     return F.array_join(items, separator)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termscape.operators.filters import with_min_terms
+from termscape.operators.preprocessing import TermExtractor
 from termscape.operators.stats import term_profile
 from termscape.session import frozen
 
@@ -29,7 +30,7 @@ class TermMatrix:
     on. ``vocabulary(term_id, term, tf, df, matrix_df, idf)`` has at most
     ``MAX_VOCABULARY`` rows: ``tf`` and ``df`` count the corpus, ``matrix_df`` the documents with a
     non-zero entry, which is what ``idf`` is based on. ``min_tf`` is the count threshold of the
-    entries, which other documents must be held to as well.
+    entries, which other documents must be held to as well, and ``extractor`` the way from their text to terms.
     """
 
     vectors: DataFrame
@@ -37,6 +38,7 @@ class TermMatrix:
     n_documents: int
     n_terms: int
     min_tf: int = 2
+    extractor: TermExtractor = field(default_factory=TermExtractor)
 
     @property
     def titles(self) -> DataFrame:
@@ -105,9 +107,12 @@ def build_matrix(
     min_terms: int = 2,
     min_df: int = 2,
     min_tf: int = 2,
+    extractor: TermExtractor | None = None,
 ) -> TermMatrix:
     """Vocabulary and TF-IDF matrix of ``terms(doc_id, title, terms)``.
 
+    ``extractor`` says how the terms were made (see ``build_from``); new documents and questions go the same way.
+
     Two passes over the text: one counts terms, one writes the count vectors. Weights are computed
     from the far smaller vectors.
     """
@@ -126,7 +131,15 @@ def build_matrix(
         ],
         VOCABULARY_SCHEMA,
     )
-    return TermMatrix(weights.transform(counts), vocabulary, weights.numDocs, len(rows), min_tf)
+    return TermMatrix(
+        weights.transform(counts), vocabulary, weights.numDocs, len(rows), min_tf, extractor or TermExtractor()
+    )
+
+
+def build_from(docs: DataFrame, extractor: TermExtractor | None = None, **sizes: int) -> TermMatrix:
+    """``build_matrix`` of ``docs(doc_id, title, content)``, remembering how text became terms."""
+    extractor = extractor or TermExtractor()
+    return build_matrix(extractor.transform(docs), extractor=extractor, **sizes)
 
 
 def feature_stages(matrix: TermMatrix) -> list[Transformer]:
@@ -148,6 +161,11 @@ def with_new_documents(matrix: TermMatrix, terms: DataFrame) -> TermMatrix:
     return replace(matrix, vectors=vectors.select("doc_id", "title", "tf", "tfidf"))
 
 
+def fold_in_documents(matrix: TermMatrix, docs: DataFrame) -> TermMatrix:
+    """``docs(doc_id, title, content)``, batch or stream, by the matrix's own way from text to weights."""
+    return with_new_documents(matrix, matrix.extractor.transform(docs))
+
+
 def entry_of(term_id: int, vector: str = "tf") -> Column:
     """Entry of one term in a sparse vector column, 0 where it is absent."""
     packed = F.unwrap_udt(vector)

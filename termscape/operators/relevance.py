@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscape.functions import text as tx
+from termscape.operators.preprocessing import TermExtractor
 from termscape.operators.svd import ConceptModel, titled
 from termscape.operators.topk import top_per_group
 from termscape.session import at_most, frozen
@@ -299,10 +299,11 @@ def query_terms(queries: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, D
     return weighed, unknown
 
 
-def text_queries(texts: DataFrame) -> DataFrame:
-    """``(query_id, content)`` to ``(query_id, term)`` with the terms cleaned as in documents."""
-    terms = tx.clean_terms(F.col("content"))
-    return texts.select("query_id", F.explode(F.array_distinct(terms)).alias("term"))
+def text_queries(texts: DataFrame, extractor: TermExtractor | None = None) -> DataFrame:
+    """``(query_id, content)`` to ``(query_id, term)`` with the terms made as the matrix's extractor makes them."""
+    asked = texts.select(F.col("query_id").alias("doc_id"), F.lit(None).cast("string").alias("title"), "content")
+    found = (extractor or TermExtractor()).transform(asked)
+    return found.select(F.col("doc_id").alias("query_id"), F.explode(F.array_distinct("terms")).alias("term"))
 
 
 def docs_for_queries(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,32 +37,74 @@ def document_terms(
     return computed(docs, ["doc_id", "title"], terms=terms)
 
 
-#: Lemma tables up to this many rows (some 50 MB) are broadcast, and so are the lemmas of this many
-#: of the most frequent forms.
+#: Lemma tables up to this many rows (some 50 MB) are sent to every Python worker; beyond it, the lemmas of
+#: this many of the most frequent forms are broadcast and the other words are joined.
 MAX_BROADCAST_LEMMAS = 1_000_000
 FREQUENT_FORMS = 10_000
 
 
+def lemma_table(lemmas: DataFrame) -> DataFrame:
+    """One lemma per lower-cased form, the smallest of several, as a stored table."""
+    one = lemmas.groupBy(F.lower("form").alias("form")).agg(F.min("lemma").alias("lemma"))
+    return frozen(one.where("form is not null and lemma is not null"), "lemmas")
+
+
+def lemma_lookup(table: DataFrame) -> Callable[[Column], Column]:
+    """Function of an array of words to their lemmas, a word without one standing for itself.
+
+    ``table`` comes from ``lemma_table`` and has at most ``MAX_BROADCAST_LEMMAS`` rows. The lookup is inside the
+    row: no word is shuffled, and it works on streams. Of a batch of texts each distinct form is looked up once.
+    """
+    rows = table.toArrow()
+    held = table.sparkSession.sparkContext.broadcast(dict(zip(rows["form"].to_pylist(), rows["lemma"].to_pylist(), strict=True)))
+
+    @F.arrow_udf("array<string>")
+    def lemmas_of(forms: pa.Array) -> pa.Array:
+        coded = forms.flatten().dictionary_encode()
+        known = pa.array([held.value.get(form) for form in coded.dictionary.to_pylist()], pa.string())
+        sizes = pc.fill_null(pc.list_value_length(forms), 0)
+        ends = pc.cumulative_sum(sizes).cast(pa.int32())
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        return pa.ListArray.from_arrays(offsets, known.take(coded.indices))
+
+    return lambda words: F.zip_with(words, lemmas_of(tx.lower_all(words)), lambda word, lemma: F.coalesce(lemma, word))
+
+
+def lemma_words(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """``(doc_id, title, words)``: every word brought to its lemma, in the order of the text.
+
+    ``lemmas(form, lemma)`` is looked up by the lower-cased form. Not for a table of more than
+    ``MAX_BROADCAST_LEMMAS`` rows.
+    """
+    table = lemma_table(lemmas)
+    if not at_most(table, MAX_BROADCAST_LEMMAS):
+        raise ValueError(f"more than {MAX_BROADCAST_LEMMAS} lemmas")
+    return _looked_up(docs, lemma_lookup(table))
+
+
+def _looked_up(docs: DataFrame, lookup: Callable[[Column], Column]) -> DataFrame:
+    split = computed(docs, ["doc_id", "title"], words=tx.words(F.col("content")))
+    return split.select("doc_id", "title", lookup(F.col("words")).alias("words"))
+
+
 def lemma_counts(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Lemma of every word with its count: ``(doc_id, lemma, n)``.
 
     ``lemmas(form, lemma)`` is looked up by the lower-cased form; of several lemmas for one form the
-    smallest is used, and a form without one stands for itself. A table of checked size is broadcast,
-    so words are looked up where they are; for a larger one see ``_joined_lemmas``.
+    smallest is used, and a form without one stands for itself. With a table of checked size
+    words are looked up where they are; for a larger one see ``_joined_lemmas``.
     """
+    table = lemma_table(lemmas)
+    if at_most(table, MAX_BROADCAST_LEMMAS):
+        titled = docs.select("doc_id", F.lit(None).cast("string").alias("title"), "content")
+        found = _looked_up(titled, lemma_lookup(table)).select("doc_id", F.explode("words").alias("lemma"))
+        return found.groupBy("doc_id", "lemma").agg(F.count(F.lit(1)).alias("n"))
     words = (
         computed(docs, ["doc_id"], words=tx.words(F.col("content")))
         .select("doc_id", F.explode("words").alias("word"))
         .select("doc_id", "word", F.lower("word").alias("form"), F.lit(1).cast("bigint").alias("n"))
     )
-    table = frozen(
-        lemmas.groupBy(F.lower("form").alias("form")).agg(F.min("lemma").alias("lemma")), "lemmas"
-    )
-    if at_most(table, MAX_BROADCAST_LEMMAS):
-        found = words.join(F.broadcast(table), "form", "left")
-    else:
-        found = _joined_lemmas(words, table)
-    return found.groupBy("doc_id", F.coalesce("lemma", "word").alias("lemma")).agg(
+    return _joined_lemmas(words, table).groupBy("doc_id", F.coalesce("lemma", "word").alias("lemma")).agg(
         F.sum("n").alias("n")
     )
 
@@ -93,14 +137,23 @@ def document_lemmas(
     lemmas: DataFrame,
     stop_words: Sequence[str] = ENGLISH_DEFAULT,
     min_length: int = 3,
+    case_sensitive: bool = False,
 ) -> DataFrame:
-    """As ``document_terms`` with a lemma table as the normalizer; term order is not kept."""
-    stop = sorted({w.lower() for w in stop_words})
-    kept = lemma_counts(docs, lemmas).where(
-        (F.length("lemma") >= min_length)
-        & F.col("lemma").rlike(r"^\p{L}+$")
-        & ~F.lower("lemma").isin(stop)
+    """As ``document_terms`` with a lemma table as the normalizer.
+
+    With a table of up to ``MAX_BROADCAST_LEMMAS`` rows there is no shuffle and terms keep their order. A larger
+    one is joined: terms then come in any order, and documents with one id share their terms.
+    """
+    table = lemma_table(lemmas)
+    if at_most(table, MAX_BROADCAST_LEMMAS):
+        return lemma_terms(docs, lemma_lookup(table), stop_words, min_length, case_sensitive)
+    kept = lemma_counts(docs, table).where(
+        (F.length("lemma") >= min_length) & F.col("lemma").rlike(r"^\p{L}+$")
     )
+    if case_sensitive:
+        kept = kept.where(~F.col("lemma").isin(list(stop_words)))
+    else:
+        kept = kept.where(~F.lower("lemma").isin(sorted({w.lower() for w in stop_words})))
     per_document = kept.groupBy("doc_id").agg(
         F.flatten(
             F.collect_list(F.array_repeat(F.lower("lemma"), F.col("n").cast("int")))
@@ -112,6 +165,36 @@ def document_lemmas(
     )
 
 
+def lemma_terms(
+    docs: DataFrame,
+    lookup: Callable[[Column], Column],
+    stop_words: Sequence[str] = ENGLISH_DEFAULT,
+    min_length: int = 3,
+    case_sensitive: bool = False,
+) -> DataFrame:
+    """``document_terms`` with a lookup from ``lemma_lookup``; map-only, so also for streams."""
+    terms = tx.terms_of(F.col("words"), stop_words, case_sensitive, min_length)
+    return computed(_looked_up(docs, lookup), ["doc_id", "title"], terms=terms)
+
+
+def analysed_forms(docs: DataFrame, make_analyser: Callable[[], Callable[[str], str | None]]) -> DataFrame:
+    """A lemma table of the corpus made by a user's word analyser: ``(form, lemma)``.
+
+    Every distinct lower-cased form of the corpus is analysed once, however often it occurs. ``make_analyser()``
+    runs once in every task and returns the function from a form to its lemma (None: it stands for itself).
+    """
+    forms = computed(docs, [], words=F.array_distinct(tx.lower_all(tx.words(F.col("content")))))
+    forms = forms.select(F.explode("words").alias("form")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        analyse = make_analyser()
+        for batch in batches:
+            lemmas = [analyse(form) for form in batch.column("form").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("form"), pa.array(lemmas, pa.string())], names=["form", "lemma"])
+
+    return forms.mapInArrow(run, "form string, lemma string").where("lemma is not null and lemma <> form")
+
+
 def terms_with(
     docs: DataFrame, make_normalizer: Callable[[], Callable[[str], list[str]]]
 ) -> DataFrame:

@@ -12,14 +12,14 @@ Locations come from ``spark.termscape.base`` and ``spark.termscape.dump``.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from termscape.functions import text as tx
-from termscape.functions.stopwords import ENGLISH_174, ENGLISH_DEFAULT
+from termscape.functions.stopwords import ENGLISH_174
 from termscape.operators import filters, matrix, relevance, svd, topics
-from termscape.operators.terms import document_lemmas, document_terms
+from termscape.operators.preprocessing import TermExtractor
 from termscape.sources import dump, models, tables
 
 
@@ -34,29 +34,20 @@ def read_lemmas(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="form string, lemma string", quote="")
 
 
-def _terms(
-    docs: DataFrame, lemmas: DataFrame | None, normalizer: Callable[[Column], Column] | None,
-    stop_words: Sequence[str] = ENGLISH_DEFAULT, case_sensitive: bool = False,
-) -> DataFrame:
-    """Clean terms, by lemma if there is a table of them or a rule for them."""
-    if lemmas is not None:
-        return document_lemmas(docs, lemmas, stop_words)
-    return document_terms(docs, stop_words, case_sensitive, normalizer=normalizer)
-
-
 def matrix_job(
     spark: SparkSession, at: tables.Locations, size: int = 2000, fraction: float = -1,
     n_docs: int = -1, seed: int | None = None, lemmas: DataFrame | None = None,
-    normalizer: Callable[[Column], Column] | None = None,
+    normalizer: str = "",
 ) -> matrix.TermMatrix:
     """Documents to the matrix. ``n_docs`` limits the documents only together with a sample.
 
-    Words become lemmas by the table ``lemmas(form, lemma)`` or by the expression ``normalizer``.
+    Words become lemmas by the table ``lemmas(form, lemma)`` or by ``normalizer``, SQL text on ``word``; either
+    is stored with the matrix.
     """
     docs = filters.filter_titles(tables.read_documents(spark, at.documents))
     if 0 < fraction < 1:
         docs = filters.first_documents(filters.random_sample(docs, fraction, seed), n_docs)
-    built = matrix.build_matrix(_terms(docs, lemmas, normalizer), size)
+    built = matrix.build_from(docs, TermExtractor(normalizer=normalizer, lemmas=lemmas), size=size)
     models.save_matrix(built, at.matrix)
     return built
 
@@ -84,12 +75,12 @@ def lda_job(
 def lsa_reports(
     docs: DataFrame, k: int = 100, size: int = 20000, terms: Sequence[str] = (),
     titles: Sequence[str] = (), question: Sequence[str] = (), n: int = 10,
-    lemmas: DataFrame | None = None, normalizer: Callable[[Column], Column] | None = None,
+    lemmas: DataFrame | None = None, normalizer: str = "",
 ) -> dict[str, DataFrame]:
     """Text to answers in one go: the matrix with 174 case-sensitive stop words and no minimum
     counts, its SVD, the leading concepts, and the four kinds of questions."""
-    found = _terms(docs, lemmas, normalizer, ENGLISH_174, case_sensitive=True)
-    built = matrix.build_matrix(found, size, min_df=1, min_tf=1)
+    extractor = TermExtractor(ENGLISH_174, case_sensitive=True, normalizer=normalizer, lemmas=lemmas)
+    built = matrix.build_from(docs, extractor, size=size, min_df=1, min_tf=1)
     model = svd.fit_concepts(built, min(k, built.n_terms))
     reports = {
         "singular values": model.concepts,
@@ -144,7 +135,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"termscape {given.job}").getOrCreate()
     at = tables.Locations.of(spark)
     lemmas = read_lemmas(spark, given.lemmas) if getattr(given, "lemmas", None) else None
-    normalizer = tx.strip_suffix if getattr(given, "suffixes", False) else None
+    normalizer = tx.suffix_rules_sql() if getattr(given, "suffixes", False) else ""
     if given.job == "documents":
         documents_job(spark, at, given.docs)
     elif given.job == "matrix":

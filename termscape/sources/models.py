@@ -6,6 +6,7 @@ from pyspark.ml.clustering import DistributedLDAModel, LDAModel, LocalLDAModel
 from pyspark.sql import DataFrame, SparkSession
 
 from termscape.operators.matrix import TermMatrix, graph_edges, graph_nodes
+from termscape.operators.preprocessing import TermExtractor
 from termscape.operators.svd import ConceptModel
 from termscape.operators.topics import TopicModel
 
@@ -20,6 +21,7 @@ def save_matrix(matrix: TermMatrix, path: str) -> None:
         [(matrix.n_documents, matrix.n_terms, matrix.min_tf)], "n_documents bigint, n_terms int, min_tf int"
     )
     _write(path, vectors=matrix.vectors, vocabulary=matrix.vocabulary, size=size)
+    matrix.extractor.write().save(f"{path}/extractor")
 
 
 def load_matrix(spark: SparkSession, path: str) -> TermMatrix:
@@ -31,6 +33,7 @@ def load_matrix(spark: SparkSession, path: str) -> TermMatrix:
         size["n_documents"],
         size["n_terms"],
         size["min_tf"],
+        TermExtractor.load(f"{path}/extractor"),
     )
 
 

@@ -13,8 +13,9 @@ from termscape.operators.terms import document_terms
 
 
 def scoring_stages(matrix: TermMatrix, fitted: LDAModel) -> PipelineModel:
-    """Features and topics of new documents, with the vocabulary and weights of the training corpus."""
-    return PipelineModel(stages=[*feature_stages(matrix), fitted])
+    """Terms, features and topics of new documents, by the training corpus' own way from text to terms,
+    with its vocabulary and weights. Can be saved and loaded like any Spark ML pipeline."""
+    return PipelineModel(stages=[matrix.extractor, *feature_stages(matrix), fitted])
 
 
 def topic_shares(docs: DataFrame, stages: PipelineModel) -> DataFrame:
@@ -22,7 +23,7 @@ def topic_shares(docs: DataFrame, stages: PipelineModel) -> DataFrame:
 
     Map-only, so a stream needs no state.
     """
-    return stages.transform(document_terms(docs)).select(
+    return stages.transform(docs).select(
         "doc_id", "title", vector_to_array("topicDistribution").alias("weights")
     )
 
