@@ -157,13 +157,12 @@ def matrix(
     )
 
 
-def lemma_matrix(stop_words, size: int, min_df: int, min_tf: int) -> tuple[str, ...]:
-    """The matrix of lemmas that are terms."""
-    words = _list(sorted({w.lower() for w in stop_words}))
+def lemma_matrix(stop: str, size: int, min_df: int, min_tf: int) -> tuple[str, ...]:
+    """The matrix of lemmas that are terms and not ``stop``."""
     return (
         *LEMMAS,
         "clean AS (SELECT doc_id, lower(lemma) AS term FROM lemmatized WHERE length(lemma) > 2 "
-        rf"AND regexp_full_match(lemma, '\p{{L}}+') AND lower(lemma) NOT IN {words})",
+        rf"AND regexp_full_match(lemma, '\p{{L}}+') AND NOT {stop})",
         "listed AS (SELECT doc_id, any_value(title) AS title, "
         "coalesce(list(term) FILTER (term IS NOT NULL), []) AS t "
         "FROM docs LEFT JOIN clean USING (doc_id) GROUP BY doc_id)",
@@ -172,6 +171,8 @@ def lemma_matrix(stop_words, size: int, min_df: int, min_tf: int) -> tuple[str,
 
 
 SMALL = matrix(size=SMALL_VOCABULARY)
+DEFAULT_LEMMA = f"lower(lemma) IN {_list(ENGLISH_DEFAULT)}"
+ENTRIES = "SELECT doc_id, term_id, term, tf, round(tfidf, 6) AS tfidf FROM a"
 
 
 def _leading(k: int = 1) -> tuple[str, ...]:
@@ -380,8 +381,14 @@ def oracle_sql() -> dict[str, str]:
             " AS t FROM docs LEFT JOIN clean USING (doc_id) GROUP BY doc_id)",
             select=DIGEST.replace("FROM tokens", "FROM listed"),
         ),
-        "normalizer_hook": _with(DOCS, select=r"""SELECT doc_id,
-            len(regexp_extract_all(lower(content), '[\p{L}\p{Nl}\p{No}]+'))::BIGINT AS n_terms FROM docs"""),
+        "normalizer_hook": digest(r"regexp_extract_all(lower(content), '[\p{L}\p{Nl}\p{No}]+')"),
+        "analyser_lemmas": digest(_nested("content", WORDS, LOWERED, STEMS, SHAPED, NOT_DEFAULT)),
+        "fold_in_training_default": _with(*matrix(), select=ENTRIES),
+        "fold_in_training_book": _with(*matrix(CLEAN_CASE, 20000, 1, 1), select=ENTRIES),
+        "fold_in_training_suffixes": _with(*matrix(CLEAN_STEMS), select=ENTRIES),
+        "fold_in_training_lemmas": _with(*lemma_matrix(DEFAULT_LEMMA, 2000, 2, 2), select=ENTRIES),
+        "stream_training_suffixes": _with(*matrix(CLEAN_STEMS), select=ENTRIES),
+        "stream_training_lemmas": _with(*lemma_matrix(DEFAULT_LEMMA, 2000, 2, 2), select=ENTRIES),
         "html_to_text": PAGE_DIGEST,
         "xml_pages": PAGE_DIGEST,
         "xml_scan": PAGE_DIGEST,
@@ -470,9 +477,9 @@ def oracle_sql() -> dict[str, str]:
             round(tfidf, 6) AS tfidf FROM a"""),
         "book_matrix": _with(*matrix(CLEAN_CASE, 20000, 1, 1), select="""SELECT doc_id, term_id, term,
             tf, round(tfidf, 6) AS tfidf FROM a"""),
-        "tfidf_matrix_lemmas": _with(*lemma_matrix(ENGLISH_DEFAULT, 2000, 2, 2), select="""SELECT doc_id,
+        "tfidf_matrix_lemmas": _with(*lemma_matrix(DEFAULT_LEMMA, 2000, 2, 2), select="""SELECT doc_id,
             term_id, term, tf, round(tfidf, 6) AS tfidf FROM a"""),
-        "book_matrix_lemmas": _with(*lemma_matrix(ENGLISH_174, 20000, 1, 1), select="""SELECT doc_id,
+        "book_matrix_lemmas": _with(*lemma_matrix(f"lemma IN {_list(ENGLISH_174)}", 20000, 1, 1), select="""SELECT doc_id,
             term_id, term, tf, round(tfidf, 6) AS tfidf FROM a"""),
         "doc_top_terms": _with(*matrix(), select="""SELECT doc_id, (row_number() OVER (PARTITION BY
             doc_id ORDER BY tf DESC, term_id))::INTEGER AS rank, term, tf FROM a QUALIFY rank <= 5"""),

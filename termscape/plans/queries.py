@@ -7,7 +7,9 @@ from ``benchmark`` and unseen documents from ``conversations``. Every query runs
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,9 @@ from termscape.functions import markup
 from termscape.functions import text as tx
 from termscape.functions.stopwords import ENGLISH_174
 from termscape.operators import filters, matrix, relevance, stats, svd, topic_queries, topics
+from termscape.operators.preprocessing import TermExtractor
 from termscape.operators.terms import (
-    computed, document_lemmas, document_terms, lemma_counts, terms_with,
+    analysed_forms, computed, document_lemmas, document_terms, lemma_words, terms_with,
 )
 from termscape.session import discard, frozen, scratch_path, spread
 from termscape.sources import dump, models, tables
@@ -189,8 +192,8 @@ def corpus_lemmas(source: DataFrame) -> DataFrame:
 @query
 def lemma_lookup(spark, folder):
     source = docs(spark, folder)
-    counts = lemma_counts(source, corpus_lemmas(source))
-    return counts.groupBy("lemma").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"))
+    profile = stats.term_profile(lemma_words(source, corpus_lemmas(source)), "words")
+    return profile.withColumnRenamed("term", "lemma")
 
 
 @query
@@ -202,7 +205,7 @@ def lemma_terms(spark, folder):
 
 @query
 def normalizer_hook(spark, folder):
-    """A text analyser of the user's own, set up once per task."""
+    """Terms of a text analyser of the user's own, set up once per task."""
 
     def make():
         import re
@@ -210,9 +213,25 @@ def normalizer_hook(spark, folder):
         word = re.compile(r"[^\W\d_]+")
         return lambda text: word.findall(text.lower())
 
-    return terms_with(docs(spark, folder), make).select(
-        "doc_id", F.size("terms").cast("bigint").alias("n_terms")
-    )
+    return token_digest(terms_with(docs(spark, folder), make), F.col("terms"))
+
+
+@query
+def analyser_lemmas(spark, folder):
+    """A word analyser of the user's own, run once per distinct form of the corpus: here one that cuts suffixes."""
+    rules = tx.SUFFIX_RULES
+
+    def make():
+        def analyse(form):
+            for suffix, replacement, shortest in rules:
+                if form.endswith(suffix) and len(form) >= shortest:
+                    return form[: len(form) - len(suffix)] + replacement
+            return None
+
+        return analyse
+
+    source = docs(spark, folder)
+    return token_digest(document_lemmas(source, frozen(analysed_forms(source, make), "analysed")), F.col("terms"))
 
 
 # Pages
@@ -481,6 +500,40 @@ def fold_in_of_training(spark, folder):
     )
 
 
+def folded_training(spark, folder, extractor: TermExtractor, **sizes: int) -> DataFrame:
+    """Entries of the corpus' own documents by a matrix that was saved and loaded: those that the matrix has."""
+    source = docs(spark, folder)
+
+    def read(path):
+        back = models.load_matrix(spark, path)
+        again = matrix.with_new_documents(back, filters.with_min_terms(back.extractor.transform(source)))
+        return rounded(again.named_entries(), 6, "tfidf")
+
+    built = matrix.build_from(source, extractor, **sizes)
+    return reread(spark, lambda path: models.save_matrix(built, path), read, "folded-training")
+
+
+@query
+def fold_in_training_default(spark, folder):
+    return folded_training(spark, folder, TermExtractor())
+
+
+@query
+def fold_in_training_book(spark, folder):
+    extractor = TermExtractor(ENGLISH_174, case_sensitive=True)
+    return folded_training(spark, folder, extractor, size=20000, min_df=1, min_tf=1)
+
+
+@query
+def fold_in_training_suffixes(spark, folder):
+    return folded_training(spark, folder, TermExtractor(normalizer=tx.suffix_rules_sql()))
+
+
+@query
+def fold_in_training_lemmas(spark, folder):
+    return folded_training(spark, folder, TermExtractor(lemmas=corpus_lemmas(docs(spark, folder))))
+
+
 @query
 def concept_rank(spark, folder):
     """As many concepts as the matrix has independent columns, each column of U of length 1."""
@@ -635,16 +688,16 @@ def tfidf_matrix(spark, folder):
 def tfidf_matrix_lemmas(spark, folder):
     """The whole path with words brought to their lemmas first."""
     source = docs(spark, folder)
-    built = matrix.build_matrix(document_lemmas(source, corpus_lemmas(source)))
+    built = matrix.build_from(source, TermExtractor(lemmas=corpus_lemmas(source)))
     return rounded(built.named_entries(), 6, "tfidf")
 
 
 @query
 def book_matrix_lemmas(spark, folder):
-    """The second path with words brought to their lemmas first."""
+    """The second path with words brought to their lemmas first; stop words are lemmas in their own case."""
     source = docs(spark, folder)
-    found = document_lemmas(source, corpus_lemmas(source), ENGLISH_174)
-    built = matrix.build_matrix(found, size=20000, min_df=1, min_tf=1)
+    extractor = TermExtractor(ENGLISH_174, case_sensitive=True, lemmas=corpus_lemmas(source))
+    built = matrix.build_from(source, extractor, size=20000, min_df=1, min_tf=1)
     return rounded(built.named_entries(), 6, "tfidf")
 
 
@@ -1077,6 +1130,34 @@ def _stream_scores(spark, folder, stages) -> DataFrame:
     return scored.select("doc_id", "title", F.posexplode("weights").alias("topic", "weight"))
 
 
+def streamed_training(spark, folder, extractor: TermExtractor) -> DataFrame:
+    """The corpus' documents as a stream through saved and loaded stages: the entries that the matrix has."""
+    built = matrix.build_from(docs(spark, folder), extractor)
+    path = scratch_path(spark, "stages")
+    PipelineModel(stages=[built.extractor, *matrix.feature_stages(built)]).write().save(f"{path}/stages")
+    stages = PipelineModel.load(f"{path}/stages")
+    found = stages.transform(corpus(_stream(spark, folder, "documents"))).where("size(terms) > 1").drop("terms")
+    run = (
+        found.writeStream.format("parquet").option("path", f"{path}/vectors")
+        .option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    streamed = replace(built, vectors=spark.read.schema(found.schema).parquet(f"{path}/vectors"))
+    kept = frozen(rounded(streamed.named_entries(), 6, "tfidf"), "streamed-training")
+    discard(spark, path)
+    return kept
+
+
+@query
+def stream_training_suffixes(spark, folder):
+    return streamed_training(spark, folder, TermExtractor(normalizer=tx.suffix_rules_sql()))
+
+
+@query
+def stream_training_lemmas(spark, folder):
+    return streamed_training(spark, folder, TermExtractor(lemmas=corpus_lemmas(docs(spark, folder))))
+
+
 @query
 def stream_term_counts(spark, folder):
     """``term_freq`` on a stream: each batch writes the terms it changed, the latest count of a term holds.
