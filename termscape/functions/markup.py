@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
+from functools import lru_cache
 from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,98 +65,146 @@ def squeezed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE, " "))
 
 
-def html_title(html: Column) -> Column:
-    return squeezed(unescaped(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
+def _closed(text: Column, closing: str, rewrite: Callable[[Column], Column]) -> Column:
+    """Apply ``rewrite`` to the text up to its last match of ``closing``, if there is one.
 
+    What ``rewrite`` looks for ends with ``closing``. So every search that it begins there ends there too, and
+    no unclosed marker makes it run to the end of the text in vain: the time is linear.
+    """
 
-def html_text(html: Column) -> Column:
-    """Visible text of a page: no comments, head, scripts, styles or tags."""
-    for pattern in (
-        r"(?s)<!--.*?-->",
-        r"(?is)<head[^>]*>.*?</head>",
-        r"(?is)<script[^>]*>.*?</script>",
-        r"(?is)<style[^>]*>.*?</style>",
-        r"(?s)<[a-zA-Z/!][^>]*>",
-    ):
-        html = F.regexp_replace(html, pattern, " ")
-    return squeezed(unescaped(html))
+    def split(bound: Column) -> Column:
+        return _let(
+            F.regexp_extract(bound, f"(?is)^.*{closing}", 0),
+            lambda reach: F.when(reach == "", bound).otherwise(
+                F.concat(rewrite(reach), F.substring(bound, F.length(reach) + 1, F.length(bound)))
+            ),
+        )
 
+    return _let(text, split)
 
-# Two control characters stand for an opening and a closing marker while pairs are resolved.
-OPEN, CLOSE = "\x01", "\x02"
 
+def _without_tags(text: Column) -> Column:
+    return _closed(text, ">", lambda t: F.regexp_replace(t, r"(?s)<[a-zA-Z/!][^>]*>", " "))
 
-def _nesting_depth(marked: Column) -> Column:
-    """How deep matched pairs nest at most.
 
-    Counted from both ends: markers that never close raise the count from the left only, stray
-    closing ones that from the right only.
-    """
-    markers = F.regexp_extract_all(marked, F.lit(f"[{OPEN}{CLOSE}]"), F.lit(0))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("deepest"))
-
-    def deepest(found: Column, opening: str) -> Column:
-        def step(state: Column, marker: Column) -> Column:
-            now = F.when(marker == opening, state["now"] + 1).otherwise(
-                F.greatest(state["now"] - 1, F.lit(0))
-            )
-            return F.struct(now.alias("now"), F.greatest(state["deepest"], now).alias("deepest"))
-
-        return F.aggregate(found, start, step, lambda state: state["deepest"])
-
-    return _let(markers, lambda m: F.least(deepest(m, OPEN), deepest(F.reverse(m), CLOSE)))
-
-
-def _innermost_first(
-    text: Column, opening: str, closing: str, rewrite: Callable[[Column], Column]
-) -> Column:
-    """Run ``rewrite`` once per nesting level, so pairs inside pairs are handled to any depth."""
-    marked = F.replace(F.replace(text, F.lit(opening), F.lit(OPEN)), F.lit(closing), F.lit(CLOSE))
-    resolved = _let(
-        marked,
-        lambda m: F.aggregate(
-            F.array_repeat(F.lit(0), _nesting_depth(m)), m, lambda done, _: rewrite(done)
-        ),
-    )
-    return F.replace(F.replace(resolved, F.lit(OPEN), F.lit(opening)), F.lit(CLOSE), F.lit(closing))
+def _without_comments(text: Column) -> Column:
+    return _closed(text, "-->", lambda t: F.regexp_replace(t, r"(?s)<!--.*?-->", " "))
 
 
-def _dropped(text: Column) -> Column:
-    return F.regexp_replace(text, f"{OPEN}[^{OPEN}{CLOSE}]*{CLOSE}", " ")
+def _where(text: Column, marker: str, rewrite: Callable[[Column], Column]) -> Column:
+    """Apply ``rewrite`` to texts that hold ``marker``; a plain search is far cheaper than a pattern."""
+    return _let(text, lambda t: F.when(t.contains(marker), rewrite(t)).otherwise(t))
 
 
-def _unlinked(text: Column) -> Column:
-    """Media and category links go; other links leave their label."""
-    outside = rf"[^{OPEN}{CLOSE}]*"
-    text = F.regexp_replace(text, rf"(?i){OPEN}\s*(?:file|image|category)\s*:{outside}{CLOSE}", " ")
-    return F.regexp_replace(
-        text,
-        rf"(?i){OPEN}(?!\s*(?:file|image|category)\s*:)(?:{outside}\|)?([^{OPEN}{CLOSE}|]*){CLOSE}",
-        "$1",
-    )
+def html_title(html: Column) -> Column:
+    reach = F.regexp_extract(html, r"(?is)^.*</title>", 0)
+    return squeezed(unescaped(F.regexp_extract(reach, r"(?is)<title[^<>]*>(.*?)</title>", 1)))
+
+
+def html_text(html: Column) -> Column:
+    """Visible text of a page: no comments, head, scripts, styles or tags."""
+    html = _without_comments(html)
+    for name in ("head", "script", "style"):
+        pair = rf"(?is)<{name}[^<>]*>.*?</{name}>"
+        html = _closed(html, f"</{name}>", lambda t, pair=pair: F.regexp_replace(t, pair, " "))
+    return squeezed(unescaped(_without_tags(html)))
+
+
+#: Tags whose content is no text of the article.
+PAIRED_TAGS = ("ref", "math", "gallery", "source", "syntaxhighlight")
+
+
+@lru_cache(maxsize=1)
+def _resolver() -> Callable[[Column], Column]:
+    """Column function that takes out what stands between two markers: comments, references and the like,
+    and pairs which may stand inside each other: templates, tables, links.
+
+    Each nested kind is one pass over the text, split at its markers, with a stack of the pairs that are open.
+    Column expressions can only take the innermost pairs, once per level, so this is done in Python on
+    Arrow batches. As in ``_closed``, nothing is searched beyond the last closing marker.
+    """
+    tags = PAIRED_TAGS
+
+    @F.arrow_udf("string")
+    def resolved(texts: pa.Array) -> pa.Array:
+        def drop(inner: str) -> str:
+            return " "
+
+        def unlink(inner: str) -> str:
+            return " " if media.match(inner) else inner.rpartition("|")[2]
+
+        media = re.compile(r"\s*(?:file|image|category)\s*:", re.IGNORECASE)
+        nested = [("{{", "}}", drop), ("{|", "|}", drop), ("[[", "]]", unlink)]
+        splits = [re.compile(f"({re.escape(opening)}|{re.escape(closing)})") for opening, closing, _ in nested]
+        comment = re.compile("<!--.*?-->", re.DOTALL)
+        # a reference that closes itself is no opening one, even with a slash in its name
+        alone = re.compile(r"<ref(?:[\s/][^<>]*)?(?<=/)>", re.IGNORECASE)
+        closings = [re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in tags]
+        pairs = [re.compile(rf"<{tag}(?:\s[^<>]*)?>.*?</{tag}\s*>", re.IGNORECASE | re.DOTALL) for tag in tags]
+
+        def between(text: str) -> str:
+            reach = text.rfind("-->") + 3
+            if reach > 2:
+                text = comment.sub(" ", text[:reach]) + text[reach:]
+            text = alone.sub(" ", text)
+            for closing, pair in zip(closings, pairs, strict=True):
+                reach = 0
+                for found in closing.finditer(text):
+                    reach = found.end()
+                if reach:
+                    text = pair.sub(" ", text[:reach]) + text[reach:]
+            return text
+
+        def resolve(text: str) -> str:
+            if "<" in text:
+                text = between(text)
+            for (opening, closing, rewrite), split in zip(nested, splits, strict=True):
+                if closing not in text:
+                    continue
+                found: list[str] = []
+                opened: list[int] = []
+                for piece in split.split(text):
+                    if piece == closing and opened:
+                        start = opened.pop()
+                        found[start:] = [rewrite("".join(found[start + 1 :]))]
+                        continue
+                    if piece == opening:
+                        opened.append(len(found))
+                    found.append(piece)
+                text = "".join(found)
+            return text
+
+        return pa.array([None if t is None else resolve(t) for t in texts.to_pylist()], pa.string())
+
+    return resolved
 
 
 def wiki_text(markup: Column) -> Column:
     """Plain text of wiki markup.
 
     Comments, references, templates, tables, media and category links go; links and headings leave
-    their label; quotes, list markers and tags go; character references are decoded.
+    their label; quotes, list markers and tags go; character references are decoded. A marker without its
+    partner stays as it is. Every step takes time in proportion to the text, however markers are nested or
+    left unclosed; only the label of a link is copied once for each link around it.
     """
-    text = F.regexp_replace(markup, r"(?s)<!--.*?-->", " ")
-    # self-closing references first; a slash in their name must not make them opening tags
-    text = F.regexp_replace(text, r"(?is)<ref\b[^>]*/>", " ")
-    for tag in ("ref", "math", "gallery", "source", "syntaxhighlight"):
-        text = F.regexp_replace(text, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", " ")
-    text = _innermost_first(text, "{{", "}}", _dropped)
-    text = _innermost_first(text, "{|", "|}", _dropped)
-    text = _innermost_first(text, "[[", "]]", _unlinked)
-    text = F.regexp_replace(text, r"\[(?:https?|ftp)://[^\s\]]+\s*([^\]]*)\]", "$1")
-    text = F.regexp_replace(text, r"(?:https?|ftp)://\S+", " ")
-    text = F.regexp_replace(text, r"'{2,5}", "")
-    text = F.regexp_replace(text, r"(?m)^[ \t]*={1,6}[ \t]*([^=\n].*?)[ \t]*={1,6}[ \t]*$", "$1")
-    text = F.regexp_replace(text, r"(?m)^[*#:;]+[ \t]*", "")
-    text = F.regexp_replace(text, r"__[A-Z]+__", " ")
-    text = F.regexp_replace(text, r"(?s)<[a-zA-Z/!][^>]*>", " ")
-    text = unescaped(text)
-    text = F.regexp_replace(text, r"[ \t\f\r]+", " ")
-    return F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+
+    def outside_links(text: Column) -> Column:
+        text = _closed(text, r"\]", lambda t: F.regexp_replace(t, r"\[(?:https?|ftp)://[^\s\]]++\s*+([^\]]*+)\]", "$1"))
+        return F.regexp_replace(text, r"(?:https?|ftp)://\S+", " ")
+
+    def plain(text: Column) -> Column:
+        text = _where(text, "://", outside_links)
+        text = _where(text, "''", lambda t: F.regexp_replace(t, r"'{2,5}", ""))
+        text = _where(text, "=", lambda t: F.regexp_replace(t, HEADING, "$1"))
+        text = F.regexp_replace(text, r"(?m)^[*#:;]+[ \t]*", "")
+        text = _where(text, "__", lambda t: F.regexp_replace(t, r"__[A-Z]+__", " "))
+        text = unescaped(_where(text, "<", _without_tags))
+        text = F.regexp_replace(text, r"[ \t\f\r]+", " ")
+        return F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+
+    return _let(_resolver()(markup), plain)
+
+
+#: A line between equals signs. The label is taken whole first and then given back from its end, so that runs of
+#: blanks inside it are looked at once.
+HEADING = r"(?m)^[ \t]*+={1,6}+[ \t]*+([^=\n](?:[^\n]*[^=\s])?)[ \t]*+={1,6}+[ \t]*+$"

@@ -180,9 +180,9 @@ def suffix_lemmas(spark, folder):
 def corpus_lemmas(source: DataFrame) -> DataFrame:
     """Lemma table of the corpus: a form and its stem where the stem is a word of the corpus too."""
     words = computed(source, [], words=F.array_distinct(tx.words(F.col("content"))))
-    forms = words.select(F.explode("words").alias("word")).select(
+    forms = frozen(words.select(F.explode("words").alias("word")).select(
         F.lower("word").alias("form")
-    ).distinct()
+    ).distinct(), "forms")
     stems = forms.select("form", tx.strip_suffix(F.col("form")).alias("lemma")).where(
         F.col("form") != F.col("lemma")
     )

@@ -75,3 +75,23 @@ def test_references_outside_unicode_stay(spark):
     assert apply(spark, markup.unescaped, "&#1114112; &#55296; &#0; &#128512;", None) == [
         "&#1114112; &#55296; &#0; 😀", None
     ]
+
+
+UNCLOSED = ["<ref>", "<ref ", "<ref name=x/", "<!--", "[http://a ", "[http://a", "<a", "<script>", "<head ", "<style", "<title>", "{{", "{|", "[[", "]]", "[[a|", "''", "= ", "=  \t", "&", "&#", "__", "<math", "</ref ", "http:// "]
+
+
+@pytest.mark.parametrize("function", [markup.wiki_text, markup.html_text, markup.html_title])
+def test_unclosed_and_nested_markers_take_linear_time(spark, function):
+    """100,000 markers without a partner, alone and before one that closes, and 10,000 nested pairs."""
+    pages = [m * 100_000 for m in UNCLOSED] + [m * 100_000 + end for m, end in zip(UNCLOSED[:12], ("</ref>", "</ref>", "/>", "-->", "]", "]", ">", "</script>", "</head>", "</style>", "</title>", "}}"), strict=True)]
+    pages += [a * 10_000 + "core" + b * 10_000 for a, b in (("{{", "}}"), ("{|", "|}"), ("[[", "]]"), ("[[a|", "]]"), ("<ref>", "</ref>"), ("<script>", "</script>"), ("<!--", "-->"))]
+    start = time.time()
+    assert len(apply(spark, function, *pages)) == len(pages)
+    assert time.time() - start < 60  # one quadratic step on one page takes minutes
+
+
+def test_pairs_inside_each_other(spark):
+    deep = "[[a|x " * 2000 + "core" + " y]]" * 2000
+    assert apply(spark, markup.wiki_text, deep, "[[File:x|" + deep + "]] z", "[[a|b [[c|d|e]] f|g]]", "<ref>a <ref name=b/> c</ref> d <ref>e", "<!-- a -- b --> c <!-- d", "{{a [[b}} c]]", "[[a <ref>]]</ref> b]]", "<ref>x</ref>a <ref name=http://x.org/y/>b") == [
+        "x " * 2000 + "core" + " y" * 2000, "z", "g", "d e", "c <!-- d", "c]]", "a b", "a b",
+    ]
