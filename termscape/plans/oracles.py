@@ -433,6 +433,13 @@ def oracle_sql() -> dict[str, str]:
             round(coalesce(tfidf, 0), 6) AS weight FROM usable u
             LEFT JOIN (SELECT * FROM a WHERE term = 'und') x USING (doc_id)
             ORDER BY coalesce(tfidf, 0) DESC, doc_id LIMIT 10"""),
+        "docs_by_body_rare": _with(*matrix(), select="""SELECT u.doc_id, title,
+            round(coalesce(tfidf, 0), 6) AS weight FROM usable u
+            LEFT JOIN (SELECT * FROM a WHERE term_id = (SELECT max(term_id) FROM vocab)) x USING (doc_id)
+            ORDER BY coalesce(tfidf, 0) DESC, doc_id LIMIT 1000"""),
+        "docs_by_body_each_term": _with(*matrix(), select="""SELECT term, (row_number() OVER (PARTITION BY
+            term ORDER BY tfidf DESC, doc_id))::INTEGER AS rank, doc_id, title, round(tfidf, 6) AS weight
+            FROM a JOIN usable USING (doc_id) QUALIFY rank <= 10"""),
         "doc_title": _with(DOCS, select="""SELECT i.doc_id, coalesce(title, '') AS title FROM
             (SELECT DISTINCT conv_id * 7 AS doc_id FROM conversations) i LEFT JOIN docs USING (doc_id)"""),
         "row_ids": "SELECT count(*) AS documents, count(*) AS ids FROM documents",

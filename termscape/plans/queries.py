@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from termscape.functions import markup
 from termscape.functions import text as tx
 from termscape.functions.stopwords import ENGLISH_174
-from termscape.operators import filters, matrix, relevance, stats, svd, topic_queries, topics
+from termscape.operators import (
+    filters, matrix, postings, relevance, stats, svd, topic_queries, topics,
+)
 from termscape.operators.preprocessing import TermExtractor
 from termscape.operators.terms import (
     analysed_forms, computed, document_lemmas, document_terms, lemma_words, terms_with,
@@ -80,6 +82,15 @@ def full_matrix(spark, folder) -> matrix.TermMatrix:
     return _once(spark, folder, "matrix", lambda: matrix.build_matrix(terms(spark, folder)))
 
 
+def full_postings(spark, folder) -> postings.Postings:
+    def store():
+        path = scratch_path(spark, "postings")
+        postings.write_postings(full_matrix(spark, folder), path)
+        return postings.read_postings(spark, path)
+
+    return _once(spark, folder, "postings", store)
+
+
 def small_matrix(spark, folder) -> matrix.TermMatrix:
     return _once(
         spark, folder, "small", lambda: matrix.build_matrix(terms(spark, folder), SMALL_VOCABULARY)
@@ -566,8 +577,22 @@ def docs_by_title(spark, folder):
 
 @query
 def docs_by_body(spark, folder):
-    found = matrix.find_by_term(full_matrix(spark, folder), "und")
-    return rounded(found, 6, "weight")
+    return rounded(postings.find_by_term(full_postings(spark, folder), "und"), 6, "weight")
+
+
+@query
+def docs_by_body_rare(spark, folder):
+    """The vocabulary's last term: fewer documents than asked for have it, so others follow."""
+    lists = full_postings(spark, folder)
+    last = lists.vocabulary.agg(F.max("term_id")).first()[0]
+    return rounded(postings.find_by_term(lists, last, 1000), 6, "weight")
+
+
+@query
+def docs_by_body_each_term(spark, folder):
+    """Every term of the vocabulary in one pass."""
+    lists = full_postings(spark, folder)
+    return rounded(postings.find_by_terms(lists, lists.vocabulary), 6, "weight")
 
 
 @query
