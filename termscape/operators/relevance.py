@@ -11,6 +11,7 @@ no query vector beyond the bounded set reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termscape.operators.preprocessing import TermExtractor
-from termscape.operators.svd import ConceptModel, titled
+from termscape.operators.svd import ConceptModel, bucket_length, titled
 from termscape.operators.topk import top_per_group
 from termscape.session import at_most, frozen
 
@@ -30,34 +31,43 @@ MAX_QUERIES = 1024
 #: Factor entries of a part that larger query sets are met with (32 MB of doubles).
 PART_ENTRIES = 1 << 22
 
-#: Scores are rounded to this many digits.
-SCORE_DIGITS = 6
+#: Scores rank by so many digits of the largest score that the query could have: its length times that of the
+#: longest row. So copies are ties, whatever the scale.
+RANK_DIGITS = 9
+
+#: Cosines, which are that fraction themselves, rank by fewer digits: the last ones of two nearly parallel rows are
+#: the factorization's own error.
+COSINE_DIGITS = 6
 
 
 def _scored(
-    factors: DataFrame, id_col: str, vector_col: str, queries: np.ndarray, k: int, cosine: bool
+    factors: DataFrame, id_col: str, vector_col: str, queries: np.ndarray, k: int, cosine: bool, longest: float
 ) -> DataFrame:
-    """Best ``k`` rows per task and query: ``(query_no, id, score)``."""
+    """Best ``k`` rows per task and query: ``(query_no, id, key, score)``; ranks go by ``key``."""
     n_queries, dims = queries.shape
+    digits = COSINE_DIGITS if cosine else RANK_DIGITS
+    unit = (1.0 if cosine else np.sqrt((queries * queries).sum(axis=1)) * longest) + np.zeros(n_queries)
+    unit = np.where(unit > 0, unit, 1.0)
     transposed = np.ascontiguousarray(queries.T)
 
     # Functions for the tasks are nested so that they travel by value: executors need numpy and
     # pyarrow, not this package.
-    def merged(ids, scores, more_ids, more_scores):
-        """First k of both by (score descending, id ascending)."""
-        if len(scores) == k:
-            keep = more_scores >= scores[-1]
-        elif len(more_scores) > k:
-            keep = more_scores >= np.partition(more_scores, -k)[-k]
+    def merged(ids, keys, scores, more_ids, more_keys, more_scores):
+        """First k of both by (key descending, id ascending)."""
+        if len(keys) == k:
+            keep = more_keys >= keys[-1]
+        elif len(more_keys) > k:
+            keep = more_keys >= np.partition(more_keys, -k)[-k]
         else:
             keep = slice(None)
         ids = np.concatenate([ids, more_ids[keep]])
+        keys = np.concatenate([keys, more_keys[keep]])
         scores = np.concatenate([scores, more_scores[keep]])
-        order = np.lexsort((ids, -scores))[:k]
-        return ids[order], scores[order]
+        order = np.lexsort((ids, -keys))[:k]
+        return ids[order], keys[order], scores[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [(np.empty(0, np.int64), np.empty(0))] * n_queries
+        best = [(np.empty(0, np.int64), np.empty(0), np.empty(0))] * n_queries
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
@@ -65,25 +75,72 @@ def _scored(
                 norms = np.sqrt((x * x).sum(axis=1))
                 long = norms > 0  # rows that are but error are zero in the model
                 ids, x = ids[long], x[long] / norms[long, None]
+            scores = x @ transposed
             # Adding 0 turns a negative zero into zero.
-            scores = np.round(x @ transposed, SCORE_DIGITS) + 0.0
-            best = [merged(*best[q], ids, scores[:, q]) for q in range(n_queries)]
-        for q, (ids, scores) in enumerate(best):
+            keys = np.round(scores / unit, digits) + 0.0
+            scores[keys == 0] = 0.0
+            best = [merged(*best[q], ids, keys[:, q], scores[:, q]) for q in range(n_queries)]
+        for q, (ids, keys, scores) in enumerate(best):
             yield pa.RecordBatch.from_pydict({
                 "query_no": pa.array(np.full(len(ids), q, np.int32)),
                 "id": pa.array(ids),
+                "key": pa.array(keys),
                 "score": pa.array(scores),
             })
 
     return factors.select(F.col(id_col).cast("bigint"), vector_col).mapInArrow(
-        run, "query_no int, id bigint, score double"
+        run, "query_no int, id bigint, key double, score double"
     )
 
 
+@dataclass(frozen=True)
+class Lengths:
+    """What is known of a factor table: its longest row and, if it lies in folders by length, their rows."""
+
+    longest: float
+    buckets: dict[int, int] | None = None
+
+    def first(self, k: int) -> list[int]:
+        """The buckets of the longest rows that hold ``k`` rows together."""
+        found, rows = [], 0
+        for bucket in sorted(self.buckets):
+            found.append(bucket)
+            rows += self.buckets[bucket]
+            if rows >= k:
+                break
+        return found
+
+    def rest(self, read: list[int], least_key: float) -> list[int]:
+        """Further buckets with rows that may reach a score of ``least_key`` times the largest possible one."""
+        slack = 10.0**-RANK_DIGITS  # keys are rounded
+        return [b for b in sorted(self.buckets) if b not in read and bucket_length(b) + slack >= least_key]
+
+
+def _pruned(
+    factors: DataFrame, id_col: str, vector_col: str, queries: np.ndarray, k: int, known: Lengths
+) -> DataFrame:
+    """``_scored`` by dot product, without the buckets whose rows are too short to be among any query's best ``k``.
+
+    The longest rows are scored first. No other row's key exceeds its bucket's length, so a bucket below the
+    k-th key of every query is not read.
+    """
+    read = known.first(k)
+    first = _scored(factors.where(F.col("bucket").isin(read)), id_col, vector_col, queries, k, False, known.longest)
+    first = frozen(top_per_group(first, ["query_no"], [F.desc("key"), F.col("id")], k).drop("rank"), "first-scores")
+    reached = first.groupBy("query_no").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least")).collect()
+    full = [r["least"] for r in reached if r["n"] == k]
+    least = min(full) if len(full) == len(queries) else -1.0
+    more = known.rest(read, least)
+    if not more:
+        return first
+    return first.unionByName(_scored(factors.where(F.col("bucket").isin(more)), id_col, vector_col, queries, k, False, known.longest))
+
+
 def _met(
-    factors: DataFrame, id_col: str, vector_col: str, queries: DataFrame, k: int, cosine: bool, parts: int
+    factors: DataFrame, id_col: str, vector_col: str, queries: DataFrame, k: int, cosine: bool, parts: int, longest: float
 ) -> DataFrame:
-    """Best ``k`` rows per part of the factors and query: ``(query, id, score)``, for any number of queries."""
+    """Best ``k`` rows per part of the factors and query: ``(query, id, key, score)``, for any number of queries."""
+    digits = COSINE_DIGITS if cosine else RANK_DIGITS
     key_type = queries.schema["query"].dataType.simpleString()
     rows = factors.select(
         F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("asks"),
@@ -132,22 +189,26 @@ def _met(
                 n = min(k, len(ids))
                 if not n or not len(keys):
                     continue
-                scores = np.round(x @ table.T, SCORE_DIGITS) + 0.0
+                size = (1.0 if cosine else np.sqrt((x * x).sum(axis=1)) * longest) + np.zeros(len(x))
+                size = np.where(size > 0, size, 1.0)[:, None]
+                scores = x @ table.T
+                ranked = np.round(scores / size, digits) + 0.0
+                scores[ranked == 0] = 0.0
                 # all rows at least as good as the n-th: ties beyond n are settled by the caller's rank
-                least = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
-                q, r = np.nonzero(scores >= least[:, None])
-                better = scores[q, r] > least[q]
+                least = -np.partition(-ranked, n - 1, axis=1)[:, n - 1]
+                q, r = np.nonzero(ranked >= least[:, None])
+                better = ranked[q, r] > least[q]
                 spare = n - np.bincount(q, weights=better, minlength=len(keys)).astype(int)
                 ties = np.cumsum(~better) - 1
                 start = np.concatenate([[0], np.cumsum(np.bincount(q, weights=~better, minlength=len(keys)).astype(int))])
                 keep = better | (ties - start[q] < spare[q])
                 q, r = q[keep], r[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(q)), pa.array(ids[r]), pa.array(scores[q, r])], names=["query", "id", "score"]
+                    [keys.take(pa.array(q)), pa.array(ids[r]), pa.array(ranked[q, r]), pa.array(scores[q, r])], names=["query", "id", "key", "score"]
                 )
 
     met = rows.unionByName(asked).repartition("part").sortWithinPartitions("part", "asks")
-    return met.mapInArrow(run, f"query {key_type}, id bigint, score double")
+    return met.mapInArrow(run, f"query {key_type}, id bigint, key double, score double")
 
 
 def top_scores(
@@ -157,22 +218,29 @@ def top_scores(
     queries: DataFrame,
     k: int = 10,
     cosine: bool = False,
+    known: Lengths | None = None,
 ) -> DataFrame:
     """Best ``k`` factor rows for each of ``queries(query, vector)``: ``(query, rank, id, score)``.
 
-    With ``cosine`` both sides are divided by their length and rows without a direction take no part.
-    Scores are rounded to ``SCORE_DIGITS``; equal scores rank by id. Queries are distinct.
+    With ``cosine`` both sides are divided by their length and rows without a direction take no part. Scores that
+    agree to ``RANK_DIGITS`` digits of the largest possible one (cosines: ``COSINE_DIGITS``) rank by id. Queries are distinct. ``known`` says how
+    long the rows are; with buckets, short rows are only read if they can be among the best.
     """
     spark = factors.sparkSession
     key_type = queries.schema["query"].dataType.simpleString()
     first = factors.select(F.size(vector_col)).first()
     if not first or not first[0]:
         return spark.createDataFrame([], f"query {key_type}, rank int, id bigint, score double")
-    order = [F.desc("score"), F.col("id")]
+    order = [F.desc("key"), F.col("id")]
     dims = first[0]
+    if cosine:
+        known = Lengths(1.0)
+    elif known is None:
+        squares = F.aggregate(vector_col, F.lit(0.0), lambda total, x: total + x * x)
+        known = Lengths(factors.agg(F.sqrt(F.max(squares))).first()[0])
     if not at_most(queries, max(1, min(MAX_QUERIES, MAX_QUERY_ENTRIES // dims))):
         parts = max(1, -(-factors.count() * dims // PART_ENTRIES))
-        met = _met(factors, id_col, vector_col, queries, k, cosine, parts)
+        met = _met(factors, id_col, vector_col, queries, k, cosine, parts, known.longest)
         return top_per_group(met, ["query"], order, k).select("query", "rank", "id", "score")
     rows = queries.orderBy("query").toArrow().combine_chunks()
     keys = rows["query"].to_pylist()
@@ -184,7 +252,10 @@ def top_scores(
         vectors = vectors[long] / norms[long, None]
     if not keys:
         return spark.createDataFrame([], f"query {key_type}, rank int, id bigint, score double")
-    scored = _scored(factors, id_col, vector_col, vectors, k, cosine)
+    if known.buckets:
+        scored = _pruned(factors, id_col, vector_col, vectors, k, known)
+    else:
+        scored = _scored(factors, id_col, vector_col, vectors, k, cosine, known.longest)
     names = spark.createDataFrame(list(enumerate(keys)), f"query_no int, query {key_type}")
     return (
         top_per_group(scored, ["query_no"], order, k)
@@ -205,7 +276,7 @@ def _documents(
     model: ConceptModel, queries: DataFrame, key: str, k: int, cosine: bool = False
 ) -> DataFrame:
     """Best documents per query, ids resolved to titles with one join for all hits."""
-    answers = top_scores(model.doc_factors, "doc_id", "us", queries, k, cosine)
+    answers = top_scores(model.doc_factors, "doc_id", "us", queries, k, cosine, Lengths(model.longest, model.buckets))
     hits = answers.select(F.col("query").alias(key), "rank", F.col("id").alias("doc_id"), "score")
     found = titled(hits, model.titles, queries.count() * k)
     return found.select(key, "rank", "doc_id", "title", "score")

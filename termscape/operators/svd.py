@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from termscape.operators.matrix import TermMatrix
 from termscape.operators.topk import top_per_group
-from termscape.session import frozen
+from termscape.session import frozen, scratch_path
 
 #: Most n x k entries of the term factor that may be held on the driver (1 GB of doubles).
 MAX_FACTOR_ENTRIES = 1 << 27
@@ -47,21 +47,51 @@ class ConceptModel:
     """A truncated SVD, A = U diag(s) V'.
 
     ``concepts(concept, sigma)`` by falling sigma; ``term_factors(term_id, term, v, vs)`` with the
-    rows of V and of V diag(s); ``doc_factors(doc_id, us)`` with the rows of U diag(s). The largest
+    rows of V and of V diag(s); ``doc_factors(doc_id, us, bucket)`` with the rows of U diag(s). The largest
     entry of every column of V is positive. Sigma is the length of the column of A V. A row that
     is zero but for the error of the factorization is zero.
+
+    Document rows are stored in folders by ``bucket``: rows of bucket b are at most ``bucket_length(b)`` times as long
+    as the longest row, whose length is ``longest``. ``buckets`` holds their numbers of rows, a few dozen at most.
     """
 
     concepts: DataFrame
     term_factors: DataFrame
     doc_factors: DataFrame
     titles: DataFrame
+    longest: float
+    buckets: dict[int, int]
 
     @property
     def sigmas(self) -> list[float]:
         return [r["sigma"] for r in self.concepts.orderBy("concept").collect()]
 
 
+#: Buckets of rows by length; each is 2 ** -0.5 times as long as the one before, the last holds all shorter rows.
+BUCKETS = 40
+
+
+def bucket_length(bucket: int) -> float:
+    """Length of the longest rows that a bucket may hold, as a fraction of the longest row."""
+    return 2.0 ** (-bucket / 2)
+
+
+def _by_length(rows: DataFrame, longest: float, path: str) -> dict[int, int]:
+    """Store ``(doc_id, us)`` by bucket and count the rows of each."""
+    share = _length(F.col("us")) / F.lit(longest or 1.0)
+    # a little below the border, so that a rounded logarithm never puts a row into a bucket too short for it
+    bucket = F.when(share > 0, F.floor(-2 * F.log2(share) - 1e-6)).otherwise(BUCKETS - 1)
+    bucket = F.least(F.greatest(bucket, F.lit(0)), F.lit(BUCKETS - 1)).cast("int")
+    placed = rows.select("doc_id", "us", bucket.alias("bucket"))
+    # even files, and a bucket with most of the rows is split
+    placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+    stored = rows.sparkSession.read.schema(DOC_FACTORS_SCHEMA).parquet(path)
+    return {r["bucket"]: r["count"] for r in stored.groupBy("bucket").count().collect()}
+
+
+DOC_FACTORS_SCHEMA = "doc_id bigint, us array<double>, bucket int"
+
+
 def _oriented(v: np.ndarray) -> np.ndarray:
     """Flip columns whose entry of largest magnitude (lowest row on ties) is negative."""
     size = np.round(np.abs(v), 9)
@@ -120,9 +150,10 @@ def fit_concepts(matrix: TermMatrix, k: int = 100) -> ConceptModel:
     sigma, v = sigma[order], v[:, order]
     row = F.transform(F.array(*[F.lit(int(i)) for i in order]), lambda i: F.get(F.col("us"), i))
     cleared = F.when(_length(row) <= ROW_CUT * (totals["row"] or 0.0), F.transform(row, lambda x: F.lit(0.0)))
-    doc_factors = frozen(
-        us.select("doc_id", array.alias("us")).select("doc_id", F.coalesce(cleared, row).alias("us")), "doc-factors"
-    )
+    path = scratch_path(spark, "doc-factors")
+    found = us.select("doc_id", array.alias("us")).select("doc_id", F.coalesce(cleared, row).alias("us"))
+    buckets = _by_length(found, totals["row"] or 0.0, path)
+    doc_factors = spark.read.schema(DOC_FACTORS_SCHEMA).parquet(path)
     # lengths of the matrix columns, one number per term
     columns = matrix.vectors.select(Summarizer.normL2(F.col("tfidf"))).first()[0].toArray()
     scaled = v * sigma
@@ -133,7 +164,7 @@ def fit_concepts(matrix: TermMatrix, k: int = 100) -> ConceptModel:
     names = matrix.vocabulary.select("term_id", "term").orderBy("term_id").toArrow()
     vectors = names.append_column("v", pa.array(list(v))).append_column("vs", pa.array(list(scaled)))
     term_factors = frozen(spark.createDataFrame(vectors), "term-factors")
-    return ConceptModel(concepts, term_factors, doc_factors, matrix.titles)
+    return ConceptModel(concepts, term_factors, doc_factors, matrix.titles, totals["row"] or 0.0, buckets)
 
 
 def concept_terms(model: ConceptModel, n_concepts: int | None = None, n: int = 10) -> DataFrame:
@@ -175,17 +206,11 @@ def top_documents_for_concept(model: ConceptModel, concept: int, n: int = 10) ->
         return model.titles.select(
             F.lit(0).alias("rank"), "doc_id", "title", F.lit(0.0).alias("weight")
         ).limit(0)
-    # Ranking by U diag(s) is ranking by U; the rounding settles ties between copies.
-    scaled = F.round(F.get("us", F.lit(concept)), 6)
-    best = (
-        model.doc_factors.select("doc_id", scaled.alias("scaled"))
-        .orderBy(F.desc("scaled"), "doc_id")
-        .limit(n)
-    )
-    rank = F.row_number().over(Window.orderBy(F.desc("scaled"), "doc_id"))
-    ranked = best.select(
-        rank.alias("rank"), "doc_id", (F.col("scaled") / F.lit(sigmas[concept])).alias("weight")
-    )
+    # Columns of U have length 1, so the rounding, which settles ties between copies, is relative.
+    weight = F.get("us", F.lit(concept)) / F.lit(sigmas[concept])
+    order = [F.desc(F.round("weight", 9) + 0.0), F.col("doc_id")]
+    best = model.doc_factors.select("doc_id", weight.alias("weight")).orderBy(*order).limit(n)
+    ranked = best.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), "doc_id", "weight")
     return titled(ranked, model.titles, n).select("rank", "doc_id", "title", "weight") \
         .orderBy("rank")
 

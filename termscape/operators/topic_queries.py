@@ -7,15 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termscape.operators.relevance import SCORE_DIGITS, top_scores, unit_queries
+from termscape.operators.relevance import top_scores, unit_queries
 from termscape.operators.svd import ranked_words, titled
 from termscape.operators.topics import TopicModel
 from termscape.operators.topk import top_per_group
 
 
+#: Topic weights are shares; they rank by this many digits.
+WEIGHT_DIGITS = 6
+
+
 def _falling(weight: str | Column) -> Column:
-    """Weights that agree to ``SCORE_DIGITS`` digits are ties, which rank by id."""
-    return F.desc(F.round(weight, SCORE_DIGITS))
+    """Weights that agree to ``WEIGHT_DIGITS`` digits are ties, which rank by id."""
+    return F.desc(F.round(weight, WEIGHT_DIGITS))
 
 
 def topic_totals(model: TopicModel) -> DataFrame:
@@ -85,7 +89,7 @@ def _ranked_shares(weights: Column, n: int) -> Column:
     """Best ``n`` (topic, weight) of one document's weights, sorted inside its row."""
     pairs = F.transform(
         weights,
-        lambda w, i: F.struct((-F.round(w, SCORE_DIGITS)).alias("key"), i.alias("topic"), w.alias("weight")),
+        lambda w, i: F.struct((-F.round(w, WEIGHT_DIGITS)).alias("key"), i.alias("topic"), w.alias("weight")),
     )
     return F.slice(F.sort_array(pairs), 1, n)
 

@@ -799,12 +799,12 @@ def doc_norms(spark, folder):
 
 @query
 def docs_for_term(spark, folder):
-    return relevance.docs_for_terms(full_rank_concepts(spark, folder))
+    return rounded(relevance.docs_for_terms(full_rank_concepts(spark, folder)), 6, "score")
 
 
 @query
 def terms_for_term(spark, folder):
-    return relevance.terms_for_terms(full_rank_concepts(spark, folder))
+    return rounded(relevance.terms_for_terms(full_rank_concepts(spark, folder)), 6, "score")
 
 
 def longest_by_source(spark, folder) -> DataFrame:
@@ -818,14 +818,14 @@ def longest_by_source(spark, folder) -> DataFrame:
 @query
 def docs_for_doc(spark, folder):
     asked = [r["doc_id"] for r in longest_by_source(spark, folder).collect()]
-    return relevance.docs_for_docs(full_rank_concepts(spark, folder), doc_ids=asked)
+    return rounded(relevance.docs_for_docs(full_rank_concepts(spark, folder), doc_ids=asked), 6, "score")
 
 
 @query
 def docs_for_title(spark, folder):
     """As ``docs_for_doc``, the documents named by title."""
     asked = corpus_titles(longest_by_source(spark, folder))
-    return relevance.docs_for_docs(full_rank_concepts(spark, folder), titles=asked)
+    return rounded(relevance.docs_for_docs(full_rank_concepts(spark, folder), titles=asked), 6, "score")
 
 
 def corpus_titles(chosen: DataFrame) -> list[str]:
@@ -857,7 +857,7 @@ def query_unknown_terms(spark, folder):
 def docs_for_query(spark, folder):
     vocabulary = small_matrix(spark, folder).vocabulary
     weighed, _ = relevance.query_terms(benchmark_queries(spark, folder), vocabulary)
-    return relevance.docs_for_queries(full_rank_concepts(spark, folder), weighed)
+    return rounded(relevance.docs_for_queries(full_rank_concepts(spark, folder), weighed), 6, "score")
 
 
 def three_concepts(spark, folder) -> svd.ConceptModel:
@@ -888,25 +888,25 @@ def svd3_concept_docs(spark, folder):
 
 @query
 def svd3_docs_for_term(spark, folder):
-    return relevance.docs_for_terms(three_concepts(spark, folder))
+    return rounded(relevance.docs_for_terms(three_concepts(spark, folder)), 6, "score")
 
 
 @query
 def svd3_docs_for_doc(spark, folder):
     asked = [r["doc_id"] for r in longest_by_source(spark, folder).collect()]
-    return relevance.docs_for_docs(three_concepts(spark, folder), doc_ids=asked)
+    return rounded(relevance.docs_for_docs(three_concepts(spark, folder), doc_ids=asked), 6, "score")
 
 
 @query
 def svd3_terms_for_term(spark, folder):
-    return relevance.terms_for_terms(three_concepts(spark, folder))
+    return rounded(relevance.terms_for_terms(three_concepts(spark, folder)), 6, "score")
 
 
 @query
 def svd3_docs_for_query(spark, folder):
     vocabulary = small_matrix(spark, folder).vocabulary
     weighed, _ = relevance.query_terms(benchmark_queries(spark, folder), vocabulary)
-    return relevance.docs_for_queries(three_concepts(spark, folder), weighed)
+    return rounded(relevance.docs_for_queries(three_concepts(spark, folder), weighed), 6, "score")
 
 
 @query
@@ -930,7 +930,7 @@ def lsa_docs_for_query_k(spark, folder):
     """Free-text questions on a truncated model."""
     vocabulary = full_matrix(spark, folder).vocabulary
     weighed, _ = relevance.query_terms(benchmark_queries(spark, folder), vocabulary)
-    return relevance.docs_for_queries(truncated_concepts(spark, folder), weighed)
+    return rounded(relevance.docs_for_queries(truncated_concepts(spark, folder), weighed), 6, "score")
 
 
 # Topics

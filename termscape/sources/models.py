@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termscape.operators.matrix import TermMatrix, graph_edges, graph_nodes
 from termscape.operators.preprocessing import TermExtractor
-from termscape.operators.svd import ConceptModel
+from termscape.operators.svd import DOC_FACTORS_SCHEMA, ConceptModel
 from termscape.operators.topics import TopicModel
 
 
@@ -43,15 +43,20 @@ def save_graph(matrix: TermMatrix, path: str) -> None:
 
 
 def save_concepts(model: ConceptModel, path: str) -> None:
-    _write(
-        path, concepts=model.concepts, term_factors=model.term_factors,
-        doc_factors=model.doc_factors, titles=model.titles,
-    )
+    """Tables of the model; document factors keep their folders by length."""
+    spark = model.concepts.sparkSession
+    sizes = spark.createDataFrame([(model.longest, model.buckets)], "longest double, buckets map<int,bigint>")
+    _write(path, concepts=model.concepts, term_factors=model.term_factors, titles=model.titles, sizes=sizes)
+    model.doc_factors.hint("rebalance", "bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/doc_factors")
 
 
 def load_concepts(spark: SparkSession, path: str) -> ConceptModel:
-    names = ("concepts", "term_factors", "doc_factors", "titles")
-    return ConceptModel(*(spark.read.parquet(f"{path}/{name}") for name in names))
+    sizes = spark.read.parquet(f"{path}/sizes").first()
+    return ConceptModel(
+        spark.read.parquet(f"{path}/concepts"), spark.read.parquet(f"{path}/term_factors"),
+        spark.read.schema(DOC_FACTORS_SCHEMA).parquet(f"{path}/doc_factors"), spark.read.parquet(f"{path}/titles"),
+        sizes["longest"], sizes["buckets"],
+    )
 
 
 def save_topics(model: TopicModel, path: str) -> None:
