@@ -6,8 +6,14 @@ the shared folder and read again, so that a lost executor costs no earlier stage
 1. Quality rules: documents that fail the base rules or the compression bands go.
 2. N-gram Jaccard join: of each group of near copies the document with the smallest id stays.
 3. Suffix-array dedup: strings of 200 bytes that stand elsewhere too are cut out of the texts.
-4. Mixing: documents are read as often as their source's target weight asks, once at least.
+4. Mixing: documents are read as often as their source's target weight asks, once at least, and are
+   written in the order of the plan: by block, and by position in it.
 5. BPE: token ids of each reading, and whether decoding them gives the text back.
+
+Defined cases, for every stage: columns beyond those of documents stay, whatever their names; an empty table
+gives an empty one. Null and empty texts fail the base rules, so they end at stage 1. Of rows equal in id and text one
+is left by stage 2, and ties between documents of one size go to the smallest id, null ids last. A null source is a
+source of its own. Very long texts go through whole, one at a time in a task.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``n_chars`` follows the text."""
-    return suffix_dedup.cut_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return suffix_dedup.cut_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

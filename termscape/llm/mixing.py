@@ -51,8 +51,8 @@ class Target:
 
 
 def row_key(columns: list[Column]) -> Column:
-    """Digest of a row's values, null and empty told apart."""
-    parts = [F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n")) for c in columns]
+    """Digest of a row's values, null and empty told apart. A separator inside a value is doubled."""
+    parts = [F.coalesce(F.concat(F.lit("v"), F.replace(c.cast("string"), F.lit("\x1f"), F.lit("\x1f\x1f"))), F.lit("n")) for c in columns]
     return F.md5(F.concat_ws("\x1f", *parts))
 
 
@@ -60,7 +60,7 @@ def token_counts(docs: DataFrame, id_column: str, text_column: str, source_colum
     return docs.select(
         F.col(id_column).alias("doc_id"),
         F.col(source_column).alias("source"),
-        row_key([F.col(c) for c in key_columns]).alias("row_key"),
+        row_key([F.col(f"`{c}`") for c in key_columns]).alias("row_key"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"),
     )
 
@@ -175,9 +175,12 @@ def mix(
 
 
 def apply_plan(docs: DataFrame, plan: DataFrame, key_columns: list[str]) -> DataFrame:
-    """The rows of ``docs``, each as often as the plan reads it, with their own columns."""
-    keyed = docs.withColumn("_row_key", row_key([F.col(c) for c in key_columns])).dropDuplicates(["_row_key"])
-    times = plan.groupBy("row_key").agg(F.count(F.lit(1)).alias("_times"))
-    read = keyed.join(times, keyed["_row_key"] == times["row_key"])
-    read = read.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return read.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs``, once for each reading, with their own columns, in the order of the plan: by block, and
+    by position in the block.
+
+    A row travels in a struct, so its columns may have any names. Written as files, the rows stay in that order.
+    """
+    key = row_key([F.col(f"`{c}`") for c in key_columns])
+    rows = docs.select(key.alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    read = rows.dropDuplicates(["row_key"]).join(plan.select("row_key", "block", "position"), "row_key")
+    return read.repartitionByRange("block", "position").sortWithinPartitions("block", "position").select("row.*")

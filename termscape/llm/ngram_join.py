@@ -317,11 +317,14 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     found = _components_of_rows(docs, id_column, text_column)
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
     chosen = found.where("component is not null").groupBy("component").agg(F.min(first).alias("x"))
-    blank = found.where("component is null").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_row")).distinct()
-    keep = chosen.select(F.col("x.doc_id").alias("_id"), F.col("x.row_key").alias("_row")).union(blank)
+    blank = found.where("component is null").select("doc_id", "row_key").distinct()
+    keep = chosen.select("x.doc_id", "x.row_key").union(blank)
     # the texts are dealt once, by the row's hash, which serves the join and the equal rows alike
-    keep = keep.groupBy("_row").agg(F.collect_set(F.struct("_id")).alias("_ids"))
-    own = F.xxhash64(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))
-    kept = docs.withColumn("_own", own).join(keep, F.col("_own") == F.col("_row"))
-    kept = kept.where(F.exists("_ids", lambda x: x["_id"].eqNullSafe(F.col(id_column))))
-    return kept.dropDuplicates(["_own", id_column]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = keep.groupBy("row_key").agg(F.collect_set(F.struct("doc_id")).alias("ids"))
+    # the row travels in a struct, so no name of its columns meets one of these
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_column).alias("id"),
+        F.xxhash64(F.col(id_column), F.coalesce(F.col(text_column), F.lit(""))).alias("row_key"),
+    )
+    kept = rows.join(keep, "row_key").where(F.exists("ids", lambda x: x["doc_id"].eqNullSafe(F.col("id"))))
+    return kept.dropDuplicates(["row_key", "id"]).select("row.*")

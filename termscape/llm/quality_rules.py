@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termscape.llm.common import WORD_RE, bounded_batches
 
@@ -114,10 +115,11 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in RESULT.split(", ")]
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
-        rows = [judge(text, compressor) for text in batch.column("_text").to_pylist()]
+        # the text to judge comes last, whatever the other columns are called
+        rows = [judge(text, compressor) for text in batch.column(batch.num_columns - 1).to_pylist()]
         values = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
         found = [pa.array(v, t) for v, t in zip(values, types, strict=True)]
-        own = [i for i, n in enumerate(batch.schema.names) if n != "_text"]
+        own = range(batch.num_columns - 1)
         yield pa.RecordBatch.from_arrays(
             [batch.column(i) for i in own] + found, names=[batch.schema.names[i] for i in own] + names
         )
@@ -132,11 +134,11 @@ def judge_quality(docs: DataFrame, text: str = "text", keep_columns: list[str] |
     bounded_batches(docs.sparkSession)
     result_names = [c.split()[0] for c in RESULT.split(", ")]
     columns = [c for c in (docs.columns if keep_columns is None else keep_columns) if c not in result_names]
-    own = docs.select(*[docs[c] for c in columns], docs[text].alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields if f.name != "_text")
-    return own.mapInArrow(_judged, f"{fields}, {RESULT}" if fields else RESULT)
+    own = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias("text to judge"))
+    return own.mapInArrow(_judged, T.StructType([*own.schema.fields[:-1], *T.StructType.fromDDL(RESULT).fields]))
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns only."""
-    return judge_quality(docs).where("kept").select(*[F.col(c) for c in docs.columns])
+def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that pass, with their own columns and values only, whatever they are called."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return judge_quality(docs.select(row, F.col(f"`{text}`").alias("text")), keep_columns=["row"]).where("kept").select("row.*")

@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termscape.llm import shards
 from termscape.llm.rolling import blocks, gram_hashes, mixed, sliding
@@ -327,7 +328,7 @@ def _texts(docs: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.table({"carried": docs.column("carried"), "kept_text": texts, "was_cut": cut})
 
 
-def _remove(docs: DataFrame, id_column: str, text_column: str, carried: list[str] | None, function, schema: str) -> DataFrame:
+def _remove(docs: DataFrame, id_column: str, text_column: str, carried: list[str] | None, function, schema: str | T.StructType) -> DataFrame:
     shard_docs, n_shards = shards.dealt(docs, id_column, text_column, carried)
     bits = shards.counter_bits(n_shards, ANCHORS_PER_SHARD)
     merger_bits = max(4, n_shards.bit_length())
@@ -349,8 +350,9 @@ def cut_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Characters of which a cut took some bytes go as a whole. Rows of which nothing but white space
     is left by a cut are dropped; a null text stays null.
     """
-    struct = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried")).schema["carried"].dataType.simpleString()
-    found = _remove(docs, id_column, text_column, docs.columns, _texts, f"carried {struct}, kept_text string, was_cut boolean")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried"))
+    schema = T.StructType([*row.schema.fields, *T.StructType.fromDDL("kept_text string, was_cut boolean").fields])
+    found = _remove(docs, id_column, text_column, docs.columns, _texts, schema)
     found = found.where(~F.col("was_cut") | F.col("kept_text").rlike(r"\S"))
     own = [
         F.when(F.col("was_cut"), F.col("kept_text")).otherwise(F.col("carried")[c]).alias(c) if c == text_column else F.col("carried")[c].alias(c)
