@@ -77,17 +77,17 @@ def fit_vocabulary(terms: DataFrame, size: int = 2000, min_df: int = 2) -> DataF
     ``term_id`` is the 0-based rank by (corpus count descending, term ascending), so ties are
     settled the same way in every run.
     """
+    return rank_terms(term_profile(terms), size, min_df)
+
+
+def rank_terms(profile: DataFrame, size: int, min_df: int, *also: str) -> DataFrame:
+    """``fit_vocabulary`` of counted terms ``(term, tf, df, *also)``."""
     if not 0 < size <= MAX_VOCABULARY:
         raise ValueError(f"vocabulary size must be in 1..{MAX_VOCABULARY}, not {size}")
-    kept = (
-        term_profile(terms)
-        .where(F.col("df") >= min_df)
-        .orderBy(F.desc("tf"), "term")
-        .limit(size)
-    )
+    kept = profile.where(F.col("df") >= min_df).orderBy(F.desc("tf"), "term").limit(size)
     # One task numbers the rows: there are at most ``size`` of them.
     rank = F.row_number().over(Window.orderBy(F.desc("tf"), "term"))
-    return kept.select((rank - 1).alias("term_id"), "term", "tf", "df")
+    return kept.select((rank - 1).alias("term_id"), "term", "tf", "df", *also)
 
 
 def term_frequencies(terms: DataFrame, vocabulary: list[str], min_tf: int = 1) -> DataFrame:

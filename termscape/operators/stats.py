@@ -81,6 +81,26 @@ def _totals(counts: DataFrame, stage: str) -> DataFrame:
     )
 
 
+#: Names of the stages of the funnel, in their order.
+FUNNEL_STAGES = ("1 tokenize", "2 stop words", "3 lemmatize", "4 filter")
+
+
+def funnel_stages(
+    docs: DataFrame,
+    keep: Sequence[str],
+    stop_words: Sequence[str],
+    normalizer: Callable[[Column], Column] | None,
+    with_second: bool = True,
+) -> DataFrame:
+    """``(*keep, stages)``: the tokens of every document at each stage; the second follows from the first and may be left out."""
+    content = F.col("content")
+    lemmatize = tx.without_stop_words(tx.normalized(tx.words(content), normalizer), stop_words)
+    found = computed(docs, keep, tokenize=tx.whitespace_tokens(content), lemmatize=lemmatize)
+    second = [tx.without_stop_words(F.col("tokenize"), stop_words)] if with_second else []
+    last = tx.lower_all(tx.with_term_shape(F.col("lemmatize")))
+    return found.select(*keep, F.array(F.col("tokenize"), *second, F.col("lemmatize"), last).alias("stages"))
+
+
 def preprocessing_funnel(
     docs: DataFrame,
     stop_words: Sequence[str] = ENGLISH_DEFAULT,
@@ -92,14 +112,7 @@ def preprocessing_funnel(
     and those of only letters and more than two characters, lower-cased. The second stage keeps or
     drops whole tokens of the first, so it is read off the first one's counts.
     """
-    content = F.col("content")
-    lemmatize = tx.without_stop_words(tx.normalized(tx.words(content), normalizer), stop_words)
-    staged = computed(
-        docs, [], tokenize=tx.whitespace_tokens(content), lemmatize=lemmatize
-    ).select(
-        F.array("tokenize", "lemmatize", tx.lower_all(tx.with_term_shape(F.col("lemmatize"))))
-        .alias("stages")
-    )
+    staged = funnel_stages(docs, [], stop_words, normalizer, with_second=False)
     lowered = sorted({w.lower() for w in stop_words})
     kept = F.col("token").isNull() | ~F.lower("token").isin(lowered)
     names = (

@@ -105,9 +105,20 @@ def topic_model(fitted: LDAModel, matrix: TermMatrix) -> TopicModel:
     )
 
 
+def scoring_model(fitted: LDAModel) -> LDAModel:
+    """The model that scores documents: a distributed one as a local one with the seed of its fit.
+
+    Inference starts at random; left to itself, a distributed model draws another seed whenever it is loaded.
+    """
+    if not fitted.isDistributed():
+        return fitted
+    local = fitted.toLocal().setFeaturesCol(fitted.getFeaturesCol()).setSeed(fitted.getSeed())
+    return local.setTopicDistributionCol(fitted.getTopicDistributionCol())
+
+
 def score_documents(fitted: LDAModel, vectors: DataFrame) -> DataFrame:
     """Topic shares of documents, also of documents the model has not seen."""
-    return fitted.transform(vectors).select(
+    return scoring_model(fitted).transform(vectors).select(
         "doc_id", "title", vector_to_array("topicDistribution").alias("weights")
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from termscape.functions.stopwords import ENGLISH_174, ENGLISH_DEFAULT
 from termscape.functions.text import SUFFIX_RULES
-from termscape.plans.queries import EM_STEPS, EM_TOPICS, SMALL_VOCABULARY
+from termscape.plans.queries import BATCHES, EM_STEPS, EM_TOPICS, LDA_TOPICS, SMALL_TOPICS, SMALL_VOCABULARY
 
 #: Rounds of squaring A'A; the leading direction wins by the power 2**rounds.
 SQUARINGS = 8
@@ -355,6 +355,20 @@ def _funnel() -> str:
     return _with(DOCS, select="\nUNION ALL\n".join(parts))
 
 
+WIKI_TEXT = _with(
+    DOCS, tokens(_nested("content", WORDS)),
+    "read AS (SELECT doc_id, title, title || e'\\nHistory' || CASE WHEN len(t) > 0 "
+    "THEN e'\\n' || array_to_string(t, ' ') ELSE '' END AS content FROM tokens)",
+    select="""SELECT doc_id, title, length(content)::BIGINT AS n_chars,
+    md5(content) AS digest FROM read""")
+
+GROWING_COUNTS = _with(*matrix(), select="""SELECT term, sum(n)::BIGINT AS tf, count(*) AS df,
+    count(*) FILTER (n >= 2) AS matrix_df FROM counts GROUP BY term
+    UNION ALL SELECT NULL, 0, count(*), 0 FROM usable""")
+SAVED_LDA = _with(DOCS, tokens(CLEAN), select=f"""SELECT count(*) AS documents, CAST(0 AS BIGINT) AS differing,
+    CAST({LDA_TOPICS} AS BIGINT) AS topics FROM tokens WHERE len(t) > 1""")
+
+
 def oracle_sql() -> dict[str, str]:
     term_freq = _with(*TERM_ROWS, select="SELECT term, count(*) AS tf FROM terms GROUP BY term")
     docs_for_term = _with(
@@ -392,12 +406,7 @@ def oracle_sql() -> dict[str, str]:
         "html_to_text": PAGE_DIGEST,
         "xml_pages": PAGE_DIGEST,
         "xml_scan": PAGE_DIGEST,
-        "wiki_to_text": _with(
-            DOCS, tokens(_nested("content", WORDS)),
-            "read AS (SELECT doc_id, title, title || e'\\nHistory' || CASE WHEN len(t) > 0 "
-            "THEN e'\\n' || array_to_string(t, ' ') ELSE '' END AS content FROM tokens)",
-            select="""SELECT doc_id, title, length(content)::BIGINT AS n_chars,
-            md5(content) AS digest FROM read"""),
+        "wiki_to_text": WIKI_TEXT,
         "title_filter": _with(READ_PAGES, select="""SELECT page_id, title FROM read WHERE NOT
             regexp_matches(title, '(^(List)|(Category))|([0-9]+)') AND length(title) > 1"""),
         # the expectation follows from the kinds of record alone
@@ -615,6 +624,31 @@ def oracle_sql() -> dict[str, str]:
         "fold_in_em": _with(*EM, *_fold_in(), select="""SELECT doc_id, title, topic,
             round(c / sum(c) OVER (PARTITION BY doc_id), 6) AS weight
             FROM nd""" + str(EM_STEPS) + " JOIN seen USING (doc_id)"),
+        "growing_counts": GROWING_COUNTS,
+        "stream_growing_counts": GROWING_COUNTS,
+        "growing_idf": _with(*matrix(), select="""SELECT term_id, term, tf, df, matrix_df,
+            round(idf, 9) AS idf FROM weights"""),
+        "growing_matrix": _with(*(cte.replace(
+            "FROM counts GROUP BY term HAVING", f"FROM counts WHERE doc_id % {BATCHES} < 3 GROUP BY term HAVING"
+        ) for cte in matrix()), select=ENTRIES),
+        "growing_funnel": "SELECT stage, tokens, tokens_per_doc, unique_per_doc, true AS close FROM (" + _funnel() + ")",
+        "vocab_coded": _with(*matrix(size=1 << 31), select="""SELECT term_id::BIGINT AS term_id, term, tf, df, matrix_df,
+            round(idf, 9) AS idf FROM weights"""),
+        "matrix_coded": _with(*matrix(size=1 << 31), select=
+            "SELECT doc_id, term_id::BIGINT AS term_id, tf, round(tfidf, 6) AS tfidf FROM a"),
+        "saved_lda_em": SAVED_LDA,
+        "saved_lda_online": SAVED_LDA,
+        "lda_priors": _with(*SMALL, "n AS (SELECT count(*) AS n FROM vocab)", select=f"""
+            SELECT 'em' AS optimizer, 50.0::DOUBLE / {SMALL_TOPICS} + 1 AS doc_concentration,
+                round(200.0::DOUBLE / n + 1, 9) AS topic_concentration FROM n
+            UNION ALL SELECT 'online', 50.0::DOUBLE / {SMALL_TOPICS}, round(200.0::DOUBLE / n, 9) FROM n"""),
+        "configured_jobs": WIKI_TEXT,
+        "lsa_run": _with(
+            *matrix(CLEAN_CASE, SMALL_VOCABULARY, 1, 1), TITLES,
+            _best("SELECT v.term, u.doc_id, round(coalesce(a.tfidf, 0), 6) AS score FROM vocab v "
+                  "CROSS JOIN usable u LEFT JOIN a ON a.term_id = v.term_id AND a.doc_id = u.doc_id "
+                  "WHERE v.term_id < 5", "term"),
+            select="SELECT term, rank, doc_id, title, score FROM best JOIN titles USING (doc_id)"),
         "topic_table": _with(*EM, select="SELECT topic, " + ", ".join(
             f"max(CASE WHEN rank = {i} THEN term END) AS w{i}" for i in range(1, 6)
         ) + " FROM words GROUP BY topic"),

@@ -17,14 +17,16 @@ from termscape.functions import markup
 from termscape.functions import text as tx
 from termscape.functions.stopwords import ENGLISH_174
 from termscape.operators import (
-    filters, matrix, postings, relevance, stats, svd, topic_queries, topics,
+    corpus_counts, dictionary, filters, matrix, postings, relevance, stats, svd, topic_queries, topics,
 )
 from termscape.operators.preprocessing import TermExtractor
 from termscape.operators.terms import (
     analysed_forms, computed, document_lemmas, document_terms, lemma_words, terms_with,
 )
-from termscape.session import discard, frozen, scratch_path, spread
+from termscape.plans import jobs
+from termscape.session import Scratch, discard, frozen, scratch_path, spread
 from termscape.sources import dump, models, tables
+from termscape.sources.growing import GrowingTable
 from termscape.sources.tables import corpus
 from termscape.streaming import scoring
 
@@ -367,13 +369,17 @@ def wiki_markup(words: Column) -> Column:
     return F.concat(F.lit(box), F.array_join(F.transform(words, marked), " "))
 
 
+def wiki_pages(spark, folder) -> DataFrame:
+    """Page records whose markup shows the words of the documents."""
+    found = computed(docs(spark, folder), ["doc_id", "title"], words=tx.words(F.col("content")))
+    return found.select(page_records("doc_id", F.col("title"), wiki_markup(F.col("words"))))
+
+
 @query
 def wiki_to_text(spark, folder):
     """Articles of a dump in plain text. The markup shows the words of the documents, so the text
     must be those words."""
-    found = computed(docs(spark, folder), ["doc_id", "title"], words=tx.words(F.col("content")))
-    pages = page_records("doc_id", F.col("title"), wiki_markup(F.col("words")))
-    articles = dump.article_documents(dump.parse_pages(found.select(pages)))
+    articles = dump.article_documents(dump.parse_pages(wiki_pages(spark, folder)))
     read = computed(articles, ["doc_id", "title"], content=F.col("content"))
     return read.select(
         "doc_id", "title", F.length("content").cast("bigint").alias("n_chars"),
@@ -1200,3 +1206,190 @@ def stream_term_counts(spark, folder):
     run.awaitTermination()
     written = spark.read.schema("term string, tf bigint, batch bigint").parquet(path)
     return written.groupBy("term").agg(F.max_by("tf", "batch").alias("tf"))
+
+
+# Corpora that grow
+
+#: Batches in which the documents arrive.
+BATCHES = 5
+
+
+def batch_of(source: DataFrame, *numbers: int) -> DataFrame:
+    return source.where(F.pmod("doc_id", F.lit(BATCHES)).isin(*numbers))
+
+
+def grown_table(spark, label: str, merge, delta) -> GrowingTable:
+    """All batches, of which one arrives twice."""
+    made = GrowingTable(spark, scratch_path(spark, label), merge)
+    for number in (0, 1, 2, 2, 3, 4):
+        made.add(number, delta(number))
+    return made
+
+
+def growing(spark, folder) -> GrowingTable:
+    def store():
+        found = terms(spark, folder)
+        return grown_table(
+            spark, "growing", corpus_counts.merge_counts,
+            lambda number: corpus_counts.count_delta(batch_of(found, number)),
+        )
+
+    return _once(spark, folder, "growing", store)
+
+
+@query
+def growing_counts(spark, folder):
+    """Counts of all terms, added up batch by batch."""
+    return growing(spark, folder).read()
+
+
+@query
+def growing_idf(spark, folder):
+    """``idf_weights`` from the added counts."""
+    return rounded(corpus_counts.weighed_vocabulary(growing(spark, folder).read()), 9, "idf")
+
+
+@query
+def growing_matrix(spark, folder):
+    """A matrix of the first three batches, with the documents of the others and the weights of all."""
+    found = terms(spark, folder)
+    early = matrix.build_matrix(batch_of(found, 0, 1, 2))
+    whole = corpus_counts.grown(early, batch_of(found, 3, 4), growing(spark, folder).read())
+    return rounded(whole.named_entries(), 6, "tfidf")
+
+
+@query
+def growing_funnel(spark, folder):
+    """The funnel by source, each batch sketched once; the sketched number of distinct tokens is within 10 percent."""
+    source = docs(spark, folder).withColumn("source", F.regexp_extract("title", "^(.*)-[^-]*$", 1))
+    made = grown_table(
+        spark, "growing-funnel", corpus_counts.merge_funnel("source"),
+        lambda number: corpus_counts.funnel_delta(batch_of(source, number), ["source"], normalizer=tx.strip_suffix),
+    )
+    whole = corpus_counts.funnel_estimate(corpus_counts.merge_funnel()(made.read()))
+    exact = stats.preprocessing_funnel(source, normalizer=tx.strip_suffix).select("stage", F.col("unique_tokens").alias("exact"))
+    close = F.abs(F.col("unique_tokens") / F.col("exact") - 1) < 0.1
+    found = whole.join(exact, "stage").select("stage", "tokens", "tokens_per_doc", "unique_per_doc", close.alias("close"))
+    return rounded(found, 6, "tokens_per_doc", "unique_per_doc")
+
+
+@query
+def stream_growing_counts(spark, folder):
+    """``growing_counts`` on a stream."""
+    made = GrowingTable(spark, scratch_path(spark, "stream-counts"), corpus_counts.merge_counts)
+    arriving = document_terms(corpus(_stream(spark, folder, "documents")))
+    run = (
+        scoring.keep_counts(arriving, made)
+        .option("checkpointLocation", scratch_path(spark, "stream-counts-progress"))
+        .trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return made.read()
+
+
+# Vocabularies of any size
+
+#: Terms looked up in the broadcast table here, so that few terms already take both ways.
+FEW_FREQUENT = 256
+
+
+def coded_matrix_of(spark, folder) -> dictionary.CodedMatrix:
+    return _once(
+        spark, folder, "coded", lambda: dictionary.build_coded(terms(spark, folder), frequent=FEW_FREQUENT)
+    )
+
+
+@query
+def vocab_coded(spark, folder):
+    """All terms of at least two documents, with ids and weights."""
+    return rounded(coded_matrix_of(spark, folder).vocabulary, 9, "idf")
+
+
+@query
+def matrix_coded(spark, folder):
+    """Entries of all terms of at least two documents."""
+    return rounded(coded_matrix_of(spark, folder).entries, 6, "tfidf")
+
+
+# Saved models and whole jobs
+
+
+def _saved_scores(spark, folder, name: str, model: topics.TopicModel, distributed: bool) -> DataFrame:
+    """Documents whose topics differ between a fitted model and the same one saved and loaded."""
+    path = scratch_path(spark, name)
+    models.save_topics(model, path)
+    back = models.load_topics(spark, path, models.load_fitted(path, distributed))
+    scored = topics.score_documents(back.fitted, full_matrix(spark, folder).vectors)
+    both = model.doc_topics.join(scored.withColumnRenamed("weights", "loaded"), ["doc_id", "title"], "full").join(
+        back.doc_topics.withColumnRenamed("weights", "stored"), ["doc_id", "title"], "full"
+    )
+    def same(other: str) -> Column:
+        return F.forall(F.zip_with("weights", other, lambda a, b: F.abs(a - b) < 1e-9), lambda x: F.coalesce(x, F.lit(False)))
+
+    fits = F.coalesce(same("loaded") & same("stored"), F.lit(False))
+    counted = frozen(both.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(~fits).alias("differing"),
+        F.max(F.size("weights")).cast("bigint").alias("topics"),
+    ), name)
+    discard(spark, path)
+    return counted
+
+
+@query
+def saved_lda_em(spark, folder):
+    """Spark's EM model, saved and loaded, scores the corpus as before."""
+    return _saved_scores(spark, folder, "saved-lda-em", ml_topics(spark, folder), True)
+
+
+@query
+def saved_lda_online(spark, folder):
+    """Spark's online model, saved and loaded, scores the corpus as before."""
+    built = full_matrix(spark, folder)
+    model = topics.fit_lda(built, LDA_TOPICS, 5, "online")
+    return _saved_scores(spark, folder, "saved-lda-online", model, False)
+
+
+@query
+def lda_priors(spark, folder):
+    """The concentrations that are asked for are those of the fitted models; the usual ones follow from topics and terms."""
+    built = small_matrix(spark, folder)
+    rows = []
+    for optimizer in ("em", "online"):
+        doc, topic = topics.suggested_priors(SMALL_TOPICS, built.n_terms, optimizer)
+        fitted = topics.fit_lda(built, SMALL_TOPICS, 1, optimizer, doc, topic).fitted
+        rows.append((optimizer, round(float(fitted.getOrDefault("docConcentration")[0]), 9), round(float(fitted.getOrDefault("topicConcentration")), 9)))
+    return spark.createDataFrame(rows, "optimizer string, doc_concentration double, topic_concentration double")
+
+
+@query
+def configured_jobs(spark, folder):
+    """The job from a dump to documents, with the dump and the documents where the session's settings name them."""
+    path = scratch_path(spark, "jobs")
+    names = {"spark.termscape.base": f"{path}/base", "spark.termscape.dump": f"{path}/dump"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        at = tables.Locations.of(spark)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    wiki_pages(spark, folder).write.text(at.dump)
+    jobs.documents_job(spark, at)
+    found = frozen(document_digest(tables.read_documents(spark, f"{path}/base/documents")), "jobs")
+    discard(spark, path)
+    return found
+
+
+@query
+def lsa_run(spark, folder):
+    """The whole run on the book's way of preprocessing: at full rank its documents for a term are the matrix's columns."""
+    source = docs(spark, folder)
+    reports = jobs.lsa_reports(source, SMALL_VOCABULARY, SMALL_VOCABULARY, terms=lsa_terms(spark, folder), n=10)
+    return rounded(reports["documents for terms"], 6, "score")
+
+
+def lsa_terms(spark, folder) -> list[str]:
+    """The five most used terms."""
+    found = document_terms(docs(spark, folder), ENGLISH_174, case_sensitive=True)
+    return [r["term"] for r in matrix.fit_vocabulary(filters.with_min_terms(found), 5, 1).collect()]

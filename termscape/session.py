@@ -52,6 +52,20 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folders(spark: SparkSession, path: str, marked: str = "") -> list[str]:
+    """Names of the folders in ``path``, only those with a file called ``marked`` if it is given; none if there is no such path."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    found = [entry.getPath() for entry in system.listStatus(place) if entry.isDirectory()]
+    return [
+        at.getName() for at in found
+        if not marked or system.exists(jvm.org.apache.hadoop.fs.Path(at, marked))
+    ]
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Have the shuffle files of finished steps removed now.
 
