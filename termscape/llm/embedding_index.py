@@ -12,7 +12,13 @@ its region. A group returns degrees and a spanning forest of its links, not the
 The pivots are chosen from a bounded sample (``SAMPLED * n_pivots`` rows, fixed by a hash of their
 values), the only thing that the driver holds. They lie apart: no two have a cosine of
 ``APART`` or more. Else a dense cluster would hold many of them, and its members, each near to others of
-these, would share none. Every vector is indexed.
+these, would share none. Every vector is indexed. Unless a number is given, there are ``PER_ROOT`` pivots for the
+square root of the rows, ``MAX_PIVOTS`` at most: a list grows with the root, and so do the comparisons of a vector.
+
+Vectors that all have a direction in common are near to the same few pivots. So nearness to pivots is measured after a
+share of the mean is taken off: as much as leaves two vectors at the threshold a cosine of ``LEFT``. The mean
+is taken over sampled vectors of which no two reach the threshold, so that a cluster counts once. Links are
+verified on the vectors as they are.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a non-finite number, or whose
 length differs from the pivots' have no links; their component is themselves. Rows with equal or null ids
@@ -34,10 +40,12 @@ from termscape.llm.common import salted_join
 from termscape.llm.components import components
 from termscape.session import Scratch, frozen
 
-N_PIVOTS = 1024
+PER_ROOT = 8
+MIN_PIVOTS, MAX_PIVOTS = 256, 8192
 SAMPLED = 4
 APART = 0.6
-LENGTH = 8
+LEFT = 0.75
+LENGTH = 10
 MIN_SHARED = 2
 MIN_COSINE = 0.9
 BLOCK = 1024
@@ -64,37 +72,78 @@ def _usable(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(places, np.int64), units
 
 
-def choose_pivots(vectors: DataFrame, vector_column: str, n_pivots: int) -> np.ndarray:
-    """At most ``n_pivots`` vectors of the commonest length that lie apart, the same whatever the partitioning."""
+def pivots_for(rows: int) -> int:
+    return min(MAX_PIVOTS, max(MIN_PIVOTS, int(PER_ROOT * rows**0.5)))
+
+
+def _apart(units: np.ndarray, cosine: float, most: int) -> np.ndarray:
+    """The first vectors, ``most`` at most, of which no two have a cosine of ``cosine`` or more."""
+    chosen = np.zeros((min(most, len(units)), units.shape[1]))
+    n = 0
+    for unit in units:
+        if n == len(chosen):
+            break
+        if (chosen[:n] @ unit < cosine).all():
+            chosen[n] = unit
+            n += 1
+    return chosen[:n]
+
+
+def _centre(units: np.ndarray, min_cosine: float) -> np.ndarray:
+    """What is taken off the unit vectors before they are compared with pivots.
+
+    With e the mean's squared length and t the share that is taken off, a typical vector keeps the squared length
+    1 - e + (1 - t)^2 e, and two vectors at the threshold keep the cosine 1 - (1 - min_cosine) / that.
+    """
+    mean = _apart(units, min_cosine, len(units)).mean(axis=0)
+    energy = float(mean @ mean)
+    if energy == 0.0:
+        return mean
+    stays = min(energy, max(0.0, (1.0 - min_cosine) / (1.0 - LEFT) - 1.0 + energy))
+    return mean * (1.0 - np.sqrt(stays / energy))
+
+
+def centred(units: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    moved = units - centre
+    return moved / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
+
+
+def choose_pivots(
+    vectors: DataFrame, vector_column: str, n_pivots: int, min_cosine: float = MIN_COSINE
+) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``n_pivots`` centred vectors of the commonest length that lie apart, and the centre: the same whatever the partitioning."""
     whole = vectors.select(F.col(vector_column).cast("array<double>").alias("vector"))
     whole = whole.where("vector is not null and size(vector) > 0").withColumn("place", F.xxhash64("vector"))
     places = whole.select("place").distinct().orderBy("place").limit(SAMPLED * n_pivots)
     last = places.agg(F.max("place")).first()[0]
+    nothing = np.zeros((0, 0)), np.zeros(0)
     if last is None:
-        return np.zeros((0, 0))
+        return nothing
     sample = whole.where(F.col("place") <= last).groupBy("place").agg(F.first("vector").alias("vector"))
-    rows = [r["vector"] for r in sample.orderBy("place").collect()]
-    _, units = _usable(pa.array(rows, pa.list_(pa.float64())))
+    rows = sample.orderBy("place").select("vector").toArrow()["vector"].combine_chunks()
+    _, units = _usable(rows)
     lengths: dict[int, int] = {}
     for unit in units:
         lengths[len(unit)] = lengths.get(len(unit), 0) + 1
     if not units:
-        return np.zeros((0, 0))
+        return nothing
     size = max(lengths, key=lambda n: (lengths[n], n))
-    chosen = np.zeros((0, size))
-    for unit in units:
-        if len(unit) == size and len(chosen) < n_pivots and (chosen @ unit < APART).all():
-            chosen = np.vstack([chosen, unit])
-    return chosen
+    whole_size = np.stack([unit for unit in units if len(unit) == size])
+    centre = _centre(whole_size, min_cosine)
+    return _apart(centred(whole_size, centre), APART, n_pivots), centre
 
 
 INDEX_SCHEMA = "vec_id bigint, key binary, vector binary, pivots array<int>"
 
 
-def describe(vectors: DataFrame, pivots: np.ndarray, id_column: str, vector_column: str) -> DataFrame:
+def describe(
+    vectors: DataFrame, pivots: np.ndarray, centre: np.ndarray, id_column: str, vector_column: str
+) -> DataFrame:
     """vec_id, a key of the vector's value, the unit vector, its nearest pivots in order (null: not usable)."""
     size = pivots.shape[1]
     length = min(LENGTH, len(pivots))
+    # at most MAX_PIVOTS vectors, unless the caller asks for more
+    held = vectors.sparkSession.sparkContext.broadcast((pivots, centre))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +154,8 @@ def describe(vectors: DataFrame, pivots: np.ndarray, id_column: str, vector_colu
             fit = [(p, u) for p, u in zip(places, units, strict=True) if len(u) == size]
             if fit:
                 matrix = np.stack([u for _, u in fit])
-                cosines = matrix @ pivots.T
+                pivots, centre = held.value
+                cosines = centred(matrix, centre) @ pivots.T
                 order = np.argsort(-cosines, axis=1, kind="stable")[:, :length]
                 for (p, unit), row in zip(fit, order, strict=True):
                     blobs[p] = unit.tobytes()
@@ -188,16 +238,16 @@ def near_duplicates(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     min_cosine: float = MIN_COSINE,
-    n_pivots: int = N_PIVOTS,
+    n_pivots: int | None = None,
     min_shared: int = MIN_SHARED,
     block: int = BLOCK,
 ) -> DataFrame:
     """vec_id, n_links (other rows linked directly), component_id, kept (the smallest id of its component)."""
     spark = vectors.sparkSession
-    pivots = choose_pivots(vectors, vector_column, n_pivots)
+    pivots, centre = choose_pivots(vectors, vector_column, n_pivots or pivots_for(vectors.count()), min_cosine)
     min_shared = min(min_shared, LENGTH, max(1, len(pivots)))
     with Scratch(spark) as scratch:
-        index = scratch.table(describe(vectors, pivots, id_column, vector_column), "pivot-index")
+        index = scratch.table(describe(vectors, pivots, centre, id_column, vector_column), "pivot-index")
         classes = index.where("key is not null").groupBy("key").agg(
             F.count(F.lit(1)).alias("n"),
             F.min("vec_id").alias("least"),

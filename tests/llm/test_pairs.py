@@ -191,3 +191,29 @@ def test_pivot_index_of_nothing(spark):
     assert embedding_index.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     lone = spark.createDataFrame([(None, [1.0, 2.0]), (3, [1.0, 2.0]), (3, [1.0, 2.0])], schema)
     assert sorted(map(tuple, embedding_index.near_duplicates(lone).collect()), key=repr) == [(3, 2, 3, True), (3, 2, 3, True), (None, 2, 3, False)]
+
+
+@pytest.mark.parametrize("shared", [0.0, 0.69])
+def test_pivot_index_with_a_common_direction(spark, shared):
+    """Recall, and candidates of a vector, at three sizes, also where any two vectors have a cosine of some 0.69."""
+    rng = np.random.RandomState(8)
+    per_vector = []
+    for size in (750, 1500, 3000):
+        base = rng.normal(size=(size, 64))
+        base /= np.linalg.norm(base, axis=1, keepdims=True)
+        near = base[: size // 2] + rng.normal(size=(size // 2, 64)) * rng.uniform(0.1, 1.2, (size // 2, 1)) / 8
+        rest = np.vstack([base, near / np.linalg.norm(near, axis=1, keepdims=True)])
+        rows = np.sqrt(1 - shared) * rest
+        rows[:, 0] += np.sqrt(shared)
+        unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+        links = unit @ unit.T >= 0.9
+        np.fill_diagonal(links, False)
+        df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "vec_id bigint, embedding array<double>")
+        found = embedding_index.near_duplicates(df).agg({"n_links": "sum"}).first()[0]
+        assert 0.9 * links.sum() <= found <= links.sum()
+        pivots, centre = embedding_index.choose_pivots(df, "embedding", embedding_index.pivots_for(len(rows)))
+        described = embedding_index.describe(df, pivots, centre, "vec_id", "embedding").toPandas()
+        shares = embedding_index.shared_pivots(*[np.stack(described["pivots"])] * 2) >= embedding_index.MIN_SHARED
+        per_vector.append((shares.sum() - len(rows)) / len(rows))
+    # all pairs would be four times as many at four times the size
+    assert per_vector[-1] < 2 * per_vector[0] and per_vector[-1] < 0.1 * len(rows), per_vector
