@@ -273,7 +273,8 @@ def near_duplicates(
         joined = joined.join(degree, joined["key"] == degree["u"], "left").join(member, joined["key"] == member["vertex"], "left")
         joined = joined.withColumn("component", F.coalesce("component", "key"))
         smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-        answer = joined.join(smallest, "component").select(
+        # a component may hold most classes
+        answer = salted_join(joined, smallest, "component", F.col("key")).select(
             "key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"
         )
         rows = salted_join(index.select("vec_id", "key"), answer, "key", F.col("vec_id"))
