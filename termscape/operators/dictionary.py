@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from termscape.operators.filters import with_min_terms
 from termscape.operators.stats import term_profile
+from termscape.operators.terms import computed
 from termscape.session import Scratch, frozen
 
 #: Terms that are sent to every task when texts are coded. The term of rank r makes up at most 1/r of all tokens, so
@@ -62,12 +63,18 @@ def coded_vocabulary(profile: DataFrame, min_df: int = 2) -> DataFrame:
 def coded_counts(terms: DataFrame, vocabulary: DataFrame, min_tf: int = 1, frequent: int = FREQUENT_TERMS) -> DataFrame:
     """``(doc_id, term_id, n)`` for the terms of the vocabulary that a document uses at least ``min_tf`` times.
 
-    Terms are counted per document first. The ``frequent`` first terms are looked up in a broadcast table;
+    Terms are counted inside the row, as runs in sorted order; ids of documents are keys. The ``frequent`` first terms are looked up in a broadcast table;
     only the others are shuffled by term, and of them none makes up more than ``1/frequent`` of all tokens.
     Terms outside the vocabulary are rarer still.
     """
-    listed = terms.select("doc_id", F.explode("terms").alias("term"))
-    counted = listed.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_tf)
+    ordered = computed(terms, ["doc_id"], own=F.sort_array("terms"))
+    places = F.transform("own", lambda _, i: i)
+    begins = F.filter(places, lambda i: (i == 0) | (F.get("own", i) != F.get("own", i - 1)))
+    runs = computed(ordered, ["doc_id", "own"], begins=begins)
+    pairs = F.transform("begins", lambda begin, j: F.struct(
+        F.get("own", begin).alias("term"), (F.coalesce(F.get("begins", j + 1), F.size("own")) - begin).cast("bigint").alias("n")
+    ))
+    counted = runs.select("doc_id", F.inline(pairs)).where(F.col("n") >= min_tf)
     named = vocabulary.select("term", "term_id")
     first = F.broadcast(named.where(F.col("term_id") < frequent))
     looked_up = counted.join(first, "term", "left")
