@@ -1,7 +1,7 @@
 """Truncated singular value decomposition of the document-term matrix.
 
 Row matrices are MLlib's, fed from and read back into DataFrames without leaving the JVM. What the
-driver holds is sized by the vocabulary (A'A, or n x k factors); everything that has one row per
+driver holds is sized by the vocabulary (n x k factors); everything that has one row per
 document stays distributed.
 """
 
@@ -28,9 +28,6 @@ from termscape.session import frozen, scratch_path
 #: Most n x k entries of the term factor that may be held on the driver (1 GB of doubles).
 MAX_FACTOR_ENTRIES = 1 << 27
 
-#: Vocabularies up to this size are factorized through A'A (128 MB of doubles on the driver).
-MAX_GRAM_TERMS = 4096
-
 #: Singular values that the solver puts below this fraction of the largest are not looked at.
 RELATIVE_CUT = 1e-12
 
@@ -99,20 +96,11 @@ def _oriented(v: np.ndarray) -> np.ndarray:
     return v * np.where(peak < 0, -1.0, 1.0)
 
 
-def _from_gram(a: IndexedRowMatrix, k: int) -> np.ndarray:
-    """Leading directions V from the n x n matrix A'A: one pass over the documents."""
-    _, vectors = np.linalg.eigh(a.computeGramianMatrix().toArray())
-    return vectors[:, ::-1][:, :k]
-
-
-def _from_passes(rows: DataFrame, n_terms: int, k: int) -> np.ndarray:
-    """Leading directions V from MLlib's iterative solver: many passes, O(n k) memory on the driver."""
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        svd = IndexedRowMatrix(rows, numCols=n_terms).computeSVD(k, rCond=RELATIVE_CUT)
-        return svd.V.toArray()
-    finally:
-        rows.unpersist()
+def _directions(rows: DataFrame, n_terms: int, k: int) -> np.ndarray:
+    """Leading directions V by MLlib, which holds O(n k) numbers on the driver, or A'A for few terms or many concepts."""
+    if rows.where(F.col("length") > 0).isEmpty():
+        return np.eye(n_terms, k)  # the solver needs a matrix with an entry
+    return IndexedRowMatrix(rows.drop("length"), numCols=n_terms).computeSVD(k, rCond=RELATIVE_CUT).V.toArray()
 
 
 def _length(values: Column) -> Column:
@@ -127,19 +115,19 @@ def fit_concepts(matrix: TermMatrix, k: int = 100) -> ConceptModel:
     if k * matrix.n_terms > MAX_FACTOR_ENTRIES:
         raise ValueError(f"{matrix.n_terms} terms x {k} concepts do not fit on the driver")
     spark = matrix.vectors.sparkSession
-    rows = MLUtils.convertVectorColumnsFromML(matrix.vectors.select("doc_id", "tfidf"), "tfidf")
-    if matrix.n_terms <= MAX_GRAM_TERMS:
-        v = _from_gram(IndexedRowMatrix(rows, numCols=matrix.n_terms), k)
-    else:
-        v = _from_passes(rows, matrix.n_terms, k)
-    v = _oriented(v)
-    # U diag(s) is A V, one map-only pass that does not need U.
-    product = IndexedRowMatrix(rows, numCols=matrix.n_terms).multiply(
-        DenseMatrix(v.shape[0], v.shape[1], v.ravel(order="F"))
-    )
-    us = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
-    us = MLUtils.convertVectorColumnsToML(us, "vector")
-    us = frozen(us.select(F.col("index").alias("doc_id"), F.col("vector")), "doc-products")
+    weighed = matrix.vectors.select("doc_id", "tfidf", _length(vector_to_array("tfidf")).alias("length"))
+    rows = MLUtils.convertVectorColumnsFromML(weighed, "tfidf").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        v = _oriented(_directions(rows, matrix.n_terms, k))
+        # U diag(s) is A V, one map-only pass that does not need U.
+        product = IndexedRowMatrix(rows.drop("length"), numCols=matrix.n_terms).multiply(
+            DenseMatrix(v.shape[0], v.shape[1], v.ravel(order="F"))
+        )
+        us = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
+        us = MLUtils.convertVectorColumnsToML(us, "vector")
+        us = frozen(us.select(F.col("index").alias("doc_id"), F.col("vector")), "doc-products")
+    finally:
+        rows.unpersist()
     # Sigma from the columns of A V: the roots of A'A's eigenvalues are noise below the root of the
     # machine precision. What is left there is beyond the rank of A.
     array = vector_to_array("vector")

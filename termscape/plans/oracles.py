@@ -573,6 +573,8 @@ def oracle_sql() -> dict[str, str]:
         "docs_for_title": DOCS_FOR_DOC,
         "query_vector": _with(*SMALL, ASKED, select="""SELECT query_id, term_id, term,
             round(idf, 9) AS weight FROM asked JOIN weights USING (term)"""),
+        "query_vector_full": _with(*matrix(), ASKED, select="""SELECT query_id, term_id, term,
+            round(idf, 9) AS weight FROM asked JOIN weights USING (term)"""),
         "query_unknown_terms": _with(*SMALL, ASKED, select="""SELECT query_id, term FROM asked
             WHERE term NOT IN (SELECT term FROM vocab)"""),
         "docs_for_query": _with(
@@ -613,6 +615,11 @@ def oracle_sql() -> dict[str, str]:
             ',' ORDER BY topic, rank) || ']' AS json FROM words WHERE rank <= 10"""),
         "lda_ml_em_totals": _with(*SMALL, select="""SELECT count(DISTINCT doc_id) AS documents,
             true AS shares_add_up, round(sum(tfidf), 2) AS weight FROM a"""),
+        "lda_ml_term_totals": _with(*matrix(), select=f"""SELECT term, {LDA_TOPICS}::BIGINT AS topics,
+            {LDA_TOPICS}::BIGINT AS last_rank, round(coalesce(sum(tfidf), 0), 4) AS weight
+            FROM vocab LEFT JOIN a USING (term_id, term) GROUP BY term"""),
+        "lda_ml_doc_totals": _with(*matrix(), TITLES, select=f"""SELECT doc_id, title,
+            {LDA_TOPICS}::BIGINT AS topics, true AS falling, true AS adds_up FROM titles"""),
         "lda_ml_online_totals": _with(*SMALL, select="""SELECT CAST(topic AS INTEGER) AS topic,
             (SELECT count(*) FROM vocab) AS terms, true AS adds_up FROM range(5) r(topic)"""),
         "lda_quality_totals": _with(*SMALL, select=

@@ -852,6 +852,13 @@ def query_vector(spark, folder):
     return rounded(weighed, 9, "weight")
 
 
+@query
+def query_vector_full(spark, folder):
+    """As ``query_vector``, with the whole vocabulary."""
+    weighed, _ = relevance.query_terms(benchmark_queries(spark, folder), full_matrix(spark, folder).vocabulary)
+    return rounded(weighed, 9, "weight")
+
+
 @query
 def query_unknown_terms(spark, folder):
     vocabulary = small_matrix(spark, folder).vocabulary
@@ -1021,6 +1028,49 @@ def lda_ml_em_doc_topics(spark, folder):
     return topic_queries.top_topics_per_document(ml_topics(spark, folder), 3)
 
 
+@query
+def lda_ml_topic_words(spark, folder):
+    """Words of the topics of Spark's EM model, as report lines."""
+    return topic_queries.topic_labels(ml_topics(spark, folder))
+
+
+@query
+def lda_ml_topic_json(spark, folder):
+    return topic_queries.topic_terms_json(ml_topics(spark, folder))
+
+
+@query
+def lda_ml_topic_docs(spark, folder):
+    return topic_queries.top_documents_per_topic(ml_topics(spark, folder))
+
+
+@query
+def lda_ml_term_topics(spark, folder):
+    return topic_queries.top_topics_for_terms(ml_topics(spark, folder))
+
+
+@query
+def lda_ml_term_totals(spark, folder):
+    """Spark's EM model divides what a column of the whole matrix weighs among the topics, and ranks them all."""
+    found = topic_queries.top_topics_for_terms(ml_topics(spark, folder)).groupBy("term").agg(
+        F.count(F.lit(1)).alias("topics"), F.max("rank").cast("bigint").alias("last_rank"), F.sum("weight").alias("weight")
+    )
+    return rounded(found, 4, "weight")
+
+
+@query
+def lda_ml_doc_totals(spark, folder):
+    """Each document's shares of all topics of Spark's EM model, ranked, falling and adding up to one."""
+    ranked = topic_queries.top_topics_per_document(ml_topics(spark, folder), LDA_TOPICS)
+    shares = F.transform(F.sort_array(F.collect_list(F.struct("rank", "weight"))), lambda e: e["weight"])
+    # a document has as many rows as there are topics; equal to the digits by which shares rank
+    found = ranked.groupBy("doc_id", "title").agg(F.count(F.lit(1)).alias("topics"), shares.alias("shares"))
+    fall = F.forall(F.sequence(F.lit(1), F.lit(LDA_TOPICS - 1)), lambda i: F.get("shares", i) <= F.get("shares", i - 1) + 1e-6)
+    total = F.aggregate("shares", F.lit(0.0), lambda t, x: t + x)
+    whole = (F.abs(total - 1) < 1e-9) | (total == 0)  # a document without a term of the vocabulary has no shares
+    return found.select("doc_id", "title", "topics", fall.alias("falling"), whole.alias("adds_up"))
+
+
 @query
 def lda_ml_online(spark, folder):
     model = topics.fit_lda(full_matrix(spark, folder), LDA_TOPICS, LDA_STEPS, optimizer="online")

@@ -62,12 +62,39 @@ def test_factors(model, truncated, a):
     assert np.allclose([documents[i] for i in a[0]], us, atol=1e-7)
 
 
-def test_iterative_solver_agrees(built, truncated, monkeypatch):
-    monkeypatch.setattr(svd, "MAX_GRAM_TERMS", 0)
-    model = svd.fit_concepts(built, 5)
-    assert model.sigmas == pytest.approx(list(truncated[0]))
-    found = table(model.term_factors, "term_id", "v")
-    assert np.allclose([found[i] for i in range(12)], truncated[1], atol=1e-6)
+@pytest.mark.parametrize("n_terms, k", [(99, 8), (100, 8), (140, 8), (140, 90)])
+def test_one_path_for_all_sizes(spark, n_terms, k):
+    """Vocabularies that the solver treats in its own ways, against numpy."""
+    random = np.random.default_rng(n_terms)
+    words = [f"w{i:03d}" for i in range(n_terms)]
+    shares = 1 / np.arange(1, n_terms + 1)
+    docs = [
+        (doc, f"t{doc}", [words[w] for w in random.choice(n_terms, 60, p=shares / shares.sum())] + words * (doc % 3))
+        for doc in range(220)
+    ]
+    terms = spark.createDataFrame(docs, "doc_id bigint, title string, terms array<string>")
+    built = matrix.build_matrix(terms, size=n_terms, min_tf=1)
+    entries = dense(built)[1]
+    _, sigma, vt = np.linalg.svd(entries, full_matrices=False)
+    model = svd.fit_concepts(built, k)
+    rank = int((sigma > 1e-9 * sigma[0]).sum())
+    assert model.sigmas == pytest.approx(list(sigma[: min(k, rank)]), rel=1e-6)
+    v = np.array([r["v"] for r in model.term_factors.orderBy("term_id").collect()])
+    # the first directions stand apart from the rest; later ones may turn within nearly equal sigmas
+    assert np.allclose(np.abs(np.sum(v[:, :3] * vt[:3].T, axis=0)), 1, atol=1e-5)
+
+
+def test_matrix_without_entries(spark):
+    """Terms that every document holds have no weight, and a matrix of them no concept."""
+    docs = [(i, f"t{i}", ["one", "two"] * 3) for i in range(4)]
+    terms = spark.createDataFrame(docs, "doc_id bigint, title string, terms array<string>")
+    built = matrix.build_matrix(terms, size=2)
+    flat = replace(built, vectors=ElementwiseProduct(
+        scalingVec=Vectors.dense([0.0, 0.0]), inputCol="tf", outputCol="none"
+    ).transform(built.vectors).drop("tfidf").withColumnRenamed("none", "tfidf"))
+    model = svd.fit_concepts(flat, 2)
+    assert model.sigmas == []
+    assert model.doc_factors.count() == 4
 
 
 def test_k_is_checked(built, monkeypatch):
