@@ -172,10 +172,14 @@ def _featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_TRAINING) -> DataFrame:
-    """Text and grade of at most ``max_rows`` labelled documents, chosen by a hash of the id."""
+    """Text and grade of at most ``max_rows`` labelled documents, chosen by a hash of the id.
+
+    Of several texts or grades of one id the least counts, so that the data alone fix the sample.
+    """
     chosen = grades.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").alias("grade"))
 
 
 def fit(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_TRAINING) -> OrdinalModel:

@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter
 
+import zstandard
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -65,3 +67,24 @@ def base_rules(text: str | None) -> tuple:
     doubles = sum(bool(WORDS.search(line)) and line in lines[:i] for i, line in enumerate(lines))
     failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), doubles, len(repeated), failed
+
+
+def compression_verdict(text: str | None) -> tuple:
+    """Full chunks of 2048 bytes, those out of their band, and whether base rules and bands let the text pass."""
+    raw = (text or "").encode()
+
+    def ratio(piece: bytes) -> float:
+        return len(piece) / len(zstandard.compress(piece, 3)) if piece else 0.0
+
+    full = [raw[2048 * i : 2048 * (i + 1)] for i in range(len(raw) // 2048)]
+    odd = len([c for c in full if ratio(c) < 1.2 or ratio(c) > 3.4])
+    if len(raw) <= 200:
+        low, high = 0.0, 2.2
+    elif len(raw) <= 1000:
+        low, high = 1.05, 2.8
+    elif len(raw) <= 4000:
+        low, high = 1.25, 3.4
+    else:
+        low, high = 1.4, 4.5
+    banded = low <= ratio(raw) <= high and not 10 * odd > 3 * len(full)
+    return len(full), odd, banded and not base_rules(text)[-1]

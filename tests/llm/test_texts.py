@@ -1,13 +1,14 @@
 """Quality rules, BPE, chat formatting, licence scan, URL filters, mixing and classifier."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
-from brute import base_rules
+from brute import base_rules, compression_verdict
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -25,6 +26,11 @@ def test_quality_rules_equal_brute_force(spark):
     rng = random.Random(1)
     texts = TEXTS + [prose(rng, n) for n in (12, 100, 2000, 40000)] + ["\n".join(rng.choice(["a b", "c d e", " ", ""]) for _ in range(60))]
     texts += [" ".join(rng.choice("abcd") for _ in range(n)) for n in (5, 6, 20, 60)]
+    # about each edge of a band: prose, prose with a third and a half of it one line, letters at random
+    texts += [prose(rng, 400)[:n] for n in (199, 200, 201, 999, 1000, 1001, 2047, 2048)]
+    texts += [prose(rng, 1500)[:n] for n in (4000, 4001, 4096, 6144)]
+    texts += [prose(rng, 900)[:4096] + "\n" + "x y z. " * n + prose(rng, 300) for n in (200, 300, 900)]
+    texts += [" ".join("".join(chr(rng.randrange(0x100, 0x3000)) for _ in range(9)) for _ in range(n)) for n in (12, 60, 400)]
     rows = [(i, t, 7, "clash") for i, t in enumerate(texts)] * 2
     df = spark.createDataFrame(rows, "doc_id bigint, text string, other int, n_words string")
     found = quality_rules.judge_quality(df).collect()
@@ -35,7 +41,8 @@ def test_quality_rules_equal_brute_force(spark):
         assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == base_rules(text)
         raw = (text or "").encode()
         assert r["ratio"] == (len(raw) / len(compressor.compress(raw)) if raw else 0.0)
-        assert r["kept"] in ((False,) if r["base_failed"] else (True, False)) and r["other"] == 7
+        assert (r["n_chunks"], r["n_odd_chunks"], r["kept"]) == compression_verdict(text) and r["other"] == 7
+    assert len({(r["base_failed"], r["kept"]) for r in found}) == 3 and any(0 < r["n_odd_chunks"] < r["n_chunks"] for r in found)
 
 
 def test_quality_rules_keep_prose_and_reject_patterns(spark):
@@ -293,6 +300,51 @@ def test_classifier_holds_out(spark):
     assert quality_classifier.score(docs.limit(0), quality_classifier.fit(docs, grades, max_rows=200)).count() == 0
 
 
+def penalised_loss(weights, thresholds, rows, grades):
+    """Mean negative log likelihood of a cumulative-link model, term by term, and the penalty."""
+    total = 0.0
+    for row, grade in zip(rows, grades, strict=True):
+        score = sum(weights[f] * x for f, x in row.items())
+        below = [1 / (1 + math.exp(score - t)) for t in thresholds]
+        total -= math.log(([*below, 1.0])[grade] - ([0.0, *below])[grade])
+    return total / len(rows) + quality_classifier.PENALTY / 2 * sum(w * w for w in weights.values())
+
+
+@pytest.mark.parametrize("n_grades", [2, 3, 5])
+def test_ordinal_fit_is_the_likeliest(n_grades):
+    """No step of any weight or threshold lowers a loss that is written down independently."""
+    rng = random.Random(n_grades)
+    rows = [{f: rng.uniform(0.2, 1.0) for f in rng.sample(range(6), rng.randrange(4))} for _ in range(300)]
+    taste = {f: rng.uniform(-2, 2) for f in range(6)}
+    hidden = [sum(taste[f] * x for f, x in row.items()) + rng.gauss(0, 1) for row in rows]
+    cuts = sorted(hidden)[len(hidden) // n_grades :: len(hidden) // n_grades][: n_grades - 1]
+    grades = [sum(h > c for c in cuts) for h in hidden]
+    model = quality_classifier.fit_ordinal(
+        np.array([f for row in rows for f in row], np.int32), np.array([x for row in rows for x in row.values()], np.float32),
+        np.array([len(row) for row in rows]), np.array(grades), steps=4000,
+    )
+    weights = {f: float(model.weights[f]) for f in range(6)}
+    thresholds = [float(t) for t in model.thresholds]
+    assert thresholds == sorted(thresholds) and np.count_nonzero(model.weights) == 6
+    least = penalised_loss(weights, thresholds, rows, grades)
+    for step in (-0.02, 0.02):
+        for f in weights:
+            assert penalised_loss(weights | {f: weights[f] + step}, thresholds, rows, grades) > least
+        for k in range(len(thresholds)):
+            moved = [t + step * (i == k) for i, t in enumerate(thresholds)]
+            assert penalised_loss(weights, moved, rows, grades) > least
+
+
+def test_classifier_sample_is_fixed_by_the_data(spark):
+    docs = [(1, "b"), (1, "a"), (1, None), (2, None), (3, "c"), (None, "d")]
+    grades = [(1, 2), (1, 0), (2, 1), (None, 1), (4, 1)]
+    for order in (1, -1):
+        found = quality_classifier.training_rows(
+            spark.createDataFrame(docs[::order], "doc_id bigint, text string"), spark.createDataFrame(grades[::order], "doc_id bigint, grade int")
+        )
+        assert sorted(map(tuple, found.select("doc_id", "text", "grade").collect())) == [(1, "a", 0), (2, None, 1)]
+
+
 def test_classifier_features_do_not_depend_on_what_is_remembered(monkeypatch):
     texts = ["a b c a", "Long WORDS!! $x$ and-more", "d e f " * 50, "", None, "\u2003x\u00a0y 12,3"]
     expected = [quality_classifier.Hasher().features(t) for t in texts]
