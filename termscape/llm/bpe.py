@@ -149,7 +149,7 @@ def _shard_hashes(table: pa.Table) -> np.ndarray:
 SHARED_SCHEMA = "shard int, chunk_key binary, chunk binary"
 
 
-def _shared(bits: int):
+def _shared(steps: tuple[int, ...]):
     """The distinct chunks of a shard that occur twice or more."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -158,7 +158,7 @@ def _shared(bits: int):
         chunks = [c for raw, cuts in zip(raws, chunk_ends(raws), strict=True) for c in _pieces(raw, cuts)]
         distinct: dict[bytes, bytes] = {}
         if chunks and answers.num_rows:
-            counts = shards.counts_of(np.array([_hash_of(c) for c in chunks], np.uint64), bits, answers)
+            counts = shards.counts_of(np.array([_hash_of(c) for c in chunks], np.uint64), steps, answers)
             distinct = {xxhash.xxh3_128_digest(chunks[i]): chunks[i] for i in np.flatnonzero(counts > 1)}
         shard = docs.column("shard")[0].as_py() if docs.num_rows else 0
         return pa.table(
@@ -320,10 +320,10 @@ def _finish(path: str, columns: Callable[[Codec, str, np.ndarray], tuple], names
 def _with_known_chunks(docs: DataFrame, path: str, id_column: str, text_column: str, columns, names, types, schema: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
     shard_docs, n_shards = shards.dealt(docs, id_column, text_column)
-    bits = shards.counter_bits(n_shards, CHUNKS_PER_SHARD)
-    answers = shards.shared_counts(shard_docs, _shard_hashes, bits)
+    steps = shards.counter_steps(n_shards, CHUNKS_PER_SHARD)
+    answers = shards.shared_counts(shard_docs, _shard_hashes, steps)
     by_shard = shard_docs.groupBy("shard")
-    shared = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_shared(bits), SHARED_SCHEMA)
+    shared = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_shared(steps), SHARED_SCHEMA)
     sorted_chunks = shared.repartition("chunk_key").sortWithinPartitions("chunk_key")
     encoded = sorted_chunks.mapInArrow(_encode_once(path), ENCODED_SCHEMA)
     found = by_shard.cogroup(encoded.groupBy("shard")).applyInArrow(_finish(path, columns, names, types), schema)

@@ -103,14 +103,14 @@ def _shard_hashes(table: pa.Table) -> np.ndarray:
 SIGNED_SCHEMA = "doc_id bigint, row_key bigint, n_shingles bigint, set_key binary, prefix array<bigint>, places array<int>, members binary"
 
 
-def _sign(bits: int):
+def _sign(steps: tuple[int, ...]):
     """Per document: size and key of its set; its prefix, if it can have partners, and the set itself then."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         docs = shards.in_order(docs)
         n_docs = docs.num_rows
         owner, hashes = shingle_sets(docs.column("text").to_pylist())
-        held = shards.counts_of(hashes, bits, answers)
+        held = shards.counts_of(hashes, steps, answers)
         sizes = np.bincount(owner, minlength=n_docs)
         ends = np.cumsum(sizes)
         starts = ends - sizes
@@ -150,9 +150,9 @@ def _sign(bits: int):
 
 def sign_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     shard_docs, n_shards = shards.dealt(docs, id_column, text_column)
-    bits = shards.counter_bits(n_shards, SHINGLES_PER_SHARD)
-    answers = shards.shared_counts(shard_docs, _shard_hashes, bits)
-    return shard_docs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_sign(bits), SIGNED_SCHEMA)
+    steps = shards.counter_steps(n_shards, SHINGLES_PER_SHARD)
+    answers = shards.shared_counts(shard_docs, _shard_hashes, steps)
+    return shard_docs.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_sign(steps), SIGNED_SCHEMA)
 
 
 def _needed(n_a: Column, n_b: Column) -> Column:

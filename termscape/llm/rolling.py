@@ -45,6 +45,15 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return mixed(found)
 
 
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """What ``gram_hashes`` gives for each row of a matrix of bytes, whose width is a power of two."""
+    found, factor = _byte_values()[rows], _FACTOR
+    while found.shape[1] > 1:
+        found = found[:, 0::2] * np.uint64(factor) + found[:, 1::2]
+        factor = factor * factor & 0xFFFFFFFFFFFFFFFF
+    return mixed(found[:, 0])
+
+
 def sliding(values: np.ndarray, width: int, combine: np.ufunc) -> np.ndarray:
     """``combine`` over each run of ``width`` values, by doubling the run."""
     have = 1

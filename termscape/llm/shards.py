@@ -10,7 +10,14 @@ range's own are told apart. The number of counters grows with the input, and so
 numbers tell apart. Two different hashes that agree there are counted together, so a count may be too
 high, never too low. Callers use it as a filter or an order and settle equality on full values.
 
-A hash with a third of all documents behind it is one entry per shard.
+The rows of the exchange grow with the input, not with shards times counters. A shard writes to at most
+``2 ** FAN_BITS`` ranges. Where there are more counters, relays stand between: a relay owns one range of a group of
+shards, as many as it has finer ranges to write to, merges their sorted lists, and passes the merged one on. The answers come
+back the same way: the relay meets its lists once more and answers each shard of its group. So each step sends at most
+``2 ** FAN_BITS`` rows per shard, a relay holds no more hashes than a shard has, and the steps grow with the logarithm of
+the counters: one up to 256 counters, two up to 65,536, three up to 16 million.
+
+A hash with a third of all documents behind it is one entry per shard, and then one per group of shards.
 """
 
 from __future__ import annotations
@@ -28,6 +35,9 @@ SHARD_BYTES = 4 << 20
 #: Distinct hashes that a counter is meant to hold.
 COUNTER_HASHES = 2 << 20
 
+#: A shard or relay writes to at most two to the power of so many ranges.
+FAN_BITS = 8
+
 Hasher = Callable[[pa.Table], np.ndarray]
 
 
@@ -53,94 +63,156 @@ def in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def counter_bits(shards: int, hashes_per_shard: int) -> int:
-    """Bits of the hash that choose the counter."""
-    return max(4, int(np.ceil(np.log2(max(1, shards * hashes_per_shard / COUNTER_HASHES)))))
+def steps_of(bits: int) -> tuple[int, ...]:
+    """``bits`` dealt over as few steps as ``FAN_BITS`` allows, as evenly as can be, the larger ones first."""
+    n_steps = max(1, -(-bits // FAN_BITS))
+    return tuple(bits // n_steps + (i < bits % n_steps) for i in range(n_steps))
+
+
+def counter_steps(shards: int, hashes_per_shard: int) -> tuple[int, ...]:
+    """Bits of the hash that choose the counter, by steps of the exchange."""
+    return steps_of(max(4, int(np.ceil(np.log2(max(1, shards * hashes_per_shard / COUNTER_HASHES))))))
 
 
 def pack(sorted_values: np.ndarray) -> bytes:
-    """Sorted 32-bit numbers as gaps, byte plane by byte plane, which the shuffle's codec then shrinks."""
-    gaps = np.diff(sorted_values, prepend=np.uint32(0)).astype("<u4")
-    return gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Sorted numbers as gaps, byte plane by byte plane, which the shuffle's codec then shrinks; their width first."""
+    gaps = np.diff(sorted_values.astype("<u8"), prepend=np.uint64(0)).astype("<u8")
+    width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
+    return bytes([width]) + gaps.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
 
 
-def unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
-    gaps = np.ascontiguousarray(planes.T).view("<u4").ravel()
-    return np.cumsum(gaps, dtype=np.uint32)
+def unpack(blob: bytes, dtype: type = np.uint64) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8, offset=1).reshape(blob[0], -1)
+    gaps = np.zeros((planes.shape[1], np.dtype(dtype).itemsize), np.uint8)
+    gaps[:, : blob[0]] = planes.T
+    return np.cumsum(gaps.view(dtype).ravel(), dtype=dtype)
 
 
-def slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct slots of 64-bit hashes, their counts, and where each counter's begin; the inverse map.
+def slots(hashes: np.ndarray, steps: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct slots of 64-bit hashes, their counts, and where each range of the first step begins; the inverse map.
 
-    A slot is the hash's upper ``bits + 32`` bits.
+    A slot is the hash's upper bits, those of all steps and 32 more.
     """
-    upper = hashes >> np.uint64(32 - bits)
+    upper = hashes >> np.uint64(32 - sum(steps))
     found, inverse, times = np.unique(upper, return_inverse=True, return_counts=True)
-    owner = (found >> np.uint64(32)).astype(np.int64)
-    edges = np.searchsorted(owner, np.arange((1 << bits) + 1))
-    return found, inverse, times, edges
+    return found, inverse, times, _edges(found, steps[0], sum(steps[1:]))
 
 
-QUESTION_SCHEMA = "counter int, shard int, slots binary, times binary"
+def _edges(sorted_slots: np.ndarray, step: int, rest: int) -> np.ndarray:
+    """Where each of the ``2 ** step`` ranges begins, below which ``rest`` bits choose finer ranges."""
+    ranges = (sorted_slots >> np.uint64(32 + rest)).astype(np.int64)
+    return np.searchsorted(ranges, np.arange((1 << step) + 1))
 
 
-def _ask(hasher: Hasher, bits: int):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
-        found, _, times, edges = slots(hasher(in_order(table)), bits)
-        low = (found & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        times = times.astype("<u4")
-        full = np.flatnonzero(np.diff(edges))
-        return pa.table(
-            {
-                "counter": pa.array(full, pa.int32()),
-                "shard": pa.array(np.full(len(full), shard), pa.int32()),
-                "slots": pa.array([pack(low[edges[c] : edges[c + 1]]) for c in full], pa.binary()),
-                "times": pa.array([times[edges[c] : edges[c + 1]].tobytes() for c in full], pa.binary()),
-            }
-        )
+QUESTION_SCHEMA = "counter int, asker int, slots binary, times binary"
 
-    return run
+
+def _questions(found: np.ndarray, times: np.ndarray, edges: np.ndarray, rest: int, above: int, asker: int) -> pa.Table:
+    """A row for each range that holds slots. ``above`` is the number of the range that these are parts of."""
+    low = found & np.uint64((1 << (32 + rest)) - 1)
+    times = np.minimum(times, 0xFFFFFFFF).astype("<u4")
+    full = np.flatnonzero(np.diff(edges))
+    return pa.table(
+        {
+            "counter": pa.array(full + above * (len(edges) - 1), pa.int32()),
+            "asker": pa.array(np.full(len(full), asker), pa.int32()),
+            "slots": pa.array([pack(low[edges[c] : edges[c + 1]]) for c in full], pa.binary()),
+            "times": pa.array([times[edges[c] : edges[c + 1]].tobytes() for c in full], pa.binary()),
+        }
+    )
 
 
-ANSWER_SCHEMA = "shard int, counter int, company binary, total binary"
+def _ask(hasher: Hasher, steps: tuple[int, ...]):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        found, _, times, edges = slots(hasher(in_order(table)), steps)
+        return _questions(found, times, edges, sum(steps[1:]), 0, key[0].as_py())
 
+    return run
 
-def _answer(key: tuple, table: pa.Table) -> pa.Table:
-    """For each shard: a bit per slot, set if it occurs twice or more, and the counts of those."""
-    counter = key[0].as_py()
-    asked = [unpack(b) for b in table.column("slots").to_pylist()]
+
+def _met(table: pa.Table, dtype: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct slots of all questions and how often each occurs; the inverse map, and where each question's slots end."""
+    asked = [unpack(b, dtype) for b in table.column("slots").to_pylist()]
     times = np.concatenate([np.frombuffer(b, "<u4") for b in table.column("times").to_pylist()])
-    _, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.zeros(inverse.max() + 1, np.int64)
+    found, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+    total = np.zeros(len(found), np.int64)
     np.add.at(total, inverse, times)
-    own = np.minimum(total[inverse], 0xFFFFFFFF).astype("<u4")
-    pieces = np.split(own, np.cumsum([len(a) for a in asked])[:-1])
+    return found, total, inverse, np.cumsum([len(a) for a in asked])
+
+
+ANSWER_SCHEMA = "asker int, counter int, company binary, total binary"
+
+
+def _answers(table: pa.Table, own: np.ndarray, ends: np.ndarray) -> pa.Table:
+    """For each question: a bit per slot, set if it occurs twice or more, and the counts of those."""
+    pieces = np.split(np.minimum(own, 0xFFFFFFFF).astype("<u4"), ends[:-1])
     return pa.table(
         {
-            "shard": table.column("shard").cast(pa.int32()),
-            "counter": pa.array(np.full(len(pieces), counter), pa.int32()),
+            "asker": table.column("asker").cast(pa.int32()),
+            "counter": table.column("counter").cast(pa.int32()),
             "company": pa.array([np.packbits(p > 1).tobytes() for p in pieces], pa.binary()),
             "total": pa.array([p[p > 1].tobytes() for p in pieces], pa.binary()),
         }
     )
 
 
-def shared_counts(shard_docs: DataFrame, hasher: Hasher, bits: int) -> DataFrame:
-    """One row per (shard, counter): which slots have company, and the counts. Read with ``counts_of``."""
-    asked = shard_docs.groupBy("shard").applyInArrow(_ask(hasher, bits), QUESTION_SCHEMA)
-    return asked.groupBy("counter").applyInArrow(_answer, ANSWER_SCHEMA)
+def _answer(table: pa.Table) -> pa.Table:
+    _, total, inverse, ends = _met(table, np.uint32)
+    return _answers(table, total[inverse], ends)
 
 
-def counts_of(hashes: np.ndarray, bits: int, answers: pa.Table) -> np.ndarray:
-    """Number of occurrences over all documents of each hash (1: nowhere else)."""
-    found, inverse, _, edges = slots(hashes, bits)
-    total = np.ones(len(found), np.int64)
+def _relay(step: int, rest: int):
+    """Passes on what a group of askers asks about one range, as one question to each of its parts."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        counter, node = (k.as_py() for k in key)
+        found, total, _, _ = _met(table, np.uint64)
+        return _questions(found, total, _edges(found, step, rest), rest, counter, node)
+
+    return run
+
+
+def _return(step: int, rest: int):
+    """Answers each asker of a group from the answers that their relay got."""
+
+    def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        found, _, inverse, ends = _met(table, np.uint64)
+        total = _totals(_edges(found, step, rest), answers, key[0].as_py() << step)
+        return _answers(table, total[inverse], ends)
+
+    return run
+
+
+def _totals(edges: np.ndarray, answers: pa.Table, first_counter: int = 0) -> np.ndarray:
+    """The counts of all slots (1: no company), of which ``edges`` tells where each counter's begin."""
+    total = np.ones(edges[-1], np.int64)
     for counter, company, counts in zip(
         answers.column("counter").to_pylist(), answers.column("company").to_pylist(), answers.column("total").to_pylist(), strict=True
     ):
-        first, last = edges[counter], edges[counter + 1]
+        first, last = edges[counter - first_counter], edges[counter - first_counter + 1]
         mask = np.unpackbits(np.frombuffer(company, np.uint8), count=last - first).astype(bool)
         total[first:last][mask] = np.frombuffer(counts, "<u4")
-    return total[inverse]
+    return total
+
+
+def answered(asked: DataFrame, steps: tuple[int, ...]) -> DataFrame:
+    """Answers to questions; ``steps`` are those that the questions have not taken yet."""
+    if not steps:
+        return asked.groupBy("counter").applyInArrow(_answer, ANSWER_SCHEMA)
+    step, rest = steps[0], sum(steps[1:])
+    groups = asked.withColumn("node", F.shiftright("asker", step)).groupBy("counter", "node")
+    answers = answered(groups.applyInArrow(_relay(step, rest), QUESTION_SCHEMA), steps[1:])
+    answers = answers.withColumn("above", F.shiftright("counter", step)).groupBy("above", "asker")
+    return groups.cogroup(answers).applyInArrow(_return(step, rest), ANSWER_SCHEMA)
+
+
+def shared_counts(shard_docs: DataFrame, hasher: Hasher, steps: tuple[int, ...]) -> DataFrame:
+    """One row per shard and range of the first step: which slots have company, and the counts. Read with ``counts_of``."""
+    asked = shard_docs.groupBy("shard").applyInArrow(_ask(hasher, steps), QUESTION_SCHEMA)
+    return answered(asked, steps[1:]).withColumnRenamed("asker", "shard")
+
+
+def counts_of(hashes: np.ndarray, steps: tuple[int, ...], answers: pa.Table) -> np.ndarray:
+    """Number of occurrences over all documents of each hash (1: nowhere else)."""
+    _, inverse, _, edges = slots(hashes, steps)
+    return _totals(edges, answers)[inverse]

@@ -10,7 +10,10 @@ of its copies.
 2. Suffix runs: a shard cuts the suffixes at the anchors left to the 200 bytes that matter, with the
    bytes before the anchor beside them, collapses equal ones to one entry with a count, sorts them and
    front-codes the sorted run (length of the prefix shared with the entry before, and the tail). Runs are
-   exchanged by ranges of the gram hash: equal windows have equal grams and meet in one merger.
+   exchanged by ranges of the gram hash: equal windows have equal grams and meet in one merger. A shard writes at
+   most 256 runs. Where there are more mergers, relays merge the runs of a group of shards by the same
+   loser trees, collapse equal entries, and write the merged order as runs of finer ranges; so runs stay long and
+   their number grows with the input, not with its square. Answers come back through the relays.
 3. Merge: a loser tree over the runs keeps with each loser the length of its common prefix with the winner.
    Where two such lengths differ they decide; only equal ones are compared, and from there on. The lengths
    of the merged order fall out.
@@ -19,10 +22,10 @@ of its copies.
    entry, for which ``d`` the window has company.
 5. The shard covers these windows and hashes what is left.
 
-All comparisons that decide are on bytes. Hashes choose anchors and route entries; inside a shard a
+All comparisons that decide are on bytes. Hashes choose anchors and route entries; inside a shard or a relay a
 64-bit hash of an entry's bytes finds it again.
 
-Windows that occur in a third of all documents are one entry per shard. A gram of 128 to 199 bytes in
+Windows that occur in a third of all documents are one entry per shard, and one per relay further on. A gram of 128 to 199 bytes in
 different surroundings everywhere stays as many entries as surroundings.
 
 Defined cases: null is empty; texts under 200 bytes lose nothing; rows with equal or null ids, and equal
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termscape.llm import shards
-from termscape.llm.rolling import blocks, gram_hashes, mixed, sliding
+from termscape.llm.rolling import blocks, gram_hashes, mixed, row_hashes, sliding
 
 LENGTH = 200
 GRAM = 128
@@ -169,41 +172,56 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
     return from_run, at, shared
 
 
-RUN_SCHEMA = "merger int, shard int, prefixes binary, sizes binary, tails binary, before_sizes binary, before binary, times binary, keys binary"
+RUN_SCHEMA = "merger int, asker int, prefixes binary, sizes binary, tails binary, before_sizes binary, before binary, times binary, keys binary"
 
 
-def _runs(bits: int, merger_bits: int):
+class _Runs:
+    """Rows of front-coded runs."""
+
+    def __init__(self, asker: int):
+        self.asker = asker
+        self.rows: dict[str, list] = {c.split()[0]: [] for c in RUN_SCHEMA.split(", ")}
+
+    def add(self, merger: int, strings: list[bytes], prefixes: np.ndarray, before: list[bytes], times: np.ndarray, keys: np.ndarray) -> None:
+        rows = self.rows
+        rows["merger"].append(merger)
+        rows["asker"].append(self.asker)
+        rows["prefixes"].append(prefixes.astype("<u2").tobytes())
+        rows["sizes"].append(np.array([len(x) for x in strings], "<u2").tobytes())
+        rows["tails"].append(b"".join(x[p:] for x, p in zip(strings, prefixes.tolist(), strict=True)))
+        rows["before_sizes"].append(np.array([len(x) for x in before], np.uint8).tobytes())
+        rows["before"].append(b"".join(before))
+        rows["times"].append(np.minimum(times, 0xFFFFFFFF).astype("<u4").tobytes())
+        rows["keys"].append(keys.astype("<u8").tobytes())
+
+    def table(self) -> pa.Table:
+        kinds = {"merger": pa.int32(), "asker": pa.int32()}
+        return pa.table({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in self.rows.items()})
+
+
+def _runs(count_steps: tuple[int, ...], merge_steps: tuple[int, ...]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         docs = shards.in_order(docs)
-        rows: dict[str, list] = {c.split()[0]: [] for c in RUN_SCHEMA.split(", ")}
+        runs = _Runs(docs.column("shard")[0].as_py() if docs.num_rows else 0)
         buffer = Buffer(docs.column("text").to_pylist())
         places, grams = buffer.anchors()
         if answers.num_rows and len(places):
-            company = shards.counts_of(grams, bits, answers) > 1
+            company = shards.counts_of(grams, count_steps, answers) > 1
             places, grams = places[company], grams[company]
             first, last = buffer.bounds(places)
             keys = buffer.entry_keys(places, first, last)
             keys, index, times = np.unique(keys, return_index=True, return_counts=True)
             places, grams, first, last = places[index], grams[index], first[index], last[index]
-            merger = (grams >> np.uint64(64 - merger_bits)).astype(np.int64)
-            shard = docs.column("shard")[0].as_py()
+            merger = (grams >> np.uint64(64 - merge_steps[0])).astype(np.int64)
             for m in np.unique(merger):
                 chosen = np.flatnonzero(merger == m)
                 entries = sorted((buffer.data[places[i] : last[i]], i) for i in chosen.tolist())
                 order = np.array([i for _, i in entries])
-                prefixes = [0] + [common_prefix(entries[j - 1][0], entries[j][0], 0) for j in range(1, len(entries))]
+                strings = [string for string, _ in entries]
+                prefixes = np.array([0] + [common_prefix(a, b, 0) for a, b in zip(strings, strings[1:], strict=False)])
                 before = [buffer.data[first[i] : places[i]][::-1] for i in order]
-                rows["merger"].append(int(m))
-                rows["shard"].append(shard)
-                rows["prefixes"].append(np.array(prefixes, "<u2").tobytes())
-                rows["sizes"].append((last - places)[order].astype("<u2").tobytes())
-                rows["tails"].append(b"".join(s[p:] for (s, _), p in zip(entries, prefixes, strict=True)))
-                rows["before_sizes"].append((places - first)[order].astype(np.uint8).tobytes())
-                rows["before"].append(b"".join(before))
-                rows["times"].append(times[order].astype("<u4").tobytes())
-                rows["keys"].append(keys[order].astype("<u8").tobytes())
-        kinds = {"merger": pa.int32(), "shard": pa.int32()}
-        return pa.table({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in rows.items()})
+                runs.add(int(m), strings, prefixes, before, times[order], keys[order])
+        return runs.table()
 
     return run
 
@@ -234,47 +252,122 @@ def repeated_windows(sizes: np.ndarray, shared: np.ndarray, before: np.ndarray,
     return found
 
 
-MASK_SCHEMA = "shard int, keys binary, masks binary"
+class _Merged:
+    """The entries of some runs, one after the other (``offset`` tells where each run's begin), and their merged order."""
+
+    def __init__(self, table: pa.Table):
+        columns = {c: table.column(c).to_pylist() for c in ("prefixes", "sizes", "tails", "before_sizes", "before", "times", "keys")}
+        prefixes = [np.frombuffer(b, "<u2") for b in columns["prefixes"]]
+        sizes = [np.frombuffer(b, "<u2") for b in columns["sizes"]]
+        runs = [(decode_run(p, s, t), p.tolist()) for p, s, t in zip(prefixes, sizes, columns["tails"], strict=True)]
+        from_run, at, self.shared = (np.array(x, np.int64) for x in merge_runs(runs))
+        self.offset = np.cumsum([0] + [len(s) for s in sizes])
+        self.order = self.offset[from_run] + at  # place of each entry of the merged order
+        self.strings = [string for strings, _ in runs for string in strings]
+        self.sizes = np.concatenate(sizes).astype(np.int64)
+        self.before_sizes = np.concatenate([np.frombuffer(b, np.uint8) for b in columns["before_sizes"]]).astype(np.int64)
+        self.before = b"".join(columns["before"])
+        self.times = np.concatenate([np.frombuffer(b, "<u4") for b in columns["times"]])
+        self.keys = np.concatenate([np.frombuffer(b, "<u8") for b in columns["keys"]])
+
+
+MASK_SCHEMA = "merger int, asker int, keys binary, masks binary"
 MASK_BYTES = (REACH + 8) // 8
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    prefixes = [np.frombuffer(b, "<u2") for b in columns["prefixes"]]
-    sizes = [np.frombuffer(b, "<u2") for b in columns["sizes"]]
-    runs = [(decode_run(p, s, t), p.tolist()) for p, s, t in zip(prefixes, sizes, columns["tails"], strict=True)]
-    from_run, at, shared = (np.array(x, np.int64) for x in merge_runs(runs))
-    offset = np.cumsum([0] + [len(s) for s in sizes])
-    merged = offset[from_run] + at  # place in the concatenated runs of each entry of the merged order
-    before_sizes = np.concatenate([np.frombuffer(b, np.uint8) for b in columns["before_sizes"]]).astype(np.int64)
-    left = np.zeros((len(merged), REACH), np.uint8)
-    filled = np.arange(REACH) < before_sizes[:, None]
-    left[filled] = np.frombuffer(b"".join(columns["before"]), np.uint8)
-    times = np.concatenate([np.frombuffer(b, "<u4") for b in columns["times"]])
-    keys = np.concatenate([np.frombuffer(b, "<u8") for b in columns["keys"]])
-    found = repeated_windows(np.concatenate(sizes).astype(np.int64)[merged], shared, left[merged], before_sizes[merged], times[merged])
-    masks = np.zeros((len(merged), MASK_BYTES), np.uint8)
-    masks[merged] = np.packbits(found, axis=1)
+def _masks(runs: pa.Table, offset: np.ndarray, keys: np.ndarray, masks: np.ndarray) -> pa.Table:
+    """For each run the keys and masks of those of its entries that have a window with company."""
     some = masks.any(axis=1)
-    answer: dict[str, list] = {"shard": [], "keys": [], "masks": []}
-    for r, shard in enumerate(columns["shard"]):
+    answer: dict[str, list] = {c.split()[0]: [] for c in MASK_SCHEMA.split(", ")}
+    for r, (merger, asker) in enumerate(zip(runs.column("merger").to_pylist(), runs.column("asker").to_pylist(), strict=True)):
         own = np.arange(offset[r], offset[r + 1])
         own = own[some[own]]
         if len(own):
-            answer["shard"].append(shard)
+            answer["merger"].append(merger)
+            answer["asker"].append(asker)
             answer["keys"].append(keys[own].tobytes())
             answer["masks"].append(masks[own].tobytes())
-    return pa.table({"shard": pa.array(answer["shard"], pa.int32()), "keys": pa.array(answer["keys"], pa.binary()), "masks": pa.array(answer["masks"], pa.binary())})
+    kinds = {"merger": pa.int32(), "asker": pa.int32()}
+    return pa.table({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in answer.items()})
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    entries = _Merged(table)
+    order = entries.order
+    left = np.zeros((len(order), REACH), np.uint8)
+    filled = np.arange(REACH) < entries.before_sizes[:, None]
+    left[filled] = np.frombuffer(entries.before, np.uint8)
+    found = repeated_windows(entries.sizes[order], entries.shared, left[order], entries.before_sizes[order], entries.times[order])
+    masks = np.zeros((len(order), MASK_BYTES), np.uint8)
+    masks[order] = np.packbits(found, axis=1)
+    return _masks(table, entries.offset, entries.keys, masks)
+
+
+def _relay(done: int, step: int):
+    """Passes on the runs of a group of askers as one run for each part of the range, whose first ``done`` bits are fixed."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        merger, node = (k.as_py() for k in key)
+        entries, runs = _Merged(table), _Runs(node)
+        keys = entries.keys[entries.order]
+        _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        times = np.bincount(inverse, weights=entries.times[entries.order])[inverse].astype(np.int64)
+        kept = np.sort(first)  # of equal entries the first of the merged order
+        strings = [entries.strings[i] for i in entries.order[kept].tolist()]
+        grams = np.frombuffer(b"".join(x[:GRAM] for x in strings), np.uint8).reshape(-1, GRAM)
+        part = (mixed(row_hashes(grams)) << np.uint64(done)) >> np.uint64(64 - step)
+        ends = np.cumsum(entries.before_sizes)
+        for p in np.unique(part):
+            own = np.flatnonzero(part == p)
+            at = kept[own]
+            # what two entries share is the least of what neighbours between them share
+            prefixes = np.minimum.reduceat(entries.shared[: at[-1] + 1], at[:-1] + 1) if len(at) > 1 else []
+            places = entries.order[at]
+            before = [entries.before[ends[i] - entries.before_sizes[i] : ends[i]] for i in places.tolist()]
+            runs.add((merger << step) | int(p), [strings[i] for i in own.tolist()], np.concatenate([[0], prefixes]).astype(np.int64), before, times[at], keys[at])
+        return runs.table()
+
+    return run
+
+
+def _return(runs: pa.Table, answers: pa.Table) -> pa.Table:
+    """Gives each run of a group what its relay was told of the run's entries."""
+    lists = [np.frombuffer(b, "<u8") for b in runs.column("keys").to_pylist()]
+    offset = np.cumsum([0] + [len(x) for x in lists])
+    keys = np.concatenate([np.zeros(0, "<u8"), *lists])
+    masks = np.zeros((len(keys), MASK_BYTES), np.uint8)
+    if answers.num_rows:
+        known, told = _told(answers)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[at] == keys
+        masks[hit] = told[at[hit]]
+    return _masks(runs, offset, keys, masks)
+
+
+def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their masks."""
+    keys = np.concatenate([np.frombuffer(b, "<u8") for b in answers.column("keys").to_pylist()])
+    masks = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, MASK_BYTES) for b in answers.column("masks").to_pylist()])
+    order = np.argsort(keys)
+    return keys[order], masks[order]
+
+
+def merged_masks(runs: DataFrame, steps: tuple[int, ...], done: int) -> DataFrame:
+    """What runs are told; ``steps`` are those that the runs have not taken yet, ``done`` the bits that choose their mergers."""
+    if not steps:
+        return runs.groupBy("merger").applyInArrow(_merge, MASK_SCHEMA)
+    step = steps[0]
+    groups = runs.withColumn("node", F.shiftright("asker", step)).groupBy("merger", "node")
+    masks = merged_masks(groups.applyInArrow(_relay(done, step), RUN_SCHEMA), steps[1:], done + step)
+    masks = masks.withColumn("above", F.shiftright("merger", step)).groupBy("above", "asker")
+    return groups.cogroup(masks).applyInArrow(_return, MASK_SCHEMA)
 
 
 def covered(buffer: Buffer, answers: pa.Table) -> np.ndarray:
     """Which bytes of the shard lie in a repeated window."""
     flags = np.zeros(len(buffer.data) + 1, np.int32)
     if answers.num_rows:
-        keys = np.concatenate([np.frombuffer(b, "<u8") for b in answers.column("keys").to_pylist()])
-        masks = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, MASK_BYTES) for b in answers.column("masks").to_pylist()])
-        order = np.argsort(keys)
-        keys, masks = keys[order], masks[order]
+        keys, masks = _told(answers)
         places, _ = buffer.anchors()
         own = buffer.entry_keys(places, *buffer.bounds(places))
         at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
@@ -330,12 +423,12 @@ def _texts(docs: pa.Table, answers: pa.Table) -> pa.Table:
 
 def _remove(docs: DataFrame, id_column: str, text_column: str, carried: list[str] | None, function, schema: str | T.StructType) -> DataFrame:
     shard_docs, n_shards = shards.dealt(docs, id_column, text_column, carried)
-    bits = shards.counter_bits(n_shards, ANCHORS_PER_SHARD)
-    merger_bits = max(4, n_shards.bit_length())
-    answers = shards.shared_counts(shard_docs, _shard_hashes, bits)
+    count_steps = shards.counter_steps(n_shards, ANCHORS_PER_SHARD)
+    merge_steps = shards.steps_of(max(4, n_shards.bit_length()))
+    answers = shards.shared_counts(shard_docs, _shard_hashes, count_steps)
     by_shard = shard_docs.groupBy("shard")
-    runs = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_runs(bits, merger_bits), RUN_SCHEMA)
-    masks = runs.groupBy("merger").applyInArrow(_merge, MASK_SCHEMA)
+    runs = by_shard.cogroup(answers.groupBy("shard")).applyInArrow(_runs(count_steps, merge_steps), RUN_SCHEMA)
+    masks = merged_masks(runs, merge_steps[1:], merge_steps[0]).withColumnRenamed("asker", "shard")
     return by_shard.cogroup(masks.groupBy("shard")).applyInArrow(function, schema)
 
 
