@@ -15,8 +15,8 @@ which gives the same ids at several times the speed. That needs the merges in th
 and the byte-level pre-tokenizer without a normalizer; a file that is not so is refused.
 Special tokens in a text become their ids, as the tokenizers library does by default.
 
-Defined cases: null is empty and has no ids; rows with equal or null ids are encoded each; other columns
-are ignored.
+Defined cases: null is empty and has no ids; rows with equal or null ids are encoded each. A text of any length is
+encoded whole by one task. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

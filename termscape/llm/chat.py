@@ -14,8 +14,8 @@ turn, so a conversation of any length is never held whole.
 
 Defined cases: null text or null part is empty text; a null role is an empty role; null ``conv_id`` is
 a conversation of its own; a null turn comes first; equal turns are ordered by role, then by text;
-repeated rows are separate turns; unknown part kinds become placeholders of zero tokens; other columns
-of the input are ignored.
+repeated rows are separate turns; unknown part kinds become placeholders of zero tokens; texts of any length are
+formatted whole; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations

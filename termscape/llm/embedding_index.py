@@ -22,8 +22,8 @@ verified on the vectors as they are.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or a non-finite number, or whose
 length differs from the pivots' have no links; their component is themselves. Rows with equal or null ids
-are separate rows; a component's id is the smallest id in it, null if it has none. Other columns are
-ignored.
+are separate rows; a component's id is the smallest id in it, null if it has none. An empty table gives no rows.
+Other columns are ignored.
 """
 
 from __future__ import annotations

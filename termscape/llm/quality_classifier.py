@@ -13,8 +13,10 @@ features reach the driver. Scoring reads each document once, without a shuffle.
 
 Defined cases: null is empty; a text without words scores on the intercept alone; labels without a
 document, documents without a label, null grades and repeated labels do no harm (a document
-with several labels counts once with its lowest grade); without usable labels of two grades fitting raises
-``ValueError``. Columns other than id and text are ignored.
+with several labels counts once with its lowest grade). Where all labels have one grade, every document
+is expected to have it, as the best there is; without any usable label the results are null. An empty table gives no rows.
+Texts go through whole, whatever their length, one at a time; a training text sends at most three buckets per distinct
+word to the driver. Repeated rows are scored each. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -183,13 +185,16 @@ def training_rows(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_TRAINI
 
 
 def fit(docs: DataFrame, grades: DataFrame, max_rows: int = MAX_TRAINING) -> OrdinalModel:
-    """Fit on ``docs(doc_id, text)`` and ``grades(doc_id, grade)``, grades counted from 0."""
+    """Fit on ``docs(doc_id, text)`` and ``grades(doc_id, grade)``, grades counted from 0.
+
+    One grade alone gives thresholds that every score exceeds; no label gives a threshold that is no number.
+    """
     bounded_batches(docs.sparkSession)
     rows = training_rows(docs, grades, max_rows).select(F.col("grade").cast("int"), "text")
     found = rows.mapInArrow(_featurised, "grade int, buckets array<int>, values array<float>").toArrow()
     labels = np.array(found.column("grade").to_pylist(), np.int64)
-    if len(set(labels.tolist())) < 2:
-        raise ValueError("labels of at least two grades are needed")
+    if len(set(labels.tolist())) < 2:  # nothing to tell apart
+        return OrdinalModel(np.zeros(1 << HASH_BITS), np.full(labels[0], -np.inf) if len(labels) else np.array([np.nan]))
     buckets, values = (found.column(c).combine_chunks() for c in ("buckets", "values"))
     sizes = buckets.value_lengths().to_numpy(zero_copy_only=False)
     return fit_ordinal(buckets.flatten().to_numpy(), values.flatten().to_numpy(), sizes, labels)
@@ -208,9 +213,10 @@ def score(docs: DataFrame, model: OrdinalModel, min_tail: float = MIN_TAIL) -> D
                 buckets, values = hasher.features(text)
                 scores.append(float(own.weights[buckets] @ values))
             above = own.above(np.array(scores, np.float64))
-            best = above[:, -1]
+            best = above[:, -1] if above.shape[1] else np.ones(len(above))
+            unknown = np.isnan(best)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(above.sum(axis=1)), pa.array(best), pa.array(best >= min_tail)],
+                [batch.column("doc_id"), pa.array(above.sum(axis=1), mask=unknown), pa.array(best, mask=unknown), pa.array(best >= min_tail, mask=unknown)],
                 names=["doc_id", "expected_grade", "p_best", "kept"],
             )
 

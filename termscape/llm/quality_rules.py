@@ -7,8 +7,8 @@ chunks of it; the limits depend on the length, because short texts always compre
 No shuffle: a document is judged in the task that reads it.
 
 Defined cases: null text is empty text; an empty text has no words and fails the base rules; equal
-rows are judged alike, each on its own; other columns pass through untouched, and a column named as one
-of the results is replaced.
+rows are judged alike, each on its own; a text of any length is judged whole; an empty table gives no rows; other
+columns pass through untouched, and a column named as one of the results is replaced by ``judge_quality``, not by ``keep_good``.
 """
 
 from __future__ import annotations

@@ -12,8 +12,8 @@ dominate, as repeated rows collapse before the shuffle; tokens and candidates st
 partitioning. The rules are a parameter of the job, at most ``MAX_RULES`` of them, and broadcast.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no site rule, and
-is judged by the patterns alone (null as the empty string). Repeated rows give repeated results. Other
-columns are ignored.
+is judged by the patterns alone (null as the empty string). Repeated rows give repeated results. A URL of any
+length is judged whole. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -295,8 +295,12 @@ def test_classifier_holds_out(spark):
     assert np.mean([scored[i]["kept"] == (g == 2) for i, _, g in held_out]) > 0.95
     means = [np.mean([scored[i]["expected_grade"] for i, _, g in held_out if g == k]) for k in range(3)]
     assert means[0] < means[1] < means[2]
-    with pytest.raises(ValueError):
-        quality_classifier.fit(docs, grades.where("grade = 2"))
+    for grade in (0, 2):
+        same = quality_classifier.score(docs, quality_classifier.fit(docs, grades.where(f"grade = {grade}"))).collect()
+        assert {(r["expected_grade"], r["p_best"], r["kept"]) for r in same} == {(float(grade), 1.0, True)} and len(same) == len(rows) + 3
+    for no_docs, no_grades in ((docs, grades.limit(0)), (docs, grades.where("grade is null")), (docs.limit(0), grades)):
+        unknown = quality_classifier.score(docs, quality_classifier.fit(no_docs, no_grades)).collect()
+        assert {(r["expected_grade"], r["p_best"], r["kept"]) for r in unknown} == {(None, None, None)} and len(unknown) == len(rows) + 3
     assert quality_classifier.score(docs.limit(0), quality_classifier.fit(docs, grades, max_rows=200)).count() == 0
 
 
