@@ -64,6 +64,9 @@ class ConceptModel:
         return [r["sigma"] for r in self.concepts.orderBy("concept").collect()]
 
 
+#: Directions computed beyond those that are kept, for the sake of the kept ones' digits.
+SPARE_DIRECTIONS = 10
+
 #: Buckets of rows by length; each is 2 ** -0.5 times as long as the one before, the last holds all shorter rows.
 BUCKETS = 40
 
@@ -97,10 +100,15 @@ def _oriented(v: np.ndarray) -> np.ndarray:
 
 
 def _directions(rows: DataFrame, n_terms: int, k: int) -> np.ndarray:
-    """Leading directions V by MLlib, which holds O(n k) numbers on the driver, or A'A for few terms or many concepts."""
+    """Leading directions V by MLlib, which holds O(n k) numbers on the driver, or A'A for few terms or many concepts.
+
+    It stops at a residual of 1e-10 for the last direction asked for; those before are more exact. So some more are
+    asked for than are kept.
+    """
     if rows.where(F.col("length") > 0).isEmpty():
         return np.eye(n_terms, k)  # the solver needs a matrix with an entry
-    return IndexedRowMatrix(rows.drop("length"), numCols=n_terms).computeSVD(k, rCond=RELATIVE_CUT).V.toArray()
+    asked = min(n_terms, k + SPARE_DIRECTIONS)
+    return IndexedRowMatrix(rows.drop("length"), numCols=n_terms).computeSVD(asked, rCond=RELATIVE_CUT).V.toArray()[:, :k]
 
 
 def _length(values: Column) -> Column:
