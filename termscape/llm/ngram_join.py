@@ -22,6 +22,7 @@ Steps, each over all documents:
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a text of fewer than five
 words is one shingle of all of them; null, empty and blank texts have no shingle and no partner. Rows with
 equal or null ids are separate rows; a component's id is the smallest id in it, null if none has one.
+A text of any length is one row whose set is held by one task at a time. An empty table gives no rows.
 Other columns are ignored.
 """
 
