@@ -29,6 +29,11 @@ def folders(spark, tmp_path):
     return str(tmp_path / "one"), str(tmp_path / "many")
 
 
+def test_stream_term_counts_reads_every_file(spark, folders):
+    for folder in folders:
+        assert rows(queries.stream_term_counts(spark, folder)) == rows(queries.QUERIES["term_freq"](spark, folder))
+
+
 def test_stream_growing_counts_reads_every_file(spark, folders):
     for folder in folders:
         assert rows(queries.stream_growing_counts(spark, folder)) == rows(queries.growing_counts(spark, folder))
