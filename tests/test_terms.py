@@ -53,3 +53,20 @@ def test_costly_columns_are_evaluated_once(docs):
     usable = terms.document_terms(docs).where("size(terms) > 1")
     plan = usable._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_analyser_holds_the_terms_of_few_texts(spark):
+    """A batch has up to 10,000 texts; their terms are not all Python objects at once."""
+
+    def make():
+        def resident() -> int:
+            with open("/proc/self/statm") as f:
+                return int(f.read().split()[1]) * 4096
+
+        return lambda text: [str(resident()), *(f"{text}-{i}" for i in range(20000))]
+
+    many = spark.range(300).selectExpr("id AS doc_id", "concat('t', id) AS title", "string(id) AS content").coalesce(1)
+    found = terms.terms_with(many, make).selectExpr("doc_id", "size(terms) AS n", "bigint(terms[0]) AS resident", "terms[20000] AS last")
+    rows = found.collect()
+    assert [(r["doc_id"], r["n"], r["last"]) for r in rows] == [(i, 20001, f"{i}-19999") for i in range(300)]
+    assert max(r["resident"] for r in rows) - min(r["resident"] for r in rows) < 250 << 20
