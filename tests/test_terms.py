@@ -1,6 +1,11 @@
 """Lemma tables and the analyser hook."""
 
+import pickle
+import tracemalloc
+
+import pyarrow as pa
 import pytest
+from pyspark.core.context import SparkContext
 
 from termscape.operators import terms
 
@@ -70,3 +75,26 @@ def test_analyser_holds_the_terms_of_few_texts(spark):
     rows = found.collect()
     assert [(r["doc_id"], r["n"], r["last"]) for r in rows] == [(i, 20001, f"{i}-19999") for i in range(300)]
     assert max(r["resident"] for r in rows) - min(r["resident"] for r in rows) < 250 << 20
+
+
+def test_lemmas_take_little_memory_in_a_worker(spark, monkeypatch):
+    """What every worker unpacks is some 50 bytes a lemma; the words are looked up as before."""
+    sent = []
+    real = SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value) or real(self, value))
+    n = 50000
+    table = spark.range(n).selectExpr("concat('form', id) AS form", "concat('lemma', id) AS lemma")
+    lookup = terms.lemma_lookup(table)
+    packed = pickle.dumps(sent[-1])
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    held = pickle.loads(packed)
+    used = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(held) and used < 80 * n
+    found = spark.createDataFrame([(["FORM7", "other", "form49999", "form50000"],), ([],), (None,), ([None, "form1"],)], "words array<string>")
+    assert [r[0] for r in found.coalesce(1).select(lookup(found["words"])).collect()] == [
+        ["lemma7", "other", "lemma49999", "form50000"], [], None, [None, "lemma1"],
+    ]
+    nothing = terms.lemma_lookup(table.where("form is null"))
+    assert [r[0] for r in found.limit(1).select(nothing(found["words"])).collect()] == [["FORM7", "other", "form49999", "form50000"]]
